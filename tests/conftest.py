@@ -1,0 +1,26 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    from packhorse import build_session
+
+    folder = tmp_path_factory.mktemp("spark")
+    session = build_session(
+        "tests",
+        master="local[8]",
+        spark__checkpoint__dir=str(folder / "shared"),
+        spark__sql__warehouse__dir=str(folder / "warehouse"),
+        spark__driver__memory="8g",
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()

@@ -1,0 +1,33 @@
+"""Every registered query against its SQL, on whole tables."""
+
+from __future__ import annotations
+
+import pytest
+from compare import connect, duck_rows, duck_types, spark_rows, spark_types
+
+import __spark_entry__ as driver
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def db():
+    return connect(FOLDER)
+
+
+def test_every_query_has_sql():
+    assert driver.queries().keys() == driver.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_matches_sql(spark, db, name):
+    df = driver.queries()[name](spark, FOLDER)
+    sql = driver.oracle_sql()[name]
+    assert spark_types(df) == duck_types(db, sql)
+    assert spark_rows(df) == duck_rows(db, sql)
+
+
+def test_entry(spark):
+    df = driver.entry(spark)
+    assert df.columns == ["nation", "order_month", "revenue", "n_lines"]
+    assert df.count() > 0
