@@ -38,12 +38,13 @@ def _result(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
 
 @query(
     """
-    SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS window_start,
-        time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE AS window_end,
-        event_type, count(*) AS n_events,
-        CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total_value
-    FROM events GROUP BY ALL
-    HAVING window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
+    SELECT * FROM (
+        SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS window_start,
+            time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE AS window_end,
+            event_type, count(*) AS n_events,
+            CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total_value
+        FROM events GROUP BY ALL)
+    WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
     """
 )
 def p19_windows_stream(spark: SparkSession, folder: str) -> DataFrame:

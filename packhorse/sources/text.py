@@ -20,6 +20,10 @@ def _parser_options(options: Mapping[str, str] | None) -> dict[str, str]:
     return {**(options or {}), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
 
 
+def _with_bad(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+
+
 def _parsed(lines: DataFrame, row: Column) -> DataFrame:
     return lines.select("raw", "file", row.alias("row")).select(
         "raw", "file", "row.*", F.col(f"row.{_BAD}").isNotNull().alias("is_malformed")
@@ -47,7 +51,7 @@ def read_csv_lines(
     lines = _lines(spark, path)
     if header is not None:
         lines = lines.filter(F.col("raw") != header)
-    typed = T.StructType(schema.fields).add(_BAD, T.StringType())
+    typed = _with_bad(schema)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in typed.fields)
     return _parsed(lines, F.from_csv("raw", ddl, _parser_options(options)))
 
@@ -59,8 +63,7 @@ def read_json_lines(
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """As `read_csv_lines`, for one JSON object per line."""
-    typed = T.StructType(schema.fields).add(_BAD, T.StringType())
-    row = F.from_json("raw", typed, _parser_options(options))
+    row = F.from_json("raw", _with_bad(schema), _parser_options(options))
     return _parsed(_lines(spark, path), row)
 
 
