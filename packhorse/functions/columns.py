@@ -42,3 +42,13 @@ def differing(names: Sequence[str], left: str, right: str) -> Column:
 
 def all_of(conditions: Iterable[Column]) -> Column:
     return reduce(and_, conditions)
+
+
+def quoted(name: str) -> str:
+    """A column name for use in a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A string literal for use in a SQL expression."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packhorse.operators.ordered import ROWS_PER_CHUNK, LastKnown, Next, Previous, scan
+from packhorse.functions.skew import ROWS_PER_TASK
+from packhorse.operators.ordered import LastKnown, Next, Previous, scan
 
 
 def type2_history(
@@ -16,7 +17,7 @@ def type2_history(
     at: str,
     tie_break: str,
     track: Sequence[str] | None = None,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add `valid_from`, `valid_to` and `is_current` to the versions of a key.
 
@@ -27,9 +28,9 @@ def type2_history(
     order = [at, tie_break]
     if track is not None:
         state = F.struct(*track)
-        before = scan(df, keys, order, {"_before": Previous(state)}, rows_per_chunk)
+        before = scan(df, keys, order, {"_before": Previous(state)}, rows_per_task)
         df = before.filter(~F.col("_before").eqNullSafe(state)).drop("_before")
-    versions = scan(df, keys, order, {"valid_to": Next(F.col(at))}, rows_per_chunk)
+    versions = scan(df, keys, order, {"valid_to": Next(F.col(at))}, rows_per_task)
     return versions.withColumns(
         {"valid_from": F.col(at), "is_current": F.col("valid_to").isNull()}
     )
@@ -42,7 +43,7 @@ def as_of(
     left_order: Sequence[str],
     right_order: Sequence[str],
     hit: str,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Every left row with the last earlier right row of its key.
 
@@ -68,6 +69,6 @@ def as_of(
     )
     at = [f"_k{i}" for i in range(len(keys))]
     found = scan(
-        both, at, ["_at", "_lane", "_tie"], {hit: LastKnown(F.col("_right"))}, rows_per_chunk
+        both, at, ["_at", "_lane", "_tie"], {hit: LastKnown(F.col("_right"))}, rows_per_task
     )
     return found.filter("_lane = 0").select("_left.*", hit)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packhorse.functions.columns import all_of, differing
+from packhorse.functions.skew import ROWS_PER_TASK, large_keys, split
 from packhorse.operators.ordered import top_k
 
 
@@ -24,26 +25,46 @@ def duplicated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
-def _parent_keys(
-    child: DataFrame, parent: DataFrame, on: Mapping[str, str]
-) -> tuple[DataFrame, Column]:
+def _by_parent(
+    child: DataFrame, parent: DataFrame, on: Mapping[str, str], how: str, rows_per_task: int | None
+) -> DataFrame:
     # Distinct first: repeated parent keys collapse in the map tasks, and the
     # join reuses the partitioning of the distinct.
-    keys = parent.select(*[F.col(p).alias(f"_parent_{p}") for p in on.values()]).distinct()
-    return keys, all_of(child[c] == F.col(f"_parent_{p}") for c, p in on.items())
-
-
-def orphans(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    names = {f"_parent_{p}": p for p in on.values()}
+    parents = parent.select(*[F.col(p).alias(name) for name, p in names.items()]).distinct()
+    same = all_of(F.col(c) == F.col(f"_parent_{p}") for c, p in on.items())
+    large = None if rows_per_task is None else large_keys(child, list(on), rows_per_task)
+    if large is None:
+        return child.join(parents, same, how)
+
+    # Rows of a large key stay where they are: of the parents, only the one row
+    # for each of these keys is needed, and is broadcast.
+    rest, hot = split(child, large, list(on))
+    few = parents.join(F.broadcast(large.keys), same, "left_semi")
+    return rest.join(parents, same, how).unionByName(hot.join(F.broadcast(few), same, how))
+
+
+def orphans(
+    child: DataFrame,
+    parent: DataFrame,
+    on: Mapping[str, str],
+    rows_per_task: int | None = ROWS_PER_TASK,
+) -> DataFrame:
     """Child rows without a parent row; `on` maps child to parent columns.
 
     A row with a null in its key has no parent.
     """
-    return child.join(*_parent_keys(child, parent, on), "left_anti")
+    return _by_parent(child, parent, on, "left_anti", rows_per_task)
 
 
-def matched(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataFrame:
+def matched(
+    child: DataFrame,
+    parent: DataFrame,
+    on: Mapping[str, str],
+    rows_per_task: int | None = ROWS_PER_TASK,
+) -> DataFrame:
     """Child rows with at least one parent row, each once."""
-    return child.join(*_parent_keys(child, parent, on), "left_semi")
+    return _by_parent(child, parent, on, "left_semi", rows_per_task)
 
 
 def enrich(
@@ -60,37 +81,39 @@ def enrich(
         *[F.col(d).alias(f"_dim_{d}") for d in on.values()],
         *[F.col(d).alias(new) for d, new in columns.items()],
     )
-    same = all_of(facts[f] == side[f"_dim_{d}"] for f, d in on.items())
+    same = all_of(F.col(f) == F.col(f"_dim_{d}") for f, d in on.items())
     return facts.join(side, same, "left").drop(*[f"_dim_{d}" for d in on.values()])
 
 
 def snapshot_diff(
     old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    """Per key `change` (insert, update, delete, same), `changed` and both values.
+    """Per key `change`, the columns `changed`, and the values `old` and `new`.
 
-    `columns` are compared null-safe; `changed` lists those that differ. Both
-    snapshots must hold one row per key: see `duplicated_keys`, and
-    `dedupe_latest` for making them so.
+    `change` is insert, update, delete or same, comparing `columns` null-safe.
+    A key with several rows in one snapshot is reported as duplicate, with the
+    greatest of them. Grouping the two snapshots together, instead of joining
+    them, takes one shuffle and turns such a key into two rows per map task
+    where a join would pair all its rows.
     """
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(
-            *[F.col(key).alias(f"_{tag}_{key}") for key in keys],
-            F.struct(*columns).alias(tag),
-        )
-
-    same_key = all_of(F.col(f"_old_{key}").eqNullSafe(F.col(f"_new_{key}")) for key in keys)
+    both = old.select(*keys, F.lit(True).alias("_is_old"), F.struct(*columns).alias("_row"))
+    both = both.unionByName(
+        new.select(*keys, F.lit(False).alias("_is_old"), F.struct(*columns).alias("_row"))
+    )
+    is_old = F.col("_is_old")
+    sides = both.groupBy(*keys).agg(
+        F.max(F.when(is_old, F.col("_row"))).alias("old"),
+        F.max(F.when(~is_old, F.col("_row"))).alias("new"),
+        F.greatest(F.count_if(is_old), F.count_if(~is_old)).alias("_n"),
+    )
     change = (
-        F.when(F.col("old").isNull(), "insert")
+        F.when(F.col("_n") > 1, "duplicate")
+        .when(F.col("old").isNull(), "insert")
         .when(F.col("new").isNull(), "delete")
         .when(F.col("old").eqNullSafe(F.col("new")), "same")
         .otherwise("update")
     )
-    return side(old, "old").join(side(new, "new"), same_key, "full_outer").select(
-        *[F.coalesce(f"_old_{key}", f"_new_{key}").alias(key) for key in keys],
-        change.alias("change"),
-        F.when(change == "update", differing(columns, "old", "new"))
-        .otherwise(F.array().cast("array<string>")).alias("changed"),
-        "old",
-        "new",
+    changed = F.when(change == "update", differing(columns, "old", "new")).otherwise(
+        F.array().cast("array<string>")
     )
+    return sides.select(*keys, change.alias("change"), changed.alias("changed"), "old", "new")

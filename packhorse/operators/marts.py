@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 
 from packhorse.functions.columns import money
 
-# How each kind of measure is first aggregated, and how parts are put together.
-_PARTS = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
-_WHOLE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
-
-
 def revenue_mart(
     lineitem: DataFrame, orders: DataFrame, customer: DataFrame, nation: DataFrame
 ) -> DataFrame:
@@ -45,25 +40,36 @@ def revenue_mart(
     )
 
 
-def subtotals(
-    df: DataFrame,
-    dimensions: Sequence[str],
-    measures: Mapping[str, tuple[str, Column]],
-    mode: str = "rollup",
+# Kinds of measure that can be put together from parts: how rows are first
+# aggregated, and how the parts are.
+_OF_ROWS = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+_OF_PARTS = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+
+def finest(
+    df: DataFrame, dimensions: Sequence[str], measures: Mapping[str, tuple[str, Column]]
 ) -> DataFrame:
-    """P10: `rollup` or `cube` of the dimensions, with `level` as the grouping id.
+    """P10: the measures at the finest level of the dimensions.
 
-    `measures` maps a name to a kind (sum, count, min, max) and a column. Rows
-    are first aggregated at the finest level. Only those groups are repeated
-    per level, instead of every input row.
+    `measures` maps a name to a kind (sum, count, min, max) and a column.
     """
-    fine = df.groupBy(*dimensions).agg(
-        *[_PARTS[kind](column).alias(name) for name, (kind, column) in measures.items()]
+    return df.groupBy(*dimensions).agg(
+        *[_OF_ROWS[kind](column).alias(name) for name, (kind, column) in measures.items()]
     )
+
+
+def subtotals(
+    fine: DataFrame, dimensions: Sequence[str], kinds: Mapping[str, str], mode: str = "rollup"
+) -> DataFrame:
+    """P10: `rollup` or `cube` over the rows of `finest`, with `level` as grouping id.
+
+    Only these groups are repeated per level, instead of every input row. Names
+    for the dimensions can be joined in between, on few rows.
+    """
     grouped = {"rollup": fine.rollup, "cube": fine.cube}[mode](*dimensions)
     return grouped.agg(
         F.grouping_id().alias("level"),
-        *[_WHOLE[kind](name).alias(name) for name, (kind, _) in measures.items()],
+        *[_OF_PARTS[kind](name).alias(name) for name, kind in kinds.items()],
     )
 
 

@@ -6,8 +6,7 @@ own order into chunks: the window runs within each chunk, every chunk is summed
 up to one row, and what a chunk needs from the chunks before (or after) it is
 added from those few rows. The result is the same for any cut.
 
-Large keys are found in a bounded sample. It decides how the work is spread,
-never which rows are in the result.
+Where no key is large this is the plain window.
 """
 
 from __future__ import annotations
@@ -19,15 +18,9 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from packhorse.functions.columns import all_of
+from packhorse.functions.skew import ROWS_PER_TASK, large_keys, split
 from packhorse.session import scratch_path
 
-ROWS_PER_CHUNK = 2_000_000
-# A key counts as large when the sample expects this many of its rows per
-# chunk. With SAMPLE_ROWS it bounds the large keys, which are broadcast, to
-# 50,000 for a table of any size.
-SAMPLES_PER_CHUNK = 20
-SAMPLE_ROWS = 1_000_000
-
 _CHUNK = "_chunk"
 
 
@@ -136,39 +129,6 @@ class LastKnown(Measure):
         return F.coalesce(within, carry)
 
 
-def _large_keys(
-    df: DataFrame, keys: Sequence[str], rows_per_chunk: int
-) -> tuple[DataFrame, int] | None:
-    """The keys with more rows than a chunk, and how many chunks they need.
-
-    None when there are none, which for a table that fits one chunk takes no
-    more than a row count. As a local table the keys are the same in all tasks.
-    """
-    rows = df.count()
-    if rows <= rows_per_chunk:
-        return None
-    share = min(1.0, SAMPLES_PER_CHUNK / rows_per_chunk, SAMPLE_ROWS / rows)
-    least = max(SAMPLES_PER_CHUNK, int(rows_per_chunk * share))
-    sampled = (
-        df.select(*keys).sample(share).groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
-    )
-    found = sampled.collect()
-    if not found:
-        return None
-    schema = sampled.drop("n").schema
-    large = df.sparkSession.createDataFrame([row[:-1] for row in found], schema)
-    return large, 1 + sum(row["n"] for row in found) // least
-
-
-def _split(df: DataFrame, large: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows of small keys, rows of large keys; a null key is a key like others."""
-    names = {key: f"_large_{key}" for key in keys}
-    small_side = F.broadcast(large.withColumnsRenamed(names))
-    same = all_of(F.col(key).eqNullSafe(F.col(name)) for key, name in names.items())
-    return df.join(small_side, same, "left_anti"), df.join(small_side, same, "left_semi")
-
-
 def _chunks(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     """Range-partition by `columns` and store each row's partition.
 
@@ -189,31 +149,31 @@ def scan(
     keys: Sequence[str],
     order: Sequence[str],
     measures: Mapping[str, Measure],
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add `measures` over the rows of each key in ascending `order`.
 
     `order` has to be unique within a key. All measures share one shuffle and
     one sort. Looking for large keys costs a row count and, in a table of more
-    than `rows_per_chunk` rows, a pass over the key columns.
+    than `rows_per_task` rows, a pass over the key columns; `None` spares it
+    where the rows per key are known to be few.
     """
     at = F.struct(*order)
     w = Window.partitionBy(*keys).orderBy(*order)
     whole = {name: measure.whole(w, at) for name, measure in measures.items()}
-    found = _large_keys(df, keys, rows_per_chunk)
-    if found is None:
+    large = None if rows_per_task is None else large_keys(df, keys, rows_per_task)
+    if large is None:
         return df.withColumns(whole)
 
-    large, n = found
-    rest, hot = _split(df, large, keys)
-    chunked = _chunks(hot, [*keys, *order], n)
+    rest, hot = split(df, large, keys)
+    chunked = _chunks(hot, [*keys, *order], large.tasks)
 
     in_chunk = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
     across = Window.partitionBy(*keys).orderBy(_CHUNK)
     within = chunked.withColumns(
         {f"_in_{name}": m.within(in_chunk, at) for name, m in measures.items()}
     )
-    # One row per chunk and large key, so at most `n` rows plus one per key.
+    # One row per chunk and large key: no more than there are chunks and keys.
     carried = (
         chunked.groupBy(*keys, _CHUNK)
         .agg(*[m.summary(at).alias(f"_sum_{name}") for name, m in measures.items()])
@@ -247,7 +207,7 @@ def running(
     keys: Sequence[str],
     order: Sequence[str],
     value: Column,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add `position`, `running_total` and `previous_value` of `value` per key."""
     measures = {
@@ -255,7 +215,7 @@ def running(
         "running_total": RunningTotal(value),
         "previous_value": Previous(value),
     }
-    return scan(df, keys, order, measures, rows_per_chunk)
+    return scan(df, keys, order, measures, rows_per_task)
 
 
 def top_k(

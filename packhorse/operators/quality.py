@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packhorse.functions.columns import failed_rules
+from packhorse.functions.columns import failed_rules, quoted, text
 
 FAILED = "failed_rules"
 
@@ -87,46 +87,38 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column the rows, nulls, distinct values, least and greatest value.
 
     Nulls, least and greatest come from one pass without a shuffle of rows.
-    Exact distinct counts read each column on its own, so that a columnar
-    source is read once over all and only single columns are shuffled; with
-    `exact=False` they are estimated within the one pass. Least and greatest
-    are given as text; arrays have none.
+    Exact distinct counts take a second pass, which shuffles the distinct values
+    of each map task, columns of one type together and in that type; with
+    `exact=False` they are estimated within the first. Least and greatest are
+    given as text; arrays have none.
     """
-    numbered = list(enumerate(df.schema.fields))
-    ordered = [i for i, field in numbered if not isinstance(field.dataType, T.ArrayType)]
-
-    def text(aggregate, i: int, name: str) -> Column:
-        value = aggregate(F.col(f"`{name}`")).cast("string") if i in ordered else F.lit("")
-        return F.coalesce(value, F.lit(""))
-
-    stats = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"nulls_{i}") for i, f in numbered],
-        *[text(F.min, i, f.name).alias(f"least_{i}") for i, f in numbered],
-        *[text(F.max, i, f.name).alias(f"greatest_{i}") for i, f in numbered],
-        *[
-            F.approx_count_distinct(f"`{f.name}`").alias(f"distinct_{i}")
-            for i, f in numbered if not exact
-        ],
+    counts, lines = ["count(*) AS rows"], []
+    by_type: dict[T.DataType, list[str]] = {}
+    for i, field in enumerate(df.schema.fields):
+        name = quoted(field.name)
+        by_type.setdefault(field.dataType, []).append(name)
+        counts.append(f"count_if({name} IS NULL) AS nulls_{i}")
+        bounds = ["", ""]
+        if not isinstance(field.dataType, T.ArrayType):
+            bounds = [f"coalesce(string({end}({name})), '')" for end in ("min", "max")]
+            counts += [f"{bounds[0]} AS least_{i}", f"{bounds[1]} AS greatest_{i}"]
+            bounds = [f"least_{i}", f"greatest_{i}"]
+        line = [text(field.name), "rows", f"nulls_{i}", *[end or "''" for end in bounds]]
+        if not exact:
+            counts.append(f"approx_count_distinct({name}) AS distinct_{i}")
+            line.append(f"distinct_{i}")
+        lines.append(", ".join(line))
+    names = "column_name, n_rows, n_nulls, least, greatest" + ("" if exact else ", n_distinct")
+    table = df.selectExpr(*counts).selectExpr(
+        f"stack({len(lines)}, {', '.join(lines)}) AS ({names})"
     )
-    lines = [
-        F.struct(
-            F.lit(f.name).alias("column_name"),
-            F.col("rows").alias("n_rows"),
-            F.col(f"nulls_{i}").alias("n_nulls"),
-            F.col(f"least_{i}").alias("least"),
-            F.col(f"greatest_{i}").alias("greatest"),
-            *([] if exact else [F.col(f"distinct_{i}").alias("n_distinct")]),
-        )
-        for i, f in numbered
-    ]
-    table = stats.select(F.inline(F.array(*lines)))
     if not exact:
         return table
-    distinct = None
-    for _, field in numbered:
-        one = df.select(F.col(f"`{field.name}`").alias("v")).distinct().agg(
-            F.lit(field.name).alias("_name"), F.count("v").alias("n_distinct")
-        )
-        distinct = one if distinct is None else distinct.unionByName(one)
+    per_type = [
+        "SELECT _name, count(DISTINCT _value) AS n_distinct FROM (SELECT "
+        + f"stack({len(same)}, {', '.join(f'{text(name[1:-1])}, {name}' for name in same)})"
+        + " AS (_name, _value) FROM {rows}) GROUP BY _name"
+        for same in by_type.values()
+    ]
+    distinct = df.sparkSession.sql(" UNION ALL ".join(per_type), rows=df)
     return table.join(F.broadcast(distinct), F.col("column_name") == F.col("_name")).drop("_name")

@@ -4,20 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from packhorse.operators.ordered import Previous, RunningTotal, scan
+
 
 def sessionise(
-    df: DataFrame, keys: Sequence[str], at: str, gap_seconds: int, value: Column
+    df: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    gap_seconds: int,
+    value: Column,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """One row per session: first and last time, number of events, total of `value`.
 
     A session goes on while the next event is at most `gap_seconds` later.
     Events of a key that fall into the same slot of `gap_seconds` are never
     further apart than that, so they are summed up per slot in the map tasks.
-    What is shuffled and ordered per key is bounded by the time covered, not by
-    the number of events. `value` should be a decimal.
+    What is then ordered per key is bounded by the time covered over the gap,
+    not by the number of events; give `rows_per_task` where that is still too
+    much for a task. `value` should be a decimal. Rows without a time are left
+    out.
     """
     slot = F.window(at, f"{gap_seconds} seconds")
     slots = df.groupBy(*keys, slot.getField("start").alias("_slot")).agg(
@@ -26,16 +35,12 @@ def sessionise(
         F.count(F.lit(1)).alias("_n"),
         F.sum(value).alias("_value"),
     )
-    w = Window.partitionBy(*keys).orderBy("_slot")
+    linked = scan(slots, keys, ["_slot"], {"_before": Previous(F.col("_last"))}, rows_per_task)
     gap = F.expr(f"INTERVAL {gap_seconds} SECONDS")
-    starts = F.coalesce(F.col("_first") > F.lag("_last").over(w) + gap, F.lit(True))
-    number = F.sum(F.col("_starts").cast("int")).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)
-    )
+    opens = F.coalesce(F.col("_first") > F.col("_before") + gap, F.lit(True)).cast("bigint")
+    numbered = scan(linked, keys, ["_slot"], {"_session": RunningTotal(opens)}, rows_per_task)
     return (
-        slots.withColumn("_starts", starts)
-        .withColumn("_session", number)
-        .groupBy(*keys, "_session")
+        numbered.groupBy(*keys, "_session")
         .agg(
             F.min("_first").alias("session_start"),
             F.max("_last").alias("session_end"),

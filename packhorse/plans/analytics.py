@@ -6,9 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packhorse.functions.columns import money
+from packhorse.functions.skew import ROWS_PER_TASK
 from packhorse.operators.keys import enrich
-from packhorse.operators.marts import pivot_counts, revenue_mart, subtotals, unpivot_counts
-from packhorse.operators.ordered import ROWS_PER_CHUNK, running, top_k
+from packhorse.operators.marts import (
+    finest,
+    pivot_counts,
+    revenue_mart,
+    subtotals,
+    unpivot_counts,
+)
+from packhorse.operators.ordered import running, top_k
 from packhorse.operators.sessions import sessionise
 from packhorse.plans.registry import query
 from packhorse.sources.contracts import read_table
@@ -81,26 +88,26 @@ _SUBTOTAL_SQL = """
 
 
 def _balances(spark: SparkSession, folder: str, dimensions: list[str], mode: str) -> DataFrame:
+    measures = {
+        "n_customers": ("count", F.lit(1)),
+        "balance": ("sum", money("c_acctbal")),
+        "least": ("min", F.col("c_acctbal")),
+        "greatest": ("max", F.col("c_acctbal")),
+    }
+    customer = read_table(spark, folder, "customer")
+    fine = finest(customer, ["c_nationkey", "c_mktsegment"], measures)
     nation = enrich(
         read_table(spark, folder, "nation"),
         read_table(spark, folder, "region"),
         {"n_regionkey": "r_regionkey"},
         {"r_name": "r_name"},
     )
-    customer = enrich(
-        read_table(spark, folder, "customer"),
-        nation,
-        {"c_nationkey": "n_nationkey"},
-        {"n_name": "n_name", "r_name": "r_name"},
+    named = enrich(
+        fine, nation, {"c_nationkey": "n_nationkey"}, {"n_name": "n_name", "r_name": "r_name"}
     )
-    measures = {
-        "n_customers": ("count", F.lit(1)),
-        "balance": ("sum", money("c_acctbal")),
-        "least": ("min", F.col("c_acctbal")),
-        "greatest": ("max", F.col("c_acctbal")),
-    }
+    kinds = {name: kind for name, (kind, _) in measures.items()}
     return (
-        subtotals(customer, dimensions, measures, mode)
+        subtotals(named, dimensions, kinds, mode)
         .withColumn("balance", F.col("balance").cast("double"))
         .fillna("all", subset=dimensions)
     )
@@ -131,10 +138,10 @@ _RUNNING_SQL = """
 _SKEWED = "CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_custkey END"
 
 
-def _running(orders: DataFrame, rows_per_chunk: int) -> DataFrame:
+def _running(orders: DataFrame, rows_per_task: int) -> DataFrame:
     columns = orders.select("o_orderkey", "o_orderdate", "buyer", "o_totalprice")
     value = money("o_totalprice")
-    result = running(columns, ["buyer"], ["o_orderdate", "o_orderkey"], value, rows_per_chunk)
+    result = running(columns, ["buyer"], ["o_orderdate", "o_orderkey"], value, rows_per_task)
     return result.drop("o_orderdate").withColumns(
         {name: F.col(name).cast("double") for name in ("running_total", "previous_value")}
     )
@@ -143,7 +150,7 @@ def _running(orders: DataFrame, rows_per_chunk: int) -> DataFrame:
 @query(_RUNNING_SQL.format(key="o_custkey"))
 def p11_running(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").withColumn("buyer", F.col("o_custkey"))
-    return _running(orders, ROWS_PER_CHUNK)
+    return _running(orders, ROWS_PER_TASK)
 
 
 @query(_RUNNING_SQL.format(key=_SKEWED))

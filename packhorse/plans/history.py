@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from packhorse.functions.skew import ROWS_PER_TASK
 from packhorse.operators.history import as_of, type2_history
 from packhorse.operators.keys import dedupe_latest, matched, orphans, snapshot_diff
-from packhorse.operators.ordered import ROWS_PER_CHUNK
 from packhorse.plans.registry import query
 from packhorse.sources.contracts import read_table
 
@@ -105,23 +105,23 @@ _HISTORY_SQL = """
 _CHANGED = "WHERE before IS DISTINCT FROM o_orderpriority"
 
 
-def _history(orders: DataFrame, track: list[str] | None, rows_per_chunk: int) -> DataFrame:
+def _history(orders: DataFrame, track: list[str] | None, rows_per_task: int) -> DataFrame:
     columns = orders.select("o_orderkey", "buyer", "o_orderpriority", "o_orderdate")
     return type2_history(
-        columns, ["buyer"], "o_orderdate", "o_orderkey", track, rows_per_chunk
+        columns, ["buyer"], "o_orderdate", "o_orderkey", track, rows_per_task
     ).drop("o_orderdate")
 
 
 @query(_HISTORY_SQL.format(key="o_custkey", where=""))
 def p14_history(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").withColumn("buyer", F.col("o_custkey"))
-    return _history(orders, None, ROWS_PER_CHUNK)
+    return _history(orders, None, ROWS_PER_TASK)
 
 
 @query(_HISTORY_SQL.format(key="o_custkey", where=_CHANGED))
 def p14_history_of_changes(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").withColumn("buyer", F.col("o_custkey"))
-    return _history(orders, ["o_orderpriority"], ROWS_PER_CHUNK)
+    return _history(orders, ["o_orderpriority"], ROWS_PER_TASK)
 
 
 @query(_HISTORY_SQL.format(key=_SKEWED_ORDERS, where=_CHANGED))
@@ -143,12 +143,12 @@ _AS_OF_SQL = """
 _SKEWED_EVENTS = "CASE WHEN value < 30 THEN 0 ELSE user_id END"
 
 
-def _as_of(events: DataFrame, rows_per_chunk: int) -> DataFrame:
+def _as_of(events: DataFrame, rows_per_task: int) -> DataFrame:
     events = events.select("event_id", "user_id", "ts", "event_type", "value")
     purchases = events.filter(F.col("event_type") == "purchase").drop("event_type")
     views = events.filter(F.col("event_type") == "view").drop("event_type")
     order = ["ts", "event_id"]
-    return as_of(purchases, views, ["user_id"], order, order, "view", rows_per_chunk).select(
+    return as_of(purchases, views, ["user_id"], order, order, "view", rows_per_task).select(
         "event_id", "user_id", "ts", "value",
         F.col("view.event_id").alias("view_id"),
         F.col("view.ts").alias("view_ts"),
@@ -158,7 +158,7 @@ def _as_of(events: DataFrame, rows_per_chunk: int) -> DataFrame:
 
 @query(_AS_OF_SQL.format(user="user_id"))
 def p15_as_of(spark: SparkSession, folder: str) -> DataFrame:
-    return _as_of(read_table(spark, folder, "events"), ROWS_PER_CHUNK)
+    return _as_of(read_table(spark, folder, "events"), ROWS_PER_TASK)
 
 
 @query(_AS_OF_SQL.format(user=_SKEWED_EVENTS))

@@ -82,5 +82,5 @@ def p21_dedupe_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Every event arrives twice, the second time stamped five minutes later."""
     events = _events(spark, folder).select("event_id", "ts", "user_id", "event_type", "value")
     repeated = events.unionByName(events.withColumn("ts", F.expr("ts + INTERVAL 5 MINUTES")))
-    once = stream_dedupe(repeated, ["event_id"], "ts", "10 minutes").drop("ts")
+    once = stream_dedupe(repeated, ["event_id"], "ts", "10 minutes", ["event_id", "ts"]).drop("ts")
     return _result(spark, once, "deduplicated")

@@ -54,6 +54,9 @@ def _local_folder(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="run-")
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder, visible to every executor, for a table a job writes.
 
@@ -67,4 +70,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
                 f"set {CHECKPOINT_DIR} to a folder that all executors share"
             )
         root = _local_folder(spark.sparkContext.applicationId)
-    return f"{root.rstrip('/')}/packhorse/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/packhorse/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the folders `scratch_path` gave to this process.
+
+    For the end of a job: results that read from them can no longer be used.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(conf).delete(path, True)

@@ -22,6 +22,8 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores)
     side.conf.set("spark.sql.shuffle.partitions", str(partitions))
     side.conf.set("spark.sql.session.timeZone", "UTC")
+    # Sessions are merged before the shuffle too, so a busy key sends few rows.
+    side.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     side.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -73,9 +75,28 @@ def stream_sessions(
     )
 
 
-def stream_dedupe(df: DataFrame, keys: Sequence[str], at: str, bound: str) -> DataFrame:
-    """The first row per key to arrive; later ones within `bound` are dropped."""
-    return df.withWatermark(at, bound).dropDuplicatesWithinWatermark(list(keys))
+def stream_dedupe(
+    df: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    bound: str,
+    arrival: Sequence[str] | None = None,
+    spread: int = 16,
+) -> DataFrame:
+    """The first row per key to arrive; later ones within `bound` are dropped.
+
+    Duplicates are dropped twice, first within `spread` parts of each key, so
+    that one key with very many rows is taken in by that many tasks and sends
+    on few. The part is a hash of `arrival`, which should tell copies of a row
+    apart and be the same when a batch is run again: a file and row number, or
+    a partition and offset. Without it all columns are hashed.
+    """
+    df = df.withWatermark(at, bound)
+    if spread <= 1:
+        return df.dropDuplicatesWithinWatermark(list(keys))
+    part = F.pmod(F.xxhash64(*(arrival or df.columns)), F.lit(spread))
+    parts = df.withColumn("_part", part).dropDuplicatesWithinWatermark([*keys, "_part"])
+    return parts.drop("_part").dropDuplicatesWithinWatermark(list(keys))
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str) -> None:
