@@ -28,7 +28,8 @@ def revenue_mart(
     placed = orders.join(buyer, orders.o_custkey == buyer.c_custkey).select(
         "o_orderkey",
         F.col("n_name").alias("nation"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("order_month"),
+        # As text, because date_format would go through the session's time zone.
+        F.substring(F.col("o_orderdate").cast("string"), 1, 7).alias("order_month"),
     )
     return (
         per_order.join(placed, per_order.l_orderkey == placed.o_orderkey)

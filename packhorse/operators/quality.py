@@ -9,19 +9,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packhorse.functions.columns import failed_rules, quoted, text
+from packhorse.functions.columns import all_of, failed_rules, quoted, text
 
 FAILED = "failed_rules"
 
 
 def valid_rows(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """The rows for which every rule holds."""
-    return df.filter(F.size(failed_rules(rules)) == 0)
+    """The rows for which every rule holds; a rule that is null does not."""
+    return df.filter(all_of(rules.values()))
 
 
 def rejected_rows(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """The other rows, with the names of the rules that do not hold."""
-    return df.withColumn(FAILED, failed_rules(rules)).filter(F.size(FAILED) > 0)
+    valid = F.coalesce(all_of(rules.values()), F.lit(False))
+    return df.filter(~valid).withColumn(FAILED, failed_rules(rules))
 
 
 def rule_summary(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

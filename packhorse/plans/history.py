@@ -135,7 +135,7 @@ def p14_history_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
 
 _AS_OF_SQL = """
     SELECT p.event_id, p.user_id, p.ts, p.value,
-        v.event_id AS view_id, v.ts AS view_ts, v.value AS view_value
+        coalesce(v.event_id, -1) AS view_id, v.ts AS view_ts, v.value AS view_value
     FROM (SELECT * REPLACE ({user} AS user_id) FROM events WHERE event_type = 'purchase') p
     ASOF LEFT JOIN (SELECT * REPLACE ({user} AS user_id) FROM events WHERE event_type = 'view') v
     ON p.user_id = v.user_id AND p.ts > v.ts
@@ -150,7 +150,7 @@ def _as_of(events: DataFrame, rows_per_task: int) -> DataFrame:
     order = ["ts", "event_id"]
     return as_of(purchases, views, ["user_id"], order, order, "view", rows_per_task).select(
         "event_id", "user_id", "ts", "value",
-        F.col("view.event_id").alias("view_id"),
+        F.coalesce("view.event_id", F.lit(-1)).alias("view_id"),
         F.col("view.ts").alias("view_ts"),
         F.col("view.value").alias("view_value"),
     )

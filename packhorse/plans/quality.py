@@ -80,14 +80,14 @@ def p01_contract_drift(spark: SparkSession, folder: str) -> DataFrame:
 # The orders as text, some of them damaged
 
 _ORDERS = CONTRACTS["orders"]
-_ORDER_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+_ORDER_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
 
 
 def _as_text(orders: DataFrame) -> DataFrame:
     return orders.withColumns(
         {
             "price": F.col("o_totalprice").cast("decimal(18,2)").cast("string"),
-            "date": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
+            "date": F.col("o_orderdate").cast("string"),
         }
     )
 

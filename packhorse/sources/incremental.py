@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 
 class Mark(NamedTuple):
@@ -66,6 +66,8 @@ def load_mark(spark: SparkSession, path: str) -> Mark | None:
     """The highest stored mark, or None before the first run."""
     try:
         stored = spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return highest_mark(stored, "at", "row_id")
