@@ -74,19 +74,25 @@ def subtotals(
     )
 
 
-def pivot_counts(
-    df: DataFrame, keys: Sequence[str], column: str, values: Sequence[str]
+def pivot(
+    df: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    values: Sequence[str],
+    aggregate: Column,
+    default: float | str | None = None,
 ) -> DataFrame:
-    """One row per key and one count per listed value of `column`, 0 if absent.
+    """One row per key and one `aggregate` per listed value of `column`.
 
-    The values are given, so no job looks for them and the schema is fixed.
+    The values are given, so no job looks for them and the schema is fixed. Keys
+    without a value have the default there, or null.
     """
-    wide = df.groupBy(*keys).pivot(column, list(values)).agg(F.count(F.lit(1)))
-    return wide.fillna(0, subset=list(values))
+    wide = df.groupBy(*keys).pivot(column, list(values)).agg(aggregate)
+    return wide if default is None else wide.fillna(default, subset=list(values))
 
 
-def unpivot_counts(
-    wide: DataFrame, keys: Sequence[str], column: str, values: Sequence[str], count: str
+def unpivot(
+    wide: DataFrame, keys: Sequence[str], values: Sequence[str], column: str, value: str
 ) -> DataFrame:
-    """The inverse; one row per key and listed value."""
-    return wide.unpivot(list(keys), list(values), column, count)
+    """The inverse; one row per key and listed value, from rows in place."""
+    return wide.unpivot(list(keys), list(values), column, value)

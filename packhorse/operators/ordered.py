@@ -229,3 +229,29 @@ def top_k(
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
+
+
+def top_ranks(
+    df: DataFrame, keys: Sequence[str], value: str, k: int, rank: str = "rank"
+) -> DataFrame:
+    """All rows whose `value` has a rank of at most `k` in its key, greatest first.
+
+    Rows with equal values share a rank, so there can be very many of them. They
+    stay where they are: the at most `k` ranked values per key are found with
+    `top_k` and joined to the rows. Null values are not ranked.
+    """
+    present = df.filter(F.col(value).isNotNull())
+    greatest_first = Window.partitionBy(*keys).orderBy(F.desc(value))
+    levels = (
+        top_k(present.select(*keys, value), keys, [F.desc(value)], k, "_row")
+        .withColumn(rank, F.rank().over(greatest_first))
+        .select(
+            *[F.col(key).alias(f"_of_{key}") for key in keys], F.col(value).alias("_level"), rank
+        )
+        .distinct()
+    )
+    same = all_of(
+        [F.col(value) == F.col("_level")]
+        + [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
+    )
+    return present.join(levels, same).select(*[F.col(f"`{c}`") for c in df.columns], rank)

@@ -10,12 +10,12 @@ from packhorse.functions.skew import ROWS_PER_TASK
 from packhorse.operators.keys import enrich
 from packhorse.operators.marts import (
     finest,
-    pivot_counts,
+    pivot,
     revenue_mart,
     subtotals,
-    unpivot_counts,
+    unpivot,
 )
-from packhorse.operators.ordered import running, top_k
+from packhorse.operators.ordered import running, top_k, top_ranks
 from packhorse.operators.sessions import sessionise
 from packhorse.plans.registry import query
 from packhorse.sources.contracts import read_table
@@ -174,6 +174,21 @@ def p11_top_orders(spark: SparkSession, folder: str) -> DataFrame:
     return best.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+@query(
+    """
+    SELECT l_suppkey, l_orderkey, l_linenumber, l_quantity, l_extendedprice, rank FROM (
+        SELECT *, rank() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC) AS rank
+        FROM lineitem) WHERE rank <= 20
+    """
+)
+def p11_top_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    lines = read_table(spark, folder, "lineitem").select(
+        "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    )
+    ranked = top_ranks(lines, ["l_suppkey"], "l_quantity", 20)
+    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
+
+
 _PIVOT_SQL = "SELECT user_id, {} FROM events GROUP BY user_id".format(
     ", ".join(f"count(*) FILTER (event_type = '{t}') AS {t}" for t in EVENT_TYPES)
 )
@@ -181,7 +196,8 @@ _PIVOT_SQL = "SELECT user_id, {} FROM events GROUP BY user_id".format(
 
 @query(_PIVOT_SQL)
 def p12_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    return pivot_counts(read_table(spark, folder, "events"), ["user_id"], "event_type", EVENT_TYPES)
+    events = read_table(spark, folder, "events")
+    return pivot(events, ["user_id"], "event_type", EVENT_TYPES, F.count(F.lit(1)), 0)
 
 
 @query(
@@ -192,7 +208,7 @@ def p12_pivot(spark: SparkSession, folder: str) -> DataFrame:
 )
 def p12_unpivot(spark: SparkSession, folder: str) -> DataFrame:
     wide = p12_pivot(spark, folder)
-    return unpivot_counts(wide, ["user_id"], "event_type", EVENT_TYPES, "n_events")
+    return unpivot(wide, ["user_id"], EVENT_TYPES, "event_type", "n_events")
 
 
 @query(
@@ -210,20 +226,33 @@ def p19_windows_batch(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("total_value", F.col("total_value").cast("double"))
 
 
-@query(
-    """
-    WITH marked AS (
+_SESSIONS_SQL = """
+    WITH seen AS (SELECT * REPLACE ({user} AS user_id) FROM events),
+    marked AS (
         SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens
-        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+        FROM seen WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
     numbered AS (
         SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id
             ROWS UNBOUNDED PRECEDING) AS session FROM marked)
     SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_events,
         CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total_value
     FROM numbered GROUP BY user_id, session
-    """
-)
-def p20_sessions(spark: SparkSession, folder: str) -> DataFrame:
-    events = read_table(spark, folder, "events")
-    sessions = sessionise(events, ["user_id"], "ts", 30 * 60, money("value"))
+"""
+_BUSY_USER = "CASE WHEN value < 30 THEN 0 ELSE user_id END"
+
+
+def _sessions(events: DataFrame, rows_per_task: int | None) -> DataFrame:
+    sessions = sessionise(events, ["user_id"], "ts", 30 * 60, money("value"), rows_per_task)
     return sessions.withColumn("total_value", F.col("total_value").cast("double"))
+
+
+@query(_SESSIONS_SQL.format(user="user_id"))
+def p20_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    return _sessions(read_table(spark, folder, "events"), None)
+
+
+@query(_SESSIONS_SQL.format(user=_BUSY_USER))
+def p20_sessions_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
+    """As `p20_sessions`, with one busy user and chunks small enough to cut it."""
+    events = read_table(spark, folder, "events").withColumn("user_id", F.expr(_BUSY_USER))
+    return _sessions(events, 200)

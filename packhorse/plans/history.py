@@ -42,6 +42,27 @@ def p07_matched(spark: SparkSession, folder: str) -> DataFrame:
     return matched(orders, lineitem, {"o_orderkey": "l_orderkey"})
 
 
+# One order in place of all those with returned lines: a third of the lines.
+_SKEWED_LINES = "CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_orderkey END"
+
+
+@query(
+    f"""
+    SELECT {_SKEWED_LINES} AS order_key, l_partkey, l_suppkey, l_linenumber, l_extendedprice
+    FROM lineitem
+    WHERE order_key NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+    """
+)
+def p07_orphans_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines without a finished order, one order being large and kept out of the shuffle."""
+    lines = read_table(spark, folder, "lineitem").select(
+        F.expr(_SKEWED_LINES).alias("order_key"),
+        "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
+    )
+    finished = read_table(spark, folder, "orders").filter("o_orderstatus = 'F'")
+    return orphans(lines, finished, {"order_key": "o_orderkey"}, 1000)
+
+
 # P13
 
 _NEW_ORDERS = """

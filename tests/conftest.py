@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
         spark__checkpoint__dir=str(folder / "shared"),
         spark__sql__warehouse__dir=str(folder / "warehouse"),
         spark__driver__memory="8g",
+        spark__sql__maxMetadataStringLength="2000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -18,7 +18,7 @@ from packhorse.operators.keys import (
     orphans,
     snapshot_diff,
 )
-from packhorse.operators.marts import finest, pivot_counts, subtotals, unpivot_counts
+from packhorse.operators.marts import finest, pivot, subtotals, unpivot
 from packhorse.operators.sessions import sessionise
 
 T0 = datetime(2024, 1, 1)
@@ -185,7 +185,7 @@ def test_subtotals_repeat_groups_not_rows(spark):
 
 def test_pivot_and_back(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (2, "other")], "k int, t string")
-    wide = pivot_counts(df, ["k"], "t", ["x", "y"])
+    wide = pivot(df, ["k"], "t", ["x", "y"], F.count(F.lit(1)), 0)
     assert sorted(map(tuple, wide.collect())) == [(1, 2, 0), (2, 0, 1)]
-    long = unpivot_counts(wide, ["k"], "t", ["x", "y"], "n")
+    long = unpivot(wide, ["k"], ["x", "y"], "t", "n")
     assert sorted(map(tuple, long.collect())) == [(1, "x", 2), (1, "y", 0), (2, "x", 0), (2, "y", 1)]

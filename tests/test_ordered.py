@@ -18,6 +18,7 @@ from packhorse.operators.ordered import (
     RunningTotal,
     scan,
     top_k,
+    top_ranks,
 )
 
 SCHEMA = "k string, part int, at int, id long, v decimal(18,4), note string"
@@ -127,3 +128,12 @@ def test_top_k_limits_before_the_shuffle(spark):
     assert best.groupBy("k").count().filter("count > 2").count() == 0
     hottest = best.filter("k = 'hot'").agg(F.max("v")).first()[0]
     assert hottest == df.filter("k = 'hot'").agg(F.max("v")).first()[0]
+
+
+def test_top_ranks_keeps_all_ties(spark):
+    rows = [("a", 9), ("a", 9), ("a", 9), ("a", 7), ("a", 7), ("a", 5), ("a", None)]
+    rows += [("b", 1), (None, 4), (None, 4), (None, 2)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    got = sorted((tuple(row) for row in top_ranks(df, ["k"], "v", 4).collect()), key=str)
+    want = [("a", 9, 1)] * 3 + [("a", 7, 4)] * 2 + [("b", 1, 1)] + [(None, 4, 1)] * 2 + [(None, 2, 3)]
+    assert got == sorted(want, key=str)

@@ -54,7 +54,7 @@ def test_rules_reach_the_scan(plans):
     assert "GreaterThanOrEqual(l_quantity,1.0)" in plan[plan.index("PushedFilters"):]
 
 
-@pytest.mark.parametrize("name", ["p11_running", "p14_history", "p15_as_of"])
+@pytest.mark.parametrize("name", ["p11_running", "p14_history", "p14_history_of_changes", "p15_as_of"])
 def test_ordered_windows_take_one_shuffle(plans, name):
     assert plans(name).count("Exchange hashpartitioning") == 1
 
