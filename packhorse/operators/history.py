@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from packhorse.functions.skew import ROWS_PER_TASK
-from packhorse.operators.ordered import LastKnown, Next, Previous, scan
+from packhorse.operators.ordered import LastKnown, Next, Previous, cut, measure, scan
 
 
 def type2_history(
@@ -26,11 +26,13 @@ def type2_history(
     differs from the row before in one of those columns.
     """
     order = [at, tie_break]
+    parts = cut(df, keys, order, rows_per_task)
     if track is not None:
         state = F.struct(*track)
-        before = scan(df, keys, order, {"_before": Previous(state)}, rows_per_task)
-        df = before.filter(~F.col("_before").eqNullSafe(state)).drop("_before")
-    versions = scan(df, keys, order, {"valid_to": Next(F.col(at))}, rows_per_task)
+        parts = measure(parts, keys, order, {"_before": Previous(state)}).map(
+            lambda rows: rows.filter(~F.col("_before").eqNullSafe(state)).drop("_before")
+        )
+    versions = measure(parts, keys, order, {"valid_to": Next(F.col(at))}).union()
     return versions.withColumns(
         {"valid_from": F.col(at), "is_current": F.col("valid_to").isNull()}
     )

@@ -11,7 +11,7 @@ Where no key is large this is the plain window.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -144,38 +144,66 @@ def _chunks(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def scan(
+@dataclass(frozen=True)
+class Parts:
+    """The rows of small keys, and those of large keys, if any, with their chunk."""
+
+    small: DataFrame
+    large: DataFrame | None
+
+    def map(self, step: Callable[[DataFrame], DataFrame]) -> Parts:
+        """Apply a step that works on single rows to both."""
+        return Parts(step(self.small), None if self.large is None else step(self.large))
+
+    def union(self) -> DataFrame:
+        if self.large is None:
+            return self.small
+        return self.small.unionByName(self.large.drop(_CHUNK))
+
+
+def cut(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    measures: Mapping[str, Measure],
-    rows_per_task: int | None = ROWS_PER_TASK,
-) -> DataFrame:
+    rows_per_task: int | None,
+    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> Parts:
+    """Cut the rows of large keys into chunks along `order`.
+
+    Looking for large keys costs a row count and, in a table of more than
+    `rows_per_task` rows, a pass over the key columns; `None` spares it where
+    the rows per key are known to be few. `prepare` is applied after that, to
+    the rows of small and of large keys; it may only make rows fewer.
+    """
+    large = None if rows_per_task is None else large_keys(df, keys, rows_per_task)
+    if large is None:
+        return Parts(prepare(df), None)
+    rest, hot = split(df, large, keys)
+    return Parts(prepare(rest), _chunks(prepare(hot), [*keys, *order], large.tasks))
+
+
+def measure(
+    parts: Parts, keys: Sequence[str], order: Sequence[str], measures: Mapping[str, Measure]
+) -> Parts:
     """Add `measures` over the rows of each key in ascending `order`.
 
-    `order` has to be unique within a key. All measures share one shuffle and
-    one sort. Looking for large keys costs a row count and, in a table of more
-    than `rows_per_task` rows, a pass over the key columns; `None` spares it
-    where the rows per key are known to be few.
+    May be used again on its own result, also after rows were dropped: chunks
+    stay in order.
     """
     at = F.struct(*order)
     w = Window.partitionBy(*keys).orderBy(*order)
-    whole = {name: measure.whole(w, at) for name, measure in measures.items()}
-    large = None if rows_per_task is None else large_keys(df, keys, rows_per_task)
-    if large is None:
-        return df.withColumns(whole)
-
-    rest, hot = split(df, large, keys)
-    chunked = _chunks(hot, [*keys, *order], large.tasks)
+    small = parts.small.withColumns({name: m.whole(w, at) for name, m in measures.items()})
+    if parts.large is None:
+        return Parts(small, None)
 
     in_chunk = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
     across = Window.partitionBy(*keys).orderBy(_CHUNK)
-    within = chunked.withColumns(
+    within = parts.large.withColumns(
         {f"_in_{name}": m.within(in_chunk, at) for name, m in measures.items()}
     )
     # One row per chunk and large key: no more than there are chunks and keys.
     carried = (
-        chunked.groupBy(*keys, _CHUNK)
+        parts.large.groupBy(*keys, _CHUNK)
         .agg(*[m.summary(at).alias(f"_sum_{name}") for name, m in measures.items()])
         .select(
             *[F.col(key).alias(f"_of_{key}") for key in keys],
@@ -190,16 +218,30 @@ def scan(
         [F.col(_CHUNK) == F.col("_of_chunk")]
         + [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
     )
-    small = rest.withColumns(whole)
-    joined = within.join(F.broadcast(carried), same, "left").select(
-        *[F.col(f"`{c}`") for c in df.columns],
+    large = within.join(F.broadcast(carried), same, "left").select(
+        *[F.col(f"`{c}`") for c in parts.large.columns],
         *[
             m.join(F.col(f"_in_{name}"), F.col(f"_out_{name}"))
             .cast(small.schema[name].dataType).alias(name)
             for name, m in measures.items()
         ],
     )
-    return small.unionByName(joined)
+    return Parts(small, large)
+
+
+def scan(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    measures: Mapping[str, Measure],
+    rows_per_task: int | None = ROWS_PER_TASK,
+) -> DataFrame:
+    """`cut` and `measure` in one step.
+
+    `order` has to be unique within a key. All measures share one shuffle and
+    one sort.
+    """
+    return measure(cut(df, keys, order, rows_per_task), keys, order, measures).union()
 
 
 def running(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packhorse.operators.ordered import Previous, RunningTotal, scan
+from packhorse.operators.ordered import Previous, RunningTotal, cut, measure
 
 
 def sessionise(
@@ -29,16 +29,20 @@ def sessionise(
     out.
     """
     slot = F.window(at, f"{gap_seconds} seconds")
-    slots = df.groupBy(*keys, slot.getField("start").alias("_slot")).agg(
-        F.min(at).alias("_first"),
-        F.max(at).alias("_last"),
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(value).alias("_value"),
-    )
-    linked = scan(slots, keys, ["_slot"], {"_before": Previous(F.col("_last"))}, rows_per_task)
+
+    def by_slot(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys, slot.getField("start").alias("_slot")).agg(
+            F.min(at).alias("_first"),
+            F.max(at).alias("_last"),
+            F.count(F.lit(1)).alias("_n"),
+            F.sum(value).alias("_value"),
+        )
+
     gap = F.expr(f"INTERVAL {gap_seconds} SECONDS")
     opens = F.coalesce(F.col("_first") > F.col("_before") + gap, F.lit(True)).cast("bigint")
-    numbered = scan(linked, keys, ["_slot"], {"_session": RunningTotal(opens)}, rows_per_task)
+    parts = cut(df, keys, ["_slot"], rows_per_task, by_slot)
+    parts = measure(parts, keys, ["_slot"], {"_before": Previous(F.col("_last"))})
+    numbered = measure(parts, keys, ["_slot"], {"_session": RunningTotal(opens)}).union()
     return (
         numbered.groupBy(*keys, "_session")
         .agg(

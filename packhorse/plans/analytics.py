@@ -17,7 +17,7 @@ from packhorse.operators.marts import (
 )
 from packhorse.operators.ordered import running, top_k, top_ranks
 from packhorse.operators.sessions import sessionise
-from packhorse.plans.registry import query
+from packhorse.plans.registry import a_twentieth, query
 from packhorse.sources.contracts import read_table
 from packhorse.streaming.events import tumbling_counts
 
@@ -157,7 +157,7 @@ def p11_running(spark: SparkSession, folder: str) -> DataFrame:
 def p11_running_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
     """As `p11_running`, with one large key and chunks small enough to cut it."""
     orders = read_table(spark, folder, "orders").withColumn("buyer", F.expr(_SKEWED))
-    return _running(orders, 1000)
+    return _running(orders, a_twentieth(orders))
 
 
 @query(
@@ -255,4 +255,4 @@ def p20_sessions(spark: SparkSession, folder: str) -> DataFrame:
 def p20_sessions_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
     """As `p20_sessions`, with one busy user and chunks small enough to cut it."""
     events = read_table(spark, folder, "events").withColumn("user_id", F.expr(_BUSY_USER))
-    return _sessions(events, 200)
+    return _sessions(events, a_twentieth(events))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from packhorse.functions.skew import ROWS_PER_TASK
 from packhorse.operators.history import as_of, type2_history
 from packhorse.operators.keys import dedupe_latest, matched, orphans, snapshot_diff
-from packhorse.plans.registry import query
+from packhorse.plans.registry import a_twentieth, query
 from packhorse.sources.contracts import read_table
 
 # P6
@@ -60,7 +60,7 @@ def p07_orphans_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
         "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
     )
     finished = read_table(spark, folder, "orders").filter("o_orderstatus = 'F'")
-    return orphans(lines, finished, {"order_key": "o_orderkey"}, 1000)
+    return orphans(lines, finished, {"order_key": "o_orderkey"}, a_twentieth(lines))
 
 
 # P13
@@ -149,7 +149,7 @@ def p14_history_of_changes(spark: SparkSession, folder: str) -> DataFrame:
 def p14_history_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
     """As `p14_history_of_changes`, with one large key and chunks small enough to cut it."""
     orders = read_table(spark, folder, "orders").withColumn("buyer", F.expr(_SKEWED_ORDERS))
-    return _history(orders, ["o_orderpriority"], 1000)
+    return _history(orders, ["o_orderpriority"], a_twentieth(orders))
 
 
 # P15
@@ -186,4 +186,4 @@ def p15_as_of(spark: SparkSession, folder: str) -> DataFrame:
 def p15_as_of_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
     """As `p15_as_of`, with one large key and chunks small enough to cut it."""
     events = read_table(spark, folder, "events").withColumn("user_id", F.expr(_SKEWED_EVENTS))
-    return _as_of(events, 500)
+    return _as_of(events, a_twentieth(events))

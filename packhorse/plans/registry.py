@@ -7,6 +7,8 @@ from textwrap import dedent
 
 from pyspark.sql import DataFrame, SparkSession
 
+from packhorse.functions.skew import ROWS_PER_TASK
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -23,3 +25,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
         return function
 
     return register
+
+
+def a_twentieth(df: DataFrame) -> int:
+    """Rows per task for the queries with one large key, so that it is cut on small data too."""
+    return max(1, min(ROWS_PER_TASK, df.count() // 20))

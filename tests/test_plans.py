@@ -68,3 +68,17 @@ def test_latest_rows_are_limited_before_the_shuffle(plans):
 def test_purchases_and_views_are_filtered_in_the_scan(plans):
     plan = plans("p15_as_of")
     assert "EqualTo(event_type,purchase)" in plan and "EqualTo(event_type,view)" in plan
+
+
+@pytest.mark.parametrize(
+    "name", ["p11_running", "p14_history", "p15_as_of", "p20_sessions"]
+)
+def test_a_large_key_is_cut(plans, name):
+    assert "_chunk" not in plans(name)
+    assert "_chunk" in plans(f"{name}_one_large_key")
+
+
+def test_rows_of_a_large_key_are_not_shuffled(plans):
+    """They meet their parents, one row per large key, in a broadcast."""
+    plan = plans("p07_orphans_one_large_key")
+    assert "Union" in plan and plan.count("BroadcastHashJoin") >= 3
