@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from packhorse.operators.quality import (
     Field,
+    estimated_profile,
     flatten_json,
     profile,
     rejected_rows,
@@ -149,16 +150,17 @@ def test_profile(spark):
     want = {
         "a b": (3, 1, "1", "1", 1), "s": (3, 1, "a", "b", 2), "v": (3, 0, "", "", 2)
     }
-    for exact in (True, False):
-        rows = profile(df, exact).collect()
+    for table in (profile(df), estimated_profile(df)):
         assert {r.column_name: (r.n_rows, r.n_nulls, r.least, r.greatest, r.n_distinct)
-                for r in rows} == want
+                for r in table.collect()} == want
+    nothing = {r.column_name: tuple(r)[1:] for r in profile(df.limit(0)).collect()}
+    assert nothing == dict.fromkeys(want, (0, 0, "", "", 0))
 
 
 def test_estimated_distinct_is_close(spark):
     df = read_table(spark, SMALL, "lineitem")
     exact = {row.column_name: row.n_distinct for row in profile(df).collect()}
-    for row in profile(df, exact=False).collect():
+    for row in estimated_profile(df).collect():
         assert abs(row.n_distinct - exact[row.column_name]) <= max(2, exact[row.column_name] * 0.2)
 
 
