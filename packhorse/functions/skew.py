@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packhorse.functions.columns import all_of
@@ -54,3 +54,25 @@ def split(df: DataFrame, large: LargeKeys, keys: Sequence[str]) -> tuple[DataFra
     few = F.broadcast(large.keys.withColumnsRenamed(names))
     same = all_of(F.col(key).eqNullSafe(F.col(name)) for key, name in names.items())
     return df.join(few, same, "left_anti"), df.join(few, same, "left_semi")
+
+
+def filter_join(
+    df: DataFrame,
+    others: DataFrame,
+    same: Column,
+    how: str,
+    keys: Sequence[str],
+    rows_per_task: int | None,
+) -> DataFrame:
+    """A left_semi or left_anti join whose rows of large keys are not shuffled.
+
+    `others` holds one row per key, under names of its own, and `same` compares
+    them with the `keys` of `df`. Of the others, only those with a large key are
+    needed for the rows of large keys: one row each, which is broadcast.
+    """
+    large = None if rows_per_task is None else large_keys(df, keys, rows_per_task)
+    if large is None:
+        return df.join(others, same, how)
+    rest, hot = split(df, large, keys)
+    few = others.join(F.broadcast(large.keys), same, "left_semi")
+    return rest.join(others, same, how).unionByName(hot.join(F.broadcast(few), same, how))

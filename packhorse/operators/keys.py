@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packhorse.functions.columns import all_of, differing
-from packhorse.functions.skew import ROWS_PER_TASK, large_keys, split
+from packhorse.functions.skew import ROWS_PER_TASK, filter_join
 from packhorse.operators.ordered import top_k
 
 
@@ -33,15 +33,7 @@ def _by_parent(
     names = {f"_parent_{p}": p for p in on.values()}
     parents = parent.select(*[F.col(p).alias(name) for name, p in names.items()]).distinct()
     same = all_of(F.col(c) == F.col(f"_parent_{p}") for c, p in on.items())
-    large = None if rows_per_task is None else large_keys(child, list(on), rows_per_task)
-    if large is None:
-        return child.join(parents, same, how)
-
-    # Rows of a large key stay where they are: of the parents, only the one row
-    # for each of these keys is needed, and is broadcast.
-    rest, hot = split(child, large, list(on))
-    few = parents.join(F.broadcast(large.keys), same, "left_semi")
-    return rest.join(parents, same, how).unionByName(hot.join(F.broadcast(few), same, how))
+    return filter_join(child, parents, same, how, list(on), rows_per_task)
 
 
 def orphans(

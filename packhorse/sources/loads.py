@@ -8,21 +8,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packhorse.functions.columns import all_of
+from packhorse.functions.skew import ROWS_PER_TASK, filter_join
 from packhorse.operators.keys import dedupe_latest
 
 
 def upsert(
-    target: DataFrame, changes: DataFrame, keys: Sequence[str], latest: Sequence[Column]
+    target: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    latest: Sequence[Column],
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """The target with changed rows replaced by key and new ones added.
 
-    Of several changes to a key the first in the order `latest` wins. A small
-    set of changes is broadcast by its size, and the target is not shuffled.
+    Of several changes to a key the first in the order `latest` wins; it replaces
+    all rows of that key. A small set of changes is broadcast by its size, and
+    the target is not shuffled.
     """
     newest = dedupe_latest(changes, keys, latest)
     replaced = newest.select(*[F.col(key).alias(f"_new_{key}") for key in keys])
     same = all_of(F.col(key).eqNullSafe(F.col(f"_new_{key}")) for key in keys)
-    return target.join(replaced, same, "left_anti").unionByName(newest.select(*target.columns))
+    kept = filter_join(target, replaced, same, "left_anti", keys, rows_per_task)
+    return kept.unionByName(newest.select(*target.columns))
 
 
 def load_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:

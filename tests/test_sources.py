@@ -212,6 +212,22 @@ def test_upsert(spark):
     ]
 
 
+@pytest.mark.parametrize("rows_per_task", [None, 50])
+def test_upsert_into_large_keys(spark, rows_per_task):
+    """Rows of a repeated key are all replaced, or all kept; null is such a key."""
+    schema = "k long, v string"
+    rows = [(None, "n")] * 200 + [(7, "s")] * 200 + [(8, "t")] * 200 + [(k, "x") for k in range(40, 80)]
+    changes = [(None, "new", 1), (8, "new", 2), (8, "old", 1), (60, "new", 1), (99, "new", 1)]
+    merged = upsert(
+        spark.createDataFrame(rows, schema).repartition(4),
+        spark.createDataFrame(changes, "k long, v string, version int"),
+        ["k"], [F.desc("version")], rows_per_task,
+    )
+    want = [(7, "s")] * 200 + [(k, "x") for k in range(40, 80) if k != 60]
+    want += [(None, "new"), (8, "new"), (60, "new"), (99, "new")]
+    assert sorted(map(tuple, merged.collect()), key=str) == sorted(want, key=str)
+
+
 def test_load_touches_only_its_partitions(spark, tmp_path):
     path = str(tmp_path / "table")
     load_partitions(
