@@ -39,6 +39,14 @@ def held_out(id_column: str) -> Column:
     return F.coalesce(remainder == 1, F.lit(False))
 
 
+def bounded_broadcast(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """`df`, a stored table of short rows, marked for broadcast if it has no more than `rows`.
+
+    Beyond that Spark shuffles, and splits the partitions of large keys at run time.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def running_start(df: DataFrame, order: Sequence[str], value: str, out: str, label: str) -> DataFrame:
     """Adds `out`: the sum of `value` over all rows before this one, in `order`.
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from packhorse.llm import language_id, quality_model, quality_rules, secrets
+from packhorse.llm import language_id, packing, quality_model, quality_rules, secrets
 from packhorse.llm.common import Query
 
-MODULES = (secrets, quality_model, quality_rules, language_id)
+MODULES = (packing, secrets, quality_model, quality_rules, language_id)
 QUERIES: dict[str, Query] = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
