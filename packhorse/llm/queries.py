@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from packhorse.llm import jaccard_join, language_id, packing, quality_model, quality_rules, secrets
+from packhorse.llm import (
+    cover_tree,
+    jaccard_join,
+    language_id,
+    packing,
+    quality_model,
+    quality_rules,
+    secrets,
+    sharding,
+)
 from packhorse.llm.common import Query
 
-MODULES = (packing, secrets, jaccard_join, quality_model, quality_rules, language_id)
+MODULES = (packing, secrets, cover_tree, jaccard_join, quality_model, quality_rules, sharding, language_id)
 QUERIES: dict[str, Query] = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
