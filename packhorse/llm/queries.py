@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from packhorse.llm import (
     cover_tree,
+    html_text,
     jaccard_join,
     language_id,
     packing,
@@ -14,6 +15,6 @@ from packhorse.llm import (
 )
 from packhorse.llm.common import Query
 
-MODULES = (packing, secrets, cover_tree, jaccard_join, quality_model, quality_rules, sharding, language_id)
+MODULES = (packing, html_text, secrets, cover_tree, jaccard_join, quality_model, quality_rules, sharding, language_id)
 QUERIES: dict[str, Query] = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
