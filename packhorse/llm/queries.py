@@ -8,6 +8,7 @@ from packhorse.llm import (
     jaccard_join,
     language_id,
     packing,
+    pieces,
     quality_model,
     quality_rules,
     secrets,
@@ -15,6 +16,6 @@ from packhorse.llm import (
 )
 from packhorse.llm.common import Query
 
-MODULES = (packing, html_text, secrets, cover_tree, jaccard_join, quality_model, quality_rules, sharding, language_id)
+MODULES = (packing, html_text, secrets, cover_tree, jaccard_join, quality_model, quality_rules, pieces, sharding, language_id)
 QUERIES: dict[str, Query] = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
