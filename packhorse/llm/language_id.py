@@ -52,21 +52,26 @@ RESULT = T.StructType(
 def fit(df: DataFrame, settings: Settings, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
     """Dictionaries from texts with a language; which texts is decided by a hash of the id.
 
-    The ranks are limited in each map task, so a language that holds most rows
-    sends no more than `docs` from each.
+    First the hashes alone are ranked, limited in each map task, so that a
+    language with most rows sends few small rows; then the chosen texts are read.
     """
-    known = df.filter(F.col(lang).isNotNull() & (F.length(text) > 0))
-    rows = known.select(
-        F.col(lang).alias("lang"),
-        F.xxhash64(F.col(key), F.lit(17)).alias("h"),
-        # The middle of the text, not its opening, which templates share.
-        F.expr(f"substring(`{text}`, greatest(1, cast(length(`{text}`) / 2 as int) - {settings.slice_chars // 2}), {settings.slice_chars})").alias("part"),
+    known = df.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).select(
+        F.col(lang).alias("lang"), F.xxhash64(F.col(key), F.lit(17)).alias("h"), F.col(text).alias("text")
+    )
+    order = Window.partitionBy("lang").orderBy("h")
+    few = (
+        known.select("lang", "h").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= settings.docs)
+        .groupBy("lang").agg(F.max("h").alias("most")).orderBy("lang").limit(settings.languages)
+    )
+    # The middle of a text, not its opening, which templates share.
+    size = settings.slice_chars
+    middle = F.greatest(F.lit(1), (F.length("text") / 2).cast("int") - size // 2)
+    # A row for each of at most `languages` languages, hence the hint.
+    chosen = known.join(F.broadcast(few), "lang").filter("h <= most").groupBy("lang", "h").agg(
+        F.min(F.substring(F.col("text"), middle, F.lit(size))).alias("part")
     )
-    order = Window.partitionBy("lang").orderBy("h", "part")
-    few = rows.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= settings.docs)
     parts: dict[str, list[str]] = {}
-    most = settings.languages * settings.docs
-    for row in few.orderBy("lang", "r").limit(most).collect():
+    for row in chosen.orderBy("lang", "h").collect():
         parts.setdefault(row["lang"], []).append(row["part"].lower())
     return {name: " ".join(reversed(values)).encode() for name, values in parts.items()}
 
