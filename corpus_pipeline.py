@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 
 from packhorse.llm import language_id
 from packhorse.llm.common import stored, table
+from packhorse.llm.jaccard_join import first_of_each
+from packhorse.llm.packing import pack
+from packhorse.llm.packing import production as packing_settings
 from packhorse.llm.quality_rules import quality_rules
+from packhorse.llm.secrets import find_secrets, redact
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,9 +32,28 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return judged.filter(F.col("_language.accepted")).select(*docs.columns)
 
 
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that near-duplicate links join, the one with the smallest id."""
+    return first_of_each(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every reported secret in their texts replaced by a mark."""
+    clean = redact(find_secrets(docs, out="_secrets"), spans="_secrets").drop("_secrets")
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of sequences that hold the documents, in the proportions of their sources."""
+    return pack(docs, packing_settings())
+
+
 STAGES = [
     ("quality rules", keep_quality),
     ("language id", keep_known_languages),
+    ("n-gram Jaccard join", keep_one_of_each),
+    ("secret scans", without_secrets),
+    ("packing", packed),
 ]
 
 # Compression cannot be expressed in SQL.
