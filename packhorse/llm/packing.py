@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,21 +43,27 @@ class Settings:
     cache: int = 400_000
 
 
+PIECE = ("start", "length", "ids_crc32", "sequence_id", "offset")
 TOKENS = T.StructType([T.StructField("n", T.LongType()), T.StructField("ids", T.BinaryType())])
-PIECES = T.ArrayType(
-    T.StructType(
-        [T.StructField(name, T.LongType()) for name in ("start", "length", "ids_crc32", "sequence_id", "offset")]
-    )
+# Lower-case letters, numbers and white space of Latin-1, and the words a tokenizer of
+# contractions, letters, single numbers and other characters cuts a text into.
+_LETTERS, _NUMBERS, _SPACES = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\\t-\\r \x85\xa0"
+_CUT = re.compile(
+    f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+"
 )
+# Control characters that are white space for Python alone.
+_ODD = re.compile("[\x1c-\x1f]")
+_PROBE = "Abc the 'tis it's we'll stra\xdfe \xe9t\xe9,  x.! 20\xbd \xa7_a-b\t#1\xa0\xc9lan \xaa\xd7 don't... \x1c q\x85z"
 
 
 class WordEncoder:
     """Ids of texts, word by word, for a tokenizer that drops white space.
 
     Its words do not depend on each other, so the ids of frequent ones are
-    remembered. For texts in Latin-1, whose letters keep their case rules apart
-    from their neighbours, words are lower-cased first and a full stop or comma
-    after letters is taken off, which makes more of them alike.
+    remembered. Texts in Latin-1, where composition changes nothing and case
+    leaves every letter a letter, are cut into the tokenizer's own words here,
+    and these go to its merges directly. Other texts, and all if a probe shows
+    that the tokenizer cuts in another way, take the long way.
     """
 
     block = 64
@@ -70,45 +77,57 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.most = most
         self.known: dict[str, bytes] = {}
-        # A cut at only some of what the tokenizer takes for white space is as good.
-        self.spaces = re.compile("[ \t\n\r]+")
-
-    def words(self, text: str) -> list[str]:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            pass
-        else:
-            text = text.lower()
-        return self.spaces.split(text)
-
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that are not remembered; as many are as there is room for."""
-        bare = {word: word[:-1] if word[-1:] in (".", ",") and word[:-1].isalpha() else word for word in words}
-        todo = [word for word in {*bare.values(), ".", ",", ""} if word not in self.known]
-        found = {
-            word: np.array(one.ids, "<u4").tobytes()
-            for word, one in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False), strict=True)
-        }
-
-        def ids(word: str) -> bytes:
-            return found[word] if word in found else self.known[word]
-
-        for word, stem in bare.items():
-            if word not in found:
-                found[word] = ids(stem) + ids(word[-1])
-        if len(self.known) < self.most:
-            self.known.update(found)
-        return found
+        # Bytes as the letters that a byte-level vocabulary writes them with.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [byte for byte in range(256) if byte not in plain]
+        self.letters = {byte: chr(256 + i) for i, byte in enumerate(rest)}
+        whole = self.tokenizer.encode(_PROBE, add_special_tokens=False).ids
+        self.direct = b"".join(map(self._merged, _CUT.findall(_PROBE.lower()))) == np.array(whole, "<u4").tobytes()
+
+    def _merged(self, word: str) -> bytes:
+        word = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
+        return b"".join([token.id.to_bytes(4, "little") for token in self.tokenizer.model.tokenize(word)])
+
+    def _plain(self, texts: list[str], end: bytes) -> list[bytes]:
+        ids = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(one.ids, "<u4").tobytes() + end for one in ids]
+
+    def _word(self, word: str) -> bytes:
+        """Ids of what stands between white space; its parts are remembered, and itself while there is much room."""
+        known, parts = self.known, _CUT.findall(word)
+        ids = []
+        for part in parts:
+            one = known.get(part)
+            if one is None:
+                one = self._merged(part)
+                if len(known) < self.most:
+                    known[part] = one
+            ids.append(one)
+        whole = b"".join(ids)
+        if len(parts) > 1 and 4 * len(known) < self.most:
+            known[word] = whole
+        return whole
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         known, close, out = self.known, np.array([end], "<u4").tobytes(), []
-        for at in range(0, len(texts), self.block):
-            block = [self.words(text) for text in texts[at : at + self.block]]
-            new = {word for words in block for word in words if word not in known}
-            found = self.learn(new) if new else {}
-            for words in block:
-                out.append(b"".join([known[w] if w in known else found[w] for w in words]) + close)
+        for text in texts:
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                out += self._plain([text], close)
+                continue
+            if not self.direct:
+                out += self._plain([text], close)
+                continue
+            words = _CUT.findall(text.lower()) if _ODD.search(text) else text.lower().split()
+            ids = list(map(known.get, words))
+            ids.append(None)
+            at = ids.index(None)
+            while at < len(words):
+                ids[at] = self._word(words[at])
+                at = ids.index(None, at + 1)
+            ids[at] = close
+            out.append(b"".join(ids))
         return out
 
 
@@ -136,23 +155,43 @@ def _wide(halves: bytes) -> bytes:
     return np.frombuffer(halves, "<u2").reshape(2, -1).T.tobytes()
 
 
-@F.pandas_udf(PIECES)
-def _checked(ids: pd.Series, pieces: pd.Series) -> pd.Series:
-    """Neighbouring pieces joined, each with the crc32 of its ids."""
-    expand, out = zstandard.ZstdDecompressor(), []
-    for packed, parts in zip(ids, pieces, strict=True):
-        data, rows = _wide(expand.decompress(packed)), []
-        for part in sorted(parts, key=lambda p: p["start"]):
-            at, length, place, offset = (part[k] for k in ("start", "length", "sequence_id", "offset"))
-            last = rows[-1] if rows else None
-            if last and last["sequence_id"] == place and last["offset"] + last["length"] == offset:
-                last["length"] += length
-            else:
-                rows.append({"start": at, "length": length, "sequence_id": place, "offset": offset})
-        for row in rows:
-            row["ids_crc32"] = zlib.crc32(data[4 * row["start"] : 4 * (row["start"] + row["length"])])
-        out.append(rows)
-    return pd.Series(out)
+def _pieces(window: int):
+    """A function for `mapInArrow` that lists the pieces of each document with the crc32 of their ids.
+
+    A document comes with the parts that its queue sent, in its own order.
+    Parts that follow each other in a sequence are one piece.
+    """
+
+    def of_document(data: bytes, starts: np.ndarray, lengths: np.ndarray, sent: np.ndarray) -> np.ndarray:
+        new = np.flatnonzero(np.r_[True, sent[1:] != sent[:-1] + lengths[:-1]])
+        starts, sent = starts[new], sent[new]
+        lengths = np.add.reduceat(lengths, new)
+        rows = []
+        for start, length, place in zip(starts.tolist(), lengths.tolist(), sent.tolist(), strict=True):
+            while length:
+                sequence, offset = divmod(place, window)
+                size = min(length, window - offset)
+                rows.append((start, size, zlib.crc32(data[4 * start : 4 * (start + size)]), sequence, offset))
+                start, length, place = start + size, length - size, place + size
+        return np.array(rows, np.int64)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor()
+        for batch in batches:
+            lists = [batch.column(name) for name in ("starts", "lengths", "sent")]
+            bounds = np.asarray(lists[0].offsets)
+            starts, lengths, sent = (np.asarray(one.values) for one in lists)
+            rows = [
+                of_document(_wide(expand.decompress(ids.as_py())), starts[a:b], lengths[a:b], sent[a:b])
+                for ids, a, b in zip(batch.column("ids"), bounds[:-1], bounds[1:], strict=True)
+            ]
+            if rows:
+                taken = pa.array(np.repeat(np.arange(len(rows)), [len(one) for one in rows]))
+                columns = [batch.column(name).take(taken) for name in ("key", "queue", "n")]
+                columns += [pa.array(one) for one in np.concatenate(rows).T]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "queue", "n", *PIECE])
+
+    return work
 
 
 def pack(
@@ -207,29 +246,19 @@ def pack(
     stop = F.least(F.col("at") + F.col("n"), F.col("k") * size + F.col("size"))
     parts = spread.join(turns, F.col("queue").eqNullSafe(F.col("q")) & (F.col("k") == F.col("turn"))).select(
         "row", (begin - F.col("at")).alias("start"), (stop - begin).alias("length"),
-        (F.col("sent") + begin - F.col("k") * size).alias("out"),
-    )
-    window = settings.window
-    cut = parts.select(
-        "row", "start", "length", "out",
-        F.explode(
-            F.sequence(F.floor(F.col("out") / F.lit(window)), F.floor((F.col("out") + F.col("length") - 1) / F.lit(window)))
-        ).alias("sequence_id"),
+        (F.col("sent") + begin - F.col("k") * size).alias("sent"),
     )
-    left = F.greatest(F.col("out"), F.col("sequence_id") * window)
-    right = F.least(F.col("out") + F.col("length"), (F.col("sequence_id") + 1) * window)
-    pieces = cut.select(
-        "row",
-        F.struct(
-            (F.col("start") + left - F.col("out")).alias("start"), (right - left).alias("length"),
-            "sequence_id", (left - F.col("sequence_id") * window).alias("offset"),
-        ).alias("piece"),
+    by_row = parts.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "length", "sent"))).alias("parts"))
+    met = tokens.join(by_row, "row").select(
+        "key", "queue", "n", "ids",
+        *(F.col(f"parts.{field}").alias(name) for field, name in (("start", "starts"), ("length", "lengths"), ("sent", "sent"))),
     )
-    by_row = pieces.groupBy("row").agg(F.collect_list("piece").alias("pieces"))
-    packed = tokens.join(by_row, "row").select(
-        "key", "queue", F.col("n").alias("doc_tokens"), F.explode(_checked("ids", "pieces")).alias("piece")
+    kinds = {name: met.schema[name].dataType.simpleString() for name in ("key", "queue", "n")}
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in {**kinds, **dict.fromkeys(PIECE, "long")}.items())
+    packed = met.mapInArrow(_pieces(settings.window), schema)
+    return packed.select(
+        F.col("key").alias(key), F.col("queue").alias(source), *PIECE, F.col("n").alias("doc_tokens")
     )
-    return packed.select(F.col("key").alias(key), F.col("queue").alias(source), "piece.*", "doc_tokens")
 
 
 def production() -> Settings:
