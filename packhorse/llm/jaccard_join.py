@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from packhorse.llm.classes import smallest_reachable
@@ -28,7 +28,7 @@ BLOCKS = 0xFFF
 
 
 def _index(texts: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Per set the entries of its prefix: list, set, size, position, and how common its prefix is.
+    """Per set the entries of its prefix: list, set, size, and how common its prefix is.
 
     Shingles are ordered by how common their bucket is, in powers of two, then
     by hash. A list is a shingle without its low bits, which hold the block.
@@ -41,7 +41,7 @@ def _index(texts: DataFrame, counts: np.ndarray) -> DataFrame:
         counts = shared.value
         seen: set[int] = set()
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[], [], [], [], []]
+            columns: list[list[np.ndarray]] = [[], [], [], []]
             for text in batch["text"]:
                 items = shingle_set(text)
                 name = set_id(items)
@@ -54,18 +54,17 @@ def _index(texts: DataFrame, counts: np.ndarray) -> DataFrame:
                 level = np.frexp(common.astype(float))[1]
                 prefix = np.lexsort((items, level))[: n - (4 * n + 4) // 5 + 1]
                 blocks = np.minimum(np.maximum(common[prefix].astype(np.int64) - 4 * usual, 0) // LIST + 1, BLOCKS)
-                block = np.where(blocks > 1, np.uint64(name % (1 << 64)) % blocks.astype(np.uint64), 0).astype(np.uint64)
+                block = np.where(blocks > 1, 1 + name % blocks, 0).astype(np.uint64)
                 size = len(prefix)
                 columns[0].append(((items[prefix] & ~np.uint64(BLOCKS)) | block).view(np.int64))
                 columns[1].append(np.full(size, name, np.int64))
                 columns[2].append(np.full(size, n, np.int64))
-                columns[3].append(np.arange(size, dtype=np.int64))
-                columns[4].append(np.full(size, int(level[prefix].sum()), np.int64))
+                columns[3].append(np.full(size, int(level[prefix].sum()), np.int64))
             if columns[0]:
-                names = ("list", "set", "n", "pos", "hub")
+                names = ("list", "set", "n", "hub")
                 yield pd.DataFrame({name: np.concatenate(part) for name, part in zip(names, columns, strict=True)})
 
-    return texts.mapInPandas(work, "list long, set long, n long, pos long, hub long")
+    return texts.mapInPandas(work, "list long, set long, n long, hub long")
 
 
 def _sets_of(texts: DataFrame, wanted: DataFrame, label: str) -> DataFrame:
@@ -113,52 +112,55 @@ def _verified(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
     )
 
 
-def _can_link(small: str, large: str) -> Column:
-    """Whether two entries of a list can be of linked sets, by sizes and positions."""
+def _can_link(n: Column, m: Column, met: Column) -> Column:
+    """Whether sets of n and m items whose prefixes share `met` items can be linked.
 
-    def of(side: str, name: str) -> Column:
-        return F.col(f"{side}.{name}")
-
-    n, m = of(small, "n"), of(large, "n")
-    rest = F.least(n - of(small, "pos"), m - of(large, "pos"))
-    overlap = F.least(of(small, "pos"), of(large, "pos")) + rest
-    in_index = of(small, "pos") < n - F.floor((8 * n + 8) / 9) + 1
-    return (n <= m) & (5 * n >= 4 * m) & in_index & (9 * overlap >= 4 * (n + m))
+    What the prefixes do not show lies behind the prefix that ends first, so the
+    sets share at most `met` and what is left of one of them; they need 4/9 of both.
+    """
+    left = F.floor((4 * F.greatest(n, m) + 4) / 5) - 1
+    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * (met + left) >= 4 * (n + m))
 
 
 def _open_pairs(entries: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of one list that may be linked and whose classes differ.
+    """Pairs of sets of different classes that may be linked, from all lists.
 
     Lists of one class only are skipped whole; then blocks of other sizes; then
-    pairs whose positions or distances from their leader rule them out.
+    sets whose distances from a common leader are too different, and pairs
+    whose prefixes do not share enough.
     """
     far = known.select(F.col("a").alias("set"), F.col("b").alias("lead"), "far")
     told = (
         entries.join(far, ["set", "lead"], "left")
         .join(classes, "set", "left")
-        .withColumn("class", F.coalesce("class", "set"))
-        .withColumn("far", F.when(F.col("set") == F.col("lead"), F.lit(0.0)).otherwise(F.col("far")))
-        .withColumn("token", F.col("list").bitwiseAND(F.lit(~BLOCKS)))
+        .select(
+            "set", "n", "lead", F.coalesce("class", "set").alias("class"),
+            F.when(F.col("set") == F.col("lead"), F.lit(0.0)).otherwise(F.col("far")).alias("far"),
+            F.col("list").bitwiseAND(F.lit(~BLOCKS)).alias("token"),
+        )
     )
     told = stored(told, "list-entries")
     mixed = told.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low != high")
-    # Sizes in powers of 5/4: a partner that is larger is in the same band or the next.
+    # Blocks of sizes, each a power of 5/4 wide: a partner that is larger is in the same or the next.
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + F.lit(1e-9)).cast("int")
     live = told.join(mixed.select("token"), "token", "left_semi").withColumn("band", band)
     small = live.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1, F.col("band") + 2)))
     far_apart = (F.col("s.lead") == F.col("l.lead")) & (F.abs(F.col("s.far") - F.col("l.far")) > 0.2 + 1e-9)
-    same = (F.col("s.token") == F.col("l.token")) & (F.col("s.band") == F.col("l.band"))
+    sizes = (F.col("s.n") < F.col("l.n")) | ((F.col("s.n") == F.col("l.n")) & (F.col("s.set") < F.col("l.set")))
     pairs = small.alias("s").join(
         live.alias("l"),
-        same & (F.col("s.class") != F.col("l.class")) & ~F.coalesce(far_apart, F.lit(False)) & _can_link("s", "l"),
+        (F.col("s.token") == F.col("l.token")) & (F.col("s.band") == F.col("l.band")) & sizes
+        & (F.col("s.class") != F.col("l.class")) & (5 * F.col("s.n") >= 4 * F.col("l.n"))
+        & ~F.coalesce(far_apart, F.lit(False)),
     )
-    return pairs.select(
-        F.least("s.set", "l.set").alias("a"), F.greatest("s.set", "l.set").alias("b")
-    ).distinct()
+    met = pairs.groupBy(
+        F.col("s.set").alias("a"), F.col("l.set").alias("b"), F.col("s.n").alias("n"), F.col("l.n").alias("m")
+    ).agg(F.count(F.lit(1)).alias("met"))
+    return met.filter(_can_link(F.col("n"), F.col("m"), F.col("met"))).select("a", "b")
 
 
-def jaccard_classes(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Per row of `df`: `key`, n_shingles and component_id.
+def jaccard_rows(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Per row of `df`: key, text_hash, n, its class (a set's name, null without words), and component_id.
 
     Two rows link when their sets of five-word shingles have a Jaccard similarity
     of 0.8 or more; component_id is the smallest key that links reach. Sets are
@@ -174,23 +176,36 @@ def jaccard_classes(df: DataFrame, text: str = "text", key: str = "doc_id") -> D
     rows = described(scanned)
     counts = bucket_counts(scanned)
 
-    # All lists by their key once, for the leaders and for the entries that meet them.
-    dealt = _index(texts.select("text"), counts).repartition("list")
-    leaders = dealt.groupBy("list").agg(
-        F.min("set").alias("low"), F.max("set").alias("high"), F.max(F.struct("hub", "set")).alias("top")
-    ).filter("low != high").select("list", F.col("top.set").alias("lead"))
-    entries = stored(dealt.join(leaders, "list").dropDuplicates(["list", "set"]), "entries")
-
-    wanted = (
-        entries.select("set").distinct()
-        .join(rows.groupBy("set").agg(F.min("text_hash").alias("text_hash")), "set")
+    # A list holds about `LIST` entries at most, so a window over it is bounded.
+    whole = Window.partitionBy("list")
+    dealt = _index(texts.select("text"), counts).withColumns(
+        {
+            "low": F.min("set").over(whole), "high": F.max("set").over(whole),
+            "top": F.max(F.struct("hub", "set", "n")).over(whole),
+        }
+        # A list that is one of several blocks may have its other members in them.
+    ).filter((F.col("low") != F.col("high")) | (F.col("list").bitwiseAND(F.lit(BLOCKS)) != 0))
+    entries = stored(
+        dealt.select("list", "set", "n", F.col("top.set").alias("lead"), F.col("top.n").alias("lead_n")).distinct(),
+        "entries",
     )
-    sets = _sets_of(texts, bounded_broadcast(stored(wanted, "wanted"), 2_000_000), "sets")
-    first = entries.filter("set != lead").select(F.col("set").alias("a"), F.col("lead").alias("b")).distinct()
-    known = _verified(first, sets, "with-leaders")
+    source = rows.groupBy("set").agg(F.min("text_hash").alias("text_hash"))
+
+    def compared(pairs: DataFrame, label: str) -> DataFrame:
+        pairs = stored(pairs, label)
+        members = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
+        wanted = bounded_broadcast(stored(members.join(source, "set"), "wanted"), 2_000_000)
+        return _verified(pairs, _sets_of(texts, wanted, "sets"), f"{label}-verified")
+
+    # Where a set meets its leader often enough; whatever is not compared here stays open.
+    first = entries.filter("set != lead").groupBy(
+        F.col("set").alias("a"), F.col("lead").alias("b"), "n", F.col("lead_n").alias("m")
+    ).agg(F.count(F.lit(1)).alias("met"))
+    first = first.filter(_can_link(F.col("n"), F.col("m"), F.col("met"))).select("a", "b")
+    known = compared(first, "with-leaders")
     links = known.filter("linked").select("a", "b")
     classes = smallest_reachable(links)
-    rest = _verified(_open_pairs(entries, known, classes), sets, "open-pairs")
+    rest = compared(_open_pairs(entries.drop("lead_n"), known, classes), "open-pairs")
     links = links.unionByName(rest.filter("linked").select("a", "b"))
     classes = smallest_reachable(links)
 
@@ -199,11 +214,40 @@ def jaccard_classes(df: DataFrame, text: str = "text", key: str = "doc_id") -> D
         .join(classes, "set", "left").withColumn("class", F.coalesce("class", "set"))
     )
     smallest = named.groupBy("class").agg(F.min("least").alias("component_id"))
-    component = named.select("set", "class").join(smallest, "class").select("set", "component_id")
+    component = named.select("set", "class").join(smallest, "class")
     told = rows.filter("n > 0").join(component, "set").unionByName(
-        rows.filter("n = 0").withColumn("component_id", F.col("key"))
+        rows.filter("n = 0").withColumns({"component_id": F.col("key"), "class": F.lit(None).cast("long")})
+    )
+    return told.select("key", "text_hash", "n", "class", "component_id")
+
+
+def jaccard_classes(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """`key`, n_shingles and component_id per row, as `jaccard_rows` finds them."""
+    return jaccard_rows(df, text, key).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
+
+
+def first_of_each(df: DataFrame, text: str = "text", key: str = "doc_id", few: int = 2_000_000) -> DataFrame:
+    """`df` with one row of each class: the one with the smallest key.
+
+    Rows without words stay. Of rows that repeat key and text, which one stays is
+    open. What goes, or repeats, is broadcast while it is no more than `few` rows.
+    """
+    rows = stored(
+        jaccard_rows(df, text, key).filter(F.col("class").isNotNull())
+        .groupBy("class", "key", "text_hash").agg(F.count(F.lit(1)).alias("times")),
+        "members",
     )
-    return told.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
+    kept = rows.groupBy("class").agg(F.min(F.struct("key", "text_hash", "times")).alias("one"))
+    member = F.struct("key", "text_hash")
+    gone = rows.join(kept, "class").filter(member != F.struct("one.key", "one.text_hash"))
+    gone = bounded_broadcast(stored(gone.select(F.col("key").alias("_k"), F.col("text_hash").alias("_h")), "gone"), few)
+    twice = kept.filter("one.times > 1").select(F.col("one.key").alias("_k"), F.col("one.text_hash").alias("_h"))
+    twice = bounded_broadcast(stored(twice, "twice"), few)
+    same = F.col("_key").eqNullSafe(F.col("_k")) & F.col("_hash").eqNullSafe(F.col("_h"))
+    named = df.withColumns({"_key": F.col(key), "_hash": F.xxhash64(F.col(text))})
+    left = named.join(gone, same, "left_anti")
+    once = left.join(twice, same, "left_semi").dropDuplicates(["_key", "_hash"])
+    return left.join(twice, same, "left_anti").unionByName(once).select(*df.columns)
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
