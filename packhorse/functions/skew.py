@@ -9,53 +9,68 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packhorse.functions.columns import all_of
+from packhorse.session import scratch_path
 
 ROWS_PER_TASK = 2_000_000
-# A key counts as large when the sample holds this many of its rows. With
-# SAMPLE_ROWS it bounds the large keys, which are broadcast, to about 50,000
-# for a table of any size.
+# A key counts as large when the sample holds this many of its rows.
 LEAST_SAMPLES = 20
-SAMPLE_ROWS = 1_000_000
+# Tables of large keys with no more rows than this are broadcast; others are
+# joined by a shuffle if Spark finds them too large.
+FEW_KEYS = 50_000
 
 
 class LargeKeys(NamedTuple):
     keys: DataFrame
     # How many tasks the rows of all large keys should be spread over.
     tasks: int
+    # Whether there are few enough keys to broadcast one row for each.
+    few: bool
+
+
+def sample_share(rows_per_task: int) -> float:
+    """The share of rows to look at: the same for a table of any size."""
+    return min(1.0, LEAST_SAMPLES / rows_per_task)
+
+
+def least_samples(rows_per_task: int) -> int:
+    """The sampled rows from which a key is large: what `rows_per_task` of its rows give on average."""
+    return max(LEAST_SAMPLES, int(rows_per_task * sample_share(rows_per_task)))
 
 
 def large_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> LargeKeys | None:
-    """The keys that have clearly more rows than `rows_per_task`, from a bounded sample.
+    """The keys that have clearly more rows than `rows_per_task`, from a sample; None if there are none.
 
-    None when there are none, which for a table of no more rows than that takes
-    a row count only. The answer decides how work is spread, never what the
-    result is. As a local table the keys are the same in all tasks and retries.
+    One pass over the key columns. The sample's counts are stored in the scratch
+    folder, so that all tasks and retries see the same keys. The answer
+    decides how work is spread, never what the result is.
     """
-    rows = df.count()
-    if rows <= rows_per_task:
-        return None
-    share = min(1.0, LEAST_SAMPLES / rows_per_task, SAMPLE_ROWS / rows)
-    least = max(LEAST_SAMPLES, int(rows_per_task * share))
+    least = least_samples(rows_per_task)
     sampled = (
-        df.select(*keys).sample(share).groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+        df.select(*keys).sample(sample_share(rows_per_task)).groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= least)
     )
-    found = sampled.collect()
-    if not found:
+    path = scratch_path(df.sparkSession, "large-keys")
+    sampled.write.parquet(path)
+    found = df.sparkSession.read.schema(sampled.schema).parquet(path)
+    n_keys, n_rows = found.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    if not n_keys:
         return None
-    schema = sampled.drop("n").schema
-    table = df.sparkSession.createDataFrame([row[:-1] for row in found], schema)
-    return LargeKeys(table, 1 + sum(row["n"] for row in found) // least)
+    return LargeKeys(found.drop("_n"), 1 + n_rows // least, n_keys <= FEW_KEYS)
 
 
 def split(df: DataFrame, large: LargeKeys, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows of other keys, rows of large keys; a null key is a key like any other."""
     names = {key: f"_large_{key}" for key in keys}
-    few = F.broadcast(large.keys.withColumnsRenamed(names))
+    few = hinted(large.keys.withColumnsRenamed(names), large)
     same = all_of(F.col(key).eqNullSafe(F.col(name)) for key, name in names.items())
     return df.join(few, same, "left_anti"), df.join(few, same, "left_semi")
 
 
+def hinted(df: DataFrame, large: LargeKeys) -> DataFrame:
+    """`df`, with one row per large key, broadcast if there are few of them."""
+    return F.broadcast(df) if large.few else df
+
+
 def filter_join(
     df: DataFrame,
     others: DataFrame,
@@ -68,11 +83,11 @@ def filter_join(
 
     `others` holds one row per key, under names of its own, and `same` compares
     them with the `keys` of `df`. Of the others, only those with a large key are
-    needed for the rows of large keys: one row each, which is broadcast.
+    needed for the rows of large keys: one row each, broadcast where the keys are.
     """
     large = None if rows_per_task is None else large_keys(df, keys, rows_per_task)
     if large is None:
         return df.join(others, same, how)
     rest, hot = split(df, large, keys)
-    few = others.join(F.broadcast(large.keys), same, "left_semi")
-    return rest.join(others, same, how).unionByName(hot.join(F.broadcast(few), same, how))
+    few = others.join(hinted(large.keys, large), same, "left_semi")
+    return rest.join(others, same, how).unionByName(hot.join(hinted(few, large), same, how))

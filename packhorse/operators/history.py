@@ -51,9 +51,13 @@ def as_of(
 
     `left_order` and `right_order` name a time and a tie-break column on each
     side. Earlier means strictly earlier in time. The right row is added as the
-    struct `hit`, null when there is none. Both sides go through one scan
+    struct `hit`, null when there is none. As in an equi-join, a null in a key
+    or a time is equal to nothing and earlier than nothing: such right rows are
+    never a hit, and such left rows have none. Both sides go through one scan
     instead of a join, so the work is linear in the rows of a key.
     """
+    right = right.dropna(subset=[*keys, right_order[0]])
+
     def lane(df: DataFrame, order: Sequence[str], is_right: int) -> DataFrame:
         time, tie = order
         row = F.struct(*[F.col(f"`{c}`") for c in df.columns])

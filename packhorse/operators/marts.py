@@ -81,14 +81,22 @@ def pivot(
     values: Sequence[str],
     aggregate: Column,
     default: float | str | None = None,
+    other: str | None = None,
 ) -> DataFrame:
     """One row per key and one `aggregate` per listed value of `column`.
 
     The values are given, so no job looks for them and the schema is fixed. Keys
-    without a value have the default there, or null.
+    without a value have the default there, or null. Rows with a null or with a
+    value that is not listed go into the column `other`; without one they count
+    for nothing but their key.
     """
-    wide = df.groupBy(*keys).pivot(column, list(values)).agg(aggregate)
-    return wide if default is None else wide.fillna(default, subset=list(values))
+    names = list(values)
+    if other is not None:
+        listed = F.coalesce(F.col(column).isin(names), F.lit(False))
+        df = df.withColumn(column, F.when(listed, F.col(column)).otherwise(F.lit(other)))
+        names.append(other)
+    wide = df.groupBy(*keys).pivot(column, names).agg(aggregate)
+    return wide if default is None else wide.fillna(default, subset=names)
 
 
 def unpivot(

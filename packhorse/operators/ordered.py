@@ -16,10 +16,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packhorse.functions.columns import all_of
 from packhorse.functions.skew import ROWS_PER_TASK, large_keys, split
-from packhorse.session import scratch_path
+from packhorse.session import delete_scratch, scratch_path
 
 _CHUNK = "_chunk"
 
@@ -30,6 +31,9 @@ class Measure:
 
     value: Column
 
+    def check(self, df: DataFrame) -> None:
+        """Raise an error if the value cannot be measured."""
+
     def whole(self, w: WindowSpec, order: Column) -> Column:
         """The value where a key lies in one piece."""
         return self.within(w, order)
@@ -55,7 +59,15 @@ def _before(w: WindowSpec) -> WindowSpec:
 
 
 class RunningTotal(Measure):
-    """Sum up to and with the current row. Use decimals: they add exactly."""
+    """Sum up to and with the current row.
+
+    Floating-point values are refused: their sums depend on where a key is cut.
+    """
+
+    def check(self, df: DataFrame) -> None:
+        kind = df.select(self.value.alias("v")).schema["v"].dataType
+        if isinstance(kind, T.FloatType | T.DoubleType):
+            raise TypeError(f"a running total of {kind.simpleString()} is not exact; cast it to a decimal")
 
     def within(self, w: WindowSpec, order: Column) -> Column:
         return F.sum(self.value).over(w.rowsBetween(Window.unboundedPreceding, 0))
@@ -133,15 +145,26 @@ def _chunks(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     """Range-partition by `columns` and store each row's partition.
 
     The table is written because range bounds are sampled anew in every plan;
-    read back, both uses below and all task retries see the same chunks.
+    read back, both uses below and all task retries see the same chunks. The rows
+    are written as they are first, so that the sampling of the bounds does not
+    evaluate the input again; that copy is deleted once the chunks are there.
     """
-    path = scratch_path(df.sparkSession, "chunks")
+    spark = df.sparkSession
+    rows, path = scratch_path(spark, "large"), scratch_path(spark, "chunks")
+    df.write.parquet(rows)
     (
-        df.repartitionByRange(n, *columns)
+        spark.read.schema(df.schema).parquet(rows).repartitionByRange(n, *columns)
         .withColumn(_CHUNK, F.spark_partition_id())
         .write.parquet(path)
     )
-    return df.sparkSession.read.parquet(path)
+    delete_scratch(spark, rows)
+    return spark.read.parquet(path)
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "carried")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -170,9 +193,10 @@ def cut(
 ) -> Parts:
     """Cut the rows of large keys into chunks along `order`.
 
-    Looking for large keys costs a row count and, in a table of more than
-    `rows_per_task` rows, a pass over the key columns; `None` spares it where
-    the rows per key are known to be few. `prepare` is applied after that, to
+    Looking for large keys costs a pass over the key columns; `None` spares it
+    where the rows per key are known to be few. With large keys `df` is
+    evaluated three times in all: for the sample, for the rows of small keys, and
+    once to store those of large keys. `prepare` is applied after that, to
     the rows of small and of large keys; it may only make rows fewer.
     """
     large = None if rows_per_task is None else large_keys(df, keys, rows_per_task)
@@ -190,6 +214,8 @@ def measure(
     May be used again on its own result, also after rows were dropped: chunks
     stay in order.
     """
+    for one in measures.values():
+        one.check(parts.small)
     at = F.struct(*order)
     w = Window.partitionBy(*keys).orderBy(*order)
     small = parts.small.withColumns({name: m.whole(w, at) for name, m in measures.items()})
@@ -201,8 +227,9 @@ def measure(
     within = parts.large.withColumns(
         {f"_in_{name}": m.within(in_chunk, at) for name, m in measures.items()}
     )
-    # One row per chunk and large key: no more than there are chunks and keys.
-    carried = (
+    # One row per chunk and large key: no more than there are chunks and keys. A
+    # row may be wide, so Spark decides by the stored size whether to broadcast.
+    carried = _stored(
         parts.large.groupBy(*keys, _CHUNK)
         .agg(*[m.summary(at).alias(f"_sum_{name}") for name, m in measures.items()])
         .select(
@@ -218,7 +245,7 @@ def measure(
         [F.col(_CHUNK) == F.col("_of_chunk")]
         + [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
     )
-    large = within.join(F.broadcast(carried), same, "left").select(
+    large = within.join(carried, same, "left").select(
         *[F.col(f"`{c}`") for c in parts.large.columns],
         *[
             m.join(F.col(f"_in_{name}"), F.col(f"_out_{name}"))

@@ -87,22 +87,54 @@ def flatten_json(df: DataFrame, column: str, schema: T.StructType, prefix: str =
 def profile(df: DataFrame) -> DataFrame:
     """Per column the rows, nulls, distinct values, least and greatest value.
 
-    Each column is counted by value, in the map tasks first, and the rest is
-    taken from these counts. A columnar source is thus read once over all, and
-    only single columns are shuffled, in their own type. Least and greatest are
-    given as text; arrays have none.
+    Rows, nulls and bounds take one pass without a shuffle of rows. Distinct
+    values are counted per column, in the map tasks first. Texts, binaries and
+    types without an order are counted by a digest of 16 bytes, so that no
+    long value is shuffled: exact but for equal digests of different values.
+    Least and greatest are given as text; types that are not plain have none.
     """
-    columns = [
+    counts, lines = ["count(*) AS rows"], []
+    for i, field in enumerate(df.schema.fields):
+        name = quoted(field.name)
+        counts += [
+            f"count_if({name} IS NULL) AS nulls_{i}",
+            f"{_bound('min', field, name)} AS least_{i}",
+            f"{_bound('max', field, name)} AS greatest_{i}",
+        ]
+        lines.append(f"{i}, {text(field.name)}, rows, nulls_{i}, least_{i}, greatest_{i}")
+    whole = df.selectExpr(*counts).selectExpr(
+        f"stack({len(lines)}, {', '.join(lines)}) AS (number, column_name, n_rows, n_nulls, least, greatest)"
+    )
+    distinct = [
         f"""
-        SELECT {text(field.name)} AS column_name, coalesce(sum(n), 0L) AS n_rows,
-            coalesce(sum(n) FILTER (WHERE v IS NULL), 0L) AS n_nulls,
-            {_bound("min", field)} AS least, {_bound("max", field)} AS greatest,
-            count(v) AS n_distinct
-        FROM (SELECT {quoted(field.name)} AS v, count(*) AS n FROM {{rows}} GROUP BY 1)
+        SELECT {i} AS number, count(v) AS n_distinct
+        FROM (SELECT {_countable(field)} AS v FROM {{rows}} GROUP BY 1)
         """
-        for field in df.schema.fields
+        for i, field in enumerate(df.schema.fields)
     ]
-    return df.sparkSession.sql(" UNION ALL ".join(columns), rows=df)
+    found = df.sparkSession.sql(" UNION ALL ".join(distinct), rows=df)
+    # One row per column on both sides.
+    return whole.join(F.broadcast(found), "number").drop("number")
+
+
+def _countable(field: T.StructField) -> str:
+    """What is counted in place of a column's values."""
+    name, kind = quoted(field.name), field.dataType
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return f"unhex(md5({name}))"
+    if _is_plain(kind):
+        return name
+    # Entries of a map have no order, so they are sorted first.
+    value = f"map_from_entries(array_sort(map_entries({name})))" if _is_sortable_map(kind) else name
+    return f"CASE WHEN {name} IS NOT NULL THEN unhex(md5(to_json(struct({value} AS v)))) END"
+
+
+def _is_plain(kind: T.DataType) -> bool:
+    return not isinstance(kind, T.ArrayType | T.MapType | T.StructType | T.VariantType)
+
+
+def _is_sortable_map(kind: T.DataType) -> bool:
+    return isinstance(kind, T.MapType) and _is_plain(kind.keyType) and _is_plain(kind.valueType)
 
 
 def estimated_profile(df: DataFrame) -> DataFrame:
@@ -125,7 +157,7 @@ def estimated_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def _bound(end: str, field: T.StructField, value: str = "v") -> str:
-    if isinstance(field.dataType, T.ArrayType):
+def _bound(end: str, field: T.StructField, value: str) -> str:
+    if not _is_plain(field.dataType):
         return "''"
     return f"coalesce(string({end}({value})), '')"

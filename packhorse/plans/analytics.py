@@ -17,7 +17,7 @@ from packhorse.operators.marts import (
 )
 from packhorse.operators.ordered import running, top_k, top_ranks
 from packhorse.operators.sessions import sessionise
-from packhorse.plans.registry import a_twentieth, query
+from packhorse.plans.registry import SMALL_CUT, query
 from packhorse.sources.contracts import read_table
 from packhorse.streaming.events import tumbling_counts
 
@@ -157,7 +157,7 @@ def p11_running(spark: SparkSession, folder: str) -> DataFrame:
 def p11_running_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
     """As `p11_running`, with one large key and chunks small enough to cut it."""
     orders = read_table(spark, folder, "orders").withColumn("buyer", F.expr(_SKEWED))
-    return _running(orders, a_twentieth(orders))
+    return _running(orders, SMALL_CUT)
 
 
 @query(
@@ -194,6 +194,19 @@ _PIVOT_SQL = "SELECT user_id, {} FROM events GROUP BY user_id".format(
 )
 
 
+@query(
+    """
+    SELECT user_id, count(*) FILTER (event_type = 'click') AS click,
+        count(*) FILTER (event_type = 'view') AS view,
+        count(*) FILTER (event_type NOT IN ('click', 'view')) AS others
+    FROM events GROUP BY user_id
+    """
+)
+def p12_pivot_others(spark: SparkSession, folder: str) -> DataFrame:
+    events = read_table(spark, folder, "events")
+    return pivot(events, ["user_id"], "event_type", ["click", "view"], F.count(F.lit(1)), 0, "others")
+
+
 @query(_PIVOT_SQL)
 def p12_pivot(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events")
@@ -255,4 +268,4 @@ def p20_sessions(spark: SparkSession, folder: str) -> DataFrame:
 def p20_sessions_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
     """As `p20_sessions`, with one busy user and chunks small enough to cut it."""
     events = read_table(spark, folder, "events").withColumn("user_id", F.expr(_BUSY_USER))
-    return _sessions(events, a_twentieth(events))
+    return _sessions(events, SMALL_CUT)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from packhorse.functions.skew import ROWS_PER_TASK
 from packhorse.operators.history import as_of, type2_history
-from packhorse.operators.keys import dedupe_latest, matched, orphans, snapshot_diff
-from packhorse.plans.registry import a_twentieth, query
+from packhorse.operators.keys import dedupe_latest, duplicated_keys, matched, orphans, snapshot_diff
+from packhorse.plans.registry import SMALL_CUT, query
 from packhorse.sources.contracts import read_table
 
 # P6
@@ -27,6 +27,11 @@ def p06_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     return dedupe_latest(events, ["user_id", "event_type"], [F.desc("ts"), F.desc("event_id")])
 
 
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def p06_duplicated_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return duplicated_keys(read_table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
 # P7
 
 
@@ -60,7 +65,7 @@ def p07_orphans_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
         "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
     )
     finished = read_table(spark, folder, "orders").filter("o_orderstatus = 'F'")
-    return orphans(lines, finished, {"order_key": "o_orderkey"}, a_twentieth(lines))
+    return orphans(lines, finished, {"order_key": "o_orderkey"}, SMALL_CUT)
 
 
 # P13
@@ -149,7 +154,7 @@ def p14_history_of_changes(spark: SparkSession, folder: str) -> DataFrame:
 def p14_history_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
     """As `p14_history_of_changes`, with one large key and chunks small enough to cut it."""
     orders = read_table(spark, folder, "orders").withColumn("buyer", F.expr(_SKEWED_ORDERS))
-    return _history(orders, ["o_orderpriority"], a_twentieth(orders))
+    return _history(orders, ["o_orderpriority"], SMALL_CUT)
 
 
 # P15
@@ -186,4 +191,25 @@ def p15_as_of(spark: SparkSession, folder: str) -> DataFrame:
 def p15_as_of_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
     """As `p15_as_of`, with one large key and chunks small enough to cut it."""
     events = read_table(spark, folder, "events").withColumn("user_id", F.expr(_SKEWED_EVENTS))
-    return _as_of(events, a_twentieth(events))
+    return _as_of(events, SMALL_CUT)
+
+
+# Fixed damage: every 7th user and every 5th time is missing.
+_NULLED = """
+    SELECT event_id, event_type, value, CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id,
+        CASE WHEN event_id % 5 <> 0 THEN ts END AS ts FROM {events}
+"""
+
+
+@query(
+    f"""
+    WITH e AS ({_NULLED.format(events="events")})
+    SELECT p.event_id, p.user_id, p.ts, p.value, coalesce(v.event_id, -1) AS view_id, v.ts AS view_ts, v.value AS view_value
+    FROM (SELECT * FROM e WHERE event_type = 'purchase') p
+    ASOF LEFT JOIN (SELECT * FROM e WHERE event_type = 'view' AND ts IS NOT NULL AND user_id IS NOT NULL) v
+    ON p.user_id = v.user_id AND p.ts > v.ts
+    """
+)
+def p15_as_of_with_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    events = spark.sql(_NULLED, events=read_table(spark, folder, "events"))
+    return _as_of(events, ROWS_PER_TASK)

@@ -30,15 +30,50 @@ def p16_incremental(spark: SparkSession, folder: str) -> DataFrame:
     earlier = events.filter(F.col("ts") < F.lit(_TAKEN).cast("timestamp_ntz"))
     save_mark(spark, marks, highest_mark(earlier, "ts", "event_id"))
 
-    fresh, mark = extract_after(events, "ts", "event_id", load_mark(spark, marks))
+    rows, _, mark = extract_after(events, "ts", "event_id", load_mark(spark, marks))
+    loaded = scratch_path(spark, "loaded")
+    rows.write.parquet(loaded)
     save_mark(spark, marks, mark)
-    return fresh.select(
+    return spark.read.schema(rows.schema).parquet(loaded).select(
         "event_id", "ts", "user_id", "value",
         mark.time().alias("mark_at"),
         F.lit(mark.row_id).cast("bigint").alias("mark_id"),
     )
 
 
+# Fixed damage: every 7th event has no time, every 11th arrives two runs late.
+_ARRIVALS = """
+    SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN ts END AS ts, user_id, value FROM {events}
+"""
+
+
+@query(
+    f"""
+    SELECT event_id, ts, user_id, value, CASE WHEN ts IS NULL THEN 'undated'
+        WHEN event_id % 11 = 0 AND ts <= TIMESTAMP '{_TAKEN}' THEN 'second' WHEN ts < TIMESTAMP '{_TAKEN}' THEN 'first'
+        ELSE 'second' END AS run
+    FROM ({_ARRIVALS.format(events="events")})
+    WHERE ts IS NULL OR event_id % 11 <> 0 OR ts > (
+        SELECT max(ts) - INTERVAL 5 DAY FROM events
+        WHERE ts < TIMESTAMP '{_TAKEN}' AND event_id % 7 <> 0 AND event_id % 11 <> 0)
+    """
+)
+def p16_incremental_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs: late rows come with the second if they are at most five days late, undated rows apart."""
+    events = spark.sql(_ARRIVALS, events=read_table(spark, folder, "events"))
+    marks, table = scratch_path(spark, "marks"), scratch_path(spark, "loaded")
+    there = events.filter((F.col("ts") < F.lit(_TAKEN).cast("timestamp_ntz")) & (F.col("event_id") % 11 != 0))
+    for run, source in (("first", there), ("second", events)):
+        mark = load_mark(spark, marks)
+        loaded = events.limit(0) if mark is None else spark.read.schema(events.schema).parquet(table)
+        found = extract_after(source, "ts", "event_id", mark, "5 DAYS", loaded)
+        rows = found.rows.withColumn("run", F.lit(run))
+        rows = rows.unionByName(found.undated.withColumn("run", F.lit("undated")))
+        rows.write.mode("append").parquet(table)
+        save_mark(spark, marks, found.mark)
+    return spark.read.parquet(table)
+
+
 # Finished orders are repriced, urgent ones twice; some orders are new
 
 _UPSERT_SQL = """
@@ -112,3 +147,23 @@ def p18_partitioned_upsert(spark: SparkSession, folder: str) -> DataFrame:
     changes = _changes(orders).filter(F.col("o_year") == 1998)
     upsert_partitions(spark, path, changes, ["o_orderkey"], ["o_year"], [F.desc("version")])
     return spark.read.parquet(path)
+
+
+@query(
+    f"""
+    SELECT *, CAST(extract(year FROM o_orderdate) AS INTEGER) AS o_year FROM (
+        SELECT * REPLACE (CASE WHEN extract(year FROM o_orderdate) = 1995 OR o_orderpriority = '1-URGENT'
+            THEN o_orderdate + INTERVAL 1 YEAR ELSE o_orderdate END AS o_orderdate)
+        FROM orders WHERE extract(year FROM o_orderdate) < 1999)
+    """
+)
+def p18_upsert_moved_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Urgent orders move to the next year, and all of 1995 do, so that its partition is gone."""
+    orders = _with_year(read_table(spark, folder, "orders")).filter("o_year < 1999")
+    path = scratch_path(spark, "orders-by-year")
+    load_partitions(orders, path, ["o_year"])
+    later = orders.filter((F.col("o_year") == 1995) | (F.col("o_orderpriority") == "1-URGENT"))
+    later = _with_year(later.withColumn("o_orderdate", F.expr("o_orderdate + INTERVAL 1 YEAR")))
+    changes = later.withColumn("version", F.lit(1))
+    upsert_partitions(spark, path, changes, ["o_orderkey"], ["o_year"], [F.desc("version")])
+    return spark.read.parquet(path)

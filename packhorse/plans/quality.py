@@ -175,6 +175,39 @@ def p02_json_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return quarantine(_json_orders(spark, folder)).select("raw")
 
 
+# Fixed damage: the required priority is left empty, the required buyer left out, and lines are blank.
+
+
+@query("SELECT * FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')")
+def p02_csv_required(spark: SparkSession, folder: str) -> DataFrame:
+    priority = F.when(_kind("P", "5-LOW"), "").otherwise(F.col("o_orderpriority"))
+    line = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus", "price", "date", priority)
+    lines = _as_text(read_table(spark, folder, "orders")).select(line.alias("value"))
+    blank = lines.select(F.lit("  ").alias("value"))
+    path = scratch_path(spark, "orders-csv")
+    lines.unionByName(blank).write.text(path)
+    return accepted(read_csv_lines(spark, path, _ORDERS, options=_ORDER_OPTIONS))
+
+
+@query(
+    """
+    SELECT '{"o_orderkey":' || o_orderkey || '}' AS raw FROM orders WHERE o_orderpriority = '5-LOW'
+    UNION ALL SELECT '' FROM orders WHERE o_orderpriority = '2-HIGH'
+    """
+)
+def p02_json_required(spark: SparkSession, folder: str) -> DataFrame:
+    low, blank = F.col("o_orderpriority") == "5-LOW", F.col("o_orderpriority") == "2-HIGH"
+    whole = F.format_string(
+        '{"o_orderkey":%d,"o_custkey":%d,"o_orderstatus":"%s","o_totalprice":%s,'
+        '"o_orderdate":"%s","o_orderpriority":"%s"}',
+        "o_orderkey", "o_custkey", "o_orderstatus", "price", "date", "o_orderpriority",
+    )
+    line = F.when(low, F.format_string('{"o_orderkey":%d}', "o_orderkey")).when(blank, "").otherwise(whole)
+    path = scratch_path(spark, "orders-json")
+    _as_text(read_table(spark, folder, "orders")).select(line.alias("value")).write.text(path)
+    return quarantine(read_json_lines(spark, path, _ORDERS, options=_ORDER_OPTIONS)).select("raw")
+
+
 # P3
 
 

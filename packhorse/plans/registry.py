@@ -7,8 +7,6 @@ from textwrap import dedent
 
 from pyspark.sql import DataFrame, SparkSession
 
-from packhorse.functions.skew import ROWS_PER_TASK
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -27,6 +25,6 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def a_twentieth(df: DataFrame) -> int:
-    """Rows per task for the queries with one large key, so that it is cut on small data too."""
-    return max(1, min(ROWS_PER_TASK, df.count() // 20))
+# Rows per task of the queries with one large key, whatever the size of the
+# tables: few enough for that key to be cut on the smallest of them.
+SMALL_CUT = 1000

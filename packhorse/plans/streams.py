@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from packhorse.functions.columns import money
 from packhorse.plans.registry import query
 from packhorse.session import scratch_path
-from packhorse.sources.contracts import CONTRACTS
+from packhorse.sources.contracts import CONTRACTS, read_table
 from packhorse.streaming.events import (
     read_parquet_stream,
     run_available,
@@ -82,5 +82,30 @@ def p21_dedupe_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Every event arrives twice, the second time stamped five minutes later."""
     events = _events(spark, folder).select("event_id", "ts", "user_id", "event_type", "value")
     repeated = events.unionByName(events.withColumn("ts", F.expr("ts + INTERVAL 5 MINUTES")))
-    once = stream_dedupe(repeated, ["event_id"], "ts", "10 minutes", ["event_id", "ts"]).drop("ts")
+    once = stream_dedupe(repeated, ["event_id"], "ts", "10 minutes").drop("ts")
     return _result(spark, once, "deduplicated")
+
+
+@query(
+    """
+    SELECT event_id, user_id, event_type, value FROM events
+    UNION ALL SELECT event_id, user_id, event_type, value FROM events
+    """
+)
+def p21_dedupe_chains(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event arrives three times: as it is, 5 and 25 days later, read in spans of 5 days.
+
+    The second copy is within the bound of the first and is dropped; the third
+    is beyond it, and must not be held back by the second.
+    """
+    events = read_table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    copies = [events.withColumn("ts", F.expr(f"ts + INTERVAL {days} DAYS")) for days in (0, 5, 25)]
+    every = copies[0].unionByName(copies[1]).unionByName(copies[2])
+    span = F.floor(F.datediff("ts", F.lit("2024-01-01")) / 5)
+    path = scratch_path(spark, "chains")
+    first, last = every.agg(F.min(span), F.max(span)).first()
+    for number in range(first, last + 1):
+        every.filter(span == number).coalesce(1).write.parquet(f"{path}/span={number:04d}")
+    stream = read_parquet_stream(streaming_session(spark), f"{path}/span=*", every.schema, files_per_batch=1)
+    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    return _result(spark, stream_dedupe(stream, ["event_id"], "ts", "6 days").drop("ts"), "chains")

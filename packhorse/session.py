@@ -75,13 +75,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one folder that `scratch_path` gave, when no plan reads it any more."""
+    delete_folder(spark, path)
+    if path in _scratch:
+        _scratch.remove(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any file system that Spark knows."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Delete the folders `scratch_path` gave to this process.
 
     For the end of a job: results that read from them can no longer be used.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     while _scratch:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        path.getFileSystem(conf).delete(path, True)
+        delete_folder(spark, _scratch.pop())

@@ -38,22 +38,54 @@ def highest_mark(df: DataFrame, at: str, row_id: str) -> Mark | None:
     return None if last is None else Mark(last, df.schema[at].dataType.simpleString(), number)
 
 
-def extract_after(
-    df: DataFrame, at: str, row_id: str, mark: Mark | None
-) -> tuple[DataFrame, Mark | None]:
-    """The rows after `mark`, and the mark to store once they are loaded.
+class Extract(NamedTuple):
+    """Rows to load, rows without a time, and the mark to store once they are loaded."""
+
+    rows: DataFrame
+    undated: DataFrame
+    mark: Mark | None
+
 
-    The new mark is taken first and limits the extract, so rows that arrive in
-    between are left for the next run and none is taken twice.
+def extract_after(
+    df: DataFrame,
+    at: str,
+    row_id: str,
+    mark: Mark | None,
+    lookback: str | None = None,
+    loaded: DataFrame | None = None,
+) -> Extract:
+    """The rows after `mark`, those without a time apart, and the next mark.
+
+    The new mark is taken first and limits the extract, so rows with a later
+    time that arrive in between are left for the next run and none is taken
+    twice. A row that arrives with a time before the mark is late: it is taken
+    if its time is within `lookback` (an interval, as '2 days') before the mark
+    and its id is not among those of `loaded`, the table that earlier runs
+    filled; beyond `lookback`, or without one, it is not taken. Rows without a
+    time have no place before or after a mark: they are returned apart, by
+    every run until `loaded` holds their ids.
     """
-    fresh = df if mark is None else df.filter(_after(mark, at, row_id))
-    new = highest_mark(fresh, at, row_id)
-    if new is None:
-        return fresh, mark
-    upto = (F.col(at) <= new.time()) & (
-        (F.col(at) < new.time()) | (F.col(row_id) <= F.lit(new.row_id))
-    )
-    return fresh.filter(upto), new
+    if (lookback is None) != (loaded is None):
+        raise ValueError("lookback needs the loaded rows, so that none is taken twice")
+
+    def new_only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+        ids = ids.select(F.col(row_id).alias("_loaded"))
+        return rows.join(ids, F.col(row_id) == F.col("_loaded"), "left_anti")
+
+    undated = df.filter(F.col(at).isNull())
+    fresh = df.filter(F.col(at).isNotNull() if mark is None else _after(mark, at, row_id))
+    new = highest_mark(fresh, at, row_id) or mark
+    if new is not None:
+        fresh = fresh.filter(
+            (F.col(at) <= new.time()) & ((F.col(at) < new.time()) | (F.col(row_id) <= F.lit(new.row_id)))
+        )
+    if loaded is not None:
+        undated = new_only(undated, loaded.filter(F.col(at).isNull()))
+        if mark is not None:
+            since = mark.time() - F.expr(f"INTERVAL {lookback}")
+            late = df.filter((F.col(at) >= since) & (F.col(at) <= mark.time()) & ~_after(mark, at, row_id))
+            fresh = fresh.unionByName(new_only(late, loaded.filter(F.col(at) >= since)))
+    return Extract(fresh, undated, new)
 
 
 def save_mark(spark: SparkSession, path: str, mark: Mark) -> None:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from packhorse.functions.columns import all_of
 from packhorse.functions.skew import ROWS_PER_TASK, filter_join
 from packhorse.operators.keys import dedupe_latest
+from packhorse.session import delete_folder, scratch_path
 
 
 def upsert(
@@ -54,29 +57,62 @@ def upsert_partitions(
     keys: Sequence[str],
     partitions: Sequence[str],
     latest: Sequence[Column],
+    keys_stay: bool = False,
 ) -> None:
     """P17 into a table written by P18: read and rewrite touched partitions only.
 
-    A key must not move between partitions. The number of partition values is
-    that of folders to rewrite, so they are taken to the driver to prune the
-    read. The old files stay until the new ones are complete; Spark then swaps
-    folders one by one, so readers should wait for the job to end.
+    A key may move: the partitions that hold rows of changed keys now are found
+    from the stored keys and rewritten too, and a partition that loses its last
+    row is deleted. `keys_stay` spares that pass over the stored key columns where
+    keys never move. The old files stay until the new ones are complete; Spark
+    then swaps folders one by one, so readers should wait for the job to end.
     """
     stored = spark.read.parquet(path)
     types = {name: stored.schema[name].dataType for name in partitions}
-    changes = changes.withColumns({name: F.col(name).cast(t) for name, t in types.items()})
-    touched = [
-        all_of(F.col(name).eqNullSafe(F.lit(row[name])) for name in partitions)
-        for row in changes.select(*partitions).distinct().collect()
-    ]
-    if not touched:
-        return
-    pruned = stored.filter(_any_of(touched))
-    load_partitions(upsert(pruned, changes, keys, latest), path, partitions)
-
-
-def _any_of(conditions: Sequence[Column]) -> Column:
-    found = conditions[0]
-    for condition in conditions[1:]:
-        found = found | condition
-    return found
+    cast = changes.withColumns({name: F.col(name).cast(t) for name, t in types.items()})
+    newest = _written(dedupe_latest(cast, keys, latest), "changes")
+    touched = newest.select(*partitions)
+    if not keys_stay:
+        changed = newest.select(*[F.col(key).alias(f"_new_{key}") for key in keys])
+        same = all_of(F.col(key).eqNullSafe(F.col(f"_new_{key}")) for key in keys)
+        holding = stored.select(*dict.fromkeys([*keys, *partitions])).join(changed, same, "left_semi")
+        touched = touched.unionByName(holding.select(*partitions))
+    touched = _written(touched.groupBy(*partitions).agg(F.count(F.lit(1)).alias("_n")), "touched")
+    pruned = _of_partitions(stored, touched, partitions)
+    merged = upsert(pruned.drop("_file"), newest, keys, latest)
+    emptied = _emptied(pruned, merged, partitions)
+    load_partitions(merged, path, partitions)
+    for folder in emptied:
+        delete_folder(spark, folder)
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _of_partitions(stored: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """The stored rows of touched partitions; only their folders are read.
+
+    The join prunes the scan at run time, which Spark does for equality and a
+    filtered side. Partitions with a null value are pruned by a plain filter.
+    """
+    names = {name: f"_in_{name}" for name in partitions}
+    wanted = touched.withColumnsRenamed(names).filter("_n > 0")
+    equal = all_of(F.col(name) == F.col(other) for name, other in names.items())
+    alike = all_of(F.col(name).eqNullSafe(F.col(other)) for name, other in names.items())
+    some_null = reduce(or_, [F.col(name).isNull() for name in partitions])
+    stored = stored.withColumn("_file", F.col("_metadata.file_path"))
+    return stored.join(wanted, equal, "left_semi").unionByName(
+        stored.filter(some_null).join(wanted, alike, "left_semi")
+    )
+
+
+def _emptied(pruned: DataFrame, merged: DataFrame, partitions: Sequence[str]) -> list[str]:
+    """Folders of partitions that hold rows now and will not: as many as keys move out of for good."""
+    names = {name: f"_left_{name}" for name in partitions}
+    left = merged.select(*partitions).distinct().withColumnsRenamed(names)
+    alike = all_of(F.col(name).eqNullSafe(F.col(other)) for name, other in names.items())
+    folder = F.regexp_replace("_file", "/[^/]*$", "").alias("folder")
+    return [row.folder for row in pruned.join(left, alike, "left_anti").select(folder).distinct().collect()]

@@ -8,6 +8,8 @@ does not change with the columns a later step selects.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +23,17 @@ def _parser_options(options: Mapping[str, str] | None) -> dict[str, str]:
 
 
 def _with_bad(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+    # All nullable while parsing; what is required is checked afterwards.
+    fields = [T.StructField(field.name, field.dataType) for field in schema.fields]
+    return T.StructType([*fields, T.StructField(_BAD, T.StringType())])
 
 
-def _parsed(lines: DataFrame, row: Column) -> DataFrame:
+def _parsed(lines: DataFrame, row: Column, schema: T.StructType) -> DataFrame:
+    """Malformed: what does not parse, blank lines, and lines without a required field."""
+    missing = [F.col("row").getField(f.name).isNull() for f in schema.fields if not f.nullable]
+    bad = reduce(or_, missing, F.col(f"row.{_BAD}").isNotNull() | (F.trim("raw", F.lit(" \t\r")) == ""))
     return lines.select("raw", "file", row.alias("row")).select(
-        "raw", "file", "row.*", F.col(f"row.{_BAD}").isNotNull().alias("is_malformed")
+        "raw", "file", "row.*", F.coalesce(bad, F.lit(True)).alias("is_malformed")
     ).drop(_BAD)
 
 
@@ -45,15 +52,16 @@ def read_csv_lines(
 ) -> DataFrame:
     """Typed columns plus `raw`, `file` and `is_malformed`, one row per line.
 
-    A line with missing or surplus fields, or a field that does not parse as
-    its declared type, is malformed. Lines equal to `header` are not data.
+    A line with missing or surplus fields, a field that does not parse as its
+    declared type, or nothing in a field that `schema` declares not null is
+    malformed, and so is a blank line. Lines equal to `header` are not data.
     """
     lines = _lines(spark, path)
     if header is not None:
         lines = lines.filter(F.col("raw") != header)
     typed = _with_bad(schema)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in typed.fields)
-    return _parsed(lines, F.from_csv("raw", ddl, _parser_options(options)))
+    return _parsed(lines, F.from_csv("raw", ddl, _parser_options(options)), schema)
 
 
 def read_json_lines(
@@ -64,7 +72,7 @@ def read_json_lines(
 ) -> DataFrame:
     """As `read_csv_lines`, for one JSON object per line."""
     row = F.from_json("raw", _with_bad(schema), _parser_options(options))
-    return _parsed(_lines(spark, path), row)
+    return _parsed(_lines(spark, path), row, schema)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

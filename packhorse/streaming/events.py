@@ -13,14 +13,13 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     """A session of the same application with settings for stateful streams.
 
     Watermarks need `timestamp`, so the zone is fixed to UTC. State is kept in
-    RocksDB, on disk, as it may outgrow the heap. The number of shuffle
-    partitions is fixed for the life of a checkpoint; it is the caller's, but
-    no more than two per core, as each one holds a state store.
+    RocksDB, on disk, as it may outgrow the heap. `spark.sql.shuffle.partitions`
+    stays the caller's: it is fixed for the life of a checkpoint, and each
+    partition holds a state store, so choose it for the stream's final size.
     """
     side = spark.newSession()
-    cores = spark.sparkContext.defaultParallelism
-    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores)
-    side.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    side.conf.set("spark.sql.shuffle.partitions", partitions)
     side.conf.set("spark.sql.session.timeZone", "UTC")
     # Sessions are merged before the shuffle too, so a busy key sends few rows.
     side.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
@@ -75,28 +74,14 @@ def stream_sessions(
     )
 
 
-def stream_dedupe(
-    df: DataFrame,
-    keys: Sequence[str],
-    at: str,
-    bound: str,
-    arrival: Sequence[str] | None = None,
-    spread: int = 16,
-) -> DataFrame:
-    """The first row per key to arrive; later ones within `bound` are dropped.
+def stream_dedupe(df: DataFrame, keys: Sequence[str], at: str, bound: str) -> DataFrame:
+    """The first row per key to arrive; later ones within `bound` of it are dropped.
 
-    Duplicates are dropped twice, first within `spread` parts of each key, so
-    that one key with very many rows is taken in by that many tasks and sends
-    on few. The part is a hash of `arrival`, which should tell copies of a row
-    apart and be the same when a batch is run again: a file and row number, or
-    a partition and offset. Without it all columns are hashed.
+    A row is compared with the last row that was let through, not with those
+    that were dropped. State is one row per key, so a busy key costs time in its
+    task but no memory.
     """
-    df = df.withWatermark(at, bound)
-    if spread <= 1:
-        return df.dropDuplicatesWithinWatermark(list(keys))
-    part = F.pmod(F.xxhash64(*(arrival or df.columns)), F.lit(spread))
-    parts = df.withColumn("_part", part).dropDuplicatesWithinWatermark([*keys, "_part"])
-    return parts.drop("_part").dropDuplicatesWithinWatermark(list(keys))
+    return df.withWatermark(at, bound).dropDuplicatesWithinWatermark(list(keys))
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str) -> None:

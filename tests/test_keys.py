@@ -152,10 +152,14 @@ def test_type2_history(spark):
 
 @pytest.mark.parametrize("rows_per_task", [None, 30])
 def test_as_of(spark, rows_per_task):
-    """Strictly earlier rows only; of equal times the one with the greater tie-break."""
+    """Strictly earlier rows only; of equal times the one with the greater tie-break; nulls match nothing."""
     draw = random.Random(3)
-    left = [(draw.choice(["h", "h", "h", "a", None]), draw.randint(0, 50), i) for i in range(200)]
-    right = [(draw.choice(["h", "h", "b", "a", None]), draw.randint(0, 50), i) for i in range(150)]
+
+    def time():
+        return None if draw.random() < 0.1 else draw.randint(0, 50)
+
+    left = [(draw.choice(["h", "h", "h", "a", None]), time(), i) for i in range(200)]
+    right = [(draw.choice(["h", "h", "b", "a", None]), time(), i) for i in range(150)]
     schema = "k string, at int, id long"
     got = as_of(
         spark.createDataFrame(left, schema), spark.createDataFrame(right, schema),
@@ -163,7 +167,9 @@ def test_as_of(spark, rows_per_task):
     )
     want = []
     for k, at, i in left:
-        earlier = [r for r in right if r[0] == k and r[1] < at]
+        earlier = [
+            r for r in right if None not in (k, at, r[1]) and r[0] == k and r[1] < at
+        ]
         want.append((k, at, i, max(earlier, key=lambda r: (r[1], r[2])) if earlier else None))
     rows = [(r.k, r.at, r.id, None if r.hit is None else tuple(r.hit)) for r in got.collect()]
     assert sorted(rows, key=lambda r: r[2]) == sorted(want, key=lambda r: r[2])
@@ -187,5 +193,7 @@ def test_pivot_and_back(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (2, "other")], "k int, t string")
     wide = pivot(df, ["k"], "t", ["x", "y"], F.count(F.lit(1)), 0)
     assert sorted(map(tuple, wide.collect())) == [(1, 2, 0), (2, 0, 1)]
+    rest = pivot(df.union(spark.createDataFrame([(3, None)], df.schema)), ["k"], "t", ["x"], F.count(F.lit(1)), 0, "rest")
+    assert sorted(map(tuple, rest.collect())) == [(1, 2, 0), (2, 0, 2), (3, 0, 1)]
     long = unpivot(wide, ["k"], ["x", "y"], "t", "n")
     assert sorted(map(tuple, long.collect())) == [(1, "x", 2), (1, "y", 0), (2, "x", 0), (2, "y", 1)]

@@ -9,13 +9,16 @@ import pytest
 from compare import spark_rows
 from pyspark.sql import functions as F
 
-from packhorse.functions.skew import large_keys, split
+from packhorse import session
+from packhorse.functions.skew import LEAST_SAMPLES, large_keys, least_samples, sample_share, split
 from packhorse.operators.ordered import (
     LastKnown,
     Next,
     Position,
     Previous,
     RunningTotal,
+    cut,
+    running,
     scan,
     top_k,
     top_ranks,
@@ -103,6 +106,29 @@ def test_large_key_is_spread_over_tasks(spark):
     assert tuple(largest) == (20_000, 20_000)
 
 
+def test_the_threshold_does_not_move_with_the_table():
+    """The share of rows that is looked at, and the samples that make a key large, follow from the limit alone."""
+    for limit in (10, 1000, 2_000_000, 10**9):
+        assert least_samples(limit) == max(LEAST_SAMPLES, int(limit * sample_share(limit)))
+        assert abs(least_samples(limit) / sample_share(limit) - max(limit, LEAST_SAMPLES)) <= 1 / sample_share(limit)
+
+
+def test_running_totals_refuse_floats(spark):
+    df = spark.createDataFrame([("a", 1, 0.5)], "k string, at int, v double")
+    with pytest.raises(TypeError, match="decimal"):
+        running(df, ["k"], ["at"], F.col("v"))
+
+
+def test_chunks_leave_no_copy_behind(spark):
+    """Of the folders a cut writes, the copy that only the bounds were taken from is deleted."""
+    df = spark.range(6000).select(F.lit(1).alias("k"), F.col("id").alias("at"))
+    before = set(session._scratch)
+    parts = cut(df, ["k"], ["at"], 1000)
+    new = [path.rpartition("/")[2] for path in set(session._scratch) - before]
+    assert parts.large is not None and any(name.startswith("chunks-") for name in new)
+    assert all(name.startswith(("chunks-", "large-keys-")) for name in new)
+
+
 def test_no_large_key_is_the_plain_window(spark):
     df = spark.range(5000).select((F.col("id") / 4).cast("long").alias("k"), "id")
     assert large_keys(df, ["k"], 1000) is None

@@ -28,7 +28,7 @@ from packhorse.sources.contracts import (
     read_table,
 )
 from packhorse.sources.incremental import extract_after, highest_mark, load_mark, save_mark
-from packhorse.sources.loads import load_partitions, upsert, upsert_partitions
+from packhorse.sources.loads import _of_partitions, _written, load_partitions, upsert, upsert_partitions
 from packhorse.sources.text import accepted, quarantine, read_csv_lines, read_json_lines
 
 T0 = datetime(2024, 1, 1)
@@ -102,6 +102,18 @@ def test_json_quarantine(spark):
     assert sorted(row.raw for row in quarantine(parsed).collect()) == sorted(bad)
 
 
+def test_blank_lines_and_required_fields(spark):
+    schema = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("n", T.StringType(), False), T.StructField("x", T.IntegerType())])
+    good, bad = ["1,a,", "2,b,5"], ["", "   ", "3,,7", ",c,7", "2,"]
+    parsed = read_csv_lines(spark, written(spark, good + bad), schema)
+    assert sorted(row.id for row in accepted(parsed).collect()) == [1, 2]
+    assert sorted(row.raw for row in quarantine(parsed).collect()) == sorted(bad)
+    good, bad = ['{"id":1,"n":"a"}', '{"id":2,"n":"","x":3}'], ["", " ", "{}", '{"x":2}', '{"id":null,"n":"a"}']
+    parsed = read_json_lines(spark, written(spark, good + bad), schema)
+    assert sorted(row.id for row in accepted(parsed).collect()) == [1, 2]
+    assert sorted(row.raw for row in quarantine(parsed).collect()) == sorted(bad)
+
+
 # P3, P4, P5, P22
 
 
@@ -157,6 +169,22 @@ def test_profile(spark):
     assert nothing == dict.fromkeys(want, (0, 0, "", "", 0))
 
 
+def test_profile_of_maps_and_structs(spark):
+    df = spark.sql("""
+        SELECT * FROM VALUES
+            (map('a', 1, 'b', 2), struct(map('k', 1) AS m), 'x'), (map('b', 2, 'a', 1), struct(map('k', 2) AS m), 'x'),
+            (map('a', 1), struct(map('k', 1) AS m), NULL), (NULL, NULL, 'y') AS t(m, s, v)
+    """)
+    got = {r.column_name: (r.n_rows, r.n_nulls, r.least, r.greatest, r.n_distinct) for r in profile(df).collect()}
+    assert got == {"m": (4, 1, "", "", 2), "s": (4, 1, "", "", 2), "v": (4, 1, "x", "y", 2)}
+
+
+def test_profile_shuffles_no_text(spark):
+    plan = profile(read_table(spark, SMALL, "pages"))._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert keys and not any("html" in line for line in keys)
+
+
 def test_estimated_distinct_is_close(spark):
     df = read_table(spark, SMALL, "lineitem")
     exact = {row.column_name: row.n_distinct for row in profile(df).collect()}
@@ -177,20 +205,41 @@ def test_extracts_take_every_row_once(spark):
 
     path = scratch_path(spark, "marks")
     assert load_mark(spark, path) is None
-    first, mark = extract_after(rows(range(10)), "ts", "id", load_mark(spark, path))
+    first, _, mark = extract_after(rows(range(10)), "ts", "id", load_mark(spark, path))
     save_mark(spark, path, mark)
-    second, mark = extract_after(rows(range(20)), "ts", "id", load_mark(spark, path))
+    second, _, mark = extract_after(rows(range(20)), "ts", "id", load_mark(spark, path))
     save_mark(spark, path, mark)
-    third, unchanged = extract_after(rows(range(20)), "ts", "id", load_mark(spark, path))
+    third, _, unchanged = extract_after(rows(range(20)), "ts", "id", load_mark(spark, path))
     taken = [sorted(row.id for row in df.collect()) for df in (first, second, third)]
     assert taken == [list(range(10)), list(range(10, 20)), []]
     assert unchanged == mark == highest_mark(rows(range(20)), "ts", "id")
 
 
+def test_late_and_undated_rows(spark):
+    def rows(*pairs):
+        times = [(i, None if h is None else T0 + timedelta(hours=h)) for i, h in pairs]
+        return spark.createDataFrame(times, "id long, ts timestamp_ntz")
+
+    def ids(df):
+        return sorted(row.id for row in df.collect())
+
+    none = rows().limit(0)
+    first = extract_after(rows((1, 1), (2, 10), (3, None)), "ts", "id", None, "5 HOURS", none)
+    assert (ids(first.rows), ids(first.undated)) == ([1, 2], [3])
+    there = rows((1, 1), (2, 10), (3, None), (4, 6), (5, 3), (6, 11), (7, None), (8, 10), (0, 10))
+    loaded = rows((1, 1), (2, 10), (3, None))
+    second = extract_after(there, "ts", "id", first.mark, "5 HOURS", loaded)
+    assert (ids(second.rows), ids(second.undated)) == ([0, 4, 6, 8], [7])
+    plain = extract_after(there, "ts", "id", first.mark)
+    assert (ids(plain.rows), ids(plain.undated)) == ([6, 8], [3, 7])
+    with pytest.raises(ValueError, match="lookback"):
+        extract_after(there, "ts", "id", first.mark, "5 HOURS")
+
+
 def test_mark_reaches_the_scan(spark):
     events = read_table(spark, SMALL, "events")
     mark = highest_mark(events.filter(F.col("event_id") < 500), "ts", "event_id")
-    fresh, _ = extract_after(events, "ts", "event_id", mark)
+    fresh = extract_after(events, "ts", "event_id", mark).rows
     plan = fresh.select("event_id")._jdf.queryExecution().executedPlan().toString()
     pushed = plan[plan.index("PushedFilters"):]
     assert "GreaterThanOrEqual(ts,2024" in pushed and "LessThanOrEqual(ts,2024" in pushed
@@ -244,6 +293,44 @@ def test_load_touches_only_its_partitions(spark, tmp_path):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_moved_keys_leave_no_old_row(spark, tmp_path):
+    path = str(tmp_path / "table")
+    schema = "k long, p string, q int, v int"
+    rows = [(1, "a", 1, 0), (2, "a", 1, 0), (3, "b", 1, 0), (4, None, 1, 0), (None, "c", 2, 0), (6, "d", 2, 0)]
+    load_partitions(spark.createDataFrame(rows, schema), path, ["p", "q"])
+    untouched = sorted(f.name for f in (tmp_path / "table" / "p=d" / "q=2").glob("*.parquet"))
+    changes = [(1, "b", 1, 9, 1), (3, None, 1, 9, 1), (4, "a", 1, 9, 1), (None, "e", 2, 9, 1)]
+    changes = spark.createDataFrame(changes, schema + ", n int")
+    upsert_partitions(spark, path, changes, ["k"], ["p", "q"], [F.desc("n")])
+    got = sorted(((r.k, r.p, r.q, r.v) for r in spark.read.parquet(path).collect()), key=str)
+    want = [(1, "b", 1, 9), (2, "a", 1, 0), (3, None, 1, 9), (4, "a", 1, 9), (None, "e", 2, 9), (6, "d", 2, 0)]
+    assert got == sorted(want, key=str)
+    assert not (tmp_path / "table" / "p=c" / "q=2").exists()
+    assert sorted(f.name for f in (tmp_path / "table" / "p=d" / "q=2").glob("*.parquet")) == untouched
+
+
+def test_thousands_of_touched_partitions(spark, tmp_path):
+    """The read is pruned by a join, whose plan does not grow with them."""
+    path = str(tmp_path / "table")
+    rows = spark.range(5100).select(F.col("id").alias("k"), F.col("id").alias("p"), F.lit(0).alias("v"))
+    load_partitions(rows.coalesce(1), path, ["p"])
+    changes = rows.filter("k < 5000").withColumns({"v": F.lit(1), "n": F.lit(1)})
+    upsert_partitions(spark, path, changes, ["k"], ["p"], [F.desc("n")], keys_stay=True)
+    got = spark.read.parquet(path).agg(F.count("k"), F.sum("v"), F.count_if(F.col("k") == F.col("p"))).first()
+    assert tuple(got) == (5100, 5000, 5100)
+
+
+def test_touched_partitions_prune_the_scan(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.range(20).select(F.col("id").alias("k"), (F.col("id") % 5).alias("p"))
+    load_partitions(rows, path, ["p"])
+    touched = _written(spark.createDataFrame([(1, 1)], "p int, _n long"), "touched")
+    pruned = _of_partitions(spark.read.parquet(path), touched, ["p"])
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    assert sorted(row.k for row in pruned.collect()) == [1, 6, 11, 16]
+
+
 def test_large_partition_is_written_by_many_tasks(spark, tmp_path):
     name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     spark.conf.set(name, "100KB")
