@@ -16,6 +16,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows of text per Arrow batch. Texts differ in length by orders of magnitude.
+TEXT_ROWS = 1000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def by_small_batches(df: DataFrame) -> DataFrame:
+    """`df`; its session sends texts to Python in batches of at most `TEXT_ROWS` rows from now on.
+
+    Spark's default of 10,000 rows lets a batch of long texts fill a worker's
+    memory. A lower setting of the session's stays.
+    """
+    spark = df.sparkSession
+    if not 0 < int(spark.conf.get(_ROWS)) <= TEXT_ROWS:
+        spark.conf.set(_ROWS, str(TEXT_ROWS))
+    return df
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """`df` written to the shared scratch folder and read back.
 

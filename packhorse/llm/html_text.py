@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packhorse.llm.common import bounded_broadcast, stored, table
+from packhorse.llm.common import bounded_broadcast, by_small_batches, stored, table
 
 # Kinds of elements, and words in class, id and role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -123,13 +123,16 @@ def blocks_of(page: str | None) -> tuple[list[Block], list]:
         linked = 0
 
     def close(tags: set[str], limit: set[str]) -> None:
+        """Close the outermost open element of `tags` that no element of `limit` holds."""
+        found = None
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0].tag in tags:
-                flush()
-                del stack[i:]
-                return
+                found = i
             if stack[i][0].tag in limit:
-                return
+                break
+        if found is not None:
+            flush()
+            del stack[found:]
 
     while at < len(page):
         token = _TOKEN.search(page, at)
@@ -169,8 +172,7 @@ def blocks_of(page: str | None) -> tuple[list[Block], list]:
             links -= tag == "a" and links > 0
         else:
             flush()
-            if any(element.tag == tag for element, _ in stack):
-                close({tag}, set())
+            close({tag}, {tag})
     flush()
     return blocks, root[1]
 
@@ -345,7 +347,7 @@ def extract(df: DataFrame, settings: Settings | None = None, page: str = "html",
     that is already named `out` is replaced, and `_host` and `_slots` are reserved.
     """
     settings = settings or Settings()
-    hosted = df.withColumn("_host", host_of(url))
+    hosted = by_small_batches(df).withColumn("_host", host_of(url))
     pages = hosted.select(F.col("_host").alias("host"), F.col(page).alias("html"))
     wrappers = infer_wrappers(pages, settings)
 

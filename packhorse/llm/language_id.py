@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packhorse.llm.common import held_out, in_training, table
+from packhorse.llm.common import by_small_batches, held_out, in_training, table
 
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -127,7 +127,7 @@ def language_id(
         for texts in batches:
             yield pd.DataFrame([encoders.judge(value) for value in texts], columns=RESULT.names)
 
-    return df.withColumn(out, judge(F.col(text)))
+    return by_small_batches(df).withColumn(out, judge(F.col(text)))
 
 
 def fit_documents(docs: DataFrame, settings: Settings) -> dict[str, bytes]:

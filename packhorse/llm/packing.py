@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packhorse.llm.common import bounded_broadcast, running_start, stored, table
+from packhorse.llm.common import bounded_broadcast, by_small_batches, running_start, stored, table
 
 
 @dataclass(frozen=True)
@@ -209,7 +209,7 @@ def pack(
     any other, as are repeated rows and keys: each row is packed. An empty table
     gives no pieces. Other columns of `df` are left aside, whatever their names.
     """
-    rows = df.select(
+    rows = by_small_batches(df).select(
         F.col(key).alias("key"), F.col(source).cast("string").alias("queue"),
         F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"),
     )
@@ -219,7 +219,8 @@ def pack(
     share = F.col("total").cast("double")
     if shares:
         named = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
-        share = F.coalesce(F.try_element_at(named, F.col("queue")) * F.sum("total").over(), share)
+        whole = totals.agg(F.sum("total")).first()[0] or 0
+        share = F.coalesce(F.try_element_at(named, F.col("queue")) * F.lit(whole), share)
     totals = bounded_broadcast(totals.select(F.col("queue").alias("q"), "total", "first", share.alias("share")))
     size = settings.quantum
     placed = stored(

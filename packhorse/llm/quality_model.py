@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packhorse.llm.common import held_out, in_training, table
+from packhorse.llm.common import by_small_batches, held_out, in_training, table
 from packhorse.llm.quality_rules import repeated_lines, repeated_words
 
 FEATURES = (
@@ -166,7 +166,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings, label:
         .orderBy(F.xxhash64(F.col("doc_id"), F.lit(29)), "doc_id").limit(settings.rows)
     )
     # Bounded by `rows`, hence the hint.
-    picked = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+    picked = by_small_batches(docs).select("doc_id", "text").join(F.broadcast(few), "doc_id")
     told = picked.select("doc_id", "y", text_statistics(F.col("text")).alias("x"))
     once = told.groupBy("doc_id").agg(F.max(F.struct("y", "x")).alias("best"))
     rows = once.orderBy("doc_id").select("best.*").toPandas()
@@ -189,7 +189,7 @@ def quality_score(df: DataFrame, trees: Trees, text: str = "text", out: str = "s
             x = np.array([statistics(value, squeeze) for value in texts], float)
             yield pd.Series(trees.probability(x.reshape(-1, len(FEATURES))))
 
-    return df.withColumn(out, score(F.col(text)))
+    return by_small_batches(df).withColumn(out, score(F.col(text)))
 
 
 def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packhorse.llm.common import table
+from packhorse.llm.common import by_small_batches, table
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -139,7 +139,7 @@ def quality_rules(df: DataFrame, text: str = "text", out: str = "quality", bands
             rows = [measure(value, squeeze, bands) for value in texts]
             yield pd.DataFrame(rows, columns=RESULT.names)
 
-    return df.withColumn(out, judge(F.col(text)))
+    return by_small_batches(df).withColumn(out, judge(F.col(text)))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -175,9 +175,9 @@ def find_secrets(
         rows.filter(~some).withColumn(out, none)
     )
     empty = F.array().cast(listed.schema[out].dataType)
-    return marked.withColumn(out, F.coalesce(out, empty)).drop(
-        "_scan_row", "_scan_owner", "_scan_repository", "_scan_hits"
-    )
+    columns = [name for name in df.columns if keep_text or name != text]
+    columns += [] if out in columns else [out]
+    return marked.withColumn(out, F.coalesce(out, empty)).select(*columns)
 
 
 def redact(df: DataFrame, text: str = "text", spans: str = "secrets", mark: str = "[SECRET]") -> DataFrame:

@@ -1,0 +1,95 @@
+"""Operator 2: wrappers, and main texts of made and given pages."""
+
+from __future__ import annotations
+
+import html
+import re
+
+import pytest
+
+from packhorse.llm import html_text
+from packhorse.llm.html_text import align, as_pattern, expression, main_text
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def test_given_pages_by_brute_force(spark):
+    """In the given pages the main text is what stands in the article."""
+    pages = {row.page_id: row for row in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()}
+    rows = html_text.op2_html_text(spark, FOLDER).collect()
+    assert len(rows) == len(pages)
+    for row in rows:
+        article = pages[row.page_id].html.split("<article>")[1].split("</article>")[0]
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", part)).split()) for part in re.split("</?(?:p|h1)>", article)]
+        assert row.text == "\n\n".join(block for block in blocks if block)
+        assert row.n_chars == len(row.text) and row.url == pages[row.page_id].url
+
+
+PAGES = {
+    "article": (
+        "<html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header><nav><ul><li><a href=/>Home</a></ul></nav>"
+        "<main><article><header><h2>Title &amp; more</h2><p>by me</p></header><p>One <b>two</b>\n three.<br>four<p>Five&nbsp;six &lt;7&gt;"
+        "<ul><li>a<li>b</ul><table><tr><td>x<td>y</table><div class='advert'>buy</div><form><input> send</form>"
+        "<section id=comments><p>nice</p></section></article><aside>side</aside></main><footer>&copy; me</footer><script>if (a<b) '</p>'</script></body>",
+        ["Title & more", "One two three. four", "Five six <7>", "a", "b", "x", "y"],
+    ),
+    "content class": (
+        "<body><div class='cookie-notice'>We use cookies</div><div class=menu><p>m</p></div><div id='main-content' class=wrap><h1>H</h1><p>text<p>more</div>"
+        "<div class='sidebar'><p>s</p></div><div class=comment-list><p>c</p></div>",
+        ["H", "text", "more"],
+    ),
+    "cut off": ("<article><p>one</p><p>two <i>and", ["one", "two and"]),
+    "quotes": ("<article class=\"a>b\"><p title='x > y'>t</p><!-- <p>no</p> --></article><p>after", ["t"]),
+    "upper case": ("<ARTICLE><P>One</P><SCRIPT>no</SCRIPT><P>Two</P></ARTICLE>", ["One", "Two"]),
+    "nothing": ("<nav>menu</nav>", []),
+    "plain": ("just text &eacute;", ["just text \xe9"]),
+    "empty": ("", []),
+}
+
+
+@pytest.mark.parametrize("name", sorted(PAGES))
+def test_main_text(name):
+    page, blocks = PAGES[name]
+    assert main_text(page, None) == "\n\n".join(blocks)
+
+
+def test_expressions():
+    page = "<body><ul><li><a>1</a><li>2<li>3</ul><div><p>x</p><p>y<b>z</b></p></div></body>"
+    assert as_pattern(expression(page)) == "<body><ul>(<li>#</li>)+</ul><div>(<p>#</p>)+</div></body>"
+    a = expression("<div><h1>t</h1><p>x</p></div>")
+    b = expression("<div><p>x</p><p>y</p><table><tr><td>1</td></tr></table></div>")
+    assert as_pattern(align(a, b)) == "<div>(<h1>#</h1>)?(<p>#</p>)+(<table><tr><td>#</td></tr></table>)?</div>"
+    assert align(a, a) == a
+    assert as_pattern(align(align(a, b), a)) == as_pattern(align(a, b))
+    assert as_pattern(align(expression("<p>a</p>"), expression("<i>only text</i>"))) == "(<p>#</p>)?(#)?"
+    assert expression("") == expression(None) == []
+
+
+def test_wrapper_of_a_host(spark):
+    """One wrapper a host, also when its expressions are aligned in several rounds."""
+    rows = [("h", "<div>" + "<p>x</p>" * (i % 3) + f"<s{i}><i>t</i></s{i}></div>") for i in range(9)] + [("g", "<p>x</p>"), ("", None)]
+    df = spark.createDataFrame(rows, "host string, html string").repartition(4)
+    found = {row.host: row.wrapper for row in html_text.infer_wrappers(df, html_text.Settings(together=2)).collect()}
+    assert set(found) == {"h", "g", ""} and len(found) == 3
+
+
+def test_slots_without_marks(spark):
+    """Where nothing is marked, slots of links and of one and the same text are left out."""
+    page = "<body><table><tr><td><a href=1>home</a><tr><td>{0}</table><center>All rights reserved</center><h3>{0}</h3></body>"
+    rows = [(i, f"http://user@h.example:80/{i}", page.format(f"text number {i} of this host")) for i in range(5)]
+    rows += [(8, None, "<p>alone</p>"), (9, "http://h.example/x", None)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "home\n\ntext number 3 of this host\n\ntext number 3 of this host"
+    assert got[8] == "alone" and got[9] == ""
+
+
+def test_odd_pages(spark):
+    deep = "<div>" * 300 + "<p>deep</p>"
+    long = "<article>" + "<p>word &amp; word</p>" * 20_000
+    rows = [(1, "x", long, 7), (1, "x", long, 7), (2, None, deep, 7), (None, "http://a/", "", 7), (3, "http://a/", None, 7)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    got = html_text.extract(df)
+    assert got.columns == df.columns and got.count() == 5
+    texts = {row.page_id: row.text for row in got.collect()}
+    assert texts[1] == "\n\n".join(["word & word"] * 20_000) and texts[2] == "deep" and texts[3] == texts[None] == ""
+    assert html_text.extract(df.limit(0)).count() == 0

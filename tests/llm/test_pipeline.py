@@ -1,0 +1,82 @@
+"""The pipeline's stages against what their operators must do, on whole tables."""
+
+from __future__ import annotations
+
+import re
+
+import corpus_pipeline
+import pytest
+from test_jaccard import classes_of
+from test_packing import check_pieces, tokenizer  # noqa: F401
+from test_secrets import base_spans
+from test_text_models import base_counts
+
+from packhorse.llm.common import stored
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    found = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        found.append(stored(stage(spark, found[-1], FOLDER), name.replace(" ", "-")))
+    return found
+
+
+def test_columns_stay_but_for_the_last(stages):
+    assert len(corpus_pipeline.STAGES) == 5
+    assert all(df.columns == stages[0].columns for df in stages[1:-1])
+
+
+def test_rejected_documents_go_and_clean_ones_stay(spark, stages):
+    before, after, known = ({row.doc_id: row for row in df.collect()} for df in stages[:3])
+    assert all(after[key] == before[key] for key in after) and all(known[key] == after[key] for key in known)
+    assert not any(base_counts(row.text)[-1] for row in after.values())
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    clean = [key for key, row in before.items() if labels.get(key) == 1 and not base_counts(row.text)[-1]]
+    assert set(clean) <= set(after)
+    assert len(set(clean) & set(known)) >= 0.99 * len(clean)
+
+
+def test_one_of_each_group_stays(stages):
+    rows = [(row.doc_id, row.text) for row in stages[2].collect()]
+    want = {component for _, _, component in classes_of(rows)}
+    assert {row.doc_id for row in stages[3].collect()} == want
+
+
+def test_secrets_are_gone_and_nothing_else(stages):
+    before = {row.doc_id: row for row in stages[3].collect()}
+    after = stages[4].collect()
+    assert len(after) == len(before)
+    changed = 0
+    for row in after:
+        text = before[row.doc_id].text
+        assert not base_spans(row.text) and row.n_chars == len(row.text)
+        assert re.sub(r"\[SECRET\]", "", row.text) in text or "[SECRET]" in row.text
+        changed += row.text != text
+        assert (row.text != text) == bool(base_spans(text))
+    assert changed > 0
+
+
+def test_packed_at_the_end(stages, tokenizer):  # noqa: F811
+    texts = {row.doc_id: row.text for row in stages[4].collect()}
+    rows = stages[5].collect()
+    check_pieces(rows, texts, tokenizer)
+
+
+def test_run_gives_the_last_stage(spark, stages):
+    columns = sorted(stages[5].columns)
+    got = sorted(map(tuple, corpus_pipeline.run(spark, FOLDER).select(columns).collect()))
+    assert got == sorted(map(tuple, stages[5].select(columns).collect()))
+
+
+def test_odd_documents(spark, odd_texts):
+    """Nulls, repeated rows, clashing names and an empty table go through all stages."""
+    for df in (odd_texts, odd_texts.limit(0)):
+        docs = df.withColumnRenamed("kept", "n_chars")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stored(stage(spark, docs, FOLDER), "odd")
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+        assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
