@@ -23,6 +23,8 @@ from packhorse.functions.skew import ROWS_PER_TASK, large_keys, split
 from packhorse.session import delete_scratch, scratch_path
 
 _CHUNK = "_chunk"
+# Tasks that a key is dealt to where Spark does not limit its rows before the shuffle.
+_SHARES = 64
 
 
 @dataclass(frozen=True)
@@ -293,9 +295,17 @@ def top_k(
     """The first `k` rows per key in `order`, which has to be unique per key.
 
     Spark keeps `k` rows per key in each map task before the shuffle, so a
-    large key sends few rows. That holds up to
-    `spark.sql.optimizer.windowGroupLimitThreshold` (1000) rows per key.
+    large key sends few rows. Beyond
+    `spark.sql.optimizer.windowGroupLimitThreshold` (1000) rows it does not; then
+    the rows of a key are dealt to `_SHARES` tasks by a hash of the row first,
+    and `k` of each go on.
     """
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if k > limit >= 0:
+        share = F.pmod(F.hash(*[F.col(f"`{c}`") for c in df.columns]), F.lit(_SHARES))
+        first = Window.partitionBy(*keys, "_share").orderBy(*order)
+        df = df.withColumn("_share", share).withColumn(rank, F.row_number().over(first))
+        df = df.filter(F.col(rank) <= k).drop("_share", rank)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
 

@@ -76,11 +76,20 @@ def standardise(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     return df.select(*[field.column(df.schema[field.source].dataType) for field in fields])
 
 
-def flatten_json(df: DataFrame, column: str, schema: T.StructType, prefix: str = "") -> DataFrame:
-    """P5: replace a JSON text column by typed columns; text that is not JSON gives nulls."""
+def flatten_json(
+    df: DataFrame, column: str, schema: T.StructType, prefix: str = "", bad: str | None = None
+) -> DataFrame:
+    """P5: replace a JSON text column by typed columns.
+
+    Text that is not JSON, or does not fit the schema, gives nulls. With `bad`, a
+    column of that name holds such text, and null for all other rows.
+    """
     others = [name for name in df.columns if name != column]
-    return df.withColumn("_json", F.from_json(column, schema)).select(
-        *others, *[F.col(f"_json.{f.name}").alias(f"{prefix}{f.name}") for f in schema.fields]
+    whole = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    kept = [] if bad is None else [F.col("_json._bad").alias(bad)]
+    return df.withColumn("_json", F.from_json(column, whole, options)).select(
+        *others, *[F.col(f"_json.{f.name}").alias(f"{prefix}{f.name}") for f in schema.fields], *kept
     )
 
 

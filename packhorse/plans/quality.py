@@ -333,6 +333,20 @@ def p05_flatten(spark: SparkSession, folder: str) -> DataFrame:
     return flatten_json(read_table(spark, folder, "events"), "props", schema, "prop_")
 
 
+@query(
+    """
+    SELECT * EXCLUDE (props), CASE WHEN event_id % 9 <> 0 THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS k,
+        CASE WHEN event_id % 9 = 0 THEN 'not json ' || event_id END AS broken
+    FROM events
+    """
+)
+def p05_flatten_broken(spark: SparkSession, folder: str) -> DataFrame:
+    """Every 9th event's attributes are damaged, and kept as they are."""
+    damaged = F.when(F.col("event_id") % 9 == 0, F.concat(F.lit("not json "), "event_id")).otherwise(F.col("props"))
+    events = read_table(spark, folder, "events").withColumn("props", damaged)
+    return flatten_json(events, "props", T.StructType.fromDDL("k int"), bad="broken")
+
+
 # P22
 
 

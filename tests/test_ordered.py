@@ -156,6 +156,14 @@ def test_top_k_limits_before_the_shuffle(spark):
     assert hottest == df.filter("k = 'hot'").agg(F.max("v")).first()[0]
 
 
+def test_a_large_k_is_dealt_to_many_tasks(spark):
+    df = spark.range(20_000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    best = top_k(df, ["k"], [F.desc("v")], 1500)
+    assert "_share" in best._jdf.queryExecution().executedPlan().toString()
+    assert best.columns == ["k", "v", "rank"]
+    assert sorted(row.v for row in best.collect()) == list(range(17_000, 20_000))
+
+
 def test_top_ranks_keeps_all_ties(spark):
     rows = [("a", 9), ("a", 9), ("a", 9), ("a", 7), ("a", 7), ("a", 5), ("a", None)]
     rows += [("b", 1), (None, 4), (None, 4), (None, 2)]

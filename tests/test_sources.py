@@ -153,6 +153,8 @@ def test_flatten_json(spark):
     assert sorted(map(tuple, flat.collect())) == [
         (1, 3, "x"), (2, None, None), (3, None, None), (4, None, None)
     ]
+    told = flatten_json(df, "props", T.StructType.fromDDL("k int, s string"), bad="broken")
+    assert {row.id: row.broken for row in told.collect()} == {1: None, 2: '{"k": "bad"}', 3: "oops", 4: None}
 
 
 def test_profile(spark):
