@@ -15,60 +15,78 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packhorse.llm.classes import smallest_reachable
-from packhorse.llm.common import bounded_broadcast, stored, table
+from packhorse.llm.common import bounded_broadcast, by_small_batches, stored, table
 from packhorse.llm.shingles import bucket_counts, bucket_of, described, scan, set_id, shingle_set
 
 # The similarity is 4/5. Entries of a list that is expected to be longer are dealt to blocks of this length.
 LIST = 4096
+# Tables of short rows with no more than this are broadcast.
+FEW = 2_000_000
+# Names of sets that a task remembers, to leave out copies before the shuffle that merges the others.
+SEEN = 200_000
 BLOCKS = 0xFFF
+# Blocks of positions that a prefix is cut into; rows of one block are alike, and shuffle small.
+PLACES = 8
 
 
-def _index(texts: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Per set the entries of its prefix: list, set, size, and how common its prefix is.
+def _ordered(items: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Items from rare to common, with the powers of two that say how common, and the length of the prefix."""
+    level = np.frexp(counts[bucket_of(items)].astype(float))[1]
+    order = np.lexsort((items, level))
+    n = len(items)
+    return items[order], level[order], n - (4 * n + 4) // 5 + 1
+
+
+def _index(texts: DataFrame, shared: Broadcast) -> DataFrame:
+    """Per set the entries of its prefix: list, set, place (size and block of positions), and how common its prefix is.
 
     Shingles are ordered by how common their bucket is, in powers of two, then
     by hash. A list is a shingle without its low bits, which hold the block.
     """
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(counts)
-    usual = int(counts.mean()) + 1
+    usual = int(shared.value.mean()) + 1
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = shared.value
         seen: set[int] = set()
+        names = ("list", "set", "place", "hub")
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[], [], [], []]
+            columns: list[list[np.ndarray]] = [[] for _ in names]
+            held = 0
             for text in batch["text"]:
                 items = shingle_set(text)
                 name = set_id(items)
                 if not len(items) or name in seen:
                     continue
-                if len(seen) < 500_000:
+                if len(seen) < SEEN:
                     seen.add(name)
                 n = len(items)
-                common = counts[bucket_of(items)]
-                level = np.frexp(common.astype(float))[1]
-                prefix = np.lexsort((items, level))[: n - (4 * n + 4) // 5 + 1]
-                blocks = np.minimum(np.maximum(common[prefix].astype(np.int64) - 4 * usual, 0) // LIST + 1, BLOCKS)
+                ordered, level, size = _ordered(items, counts)
+                prefix = ordered[:size]
+                common = counts[bucket_of(prefix)].astype(np.int64)
+                blocks = np.minimum(np.maximum(common - 4 * usual, 0) // LIST + 1, BLOCKS)
                 block = np.where(blocks > 1, 1 + name % blocks, 0).astype(np.uint64)
-                size = len(prefix)
-                columns[0].append(((items[prefix] & ~np.uint64(BLOCKS)) | block).view(np.int64))
+                columns[0].append(((prefix & ~np.uint64(BLOCKS)) | block).view(np.int64))
                 columns[1].append(np.full(size, name, np.int64))
-                columns[2].append(np.full(size, n, np.int64))
-                columns[3].append(np.full(size, int(level[prefix].sum()), np.int64))
-            if columns[0]:
-                names = ("list", "set", "n", "hub")
+                columns[2].append(n * PLACES + np.arange(size, dtype=np.int64) * PLACES // size)
+                columns[3].append(np.full(size, int(level[:size].sum()), np.int64))
+                held += size
+                if held >= 200_000:
+                    yield pd.DataFrame({name: np.concatenate(part) for name, part in zip(names, columns, strict=True)})
+                    columns, held = [[] for _ in names], 0
+            if held:
                 yield pd.DataFrame({name: np.concatenate(part) for name, part in zip(names, columns, strict=True)})
 
-    return texts.mapInPandas(work, "list long, set long, n long, hub long")
+    return texts.mapInPandas(work, "list long, set long, place long, hub long")
 
 
-def _sets_of(texts: DataFrame, wanted: DataFrame, label: str) -> DataFrame:
-    """The items of wanted sets (set, text_hash): read again from one text that has them."""
+def _sets_of(texts: DataFrame, wanted: DataFrame, counts: Broadcast, label: str) -> DataFrame:
+    """The wanted sets (set, text_hash), read again from a text that has them: n, head (the prefix) and items."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
@@ -77,16 +95,22 @@ def _sets_of(texts: DataFrame, wanted: DataFrame, label: str) -> DataFrame:
             for name, text in zip(batch["set"], batch["text"], strict=True):
                 if name in seen:
                     continue
-                if len(seen) < 500_000:
+                if len(seen) < SEEN:
                     seen.add(name)
-                rows.append((name, shingle_set(text).tobytes()))
-            yield pd.DataFrame(rows, columns=["set", "items"])
+                items, _, size = _ordered(shingle_set(text), counts.value)
+                rows.append((name, len(items), items[:size].tobytes(), items.tobytes()))
+            yield pd.DataFrame(rows, columns=["set", "n", "head", "items"])
 
     found = texts.select("text_hash", "text").join(wanted, "text_hash").select("set", "text")
-    return stored(found.mapInPandas(work, "set long, items binary").dropDuplicates(["set"]), label)
+    read = found.mapInPandas(work, "set long, n long, head binary, items binary")
+    copies = stored(read.withColumn("part", F.spark_partition_id()), label)
+    # Tasks that met copies of one text have all read its set: the first counts.
+    # So that no set is shuffled for it, the choice is broadcast while it is small.
+    chosen = stored(copies.groupBy("set").agg(F.min("part").alias("part")), f"{label}-chosen")
+    return copies.join(bounded_broadcast(chosen, FEW), ["set", "part"], "left_semi").drop("part")
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
     def size(x: bytes, y: bytes) -> int:
         both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
@@ -96,22 +120,50 @@ def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([size(x, y) for x, y in zip(a, b, strict=True)], dtype="int64")
 
 
+def _with_shared(pairs: DataFrame, sets: DataFrame, what: str) -> DataFrame:
+    """Pairs (a, b) with their sizes n and m, and how many of the items in the column `what` they share."""
+
+    def side(name: str) -> DataFrame:
+        # Only sets that the pairs name on this side are shuffled.
+        named = bounded_broadcast(pairs.select(F.col(name).alias("set")).distinct(), FEW)
+        return sets.join(named, "set", "left_semi")
+
+    left = side("a").select(F.col("set").alias("a"), "n", F.col(what).alias("x"))
+    right = side("b").select(F.col("set").alias("b"), F.col("n").alias("m"), F.col(what).alias("y"))
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "n", "m", _shared("x", "y").alias("shared"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
-    """Pairs (a, b) with the sizes of sets and intersection, the distance, and whether they link."""
-    left = sets.select(F.col("set").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("set").alias("b"), F.col("items").alias("y"))
-    both = pairs.join(right, "b").join(left, "a")
-    told = both.select(
-        "a", "b", _shared("x", "y").alias("shared"),
-        (F.octet_length("x") / 8).cast("long").alias("n_a"), (F.octet_length("y") / 8).cast("long").alias("n_b"),
-    )
-    union = F.col("n_a") + F.col("n_b") - F.col("shared")
+    """The pairs (a, b) that their prefixes do not rule out, with their distance and whether they link."""
+    open_pairs = _with_shared(pairs, sets, "head").filter(_can_link(F.col("n"), F.col("m"), F.col("shared")))
+    told = _with_shared(stored(open_pairs.select("a", "b").distinct(), f"{label}-open"), sets, "items")
+    union = F.col("n") + F.col("m") - F.col("shared")
     return stored(
-        told.select("a", "b", (1 - F.col("shared") / union).alias("far"), (100 * F.col("shared") >= 80 * union).alias("linked")),
+        told.select(
+            "a", "b", (1 - F.col("shared") / union).alias("far"), (100 * F.col("shared") >= 80 * union).alias("linked")
+        ).distinct(),
         label,
     )
 
 
+def _least_shared(n: Column, m: Column) -> Column:
+    """How many items linked sets of n and m items share at least: 4/9 of both, rounded up.
+
+    Of items in one order, one of the first n - shared + 1 of n items is then shared.
+    """
+    return F.floor((4 * (n + m) + 8) / 9)
+
+
+def _first_position(n: Column, part: Column) -> Column:
+    """The first position, from 0, of a block of positions of a prefix."""
+    size = n - F.floor((4 * n + 4) / 5) + 1
+    return F.ceil(part * size / PLACES)
+
+
+def _band(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(1.25)) + F.lit(1e-9)).cast("int")
+
+
 def _can_link(n: Column, m: Column, met: Column) -> Column:
     """Whether sets of n and m items whose prefixes share `met` items can be linked.
 
@@ -126,37 +178,37 @@ def _open_pairs(entries: DataFrame, known: DataFrame, classes: DataFrame) -> Dat
     """Pairs of sets of different classes that may be linked, from all lists.
 
     Lists of one class only are skipped whole; then blocks of other sizes; then
-    sets whose distances from a common leader are too different, and pairs
-    whose prefixes do not share enough.
+    positions that come too late for the sizes of a pair, and sets whose
+    distances from a common leader are too different.
     """
     far = known.select(F.col("a").alias("set"), F.col("b").alias("lead"), "far")
     told = (
-        entries.join(far, ["set", "lead"], "left")
-        .join(classes, "set", "left")
+        entries.join(bounded_broadcast(far, FEW), ["set", "lead"], "left")
+        .join(bounded_broadcast(classes, FEW), "set", "left")
         .select(
-            "set", "n", "lead", F.coalesce("class", "set").alias("class"),
+            "set", "n", "pos", "lead", F.coalesce("class", "set").alias("class"),
             F.when(F.col("set") == F.col("lead"), F.lit(0.0)).otherwise(F.col("far")).alias("far"),
             F.col("list").bitwiseAND(F.lit(~BLOCKS)).alias("token"),
         )
     )
     told = stored(told, "list-entries")
     mixed = told.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low != high")
-    # Blocks of sizes, each a power of 5/4 wide: a partner that is larger is in the same or the next.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + F.lit(1e-9)).cast("int")
-    live = told.join(mixed.select("token"), "token", "left_semi").withColumn("band", band)
-    small = live.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1, F.col("band") + 2)))
+    live = told.join(mixed.select("token"), "token", "left_semi")
+    # Blocks of sizes, each a power of 5/4 wide. A set meets larger ones up to the
+    # size from which its position comes too late: 9 * (n - pos) >= 4 * (n + m).
+    n, most = F.col("n"), F.floor((9 * (F.col("n") - F.col("pos")) - 4 * F.col("n")) / 4)
+    small = live.filter(most >= n).withColumn("band", F.explode(F.sequence(_band(n), _band(most))))
     far_apart = (F.col("s.lead") == F.col("l.lead")) & (F.abs(F.col("s.far") - F.col("l.far")) > 0.2 + 1e-9)
     sizes = (F.col("s.n") < F.col("l.n")) | ((F.col("s.n") == F.col("l.n")) & (F.col("s.set") < F.col("l.set")))
+    shared = _least_shared(F.col("s.n"), F.col("l.n"))
     pairs = small.alias("s").join(
-        live.alias("l"),
+        live.withColumn("band", _band(n)).alias("l"),
         (F.col("s.token") == F.col("l.token")) & (F.col("s.band") == F.col("l.band")) & sizes
         & (F.col("s.class") != F.col("l.class")) & (5 * F.col("s.n") >= 4 * F.col("l.n"))
+        & (F.col("s.pos") <= F.col("s.n") - shared) & (F.col("l.pos") <= F.col("l.n") - shared)
         & ~F.coalesce(far_apart, F.lit(False)),
     )
-    met = pairs.groupBy(
-        F.col("s.set").alias("a"), F.col("l.set").alias("b"), F.col("s.n").alias("n"), F.col("l.n").alias("m")
-    ).agg(F.count(F.lit(1)).alias("met"))
-    return met.filter(_can_link(F.col("n"), F.col("m"), F.col("met"))).select("a", "b")
+    return pairs.select(F.col("s.set").alias("a"), F.col("l.set").alias("b")).distinct()
 
 
 def jaccard_rows(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -169,24 +221,29 @@ def jaccard_rows(df: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     that links with no other. Repeated keys and rows are all returned. Other columns
     of `df` are left aside, whatever their names; an empty table gives an empty one.
     """
-    texts = df.select(
+    texts = by_small_batches(df).select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash")
     )
     scanned = scan(texts, "scanned")
     rows = described(scanned)
-    counts = bucket_counts(scanned)
+    counts = df.sparkSession.sparkContext.broadcast(bucket_counts(scanned))
 
     # A list holds about `LIST` entries at most, so a window over it is bounded.
     whole = Window.partitionBy("list")
-    dealt = _index(texts.select("text"), counts).withColumns(
+    parted = _index(texts.select("text"), counts).withColumns(
+        {"n": F.floor(F.col("place") / PLACES), "part": F.col("place") % PLACES}
+    ).withColumn("pos", _first_position(F.col("n"), F.col("part")))
+    dealt = parted.withColumns(
         {
             "low": F.min("set").over(whole), "high": F.max("set").over(whole),
+            "early": F.max(F.col("pos") <= F.col("n") - _least_shared(F.col("n"), F.col("n"))).over(whole),
             "top": F.max(F.struct("hub", "set", "n")).over(whole),
         }
-        # A list that is one of several blocks may have its other members in them.
-    ).filter((F.col("low") != F.col("high")) | (F.col("list").bitwiseAND(F.lit(BLOCKS)) != 0))
+        # A pair meets where the smaller set has one of its earliest items. A list
+        # that is one of several blocks may have its other members in them.
+    ).filter(((F.col("low") != F.col("high")) & F.col("early")) | (F.col("list").bitwiseAND(F.lit(BLOCKS)) != 0))
     entries = stored(
-        dealt.select("list", "set", "n", F.col("top.set").alias("lead"), F.col("top.n").alias("lead_n")).distinct(),
+        dealt.select("list", "set", "n", "pos", F.col("top.set").alias("lead"), F.col("top.n").alias("lead_n")).distinct(),
         "entries",
     )
     source = rows.groupBy("set").agg(F.min("text_hash").alias("text_hash"))
@@ -194,8 +251,8 @@ def jaccard_rows(df: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     def compared(pairs: DataFrame, label: str) -> DataFrame:
         pairs = stored(pairs, label)
         members = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-        wanted = bounded_broadcast(stored(members.join(source, "set"), "wanted"), 2_000_000)
-        return _verified(pairs, _sets_of(texts, wanted, "sets"), f"{label}-verified")
+        wanted = bounded_broadcast(stored(members.join(source, "set"), "wanted"), FEW)
+        return _verified(pairs, _sets_of(texts, wanted, counts, "sets"), f"{label}-verified")
 
     # Where a set meets its leader often enough; whatever is not compared here stays open.
     first = entries.filter("set != lead").groupBy(
@@ -226,7 +283,7 @@ def jaccard_classes(df: DataFrame, text: str = "text", key: str = "doc_id") -> D
     return jaccard_rows(df, text, key).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
 
 
-def first_of_each(df: DataFrame, text: str = "text", key: str = "doc_id", few: int = 2_000_000) -> DataFrame:
+def first_of_each(df: DataFrame, text: str = "text", key: str = "doc_id", few: int = FEW) -> DataFrame:
     """`df` with one row of each class: the one with the smallest key.
 
     Rows without words stay. Of rows that repeat key and text, which one stays is

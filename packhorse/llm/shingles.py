@@ -69,15 +69,15 @@ def scan(docs: DataFrame, label: str) -> DataFrame:
         counts = np.zeros(1 << BUCKET_BITS, np.uint32)
         seen = False
         for batch in batches:
-            sets = [shingle_set(text) for text in batch["text"]]
-            for items in sets:
-                np.add.at(counts, bucket_of(items), np.uint32(1))
+            names, sizes = [], []
+            for text in batch["text"]:
+                items = shingle_set(text)
+                names.append(set_id(items))
+                sizes.append(len(items))
+                counts[bucket_of(items)] += np.uint32(1)
             seen = seen or len(batch) > 0
             yield pd.DataFrame(
-                {
-                    "key": batch["key"], "text_hash": batch["text_hash"], "set": [set_id(items) for items in sets],
-                    "n": [len(items) for items in sets], "chunk": -1, "counts": None,
-                }
+                {"key": batch["key"], "text_hash": batch["text_hash"], "set": names, "n": sizes, "chunk": -1, "counts": None}
             )
         if seen:
             squeeze = zstandard.ZstdCompressor(level=1)
