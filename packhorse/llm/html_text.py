@@ -42,17 +42,25 @@ CLOSES = {
 # Elements beyond which the above does not look.
 HOLDS = set("ul ol dl table body article section div main aside nav td th blockquote html".split())
 ASIDE_TAGS = set("nav footer aside form button dialog menu head script style noscript template iframe svg math select textarea title object canvas".split())
-ASIDE_WORDS = set(
-    "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar banner footer foot bottombar sidebar "
-    "side aside widget widgets ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion "
-    "notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login form forms "
-    "search searchbox comment comments commentlist reply replies disqus respond reactions share sharing social related "
-    "recommended recommendations more tags toolbar pagination pager copyright legal disclaimer alert skip hidden "
-    "complementary contentinfo dialog".split()
+LAYOUT_WORDS = set(
+    "nav navbar navigation topnav sidenav menu menubar mainmenu submenu breadcrumb breadcrumbs header masthead topbar siteheader "
+    "pageheader footer foot bottombar sitefooter pagefooter sidebar side aside rail widget widgets notice notices alert announcement "
+    "banner form forms search searchbox login signup share sharing social tags toolbar pagination pager copyright legal disclaimer "
+    "skip complementary contentinfo dialog more promo promotion".split()
 )
+STRANGE_WORDS = set(
+    "ad ads adv advert adverts advertisement advertising adsense adsbygoogle adslot adbox sponsor sponsored cookie cookies consent "
+    "gdpr popup modal overlay newsletter subscribe subscription comment comments commentlist discussion reply replies disqus respond "
+    "reactions related recommended recommendations teaser hidden".split()
+)
+# Names that begin with one of these say what a page has, not what an element is.
+ABOUT = set("has no with without is js".split())
 MAIN_WORDS = set("article articlebody content maincontent post postbody entry story main storybody".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 
+# Bounds of an expression, so that no page makes it deep or its alignment long.
+MOST_LEVELS, MOST_TERMS = 48, 64
+
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>""",
     re.S,
@@ -63,29 +71,45 @@ _WORD = re.compile(r"[a-z]+")
 
 @dataclass(frozen=True)
 class Element:
-    """An open block: its key (tag and first words of class and id), whether it is aside, and its rank as main text."""
+    """An open block: its key (tag and first words of class and id), whether it is aside, and its rank as main text.
+
+    `slot` is the path of keys to it, as far as `MOST_LEVELS` go.
+    """
 
     tag: str
     key: str
     aside: bool
     rank: int
+    level: int
+    slot: str
+    in_header: bool
 
 
 def _element(tag: str, attrs: str, parent: Element | None) -> Element:
     words: list[str] = []
-    if attrs:
-        for name, *values in _ATTR.findall(attrs):
-            value = "".join(values).lower()
-            words += ["hidden"] if name.lower() == "hidden" else _WORD.findall(value)
-    held = set(words)
-    aside = parent is not None and parent.aside
+    layout = strange = main = False
+    if attrs and tag not in ("html", "body"):
+        for kind, *values in _ATTR.findall(attrs):
+            names = ["hidden"] if kind.lower() == "hidden" else "".join(values).lower().split()
+            for name in names:
+                parts = _WORD.findall(name)
+                words += parts
+                if not parts or parts[0] in ABOUT or "with" in parts:
+                    continue
+                ends = {parts[0], parts[-1]}
+                strange = strange or bool(ends & STRANGE_WORDS)
+                layout = layout or bool(ends & LAYOUT_WORDS)
+                main = main or (bool(MAIN_WORDS & set(parts)) and not ends & (LAYOUT_WORDS | STRANGE_WORDS))
     in_main = parent is not None and parent.rank > 0
-    aside = aside or tag in ASIDE_TAGS or bool(held & ASIDE_WORDS) or (tag == "header" and not in_main)
+    marked = tag in ("article", "main") or main
+    aside = (parent is not None and parent.aside) or tag in ASIDE_TAGS or strange or (layout and not marked)
+    aside = aside or (tag == "header" and not in_main)
     rank = parent.rank if parent else 0
     if not aside:
-        own = 3 if tag == "article" or "articlebody" in held else 2 if tag == "main" else 1 if held & MAIN_WORDS and tag != "body" else 0
-        rank = max(rank, own)
-    return Element(tag, ".".join([tag, *words[:3]]), aside, rank)
+        rank = max(rank, 3 if tag == "article" or "articlebody" in words else 2 if tag == "main" else 1 if main else 0)
+    key, level = ".".join([tag, *words[:3]]), parent.level + 1 if parent else 1
+    slot = key if parent is None else parent.slot if level > MOST_LEVELS else f"{parent.slot}>{key}"
+    return Element(tag, key, aside, rank, level, slot, tag == "header" or (parent is not None and parent.in_header))
 
 
 @dataclass
@@ -115,11 +139,9 @@ def blocks_of(page: str | None) -> tuple[list[Block], list]:
         if text:
             top = stack[-1][0] if stack else None
             (stack[-1][1] if stack else root)[1].append("#")
-            in_header = any(element.tag == "header" for element, _ in stack)
             heading = bool(top and top.tag in HEADINGS)
-            slot = ">".join(element.key for element, _ in stack)
-            aside = bool(top and top.aside) or (in_header and not heading)
-            blocks.append(Block(slot, top.rank if top else 0, aside, heading, text, min(linked, len(text))))
+            aside = bool(top and (top.aside or (top.in_header and not heading)))
+            blocks.append(Block(top.slot if top else "", top.rank if top else 0, aside, heading, text, min(linked, len(text))))
         linked = 0
 
     def close(tags: set[str], limit: set[str]) -> None:
@@ -165,7 +187,11 @@ def blocks_of(page: str | None) -> tuple[list[Block], list]:
                 continue
             element = _element(tag, token["attrs"], stack[-1][0] if stack else None)
             node = [element.key, []]
-            (stack[-1][1] if stack else root)[1].append(node)
+            if element.level > MOST_LEVELS:
+                # What lies deeper is taken for a part of the last level.
+                node = stack[-1][1]
+            else:
+                (stack[-1][1] if stack else root)[1].append(node)
             stack.append((element, node))
             links = 0
         elif tag in INLINE:
@@ -181,6 +207,22 @@ def blocks_of(page: str | None) -> tuple[list[Block], list]:
 # a text slot has the key "#" and no children.
 
 
+def _bounded(terms: list) -> list:
+    """`terms`, or if they are more than `MOST_TERMS`, each key once and any number of times.
+
+    Keys lose their words, and in the end their tags, where there are too many of them.
+    """
+    for shorten in (lambda key: key, lambda key: key.split(".")[0], lambda key: key if key == "#" else "other"):
+        if len(terms) <= MOST_TERMS:
+            return terms
+        merged: dict[str, list] = {}
+        for key, _, children in terms:
+            short = shorten(key)
+            merged[short] = align(merged[short], children) if short in merged else children
+        terms = [[key, "*", children] for key, children in merged.items()]
+    return terms
+
+
 def _fold(nodes: list) -> list:
     terms: list = []
     for node in nodes:
@@ -189,7 +231,7 @@ def _fold(nodes: list) -> list:
             terms[-1] = [term[0], "+", align(terms[-1][2], term[2])]
         else:
             terms.append(term)
-    return terms
+    return _bounded(terms)
 
 
 def _how(*hows: str) -> str:
@@ -230,7 +272,7 @@ def align(a: list, b: list) -> list:
         else:
             add([b[j][0], _how(b[j][1], "?"), b[j][2]])
             j += 1
-    return out
+    return _bounded(out)
 
 
 def expression(page: str | None) -> list:
@@ -375,7 +417,7 @@ def extract(df: DataFrame, settings: Settings | None = None, page: str = "html",
         return pd.Series([main_text(one, None if held is None else set(held)) for one, held in zip(pages, slots, strict=True)])
 
     told = hosted.join(slots, "_host", "left").withColumn(out, text_of(F.col(page), F.col("_slots")))
-    return told.select(*(name for name in df.columns if name != out), out)
+    return told.select(*df.columns, *([] if out in df.columns else [out]))
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,6 +38,13 @@ PAGES = {
         "<div class='sidebar'><p>s</p></div><div class=comment-list><p>c</p></div>",
         ["H", "text", "more"],
     ),
+    "names that tell of the page": (
+        "<body class='has-header sidebar-right'><div class='content sidebar-right'><p>a</p><div class='post-with-comments'><p>b</p></div>"
+        "<article class='legal'><p>c</p></article></div></body>",
+        ["c"],
+    ),
+    "content beside a bar": ("<div class='main-content has-sidebar'><p>a</p><div id=respond>r</div><p>b</p></div><div class=main-nav>m</div>", ["a", "b"]),
+    "comment articles": ("<main><p>a</p><article class='comment-item'><p>c</p></article><article id=ad3>x</article></main>", ["a"]),
     "cut off": ("<article><p>one</p><p>two <i>and", ["one", "two and"]),
     "quotes": ("<article class=\"a>b\"><p title='x > y'>t</p><!-- <p>no</p> --></article><p>after", ["t"]),
     "upper case": ("<ARTICLE><P>One</P><SCRIPT>no</SCRIPT><P>Two</P></ARTICLE>", ["One", "Two"]),
@@ -65,6 +72,20 @@ def test_expressions():
     assert expression("") == expression(None) == []
 
 
+def test_expressions_are_bounded():
+    """Pages nested deeply, with very many neighbours, or with names of their own for all of them."""
+    deep = "<div>" * 5000 + "<p>deep</p>" + "</div>" * 5000 + "<p>after</p>"
+    assert main_text(deep, None) == "deep\n\nafter" and len(str(expression(deep))) < 5000
+    wide = "<dl>" + "<dt>a</dt><dd>b</dd>" * 5000 + "</dl>"
+    assert as_pattern(expression(wide)) == "<dl>(<dt>#</dt>)*(<dd>#</dd>)*</dl>"
+    named = "".join(f"<div class={chr(97 + i % 26)}{chr(97 + i // 26 % 26)}q>x</div>" for i in range(600))
+    assert as_pattern(expression(named)) == "(<div>(#)?</div>)*".replace("(#)?", "#")
+    tags = "".join(f"<x{i}>y</x{i}>" for i in range(500))
+    assert len(expression(tags)) <= 2
+    assert len(align(expression(wide + tags), expression(named + deep))) <= html_text.MOST_TERMS
+    assert main_text(tags, None).count("y") == 500
+
+
 def test_wrapper_of_a_host(spark):
     """One wrapper a host, also when its expressions are aligned in several rounds."""
     rows = [("h", "<div>" + "<p>x</p>" * (i % 3) + f"<s{i}><i>t</i></s{i}></div>") for i in range(9)] + [("g", "<p>x</p>"), ("", None)]

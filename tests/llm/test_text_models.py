@@ -61,10 +61,9 @@ def test_compression_bands(spark):
     pages = [" ".join(prose.split()[k:] + prose.split()[:k]) for k in range(0, 200, 40)]
     rows = [("prose", prose), ("noise", noise), ("lines", lines), ("mixed", " ".join(pages) + noise[:4096]), ("most", prose[:100] + noise + noise[::-1])]
     got = {r.k: r.quality for r in quality_rules.quality_rules(spark.createDataFrame(rows, "k string, text string")).collect()}
-    assert {k: v.kept for k, v in got.items()} == {"prose": True, "noise": False, "lines": False, "mixed": False, "most": False} | {
-        "mixed": got["mixed"].kept
-    }
-    assert got["noise"].ratio > 0.8 and got["lines"].base_failed and got["mixed"].n_bad_chunks <= 2
+    assert {k: v.kept for k, v in got.items() if k != "mixed"} == {"prose": True, "noise": False, "lines": False, "most": False}
+    assert got["noise"].ratio > 0.8 and got["lines"].base_failed
+    assert 0 < got["mixed"].n_bad_chunks <= 2 < got["mixed"].n_chunks / 2
 
 
 def test_quality_model_held_out(spark):
