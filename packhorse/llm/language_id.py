@@ -28,13 +28,16 @@ class Settings:
 
     The fit reads at most `languages * docs * slice_chars` characters. Texts are
     compressed in chunks of `chunk` bytes, as the dictionary would matter less
-    and less further into a long text. A margin below `min_margin` is narrow.
+    and less further into a long text. A margin below `min_margin` is narrow; then
+    the sizes at the levels `again` are added, as those of a short text at one
+    level are often equal, and the margin is taken anew.
     """
 
     docs: int = 400
     slice_chars: int = 2000
     languages: int = 200
     level: int = 6
+    again: tuple[int, ...] = (1, 3, 9, 13)
     chunk: int = 2048
     min_margin: float = 0.002
 
@@ -76,38 +79,53 @@ def fit(df: DataFrame, settings: Settings, text: str = "text", lang: str = "lang
     return {name: " ".join(reversed(values)).encode() for name, values in parts.items()}
 
 
+def _winner(sizes: list[int]) -> tuple[int, float]:
+    """The place of the smallest size, and by how much the next is larger."""
+    best = min(range(len(sizes)), key=lambda i: (sizes[i], i))
+    return best, 1 - sizes[best] / min(size for i, size in enumerate(sizes) if i != best)
+
+
 class Encoders:
     def __init__(self, dictionaries: dict[str, bytes], settings: Settings):
         self.names = sorted(dictionaries)
         self.settings = settings
-        self.encoders = []
-        for name in self.names:
-            content = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            content.precompute_compress(level=settings.level)
-            self.encoders.append(
-                zstandard.ZstdCompressor(
-                    level=settings.level, dict_data=content, write_content_size=False,
-                    write_checksum=False, write_dict_id=False,
+        self.dictionaries = dictionaries
+        self.at_level: dict[int, list[zstandard.ZstdCompressor]] = {}
+
+    def encoders(self, level: int) -> list[zstandard.ZstdCompressor]:
+        """One encoder per language, made when a level is first asked for."""
+        if level not in self.at_level:
+            self.at_level[level] = []
+            for name in self.names:
+                content = zstandard.ZstdCompressionDict(self.dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                content.precompute_compress(level=level)
+                self.at_level[level].append(
+                    zstandard.ZstdCompressor(
+                        level=level, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False
+                    )
                 )
-            )
+        return self.at_level[level]
 
-    def sizes(self, text: str) -> list[int]:
+    def sizes(self, text: str, level: int) -> list[int]:
         data = text.lower().encode()
         step = self.settings.chunk
         chunks = [data[at : at + step] for at in range(0, len(data), step)]
-        return [sum(len(one.compress(chunk)) for chunk in chunks) for one in self.encoders]
+        return [sum(len(one.compress(chunk)) for chunk in chunks) for one in self.encoders(level)]
 
     def judge(self, text: str | None) -> tuple[str, float, float, bool]:
         if not text or not self.names or not _LETTER.search(text):
             return UNKNOWN, 0.0, 0.0, False
-        sizes = self.sizes(text)
-        best = min(range(len(sizes)), key=lambda i: (sizes[i], i))
-        if len(sizes) == 1:
+        if len(self.names) == 1:
             return self.names[0], 1.0, 1.0, True
-        second = min(size for i, size in enumerate(sizes) if i != best)
-        margin = 1 - sizes[best] / second
+        least = self.settings.min_margin
+        sizes = self.sizes(text, self.settings.level)
+        best, margin = _winner(sizes)
+        if margin < least:
+            for level in self.settings.again:
+                sizes = [a + b for a, b in zip(sizes, self.sizes(text, level), strict=True)]
+            best, margin = _winner(sizes)
         score = 1 / sum(math.exp((sizes[best] - size) / (0.02 * sizes[best])) for size in sizes)
-        return self.names[best], score, margin, margin >= self.settings.min_margin
+        return self.names[best], score, margin, margin >= least
 
 
 def language_id(
