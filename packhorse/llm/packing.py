@@ -66,8 +66,6 @@ class WordEncoder:
     that the tokenizer cuts in another way, take the long way.
     """
 
-    block = 64
-
     def __init__(self, path: str, most: int):
         from tokenizers import Tokenizer
 
