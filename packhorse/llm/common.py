@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +37,19 @@ def by_small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """For the end of a task's work in Python: hand freed memory back to the system.
+
+    Spark keeps its Python workers for later tasks, and they would keep what the
+    largest of their tasks has used.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        # Only some C libraries have it.
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """`df` written to the shared scratch folder and read back.
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from packhorse.llm.classes import smallest_reachable
-from packhorse.llm.common import bounded_broadcast, by_small_batches, stored, table
+from packhorse.llm.common import bounded_broadcast, by_small_batches, give_back, stored, table
 from packhorse.llm.shingles import bucket_counts, bucket_of, described, scan, set_id, shingle_set
 
 # The similarity is 4/5. Entries of a list that is expected to be longer are dealt to blocks of this length.
@@ -81,6 +81,8 @@ def _index(texts: DataFrame, shared: Broadcast) -> DataFrame:
                     columns, held = [[] for _ in names], 0
             if held:
                 yield pd.DataFrame({name: np.concatenate(part) for name, part in zip(names, columns, strict=True)})
+        seen.clear()
+        give_back()
 
     return texts.mapInPandas(work, "list long, set long, place long, hub long")
 
@@ -100,6 +102,8 @@ def _sets_of(texts: DataFrame, wanted: DataFrame, counts: Broadcast, label: str)
                 items, _, size = _ordered(shingle_set(text), counts.value)
                 rows.append((name, len(items), items[:size].tobytes(), items.tobytes()))
             yield pd.DataFrame(rows, columns=["set", "n", "head", "items"])
+        seen.clear()
+        give_back()
 
     found = texts.select("text_hash", "text").join(wanted, "text_hash").select("set", "text")
     read = found.mapInPandas(work, "set long, n long, head binary, items binary")

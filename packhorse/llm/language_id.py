@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packhorse.llm.common import by_small_batches, held_out, in_training, table
+from packhorse.llm.common import by_small_batches, give_back, held_out, in_training, table
 
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -37,7 +37,7 @@ class Settings:
     slice_chars: int = 2000
     languages: int = 200
     level: int = 6
-    again: tuple[int, ...] = (1, 3, 9, 13)
+    again: tuple[int, ...] = (1, 3, 4, 5)
     chunk: int = 2048
     min_margin: float = 0.002
 
@@ -144,6 +144,8 @@ def language_id(
         encoders = Encoders(dictionaries, settings)
         for texts in batches:
             yield pd.DataFrame([encoders.judge(value) for value in texts], columns=RESULT.names)
+        del encoders
+        give_back()
 
     return by_small_batches(df).withColumn(out, judge(F.col(text)))
 

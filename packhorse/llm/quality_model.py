@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packhorse.llm.common import by_small_batches, held_out, in_training, table
+from packhorse.llm.common import by_small_batches, give_back, held_out, in_training, table
 from packhorse.llm.quality_rules import repeated_lines, repeated_words
 
 FEATURES = (
@@ -188,6 +188,7 @@ def quality_score(df: DataFrame, trees: Trees, text: str = "text", out: str = "s
         for texts in batches:
             x = np.array([statistics(value, squeeze) for value in texts], float)
             yield pd.Series(trees.probability(x.reshape(-1, len(FEATURES))))
+        give_back()
 
     return by_small_batches(df).withColumn(out, score(F.col(text)))
 

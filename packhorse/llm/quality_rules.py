@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packhorse.llm.common import by_small_batches, table
+from packhorse.llm.common import by_small_batches, give_back, table
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -138,6 +138,7 @@ def quality_rules(df: DataFrame, text: str = "text", out: str = "quality", bands
         for texts in batches:
             rows = [measure(value, squeeze, bands) for value in texts]
             yield pd.DataFrame(rows, columns=RESULT.names)
+        give_back()
 
     return by_small_batches(df).withColumn(out, judge(F.col(text)))
 

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packhorse.llm.common import stored
+from packhorse.llm.common import give_back, stored
 
 WORDS = 5
 # A common count is kept for all shingles whose hashes share these leading bits.
@@ -86,6 +86,8 @@ def scan(docs: DataFrame, label: str) -> DataFrame:
             yield pd.DataFrame(
                 {"key": None, "text_hash": empty, "set": empty, "n": empty, "chunk": range(CHUNKS), "counts": parts}
             )
+        del counts
+        give_back()
 
     schema = f"key {key_type}, text_hash long, set long, n long, chunk int, counts binary"
     return stored(docs.mapInPandas(work, schema), label)
