@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packhorse.llm.common import bounded_broadcast, by_small_batches, running_start, stored, table
+from packhorse.llm.common import bounded_broadcast, by_small_batches, give_back, running_start, stored, table
 
 
 @dataclass(frozen=True)
@@ -73,6 +73,8 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merge = self.tokenizer.model.tokenize
+        self.codes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.most = most
         self.known: dict[str, bytes] = {}
         # Bytes as the letters that a byte-level vocabulary writes them with.
@@ -84,7 +86,7 @@ class WordEncoder:
 
     def _merged(self, word: str) -> bytes:
         word = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
-        return b"".join([token.id.to_bytes(4, "little") for token in self.tokenizer.model.tokenize(word)])
+        return b"".join([self.codes[token.id] for token in self.merge(word)])
 
     def _plain(self, texts: list[str], end: bytes) -> list[bytes]:
         ids = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -140,6 +142,8 @@ def tokenised(df: DataFrame, text: str, settings: Settings) -> DataFrame:
             ids = encoder.encode([value or "" for value in texts], settings.end)
             small = [squeeze.compress(_narrow(one)) for one in ids]
             yield pd.DataFrame({"n": [len(one) // 4 for one in ids], "ids": small})
+        del encoder
+        give_back()
 
     return df.withColumn("_tokens", encode(F.col(text)))
 
@@ -188,6 +192,7 @@ def _pieces(window: int):
                 columns = [batch.column(name).take(taken) for name in ("key", "queue", "n")]
                 columns += [pa.array(one) for one in np.concatenate(rows).T]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "queue", "n", *PIECE])
+        give_back()
 
     return work
 
