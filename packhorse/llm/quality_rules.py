@@ -35,11 +35,11 @@ WHOLE_BANDS = (
     (0, 0.0, 9.0),
     (64, 0.45, 1.25),
     (256, 0.38, 0.95),
-    (1024, 0.28, 0.85),
-    (4096, 0.24, 0.80),
-    (16384, 0.16, 0.80),
+    (1024, 0.28, 0.74),
+    (4096, 0.24, 0.70),
+    (16384, 0.16, 0.70),
 )
-CHUNK_BAND = (0.20, 0.80)
+CHUNK_BAND = (0.20, 0.72)
 
 
 @dataclass(frozen=True)

@@ -59,11 +59,11 @@ def test_compression_bands(spark):
     lines = " ".join(f"row {i % 7} of the list" for i in range(600))
     # One chunk of noise among four of prose is not enough, four of it are.
     pages = [" ".join(prose.split()[k:] + prose.split()[:k]) for k in range(0, 200, 40)]
-    rows = [("prose", prose), ("noise", noise), ("lines", lines), ("mixed", " ".join(pages) + noise[:4096]), ("most", prose[:100] + noise + noise[::-1])]
+    rows = [("prose", prose), ("noise", noise), ("lines", lines), ("mixed", " ".join(pages)[: 3 * 4096] + noise[:4096]), ("most", prose[:100] + noise + noise[::-1])]
     got = {r.k: r.quality for r in quality_rules.quality_rules(spark.createDataFrame(rows, "k string, text string")).collect()}
     assert {k: v.kept for k, v in got.items() if k != "mixed"} == {"prose": True, "noise": False, "lines": False, "most": False}
-    assert got["noise"].ratio > 0.8 and got["lines"].base_failed
-    assert 0 < got["mixed"].n_bad_chunks <= 2 < got["mixed"].n_chunks / 2
+    assert got["noise"].ratio > 0.7 and got["lines"].base_failed
+    assert (got["mixed"].n_chunks, got["mixed"].n_bad_chunks) == (4, 1)
 
 
 def test_quality_model_held_out(spark):
