@@ -15,11 +15,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packhorse.llm.common import stored, table
+from packhorse.llm.common import by_small_batches, stored, table
 
 SPACE = "▁"
 # Keys of edges: start * SPAN + length.
 SPAN = 64
+SEGMENTS = 20_000
 
 
 @dataclass(frozen=True)
@@ -69,17 +70,22 @@ def segments_of(text: Column, pieces: Pieces) -> Column:
 
 
 def lattice(segments: DataFrame, pieces: Pieces) -> DataFrame:
-    """Per `segment` its edges: a map from start and length of a substring that is a piece to score and id."""
+    """Per `segment` its edges: a map from start and length of a substring that is a piece to score and id.
+
+    A segment becomes some forty rows, so a task takes few enough segments
+    (`SEGMENTS`) to group them in memory.
+    """
     spark = segments.sparkSession
     # As many rows as the vocabulary has, hence the hint.
     known = F.broadcast(spark.createDataFrame(list(pieces.rows), "piece string, id int, score double"))
     size = F.length("segment")
-    starts = segments.withColumn("start", F.explode(F.sequence(F.lit(0), size - 1)))
+    # Dealt by segment before anything is exploded, so that its edges need no shuffle.
+    parts = -(-segments.count() // SEGMENTS) or 1
+    starts = segments.repartition(parts, "segment").withColumn("start", F.explode(F.sequence(F.lit(0), size - 1)))
     spans = starts.withColumn("length", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), size - F.col("start")))))
-    parts = spans.withColumn("piece", F.col("segment").substr(F.col("start") + 1, F.col("length")))
-    edges = parts.join(known, "piece").select(
-        "segment", F.struct((F.col("start") * SPAN + F.col("length")).alias("key"), F.struct("score", "id").alias("value")).alias("edge")
-    )
+    found = spans.withColumn("piece", F.col("segment").substr(F.col("start") + 1, F.col("length")))
+    edge = F.struct((F.col("start") * SPAN + F.col("length")).alias("key"), F.struct("score", "id").alias("value"))
+    edges = found.join(known, "piece", "left").select("segment", F.when(F.col("id").isNotNull(), edge).alias("edge"))
     return edges.groupBy("segment").agg(F.map_from_entries(F.collect_list("edge")).alias("edges"))
 
 
@@ -106,6 +112,43 @@ def merged(edges: Column, size: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), size), F.sequence(F.lit(0), size), step)
 
 
+def merged_in_order(edges: Column, size: Column) -> Column:
+    """Borders as the bits of a long, from one pass over the edges, best score first; and whether it was enough.
+
+    An edge merges if it then spans two neighbours. That misses a union that only a
+    worse merge makes possible; a pass in which one came up is marked `odd`.
+    """
+    one = F.lit(1).cast("long")
+
+    def bit(at: Column) -> Column:
+        return F.call_function("shiftleft", one, at)
+
+    def step(state: Column, edge: Column) -> Column:
+        start, stop, cuts = edge["start"], edge["stop"], state["cuts"]
+        inner = cuts.bitwiseAND(bit(stop) - bit(start + 1))
+        # Both ends are borders and one border lies between.
+        ends = bit(start).bitwiseOR(bit(stop))
+        fits = (cuts.bitwiseAND(ends) == ends) & (inner != 0) & (inner.bitwiseAND(inner - 1) == 0)
+        after = cuts - inner
+        below, above = after.bitwiseAND(bit(start) - 1), F.call_function("shiftrightunsigned", after, stop + 1)
+        left = F.length(F.bin(below)) - 1
+        right = stop + F.length(F.bin(above.bitwiseAND(-above)))
+        better = ((below != 0) & (_edge(edges, left, stop)["score"] > edge["score"])) | (
+            (above != 0) & (_edge(edges, start, right)["score"] > edge["score"])
+        )
+        return F.when(fits, F.struct(after.alias("cuts"), (state["odd"] | F.coalesce(better, F.lit(False))).alias("odd"))).otherwise(state)
+
+    listed = F.transform(
+        F.filter(F.map_entries(edges), lambda e: e["key"] % SPAN > 1),
+        lambda e: F.struct(
+            (-e["value"]["score"]).alias("cost"), F.floor(e["key"] / SPAN).cast("int").alias("start"),
+            (F.floor(e["key"] / SPAN) + e["key"] % SPAN).cast("int").alias("stop"), e["value"]["score"].alias("score"),
+        ),
+    )
+    start = F.struct((bit(size + 1) - 1).alias("cuts"), F.lit(False).alias("odd"))
+    return F.aggregate(F.array_sort(listed), start, step)
+
+
 def viterbi(edges: Column, size: Column, longest: int, unknown: float = -1e6) -> Column:
     """Borders of the pieces of a unigram model: the path with the greatest sum of scores.
 
@@ -154,17 +197,23 @@ def merge_long(segment: str, scores: dict[str, float]) -> list[str]:
     return [part for part in parts if part is not None]
 
 
-def encode_segments(segments: DataFrame, pieces: Pieces, longest: int = 128) -> DataFrame:
+def encode_segments(segments: DataFrame, pieces: Pieces, longest: int = 60) -> DataFrame:
     """Per distinct `segment` its piece `ids`.
 
-    Segments of more than `longest` characters, which are rare, take the same
-    merges from a heap, as a fold over them would take the square of their length.
+    One pass over a segment's edges in the order of their scores does for nearly
+    all; the few that it marks are merged pair by pair. Segments of more than
+    `longest` characters, which are rare, take the same merges from a heap, as
+    their folds would take the square of their length.
     """
-    short = segments.filter(F.length("segment") <= longest)
+    short = segments.filter(F.length("segment") <= longest).select("segment")
     size = F.length("segment")
-    folded = short.select("segment").join(lattice(short, pieces), "segment", "left").withColumn(
-        "cuts", merged(F.col("edges"), size)
+    quick = lattice(short, pieces).withColumn("pass", merged_in_order(F.col("edges"), size))
+    borders = F.filter(
+        F.sequence(F.lit(0), size),
+        lambda at: F.call_function("shiftright", F.col("pass.cuts"), at).bitwiseAND(F.lit(1)) != 0,
     )
+    cuts = F.when(F.col("pass.odd"), merged(F.col("edges"), size)).otherwise(borders)
+    folded = quick.withColumn("cuts", cuts)
     of_byte = F.array(*(F.lit(i) for i in pieces.bytes))
 
     def ids(i: Column) -> Column:
@@ -201,7 +250,7 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids",
     already named `out` is replaced, names that begin with `_piece` are reserved,
     and an empty table gives an empty one.
     """
-    spark = df.sparkSession
+    spark = by_small_batches(df).sparkSession
     whole = F.coalesce(F.col(text), F.lit(""))
     keys = [F.xxhash64(whole, F.lit(seed)).alias(name) for seed, name in ((3, "_piece_h"), (5, "_piece_g"))]
     held = df.select(F.explode(F.array_distinct(segments_of(whole, pieces))).alias("segment"))
@@ -223,12 +272,14 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids",
     rare = encoded.filter(~often).select("segment", "ids")
     # The bound above holds for these too.
     common = F.broadcast(encoded.filter(often).select("segment"))
-    wanted = (
-        df.select(*keys, F.explode(F.array_distinct(segments_of(whole, pieces))).alias("segment"))
-        .join(common, "segment", "left_anti").distinct()
+    wanted = df.select(*keys, F.explode(F.array_distinct(segments_of(whole, pieces))).alias("segment")).join(
+        common, "segment", "left_anti"
     )
+    # What copies of a text ask for is merged in the map tasks.
     back = wanted.join(rare, "segment").groupBy("_piece_h", "_piece_g").agg(
-        F.collect_list("segment").alias("_piece_names"), F.collect_list("ids").alias("_piece_ids")
+        F.collect_set(F.struct("segment", "ids")).alias("_piece_found")
+    ).select(
+        "_piece_h", "_piece_g", F.col("_piece_found.segment").alias("_piece_names"), F.col("_piece_found.ids").alias("_piece_ids")
     )
 
     @F.pandas_udf("array<int>")
@@ -241,11 +292,11 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids",
                 out.append([i for part in parts for i in (often[part] if part in often else own[part])])
             yield pd.Series(out)
 
-    hashed = df.withColumns({"_piece_h": keys[0], "_piece_g": keys[1], "_piece_text": whole})
+    hashed = df.withColumns({"_piece_h": keys[0], "_piece_g": keys[1]})
     joined = hashed.join(back, ["_piece_h", "_piece_g"], "left").withColumn(
-        out, look_up(segments_of(F.col("_piece_text"), pieces), F.col("_piece_names"), F.col("_piece_ids"))
+        out, look_up(segments_of(whole, pieces), F.col("_piece_names"), F.col("_piece_ids"))
     )
-    return joined.select(*(name for name in df.columns if name != out), out)
+    return joined.select(*df.columns, *([] if out in df.columns else [out]))
 
 
 def decode(df: DataFrame, pieces: Pieces, ids: str = "ids", out: str = "text") -> DataFrame:
@@ -266,7 +317,7 @@ def decode(df: DataFrame, pieces: Pieces, ids: str = "ids", out: str = "text") -
     return (
         numbered.join(texts, "_piece_row", "left")
         .withColumn(out, F.coalesce(F.substr(text, F.lit(2)), F.lit("")))
-        .select(*(name for name in df.columns if name != out), out)
+        .select(*df.columns, *([] if out in df.columns else [out]))
     )
 
 
