@@ -3,8 +3,9 @@
 Pages of a host come from few templates. A page's block structure is a union-free
 regular expression over tags and text slots. The expressions of a host are aligned
 with each other until one is left, its wrapper: what only some have becomes
-optional, neighbours of one kind become a repeated group. The wrapper and how
-its slots are filled tell which slots hold the main text.
+optional, neighbours of one kind become a repeated group. Every page is then
+laid along its host's wrapper: a slot is a place in the wrapper, and its marks and
+how pages fill it tell template from main text.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packhorse.llm.common import bounded_broadcast, by_small_batches, stored, table
@@ -71,17 +72,13 @@ _WORD = re.compile(r"[a-z]+")
 
 @dataclass(frozen=True)
 class Element:
-    """An open block: its key (tag and first words of class and id), whether it is aside, and its rank as main text.
-
-    `slot` is the path of keys to it, as far as `MOST_LEVELS` go.
-    """
+    """An open block: its key (tag and first words of class and id), whether it is aside, and its rank as main text."""
 
     tag: str
     key: str
     aside: bool
     rank: int
     level: int
-    slot: str
     in_header: bool
 
 
@@ -108,15 +105,13 @@ def _element(tag: str, attrs: str, parent: Element | None) -> Element:
     if not aside:
         rank = max(rank, 3 if tag == "article" or "articlebody" in words else 2 if tag == "main" else 1 if main else 0)
     key, level = ".".join([tag, *words[:3]]), parent.level + 1 if parent else 1
-    slot = key if parent is None else parent.slot if level > MOST_LEVELS else f"{parent.slot}>{key}"
-    return Element(tag, key, aside, rank, level, slot, tag == "header" or (parent is not None and parent.in_header))
+    return Element(tag, key, aside, rank, level, tag == "header" or (parent is not None and parent.in_header))
 
 
 @dataclass
 class Block:
-    """A run of text between block borders: its slot, rank as main text, and how much of it is in links."""
+    """A run of text between block borders: its rank as main text, and how much of it is in links."""
 
-    slot: str
     rank: int
     aside: bool
     heading: bool
@@ -141,7 +136,7 @@ def blocks_of(page: str | None) -> tuple[list[Block], list]:
             (stack[-1][1] if stack else root)[1].append("#")
             heading = bool(top and top.tag in HEADINGS)
             aside = bool(top and (top.aside or (top.in_header and not heading)))
-            blocks.append(Block(top.slot if top else "", top.rank if top else 0, aside, heading, text, min(linked, len(text))))
+            blocks.append(Block(top.rank if top else 0, aside, heading, text, min(linked, len(text))))
         linked = 0
 
     def close(tags: set[str], limit: set[str]) -> None:
@@ -288,14 +283,83 @@ def as_pattern(terms: list) -> str:
     return "".join(parts)
 
 
+def _fit(key: str, term: str) -> int:
+    """How well a key fits a term's key, which `_bounded` may have shortened."""
+    return 3 if key == term else 0
+
+
+def _meet(keys: list[str], terms: list) -> list[int | None]:
+    """For each of `keys`, which stand in this order, the place of its term.
+
+    Keys meet terms in order as far as possible, rather the ones every page has. A key
+    left over, as in a level that lost its order, takes the term that fits best.
+    """
+    if keys == [term[0] for term in terms]:
+        return list(range(len(keys)))
+    fits = {key: [_fit(key, term[0]) for term in terms] for key in set(keys)}
+    gains = {key: [2 * fit + (fit > 0 and term[1] in "1+") for fit, term in zip(row, terms, strict=True)] for key, row in fits.items()}
+    ahead = [term[1] not in "+*" for term in terms]
+    best = [[0] * (len(terms) + 1) for _ in range(len(keys) + 1)]
+    for i in range(len(keys) - 1, -1, -1):
+        gain, row, below = gains[keys[i]], best[i], best[i + 1]
+        for j in range(len(terms) - 1, -1, -1):
+            row[j] = max(row[j + 1], below[j])
+            if gain[j]:
+                row[j] = max(row[j], gain[j] + below[j + ahead[j]])
+    out: list[int | None] = []
+    j = 0
+    for i, key in enumerate(keys):
+        gain, row, below = gains[key], best[i], best[i + 1]
+        while j < len(terms) and not (gain[j] and row[j] == gain[j] + below[j + ahead[j]]) and row[j] == row[j + 1]:
+            j += 1
+        if j < len(terms) and gain[j] and row[j] == gain[j] + below[j + ahead[j]]:
+            out.append(j)
+            j += ahead[j]
+        else:
+            most = max(fits[key], default=0)
+            out.append(fits[key].index(most) if most else None)
+    return out
+
+
+def places(nodes: list, terms: list, path: str = "", optional: bool = False) -> Iterator[tuple[str, bool]]:
+    """For each text of a page's tree, in order: its slot in the wrapper, and whether pages may lack it.
+
+    A slot is the path of places of its terms, with the page's own key where the
+    wrapper's is shorter, so elements of different names are not judged together.
+    """
+    runs: list[list] = []
+    for node in nodes:
+        key = node if node == "#" else node[0]
+        if runs and runs[-1][0] == key:
+            runs[-1][1].append(node)
+        else:
+            runs.append([key, [node]])
+    for (key, same), place in zip(runs, _meet([key for key, _ in runs], terms), strict=True):
+        name, how, children = terms[place] if place is not None else ("", "?", [])
+        slot = f"{path}>{'' if place is None else place}{'' if key == name else ':' + key}"
+        for node in same:
+            if node == "#":
+                yield slot, optional or how in "?*"
+            else:
+                yield from places(node[1], children, slot, optional or how in "?*")
+
+
 @dataclass(frozen=True)
 class Settings:
-    """`together` expressions of a host are aligned in one task at a time."""
+    """`together` expressions of a host are aligned in one task at a time.
+
+    A text is template if it is the same on `least_pages` different pages and the
+    wrapper says that every page has it. Where pages may lack it, `optional_pages`
+    are asked for, as pages that copy a passage from each other share its slots too.
+    Wrappers are broadcast up to `hosts` and `wrapper_chars`.
+    """
 
     together: int = 64
     least_pages: int = 3
+    optional_pages: int = 10
     most_linked: float = 0.5
     hosts: int = 100_000
+    wrapper_chars: int = 50_000_000
 
 
 def host_of(url: str) -> F.Column:
@@ -304,7 +368,7 @@ def host_of(url: str) -> F.Column:
 
 
 def infer_wrappers(pages: DataFrame, settings: Settings) -> DataFrame:
-    """Per `host`: the `wrapper` as JSON, and per slot how it is filled.
+    """Per `host`: the `wrapper` as JSON.
 
     Pages (host, html) are reduced to their expressions where they are read, and
     equal ones merged before they are shuffled. Then groups of at most about
@@ -318,8 +382,10 @@ def infer_wrappers(pages: DataFrame, settings: Settings) -> DataFrame:
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         whole: list = []
-        for number, text in enumerate(sorted(group["wrapper"])):
-            whole = align(whole, json.loads(text)) if number else json.loads(text)
+        for text in sorted(group["wrapper"]):
+            # A page without a block says nothing about those of others.
+            terms = json.loads(text)
+            whole = align(whole, terms) if whole and terms else whole or terms
         return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(whole)]})
 
     level = stored(pages.mapInPandas(own, "host string, wrapper string").distinct(), "expressions")
@@ -332,48 +398,82 @@ def infer_wrappers(pages: DataFrame, settings: Settings) -> DataFrame:
         level = stored(dealt.groupBy("host", "part").applyInPandas(merge, "host string, wrapper string"), "wrappers")
 
 
-def slot_use(pages: DataFrame) -> DataFrame:
-    """Per host and slot without an aside: pages, characters, those in links, and whether the text is always the same."""
+class Places:
+    """Lays pages along wrappers, which are read once each."""
+
+    def __init__(self) -> None:
+        self.read: dict[str, list] = {}
+
+    def of(self, page: str | None, wrapper: str | None) -> list[tuple[Block, str, bool]]:
+        """The blocks of `page` that are not aside, with slot and whether it is optional.
+
+        Nothing is laid along the wrapper if a block is marked as main text: `main_text` takes those.
+        """
+        blocks, tree = blocks_of(page)
+        if all(block.aside or block.rank for block in blocks):
+            return [(block, "", False) for block in blocks if not block.aside]
+        if wrapper not in self.read:
+            if len(self.read) >= 1000:
+                self.read.clear()
+            self.read[wrapper] = json.loads(wrapper or "[]")
+        laid = places(tree, self.read[wrapper])
+        return [(block, *place) for block, place in zip(blocks, laid, strict=True) if not block.aside]
+
+
+_USE = "host string, slot string, page long, optional boolean, chars long, linked long, low long, high long"
+
+
+def slot_use(pages: DataFrame, settings: Settings) -> DataFrame:
+    """Per host and slot of `pages` (host, html, wrapper) without an aside: characters, those in links, whether pages
+    may lack it, whether its text is always the same, and on how many different pages it is.
+
+    Copies of a page are one page. Of each batch only the first few pages of a
+    slot by their hashes are listed, as no more are asked for.
+    """
+    most = max(settings.least_pages, settings.optional_pages)
 
     def use(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        laid = Places()
         for batch in batches:
-            rows = []
-            for host, page in zip(batch["host"], batch["html"], strict=True):
-                for block in blocks_of(page)[0]:
-                    if not block.aside and not block.rank:
+            found: dict[tuple[str, str], list] = {}
+            for own, (host, page, wrapper) in enumerate(zip(batch["host"], batch["html"], batch["wrapper"], strict=True)):
+                for block, slot, optional in laid.of(page, wrapper):
+                    if not block.rank:
                         name = xxhash.xxh3_64_intdigest(block.text) >> 1
-                        rows.append((host, block.slot, len(block.text), block.linked, name, name))
-            frame = pd.DataFrame(rows, columns=["host", "slot", "chars", "linked", "low", "high"])
-            merged = frame.groupby(["host", "slot"], as_index=False).agg(
-                {"chars": "sum", "linked": "sum", "low": "min", "high": "max"}
-            )
-            merged["uses"] = frame.groupby(["host", "slot"]).size().to_numpy() if len(frame) else []
-            yield merged.astype({name: "int64" for name in ("chars", "linked", "low", "high", "uses")})
+                        held = found.setdefault((host, slot), [set(), optional, 0, 0, name, name])
+                        held[0].add(own)
+                        held[2:] = held[2] + len(block.text), held[3] + block.linked, min(held[4], name), max(held[5], name)
+            rows = []
+            for (host, slot), (seen, optional, chars, linked, low, high) in found.items():
+                for number, own in enumerate(sorted(seen)[:most]):
+                    rows.append((host, slot, own, optional, 0 if number else chars, 0 if number else linked, low, high))
+            yield pd.DataFrame(rows, columns=[part.split()[0] for part in _USE.split(", ")])
 
-    parts = pages.mapInPandas(use, "host string, slot string, chars long, linked long, low long, high long, uses long")
-    return parts.groupBy("host", "slot").agg(
-        *(F.sum(name).alias(name) for name in ("chars", "linked", "uses")),
-        (F.min("low") == F.max("high")).alias("same"),
-    )
+    def merged() -> list[Column]:
+        sums = [F.sum(name).alias(name) for name in ("chars", "linked")]
+        return [*sums, F.max("optional").alias("optional"), F.min("low").alias("low"), F.max("high").alias("high")]
 
+    per_page = pages.mapInPandas(use, _USE).groupBy("host", "slot", "page").agg(*merged())
+    used = per_page.groupBy("host", "slot").agg(F.count(F.lit(1)).alias("n_pages"), *merged())
+    return used.withColumn("same", F.col("low") == F.col("high")).drop("low", "high")
 
-def main_slots(use: DataFrame, settings: Settings) -> DataFrame:
-    """Per host the slots that hold its main text where no element is marked as such.
 
-    Slots of links, and slots with one and the same text on several pages, are left out.
-    """
-    fit = (F.col("linked") <= settings.most_linked * F.col("chars")) & ~(F.col("same") & (F.col("uses") >= settings.least_pages))
-    return use.filter(fit).groupBy("host").agg(F.sort_array(F.collect_list("slot")).alias("slots"))
+def template_slots(use: DataFrame, settings: Settings) -> DataFrame:
+    """Per host the slots that hold no main text where no element is marked as such: slots of links, and template."""
+    witnesses = F.when(F.col("optional"), settings.optional_pages).otherwise(settings.least_pages)
+    template = F.col("same") & (F.col("n_pages") >= witnesses)
+    links = F.col("linked") > settings.most_linked * F.col("chars")
+    return use.filter(template | links).groupBy("host").agg(F.sort_array(F.collect_list("slot")).alias("slots"))
 
 
-def main_text(page: str | None, slots: set[str] | None) -> str:
-    """The page's main text: what is marked as article, else as main, else as content, else the host's slots."""
-    blocks = [block for block in blocks_of(page)[0] if not block.aside]
-    best = max((block.rank for block in blocks), default=0)
+def main_text(page: str | None, slots: set[str] | None, wrapper: str | None = None, laid: Places | None = None) -> str:
+    """The page's main text: what is marked as article, else as main, else as content, else what is in none of the host's template `slots`."""
+    blocks = (laid or Places()).of(page, wrapper)
+    best = max((block.rank for block, _, _ in blocks), default=0)
     if best:
-        chosen = [block for block in blocks if block.rank == best]
+        chosen = [block for block, _, _ in blocks if block.rank == best]
     else:
-        chosen = [block for block in blocks if slots is None or block.slot in slots] or blocks
+        chosen = [block for block, slot, _ in blocks if not slots or slot not in slots] or [block for block, _, _ in blocks]
     return "\n\n".join(block.text for block in chosen)
 
 
@@ -386,37 +486,29 @@ def extract(df: DataFrame, settings: Settings | None = None, page: str = "html",
     block as one space, character references decoded. A null page is empty; a
     null url is a host of its own; markup that is cut off ends with the page.
     Repeated rows come out alike, an empty table gives an empty one, a column
-    that is already named `out` is replaced, and `_host` and `_slots` are reserved.
+    that is already named `out` is replaced, and `_host`, `_wrapper` and `_slots` are reserved.
     """
     settings = settings or Settings()
     hosted = by_small_batches(df).withColumn("_host", host_of(url))
     pages = hosted.select(F.col("_host").alias("host"), F.col(page).alias("html"))
     wrappers = infer_wrappers(pages, settings)
+    few = (wrappers.agg(F.sum(F.length("wrapper"))).first()[0] or 0) <= settings.wrapper_chars
 
-    def slots_of(group: pd.DataFrame) -> pd.DataFrame:
-        """The wrapper's text slots."""
-
-        def walk(terms: list, path: list[str]) -> Iterator[str]:
-            for key, _, children in terms:
-                if key == "#":
-                    yield ">".join(path)
-                else:
-                    yield from walk(children, [*path, key])
-
-        rows = [(row.host, slot) for row in group.itertuples() for slot in set(walk(json.loads(row.wrapper), []))]
-        return pd.DataFrame(rows, columns=["host", "slot"])
+    def shared(hosts: DataFrame) -> DataFrame:
+        return bounded_broadcast(hosts, settings.hosts) if few else hosts
 
-    named = wrappers.mapInPandas(lambda batches: map(slots_of, batches), "host string, slot string")
-    used = slot_use(pages).join(named, ["host", "slot"], "left_semi")
-    slots = bounded_broadcast(
-        stored(main_slots(used, settings).withColumnsRenamed({"host": "_host", "slots": "_slots"}), "slots"), settings.hosts
-    )
+    use = slot_use(pages.join(shared(wrappers), "host", "left"), settings)
+    judged = wrappers.join(template_slots(use, settings), "host", "left")
+    known = shared(stored(judged.withColumnsRenamed({"host": "_host", "wrapper": "_wrapper", "slots": "_slots"}), "slots"))
 
     @F.pandas_udf("string")
-    def text_of(pages: pd.Series, slots: pd.Series) -> pd.Series:
-        return pd.Series([main_text(one, None if held is None else set(held)) for one, held in zip(pages, slots, strict=True)])
+    def text_of(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        laid = Places()
+        for pages, wrappers, slots in batches:
+            held = zip(pages, wrappers, slots, strict=True)
+            yield pd.Series([main_text(one, None if left is None else set(left), whole, laid) for one, whole, left in held], dtype=object)
 
-    told = hosted.join(slots, "_host", "left").withColumn(out, text_of(F.col(page), F.col("_slots")))
+    told = hosted.join(known, "_host", "left").withColumn(out, text_of(F.col(page), F.col("_wrapper"), F.col("_slots")))
     return told.select(*df.columns, *([] if out in df.columns else [out]))
 
 

@@ -104,6 +104,33 @@ def test_slots_without_marks(spark):
     assert got[8] == "alone" and got[9] == ""
 
 
+def texts_of(spark, pages):
+    rows = [(i, f"http://h.example/{i}", page) for i, page in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {row.page_id: row.text for row in html_text.extract(df).collect()}
+
+
+def test_the_wrapper_tells_template_from_text(spark, monkeypatch):
+    """Template and text have one path of names; only their places in the wrapper, and its marks, tell them apart."""
+    first, last, rare = "<p>Welcome to this site</p>", "<table><tr><td>x{0}</table><p>All rights reserved</p>", "<dl><dt>Known to few</dl>"
+    page = "<h1>Title {0}</h1><p>text {0}</p><h2>Who we are</h2>"
+    pages = [
+        ("<body>" + first * (i % 3 > 0) + page + last * (i % 2) + rare * (i in (5, 7, 11)) + "</body>").format(i) for i in range(24)
+    ]
+    got = texts_of(spark, pages)
+    # The heading stands on every page, the other two on many; what few pages have stays.
+    for i in range(24):
+        assert got[i].split("\n\n") == [f"Title {i}", f"text {i}"] + [f"x{i}"] * (i % 2) + ["Known to few"] * (i in (5, 7, 11))
+
+    def unaligned(pages, settings):
+        least = pages.groupBy("host").agg(html_text.F.min("html")).collect()
+        rows = [(host, html_text.json.dumps(expression(one))) for host, one in least]
+        return html_text.stored(spark.createDataFrame(rows, "host string, wrapper string"), "unaligned")
+
+    monkeypatch.setattr(html_text, "infer_wrappers", unaligned)
+    assert texts_of(spark, pages) != got
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 300 + "<p>deep</p>"
     long = "<article>" + "<p>word &amp; word</p>" * 20_000
