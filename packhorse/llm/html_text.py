@@ -285,7 +285,7 @@ def as_pattern(terms: list) -> str:
 
 def _fit(key: str, term: str) -> int:
     """How well a key fits a term's key, which `_bounded` may have shortened."""
-    return 3 if key == term else 0
+    return 3 if key == term else 0 if "#" in (key, term) else 2 if term == key.split(".")[0] else term == "other"
 
 
 def _meet(keys: list[str], terms: list) -> list[int | None]:

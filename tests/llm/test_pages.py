@@ -131,6 +131,21 @@ def test_the_wrapper_tells_template_from_text(spark, monkeypatch):
     assert texts_of(spark, pages) != got
 
 
+def test_names_of_their_own_keep_their_text(spark):
+    """More sibling names than an expression has terms, so the wrapper's are shorter than the pages'."""
+    def name(i):
+        return "".join(chr(97 + i // 26**k % 26) for k in range(3)) + "q"
+
+    pages = [
+        "<body>" + "".join(f"<div class={name(10 * i + k)}><h2>head {i} {k}</h2><p>text {i} {k}</p></div>" for k in range(9))
+        + f"<x{i}><p>own {i}</p></x{i}><p>Reserved</p></body>"
+        for i in range(80)
+    ]
+    got = texts_of(spark, pages)
+    for i in range(80):
+        assert got[i].split("\n\n") == [f"{what} {i} {k}" for k in range(9) for what in ("head", "text")] + [f"own {i}"]
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 300 + "<p>deep</p>"
     long = "<article>" + "<p>word &amp; word</p>" * 20_000
