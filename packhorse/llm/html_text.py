@@ -436,7 +436,8 @@ def slot_use(pages: DataFrame, settings: Settings) -> DataFrame:
         laid = Places()
         for batch in batches:
             found: dict[tuple[str, str], list] = {}
-            for own, (host, page, wrapper) in enumerate(zip(batch["host"], batch["html"], batch["wrapper"], strict=True)):
+            for host, page, wrapper in zip(batch["host"], batch["html"], batch["wrapper"], strict=True):
+                own = xxhash.xxh3_64_intdigest(page or "") >> 1
                 for block, slot, optional in laid.of(page, wrapper):
                     if not block.rank:
                         name = xxhash.xxh3_64_intdigest(block.text) >> 1

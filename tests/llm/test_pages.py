@@ -138,12 +138,22 @@ def test_names_of_their_own_keep_their_text(spark):
 
     pages = [
         "<body>" + "".join(f"<div class={name(10 * i + k)}><h2>head {i} {k}</h2><p>text {i} {k}</p></div>" for k in range(9))
-        + f"<x{i}><p>own {i}</p></x{i}><p>Reserved</p></body>"
+        + f"<x{i}><p>own {i}</p></x{i}><p>end {i}</p><table><tr><td>Reserved</table></body>"
         for i in range(80)
     ]
     got = texts_of(spark, pages)
     for i in range(80):
-        assert got[i].split("\n\n") == [f"{what} {i} {k}" for k in range(9) for what in ("head", "text")] + [f"own {i}"]
+        assert got[i].split("\n\n") == [f"{what} {i} {k}" for k in range(9) for what in ("head", "text")] + [f"own {i}", f"end {i}"]
+
+
+def test_copies_are_one_witness(spark):
+    """Copies of a page, and what a page repeats, do not make its text template."""
+    pages = [f"<body><h1>Title {i}</h1><p>text {i}</p></body>" for i in range(5)]
+    copied = "<body><h1>Title</h1><p>text</p><blockquote>said once</blockquote></body>"
+    again = "<body><h1>Own</h1><p>text</p>" + "<pre>same</pre>" * 12 + "</body>"
+    got = texts_of(spark, pages + [copied] * 12 + [again])
+    assert all(got[i] == "Title\n\ntext\n\nsaid once" for i in range(5, 17))
+    assert got[17].split("\n\n") == ["Own", "text"] + ["same"] * 12
 
 
 def test_odd_pages(spark):
