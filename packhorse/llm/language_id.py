@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packhorse.llm.common import by_small_batches, give_back, held_out, in_training, table
+from packhorse.llm.common import bounded_broadcast, by_small_batches, give_back, held_out, in_training, stored, table
 
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -26,8 +26,9 @@ _LETTER = re.compile(r"[^\W\d_]")
 class Settings:
     """`docs` texts per language, `slice_chars` of each, make its dictionary.
 
-    The fit reads at most `languages * docs * slice_chars` characters. Texts are
-    compressed in chunks of `chunk` bytes, as the dictionary would matter less
+    Every language is learned. The fit sends at most `languages * docs * slice_chars`
+    characters to the driver at a time, and a task holds the encoders of `languages`
+    languages at a time. Texts are compressed in chunks of `chunk` bytes, as the dictionary would matter less
     and less further into a long text. A margin below `min_margin` is narrow; then
     the sizes at the levels `again` are added, as those of a short text at one
     level are often equal, and the margin is taken anew.
@@ -56,26 +57,33 @@ def fit(df: DataFrame, settings: Settings, text: str = "text", lang: str = "lang
     """Dictionaries from texts with a language; which texts is decided by a hash of the id.
 
     First the hashes alone are ranked, limited in each map task, so that a
-    language with most rows sends few small rows; then the chosen texts are read.
+    language with most rows sends few small rows; then the chosen texts are read,
+    once for as many languages as may be sent to the driver together.
     """
     known = df.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).select(
         F.col(lang).alias("lang"), F.xxhash64(F.col(key), F.lit(17)).alias("h"), F.col(text).alias("text")
     )
     order = Window.partitionBy("lang").orderBy("h")
-    few = (
-        known.select("lang", "h").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= settings.docs)
-        .groupBy("lang").agg(F.max("h").alias("most")).orderBy("lang").limit(settings.languages)
-    )
+    ranked = known.select("lang", "h").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= settings.docs)
+    few = stored(ranked.groupBy("lang").agg(F.max("h").alias("most"), F.count(F.lit(1)).alias("n")), "languages")
     # The middle of a text, not its opening, which templates share.
     size = settings.slice_chars
     middle = F.greatest(F.lit(1), (F.length("text") / 2).cast("int") - size // 2)
-    # A row for each of at most `languages` languages, hence the hint.
-    chosen = known.join(F.broadcast(few), "lang").filter("h <= most").groupBy("lang", "h").agg(
+    chosen = known.join(bounded_broadcast(few), "lang").filter("h <= most").groupBy("lang", "h").agg(
         F.min(F.substring(F.col("text"), middle, F.lit(size))).alias("part")
     )
     parts: dict[str, list[str]] = {}
-    for row in chosen.orderBy("lang", "h").collect():
-        parts.setdefault(row["lang"], []).append(row["part"].lower())
+    together: list[list[str]] = []
+    held = most = settings.languages * settings.docs
+    for row in few.orderBy("lang").collect():
+        if held + row["n"] > most:
+            together.append([])
+            held = 0
+        together[-1].append(row["lang"])
+        held += row["n"]
+    for names in together:
+        for row in chosen.filter(F.col("lang").between(names[0], names[-1])).orderBy("lang", "h").collect():
+            parts.setdefault(row["lang"], []).append(row["part"].lower())
     return {name: " ".join(reversed(values)).encode() for name, values in parts.items()}
 
 
@@ -92,40 +100,61 @@ class Encoders:
         self.dictionaries = dictionaries
         self.at_level: dict[int, list[zstandard.ZstdCompressor]] = {}
 
-    def encoders(self, level: int) -> list[zstandard.ZstdCompressor]:
-        """One encoder per language, made when a level is first asked for."""
-        if level not in self.at_level:
-            self.at_level[level] = []
-            for name in self.names:
-                content = zstandard.ZstdCompressionDict(self.dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                content.precompute_compress(level=level)
-                self.at_level[level].append(
-                    zstandard.ZstdCompressor(
-                        level=level, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False
-                    )
+    def made(self, names: list[str], level: int) -> list[zstandard.ZstdCompressor]:
+        out = []
+        for name in names:
+            content = zstandard.ZstdCompressionDict(self.dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            content.precompute_compress(level=level)
+            out.append(
+                zstandard.ZstdCompressor(
+                    level=level, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False
                 )
-        return self.at_level[level]
-
-    def sizes(self, text: str, level: int) -> list[int]:
-        data = text.lower().encode()
+            )
+        return out
+
+    def encoders(self, level: int) -> Iterator[list[zstandard.ZstdCompressor]]:
+        """One encoder per language, by groups of languages.
+
+        If there is one group only, it is made when a level is first asked for, and kept.
+        """
+        most = self.settings.languages
+        if len(self.names) <= most:
+            if level not in self.at_level:
+                self.at_level[level] = self.made(self.names, level)
+            yield self.at_level[level]
+        else:
+            for at in range(0, len(self.names), most):
+                yield self.made(self.names[at : at + most], level)
+
+    def sizes(self, texts: list[str], level: int) -> list[list[int]]:
+        """For each text its size with every language."""
         step = self.settings.chunk
-        chunks = [data[at : at + step] for at in range(0, len(data), step)]
-        return [sum(len(one.compress(chunk)) for chunk in chunks) for one in self.encoders(level)]
-
-    def judge(self, text: str | None) -> tuple[str, float, float, bool]:
-        if not text or not self.names or not _LETTER.search(text):
-            return UNKNOWN, 0.0, 0.0, False
+        out: list[list[int]] = [[] for _ in texts]
+        for group in self.encoders(level) if texts else ():
+            for text, found in zip(texts, out, strict=True):
+                data = text.lower().encode()
+                chunks = [data[at : at + step] for at in range(0, len(data), step)]
+                found += [sum(len(one.compress(chunk)) for chunk in chunks) for one in group]
+        return out
+
+    def judge(self, texts: list[str | None]) -> list[tuple[str, float, float, bool]]:
+        out = [(UNKNOWN, 0.0, 0.0, False)] * len(texts)
+        known = [at for at, text in enumerate(texts) if text and self.names and _LETTER.search(text)]
         if len(self.names) == 1:
-            return self.names[0], 1.0, 1.0, True
+            for at in known:
+                out[at] = self.names[0], 1.0, 1.0, True
+            return out
         least = self.settings.min_margin
-        sizes = self.sizes(text, self.settings.level)
-        best, margin = _winner(sizes)
-        if margin < least:
-            for level in self.settings.again:
-                sizes = [a + b for a, b in zip(sizes, self.sizes(text, level), strict=True)]
-            best, margin = _winner(sizes)
-        score = 1 / sum(math.exp((sizes[best] - size) / (0.02 * sizes[best])) for size in sizes)
-        return self.names[best], score, margin, margin >= least
+        sizes = dict(zip(known, self.sizes([texts[at] for at in known], self.settings.level), strict=True))
+        narrow = [at for at in known if _winner(sizes[at])[1] < least]
+        for level in self.settings.again:
+            for at, more in zip(narrow, self.sizes([texts[at] for at in narrow], level), strict=True):
+                sizes[at] = [a + b for a, b in zip(sizes[at], more, strict=True)]
+        for at in known:
+            best, margin = _winner(sizes[at])
+            score = 1 / sum(math.exp((sizes[at][best] - size) / (0.02 * sizes[at][best])) for size in sizes[at])
+            out[at] = self.names[best], score, margin, margin >= least
+        return out
 
 
 def language_id(
@@ -143,7 +172,7 @@ def language_id(
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoders = Encoders(dictionaries, settings)
         for texts in batches:
-            yield pd.DataFrame([encoders.judge(value) for value in texts], columns=RESULT.names)
+            yield pd.DataFrame(encoders.judge(list(texts)), columns=RESULT.names)
         del encoders
         give_back()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections import Counter
@@ -119,6 +120,21 @@ def test_language_held_out(spark, documents):
     assert sum(row.lang_pred == langs[row.doc_id] for row in held) >= 0.95 * len(held)
 
 
+def test_every_language_is_learned(spark):
+    """More languages than are sent to the driver, or held by a task, at a time; the last in the alphabet count too."""
+    def word(i, k):
+        return hashlib.md5(f"{i}:{k}".encode()).hexdigest()[:7]
+
+    rows = [(100 * i + n, " ".join(word(i, (n + k) % 30) for k in range(40)), f"l{i:02d}") for i in range(23) for n in range(6)]
+    df = spark.createDataFrame([*rows, (1, "", "none"), (2, "x", None)], "doc_id long, text string, lang string").repartition(3)
+    few, all_at_once = (language_id.Settings(docs=4, slice_chars=300, languages=most) for most in (5, 100))
+    dictionaries = language_id.fit(df, few)
+    assert len(dictionaries) == 23 and dictionaries == language_id.fit(df, all_at_once)
+    told = [{row.doc_id: row.language for row in language_id.language_id(df, dictionaries, s).collect()} for s in (few, all_at_once)]
+    assert told[0] == told[1]
+    assert all(told[0][doc_id].lang_pred == lang for doc_id, _, lang in rows)
+
+
 def test_odd_texts(spark, odd_texts):
     """Null and empty texts, long ones, repeated rows, clashing names, an empty table."""
     rules = quality_rules.quality_rules(odd_texts, out="kept")
