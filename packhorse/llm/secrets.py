@@ -52,9 +52,15 @@ PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your|xxxx|1234567|
 
 @dataclass(frozen=True)
 class Settings:
-    """A value held by `copied_owners` owners or more is an example that is copied."""
+    """A value held by `copied_owners` owners or more is an example that is copied.
+
+    So is one in `copied_repositories` or more, whoever owns them, where that is
+    given. It is for tables whose owner is coarse, but also takes a credential that
+    one owner has in that many repositories, or that copies of one text hold, for an example.
+    """
 
     copied_owners: int = 3
+    copied_repositories: int | None = None
     least_distinct: int = 8
 
 
@@ -110,8 +116,11 @@ def ownership(spans: DataFrame, settings: Settings) -> DataFrame:
     counted = per_owner.groupBy("hash").agg(
         F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_repositories"), F.max("live").alias("live")
     )
+    copied = F.col("n_owners") >= settings.copied_owners
+    if settings.copied_repositories is not None:
+        copied = copied | (F.col("n_repositories") >= settings.copied_repositories)
     verdict = (
-        F.when(F.col("n_owners") >= settings.copied_owners, "copied")
+        F.when(copied, "copied")
         .when(F.col("live"), "live").otherwise("unclear")
     )
     return counted.select("hash", "n_owners", "n_repositories", verdict.alias("verdict"))
@@ -129,7 +138,7 @@ def find_secrets(
     """`df` with an array `out` of spans, by start and kind.
 
     A span has kind, start and end (code points, end exclusive), base, the
-    verdict (live, copied, unclear) and n_owners. Base spans are always there;
+    verdict (live, copied, unclear), n_owners and n_repositories. Base spans are always there;
     others where their verdict is live. Null text counts as empty and has no
     spans; repeated rows get the same spans each; an empty table gives an empty
     one; a column that is already named `out` is replaced, and names that begin
@@ -167,7 +176,7 @@ def find_secrets(
     )
     one = F.struct(
         "start", "rank", "end", F.element_at(names, F.col("rank") + 1).alias("kind"),
-        (F.col("rank") < len(BASE)).alias("base"), "verdict", "n_owners",
+        (F.col("rank") < len(BASE)).alias("base"), "verdict", "n_owners", "n_repositories",
     )
     listed = judged.groupBy("_scan_row").agg(F.sort_array(F.collect_list(one)).alias(out))
     none = F.lit(None).cast(listed.schema[out].dataType)
@@ -204,7 +213,10 @@ def _joined(spans: Column) -> Column:
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents have one column of provenance: `source` is the owner, a document the repository."""
+    """Documents have one column of provenance: `source` is the owner, a document the repository.
+
+    The verdict goes by owners, as in the SQL.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     found = find_secrets(docs, keep_text=False)
     spans = F.col("secrets")

@@ -57,6 +57,20 @@ def test_ownership_tells_examples_from_live_keys(spark):
     assert [s.verdict for s in found[21]] == ["unclear"]
 
 
+def test_repositories_are_counted(spark):
+    """Each span tells in how many repositories its value is; where a threshold is given, they make it an example."""
+    rows = [(i % 20, "one", f"x {KEY} token=q8Zr5Tv1Xw7Yp", 0) for i in range(40)] + [(50, "one", "token=r9As6Uw2Yx8Zq", 0)]
+    df, found = rows_of(spark, rows)
+    for row in found.collect():
+        kinds = ["assign"] if row.doc_id == 50 else ["github", "assign"]
+        assert [(s.kind, s.verdict, s.n_owners, s.n_repositories) for s in row.secrets] == [(k, "live", 1, 1 if row.doc_id == 50 else 20) for k in kinds]
+    for most, verdict in ((20, "copied"), (21, "live")):
+        told = secrets.find_secrets(df, settings=secrets.Settings(copied_repositories=most)).collect()
+        assert {s.verdict for row in told for s in row.secrets if row.doc_id < 50} == {verdict}
+        assert {len(row.secrets) for row in told if row.doc_id < 50} == {1 if verdict == "copied" else 2}
+        assert [s.verdict for row in told for s in row.secrets if row.doc_id == 50] == ["live"]
+
+
 def test_redaction(spark):
     rows = [(i, "s", text, 0) for i, text in enumerate(TEXTS)]
     df, found = rows_of(spark, rows)
