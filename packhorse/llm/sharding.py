@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packhorse.llm.common import table
+from packhorse.session import scratch_path
 
 SLOTS_PER_SHARD = 100
 MOST_SLOTS = 5_000_000
@@ -100,8 +101,12 @@ PRODUCTION_SHARDS = tuple(f"shard-{number:03d}" for number in range(32))
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
-    return place(docs, fill(PRODUCTION_SHARDS))
+    """Whole documents are written by shard to the scratch folder; the result is read from there."""
+    docs, lookup = table(spark, sf_dir, "documents"), fill(PRODUCTION_SHARDS)
+    path = scratch_path(spark, "shards")
+    write_shards(docs, lookup, path)
+    written = spark.read.schema(docs.schema.add("shard", "string")).parquet(path)
+    return written.select("doc_id", "n_chars", slot_of(F.col("doc_id"), len(lookup.owners)).alias("slot"), "shard")
 
 
 def _oracle(shards: int, slots: int) -> str:

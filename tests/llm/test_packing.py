@@ -148,3 +148,13 @@ def test_placement(spark, odd_texts, tmp_path):
     assert sharding.place(odd_texts.limit(0), lookup).count() == 0
     sharding.write_shards(odd_texts, lookup, str(tmp_path / "shards"))
     assert spark.read.parquet(str(tmp_path / "shards")).count() == len(rows)
+
+
+def test_documents_are_written_by_shard(spark):
+    """The query moves whole documents: its result is read from one folder per shard."""
+    files = sharding.op9_sharding(spark, FOLDER).inputFiles()
+    folders = {name.rpartition("/")[0].rpartition("shard=")[2] for name in files}
+    assert folders == set(sharding.PRODUCTION_SHARDS)
+    given = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    written = spark.read.parquet(files[0].partition("/shard=")[0])
+    assert sorted(written.select(*given.columns).collect()) == sorted(given.collect())
