@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from packhorse.llm import (
+    conversations,
     cover_tree,
     html_text,
     jaccard_join,
@@ -16,6 +17,9 @@ from packhorse.llm import (
 )
 from packhorse.llm.common import Query
 
-MODULES = (packing, html_text, secrets, cover_tree, jaccard_join, quality_model, quality_rules, pieces, sharding, language_id)
+MODULES = (
+    packing, html_text, secrets, cover_tree, jaccard_join, quality_model, quality_rules, pieces, sharding, language_id,
+    conversations,
+)
 QUERIES: dict[str, Query] = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
