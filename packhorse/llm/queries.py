@@ -14,12 +14,13 @@ from packhorse.llm import (
     quality_rules,
     secrets,
     sharding,
+    substrings,
 )
 from packhorse.llm.common import Query
 
 MODULES = (
     packing, html_text, secrets, cover_tree, jaccard_join, quality_model, quality_rules, pieces, sharding, language_id,
-    conversations,
+    conversations, substrings,
 )
 QUERIES: dict[str, Query] = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
