@@ -12,6 +12,7 @@ from packhorse.llm import (
     pieces,
     quality_model,
     quality_rules,
+    ranked_search,
     secrets,
     sharding,
     substrings,
@@ -20,7 +21,7 @@ from packhorse.llm.common import Query
 
 MODULES = (
     packing, html_text, secrets, cover_tree, jaccard_join, quality_model, quality_rules, pieces, sharding, language_id,
-    conversations, substrings,
+    conversations, substrings, ranked_search,
 )
 QUERIES: dict[str, Query] = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
