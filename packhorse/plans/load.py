@@ -10,6 +10,7 @@ from packhorse.session import scratch_path
 from packhorse.sources.contracts import read_table
 from packhorse.sources.incremental import extract_after, highest_mark, load_mark, save_mark
 from packhorse.sources.loads import load_partitions, upsert, upsert_partitions
+from packhorse.sources.switched import load_switched, read_switched, upsert_switched
 
 # An earlier run has taken the events up to the 15th
 
@@ -167,3 +168,68 @@ def p18_upsert_moved_keys(spark: SparkSession, folder: str) -> DataFrame:
     changes = later.withColumn("version", F.lit(1))
     upsert_partitions(spark, path, changes, ["o_orderkey"], ["o_year"], [F.desc("version")])
     return spark.read.parquet(path)
+
+
+# Partitions whose names Spark, or a URI, writes in another way.
+_BINS = {
+    "1-URGENT": "a b", "2-HIGH": "a:b", "3-MEDIUM": "a%20b", "4-NOT SPECIFIED": "é/ü=1 #?", "5-LOW": None,
+}
+_BIN_SQL = "CASE o_orderpriority " + " ".join(
+    f"WHEN '{priority}' THEN {'NULL' if name is None else repr(name)}" for priority, name in _BINS.items()
+) + " END"
+# Finished orders move to another bin, and so does all of one.
+_MOVES_SQL = "o_orderstatus = 'F' OR o_orderpriority = '2-HIGH'"
+
+
+def _binned(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("bin", F.expr(_BIN_SQL))
+
+
+def _moved(orders: DataFrame) -> DataFrame:
+    moved = orders.filter(F.expr(_MOVES_SQL))
+    return moved.withColumns({"bin": F.lit("o%2Fther"), "o_totalprice": F.col("o_totalprice") + 1, "version": F.lit(1)})
+
+
+_MOVED_SQL = f"""
+    SELECT * REPLACE (CASE WHEN {_MOVES_SQL} THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice),
+        CASE WHEN {_MOVES_SQL} THEN 'o%2Fther' ELSE {_BIN_SQL} END AS bin
+    FROM orders
+"""
+
+
+@query(_MOVED_SQL)
+def p18_upsert_moved_text_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders move out of partitions with spaces, colons and percent signs in their names."""
+    orders = _binned(read_table(spark, folder, "orders"))
+    path = scratch_path(spark, "orders-by-bin")
+    load_partitions(orders, path, ["bin"])
+    upsert_partitions(spark, path, _moved(orders), ["o_orderkey"], ["bin"], [F.desc("version")])
+    return spark.read.schema(orders.schema).parquet(path)
+
+
+@query(_MOVED_SQL)
+def p18_switched_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through a pointer, in two upserts."""
+    orders = _binned(read_table(spark, folder, "orders"))
+    path = scratch_path(spark, "orders-switched")
+    load_switched(spark, path, orders, ["bin"])
+    moved = _moved(orders)
+    for part in (moved.filter("o_orderkey % 2 = 0"), moved.filter("o_orderkey % 2 <> 0")):
+        upsert_switched(spark, path, part, ["o_orderkey"], [F.desc("version")])
+    return read_switched(spark, path)
+
+
+@query(
+    f"""
+    SELECT *, {_BIN_SQL} AS bin FROM orders
+    WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW') OR (o_orderpriority = '5-LOW' AND o_orderstatus = 'F')
+    """
+)
+def p18_switched_load(spark: SparkSession, folder: str) -> DataFrame:
+    """One partition is loaded anew with fewer rows, another is emptied."""
+    orders = _binned(read_table(spark, folder, "orders"))
+    path = scratch_path(spark, "orders-switched")
+    load_switched(spark, path, orders, ["bin"])
+    anew = orders.filter((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F"))
+    load_switched(spark, path, anew, ["bin"], emptied=orders.filter("o_orderpriority = '1-URGENT'").select("bin"))
+    return read_switched(spark, path)

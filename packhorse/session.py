@@ -84,8 +84,18 @@ def delete_scratch(spark: SparkSession, path: str) -> None:
 
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder in any file system that Spark knows."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+
+
+def delete_by_uri(spark: SparkSession, uri: str) -> None:
+    """Delete a folder named as in `_metadata.file_path`, which is encoded as a URI; it must be there."""
+    jvm = spark.sparkContext._jvm
+    if not _delete(spark, jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))):
+        raise FileNotFoundError(f"nothing to delete at {uri}")
+
+
+def _delete(spark: SparkSession, folder) -> bool:
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def release_scratch(spark: SparkSession) -> None:

@@ -8,11 +8,15 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packhorse.functions.columns import all_of
 from packhorse.functions.skew import ROWS_PER_TASK, filter_join
 from packhorse.operators.keys import dedupe_latest
-from packhorse.session import delete_folder, scratch_path
+from packhorse.session import delete_by_uri, scratch_path
+
+# The file of a stored row, as a URI.
+FILE = "_file"
 
 
 def upsert(
@@ -67,9 +71,29 @@ def upsert_partitions(
     keys never move. The old files stay until the new ones are complete; Spark
     then swaps folders one by one, so readers should wait for the job to end.
     """
-    stored = spark.read.parquet(path)
+    stored = spark.read.parquet(path).withColumn(FILE, F.col("_metadata.file_path"))
+    touched, pruned, merged = merge_plan(stored, changes, keys, partitions, latest, keys_stay)
+    emptied = _emptied(pruned, merged, partitions)
+    load_partitions(merged, path, partitions)
+    for folder in emptied:
+        delete_by_uri(spark, folder)
+
+
+def merge_plan(
+    stored: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    partitions: Sequence[str],
+    latest: Sequence[Column],
+    keys_stay: bool = False,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What an upsert of `changes` does to a partitioned table.
+
+    The partitions it touches (with `_n`), their rows now, and their rows then,
+    without a column `FILE` that `stored` may have.
+    """
     types = {name: stored.schema[name].dataType for name in partitions}
-    cast = changes.withColumns({name: F.col(name).cast(t) for name, t in types.items()})
+    cast = changes.withColumns({name: _as_folder(F.col(name), t) for name, t in types.items()})
     newest = _written(dedupe_latest(cast, keys, latest), "changes")
     touched = newest.select(*partitions)
     if not keys_stay:
@@ -78,12 +102,14 @@ def upsert_partitions(
         holding = stored.select(*dict.fromkeys([*keys, *partitions])).join(changed, same, "left_semi")
         touched = touched.unionByName(holding.select(*partitions))
     touched = _written(touched.groupBy(*partitions).agg(F.count(F.lit(1)).alias("_n")), "touched")
-    pruned = _of_partitions(stored, touched, partitions)
-    merged = upsert(pruned.drop("_file"), newest, keys, latest)
-    emptied = _emptied(pruned, merged, partitions)
-    load_partitions(merged, path, partitions)
-    for folder in emptied:
-        delete_folder(spark, folder)
+    pruned = of_partitions(stored, touched, partitions)
+    return touched, pruned, upsert(pruned.drop(FILE), newest, keys, latest)
+
+
+def _as_folder(value: Column, kind: T.DataType) -> Column:
+    """A partition value as its folder gives it back: empty text is stored as null."""
+    value = value.cast(kind)
+    return F.nullif(value, F.lit("")) if isinstance(kind, T.StringType) else value
 
 
 def _written(df: DataFrame, label: str) -> DataFrame:
@@ -92,8 +118,8 @@ def _written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _of_partitions(stored: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """The stored rows of touched partitions; only their folders are read.
+def of_partitions(stored: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """The stored rows of touched partitions (with `_n`); only their folders are read.
 
     The join prunes the scan at run time, which Spark does for equality and a
     filtered side. Partitions with a null value are pruned by a plain filter.
@@ -103,7 +129,6 @@ def _of_partitions(stored: DataFrame, touched: DataFrame, partitions: Sequence[s
     equal = all_of(F.col(name) == F.col(other) for name, other in names.items())
     alike = all_of(F.col(name).eqNullSafe(F.col(other)) for name, other in names.items())
     some_null = reduce(or_, [F.col(name).isNull() for name in partitions])
-    stored = stored.withColumn("_file", F.col("_metadata.file_path"))
     return stored.join(wanted, equal, "left_semi").unionByName(
         stored.filter(some_null).join(wanted, alike, "left_semi")
     )
@@ -114,5 +139,5 @@ def _emptied(pruned: DataFrame, merged: DataFrame, partitions: Sequence[str]) ->
     names = {name: f"_left_{name}" for name in partitions}
     left = merged.select(*partitions).distinct().withColumnsRenamed(names)
     alike = all_of(F.col(name).eqNullSafe(F.col(other)) for name, other in names.items())
-    folder = F.regexp_replace("_file", "/[^/]*$", "").alias("folder")
+    folder = F.regexp_replace(FILE, "/[^/]*$", "").alias("folder")
     return [row.folder for row in pruned.join(left, alike, "left_anti").select(folder).distinct().collect()]

@@ -19,7 +19,8 @@ from packhorse.operators.quality import (
     standardise,
     valid_rows,
 )
-from packhorse.session import build_session, release_scratch, scratch_path
+from packhorse.session import build_session, delete_by_uri, release_scratch, scratch_path
+from packhorse.sources import switched
 from packhorse.sources.contracts import (
     CONTRACTS,
     ContractError,
@@ -28,7 +29,8 @@ from packhorse.sources.contracts import (
     read_table,
 )
 from packhorse.sources.incremental import extract_after, highest_mark, load_mark, save_mark
-from packhorse.sources.loads import _of_partitions, _written, load_partitions, upsert, upsert_partitions
+from packhorse.sources.loads import _written, load_partitions, of_partitions, upsert, upsert_partitions
+from packhorse.sources.switched import drop_unused, load_switched, read_switched, upsert_switched
 from packhorse.sources.text import accepted, quarantine, read_csv_lines, read_json_lines
 
 T0 = datetime(2024, 1, 1)
@@ -311,6 +313,106 @@ def test_moved_keys_leave_no_old_row(spark, tmp_path):
     assert sorted(f.name for f in (tmp_path / "table" / "p=d" / "q=2").glob("*.parquet")) == untouched
 
 
+# Names that Spark, a file system or a URI writes in another way.
+ODD_NAMES = ["a b", "a:b", "a%20b", "a/b", "ü", "x=y", "%", "#", "007", "null", "", None]
+
+
+def test_keys_move_out_of_partitions_with_odd_names(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "k long, p string, v int"
+    rows = [(k, name, 0) for k, name in enumerate(ODD_NAMES)]
+    load_partitions(spark.createDataFrame(rows, schema), path, ["p"])
+    changes = [(k, "other", 1, 1) for k in range(len(rows))] + [(99, "", 1, 1)]
+    upsert_partitions(spark, path, spark.createDataFrame(changes, schema + ", n int"), ["k"], ["p"], [F.desc("n")])
+    got = sorted((r.k, r.p, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [(k, "other", 1) for k in range(len(rows))] + [(99, None, 1)]
+    assert sorted(f.name for f in tmp_path.glob("table/p=*")) == ["p=__HIVE_DEFAULT_PARTITION__", "p=other"]
+
+
+def test_deleting_what_is_not_there_is_noticed(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="nothing to delete"):
+        delete_by_uri(spark, f"file:{tmp_path}/p=a%20b")
+
+
+# P18 with a switch
+
+
+def switched_rows(spark, path):
+    return sorted((tuple(r) for r in read_switched(spark, path).collect()), key=str)
+
+
+def test_switched_upserts_give_what_in_place_ones_do(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "k long, p string, q int, v int"
+    rows = [(k, name, k % 2, 0) for k, name in enumerate(ODD_NAMES)]
+    stored = [(k, p or None, q, v) for k, p, q, v in rows]
+    load_switched(spark, path, spark.createDataFrame(rows, schema), ["p", "q"])
+    assert switched_rows(spark, path) == sorted(stored, key=str)
+    moved = [(k, "other", 7, 1, 1) for k in range(0, len(rows), 2)] + [(50, "", 1, 5, 1), (50, "", 1, 4, 0)]
+    upsert_switched(spark, path, spark.createDataFrame(moved, schema + ", n int"), ["k"], [F.desc("n")])
+    want = [(k, "other", 7, 1) if k % 2 == 0 else row for row in stored for k in row[:1]] + [(50, None, 1, 5)]
+    assert switched_rows(spark, path) == sorted(want, key=str)
+    assert read_switched(spark, path).schema == T.StructType.fromDDL(schema)
+    upsert_switched(spark, path, spark.createDataFrame([], schema + ", n int"), ["k"], [F.desc("n")])
+    assert switched_rows(spark, path) == sorted(want, key=str)
+
+
+def test_a_killed_load_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "table"), "k long, p string"
+    with pytest.raises(FileNotFoundError):
+        read_switched(spark, path)
+    load_switched(spark, path, spark.createDataFrame([(1, "a"), (2, "b")], schema), ["p"])
+    with monkeypatch.context() as patch:
+        # Killed when all files and the manifest are there, but not the pointer.
+        patch.setattr(switched, "_move_pointer", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            load_switched(spark, path, spark.createDataFrame([(3, "a"), (4, "c")], schema), ["p"])
+    assert switched_rows(spark, path) == [(1, "a"), (2, "b")]
+    load_switched(spark, path, spark.createDataFrame([(5, "b")], schema), ["p"])
+    assert switched_rows(spark, path) == [(1, "a"), (5, "b")]
+    # A reader that has begun goes on with the files of its load.
+    before = read_switched(spark, path)
+    load_switched(spark, path, spark.createDataFrame([(6, "b")], schema), ["p"])
+    assert sorted(map(tuple, before.collect())) == [(1, "a"), (5, "b")]
+    assert drop_unused(spark, path, "2000-01-01") == 0
+    assert drop_unused(spark, path, "2100-01-01") == 4
+    assert switched_rows(spark, path) == [(1, "a"), (6, "b")]
+    assert len(list(tmp_path.glob("table/data/*/*"))) == 2
+
+
+def test_two_loads_at_once(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "k long, p string"
+    load_switched(spark, path, spark.createDataFrame([(1, "a")], schema), ["p"])
+    before = switched.latest_pointer(spark, path)
+    load_switched(spark, path, spark.createDataFrame([(2, "a")], schema), ["p"])
+    with pytest.raises(switched.LoadConflict):
+        switched._load(spark, path, spark.createDataFrame([(3, "a")], schema), ["p"], None, before)
+    assert switched_rows(spark, path) == [(2, "a")]
+    assert sorted(f.name for f in tmp_path.glob("table/pointers/[!.]*")) == ["0000000001", "0000000002"]
+    with pytest.raises(ValueError, match="not those of"):
+        load_switched(spark, path, spark.createDataFrame([("x", "a")], "k string, p string"), ["p"])
+    with pytest.raises(ValueError, match="load_id"):
+        load_switched(spark, path, spark.createDataFrame([("x", "a")], "load_id string, p string"), ["p"])
+
+
+def test_an_emptied_switched_table(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "k long, p string"
+    rows = spark.createDataFrame([(1, "a"), (2, None)], schema)
+    load_switched(spark, path, rows, ["p"])
+    load_switched(spark, path, rows.limit(0), ["p"], emptied=rows.select("p"))
+    assert switched_rows(spark, path) == []
+    load_switched(spark, path, rows.filter("k = 2"), ["p"])
+    assert switched_rows(spark, path) == [(2, None)]
+
+
+def test_switched_reads_open_live_folders_only(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.range(20).select(F.col("id").alias("k"), (F.col("id") % 5).alias("p"))
+    load_switched(spark, path, rows, ["p"])
+    load_switched(spark, path, rows.filter("p = 1").withColumn("k", F.col("k") + 100), ["p"])
+    plan = read_switched(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    assert sorted(r.k for r in read_switched(spark, path).filter("p = 1").collect()) == [101, 106, 111, 116]
+
+
 def test_thousands_of_touched_partitions(spark, tmp_path):
     """The read is pruned by a join, whose plan does not grow with them."""
     path = str(tmp_path / "table")
@@ -327,7 +429,7 @@ def test_touched_partitions_prune_the_scan(spark, tmp_path):
     rows = spark.range(20).select(F.col("id").alias("k"), (F.col("id") % 5).alias("p"))
     load_partitions(rows, path, ["p"])
     touched = _written(spark.createDataFrame([(1, 1)], "p int, _n long"), "touched")
-    pruned = _of_partitions(spark.read.parquet(path), touched, ["p"])
+    pruned = of_partitions(spark.read.parquet(path), touched, ["p"])
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
     assert sorted(row.k for row in pruned.collect()) == [1, 6, 11, 16]
