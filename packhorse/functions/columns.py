@@ -52,3 +52,11 @@ def quoted(name: str) -> str:
 def text(value: str) -> str:
     """A string literal for use in a SQL expression."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def unused(wanted: str, taken: Iterable[str]) -> str:
+    """`wanted`, with underscores in front if a column of that name is there, in any case."""
+    there = {name.lower() for name in taken}
+    while wanted.lower() in there:
+        wanted = f"_{wanted}"
+    return wanted

@@ -22,7 +22,7 @@ from packhorse.functions.columns import all_of
 from packhorse.functions.skew import ROWS_PER_TASK, large_keys, split
 from packhorse.session import delete_scratch, scratch_path
 
-_CHUNK = "_chunk"
+CHUNK = "_chunk"
 # Tasks that a key is dealt to where Spark does not limit its rows before the shuffle.
 _SHARES = 64
 
@@ -156,7 +156,7 @@ def _chunks(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     df.write.parquet(rows)
     (
         spark.read.schema(df.schema).parquet(rows).repartitionByRange(n, *columns)
-        .withColumn(_CHUNK, F.spark_partition_id())
+        .withColumn(CHUNK, F.spark_partition_id())
         .write.parquet(path)
     )
     delete_scratch(spark, rows)
@@ -183,7 +183,7 @@ class Parts:
     def union(self) -> DataFrame:
         if self.large is None:
             return self.small
-        return self.small.unionByName(self.large.drop(_CHUNK))
+        return self.small.unionByName(self.large.drop(CHUNK))
 
 
 def cut(
@@ -224,19 +224,19 @@ def measure(
     if parts.large is None:
         return Parts(small, None)
 
-    in_chunk = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy(_CHUNK)
+    in_chunk = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    across = Window.partitionBy(*keys).orderBy(CHUNK)
     within = parts.large.withColumns(
         {f"_in_{name}": m.within(in_chunk, at) for name, m in measures.items()}
     )
     # One row per chunk and large key: no more than there are chunks and keys. A
     # row may be wide, so Spark decides by the stored size whether to broadcast.
     carried = _stored(
-        parts.large.groupBy(*keys, _CHUNK)
+        parts.large.groupBy(*keys, CHUNK)
         .agg(*[m.summary(at).alias(f"_sum_{name}") for name, m in measures.items()])
         .select(
             *[F.col(key).alias(f"_of_{key}") for key in keys],
-            F.col(_CHUNK).alias("_of_chunk"),
+            F.col(CHUNK).alias("_of_chunk"),
             *[
                 m.carry(F.col(f"_sum_{name}"), across).alias(f"_out_{name}")
                 for name, m in measures.items()
@@ -244,7 +244,7 @@ def measure(
         )
     )
     same = all_of(
-        [F.col(_CHUNK) == F.col("_of_chunk")]
+        [F.col(CHUNK) == F.col("_of_chunk")]
         + [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
     )
     large = within.join(carried, same, "left").select(

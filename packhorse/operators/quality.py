@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packhorse.functions.columns import all_of, failed_rules, quoted, text
+from packhorse.functions.columns import all_of, failed_rules, quoted, text, unused
+from packhorse.functions.parsing import with_json
 
 FAILED = "failed_rules"
 
@@ -81,16 +82,17 @@ def flatten_json(
 ) -> DataFrame:
     """P5: replace a JSON text column by typed columns.
 
-    Text that is not JSON, or does not fit the schema, gives nulls. With `bad`, a
-    column of that name holds such text, and null for all other rows.
+    Text that is not one JSON object, or does not fit the schema, gives nulls for
+    what does not. With `bad`, a column of that name holds such text, and null for
+    all other rows; text behind the object counts as such. Columns of any name are
+    kept, the text is parsed once.
     """
-    others = [name for name in df.columns if name != column]
-    whole = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    kept = [] if bad is None else [F.col("_json._bad").alias(bad)]
-    return df.withColumn("_json", F.from_json(column, whole, options)).select(
-        *others, *[F.col(f"_json.{f.name}").alias(f"{prefix}{f.name}") for f in schema.fields], *kept
-    )
+    others = [F.col(f"`{name}`") for name in df.columns if name != column]
+    row, whole, raw = (unused(name, df.columns) for name in ("row", "is_whole", "raw"))
+    parsed = with_json(df.withColumn(raw, F.col(f"`{column}`")), raw, schema, row, whole)
+    kept = [] if bad is None else [F.when(~F.col(whole) & F.col(raw).isNotNull(), F.col(raw)).alias(bad)]
+    fields = [F.col(row).getField(f.name).alias(f"{prefix}{f.name}") for f in schema.fields]
+    return parsed.select(*others, *fields, *kept)
 
 
 def profile(df: DataFrame) -> DataFrame:

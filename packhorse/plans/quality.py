@@ -21,7 +21,7 @@ from packhorse.operators.quality import (
 from packhorse.plans.registry import query
 from packhorse.session import scratch_path
 from packhorse.sources.contracts import CONTRACTS, check_contract, read_table, table_path
-from packhorse.sources.text import accepted, quarantine, read_csv_lines, read_json_lines
+from packhorse.sources.text import accepted, quarantine, read_csv_lines, read_csv_records, read_json_lines
 
 # P1
 
@@ -208,6 +208,53 @@ def p02_json_required(spark: SparkSession, folder: str) -> DataFrame:
     return quarantine(read_json_lines(spark, path, _ORDERS, options=_ORDER_OPTIONS)).select("raw")
 
 
+# Fixed damage: a quote that is not closed, and text behind the object.
+
+
+@query(
+    """
+    SELECT o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)
+        || ',' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ',"' || o_orderpriority AS raw
+    FROM orders WHERE o_orderstatus = 'P'
+    UNION ALL
+    SELECT '{"k":' || o_orderkey || '} ' || o_orderpriority FROM orders WHERE o_orderstatus = 'F'
+    """
+)
+def p02_torn_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that go on behind the record, or end within it."""
+    orders = _as_text(read_table(spark, folder, "orders"))
+    csv, json = scratch_path(spark, "orders-csv"), scratch_path(spark, "orders-json")
+    torn, status = F.concat(F.lit('"'), "o_orderpriority"), F.col("o_orderstatus")
+    priority = F.when(status == "P", torn).otherwise(F.col("o_orderpriority"))
+    line = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus", "price", "date", priority)
+    orders.select(line.alias("value")).write.text(csv)
+    behind = F.when(status == "F", F.concat(F.lit(" "), "o_orderpriority")).otherwise(F.lit("  "))
+    orders.select(F.concat(F.format_string('{"k":%d}', "o_orderkey"), behind).alias("value")).write.text(json)
+    keys = T.StructType.fromDDL("k bigint not null")
+    of_csv = quarantine(read_csv_lines(spark, csv, _ORDERS, options=_ORDER_OPTIONS))
+    return of_csv.unionByName(quarantine(read_json_lines(spark, json, keys))).select("raw")
+
+
+_NOTES_SQL = """
+    SELECT o_orderkey, CASE o_orderstatus
+        WHEN 'F' THEN o_orderpriority || chr(10) || '"' || o_orderkey || '", done' || chr(10) || chr(10)
+        WHEN 'P' THEN o_orderpriority ELSE ', ' || chr(10) END AS note, o_totalprice
+    FROM {orders}
+"""
+
+
+@query(_NOTES_SQL.format(orders="orders"))
+def p02_csv_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Notes with line breaks, quotes and commas, in a file that is read in splits."""
+    notes = spark.sql(_NOTES_SQL, orders=read_table(spark, folder, "orders"))
+    quoted = F.concat(F.lit('"'), F.replace(F.col("note"), F.lit('"'), F.lit('""')), F.lit('"'))
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    path = scratch_path(spark, "notes-csv")
+    notes.select(F.concat_ws(",", "o_orderkey", quoted, price).alias("value")).write.text(path)
+    schema = T.StructType.fromDDL("o_orderkey bigint not null, note string, o_totalprice double")
+    return accepted(read_csv_records(spark, path, schema, options={"escape": '"'}))
+
+
 # P3
 
 
@@ -347,6 +394,22 @@ def p05_flatten_broken(spark: SparkSession, folder: str) -> DataFrame:
     return flatten_json(events, "props", T.StructType.fromDDL("k int"), bad="broken")
 
 
+@query(
+    """
+    SELECT event_id, value AS _json, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+        CASE WHEN event_id % 5 = 0 THEN props || ' ' || event_type END AS broken
+    FROM events WHERE event_id % 5 <> 0
+    UNION ALL
+    SELECT event_id, value, NULL, props || ' ' || event_type FROM events WHERE event_id % 5 = 0
+    """
+)
+def p05_flatten_torn(spark: SparkSession, folder: str) -> DataFrame:
+    """Every 5th event's attributes go on behind the object; a column has a name that parsing once used."""
+    torn = F.when(F.col("event_id") % 5 == 0, F.concat_ws(" ", "props", "event_type")).otherwise(F.col("props"))
+    events = read_table(spark, folder, "events").select("event_id", F.col("value").alias("_json"), torn.alias("props"))
+    return flatten_json(events, "props", T.StructType.fromDDL("k int"), bad="broken")
+
+
 # P22
 
 

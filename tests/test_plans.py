@@ -84,3 +84,14 @@ def test_rows_of_a_large_key_are_not_shuffled(plans):
     """They meet their parents, one row per large key, in a broadcast."""
     plan = plans("p07_orphans_one_large_key", LARGER)
     assert "Union" in plan and plan.count("BroadcastHashJoin") >= 3
+
+
+@pytest.mark.parametrize("name", ["p02_csv_accepted", "p02_csv_quarantine", "p02_csv_required", "p02_csv_records"])
+def test_csv_is_parsed_once(plans, name):
+    plan = plans(name)
+    assert plan.count("from_csv(") == 1 or (name == "p02_csv_records" and plan.count("from_csv(") <= 3)
+
+
+@pytest.mark.parametrize("name", ["p02_json_accepted", "p02_json_quarantine", "p02_json_required", "p05_flatten_torn"])
+def test_json_is_parsed_once(plans, name):
+    assert plans(name).count("from_json(") == 1

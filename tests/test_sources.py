@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -31,7 +32,7 @@ from packhorse.sources.contracts import (
 from packhorse.sources.incremental import extract_after, highest_mark, load_mark, save_mark
 from packhorse.sources.loads import _written, load_partitions, of_partitions, upsert, upsert_partitions
 from packhorse.sources.switched import drop_unused, load_switched, read_switched, upsert_switched
-from packhorse.sources.text import accepted, quarantine, read_csv_lines, read_json_lines
+from packhorse.sources.text import accepted, quarantine, read_csv_lines, read_csv_records, read_json_lines
 
 T0 = datetime(2024, 1, 1)
 SMALL = "/root/testdata/sf0.001"
@@ -116,6 +117,59 @@ def test_blank_lines_and_required_fields(spark):
     assert sorted(row.raw for row in quarantine(parsed).collect()) == sorted(bad)
 
 
+def test_records_end_with_their_line(spark):
+    """Each with what the parser alone would make of it: a value, and no complaint."""
+    good = ['1,2,"a, b"', '2,2,"a \\" b"', '3,2,f"g', '4,2, "f"', '5,2,"f" ', "6,2,C:\\"]
+    bad = ['7,2,"f', '8,2,"f\\"', '9,"2,f', '10,2,"f",', "11,2", '12,2,"f\\']
+    parsed = read_csv_lines(spark, written(spark, good + bad), _SCHEMA)
+    assert {r.id: r.name for r in accepted(parsed).collect()} == {1: "a, b", 2: 'a " b', 3: 'f"g', 4: ' "f"', 5: "f", 6: "C:\\"}
+    assert sorted(r.raw for r in quarantine(parsed).collect()) == sorted(bad)
+    parsed = read_csv_lines(spark, written(spark, ["1;2;'a;b'", "2;2;'a"]), _SCHEMA, options={"SEP": ";", "quote": "'"})
+    assert [(r.id, r.name) for r in accepted(parsed).collect()] == [(1, "a;b")]
+    good = ['{"id":1}', ' {"id":2} ', '{"id":3,"name":{"a":[1]}}']
+    bad = ['{"id":4} x', '{"id":5}}', '{"id":6}{"id":7}', '{"id":8},{"id":9}', "null", "[]", '[{"id":1}]', '"x"', "5", '{"id":1},"end":1}']
+    parsed = read_json_lines(spark, written(spark, good + bad), _SCHEMA)
+    assert sorted((r.id, r.name) for r in accepted(parsed).collect()) == [(1, None), (2, None), (3, '{"a":[1]}')]
+    assert sorted(r.raw for r in quarantine(parsed).collect()) == sorted(bad)
+    with pytest.raises(ValueError, match="added under these names: File"):
+        read_csv_lines(spark, "x", T.StructType.fromDDL("File string"))
+
+
+@pytest.fixture
+def small_splits(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(name, "150")
+    yield
+    spark.conf.unset(name)
+
+
+def test_records_over_lines_and_splits(spark, small_splits, tmp_path):
+    pick = random.Random(2)
+    parts = ["a", "b, c", "\n", "\r\n", '"', "long " * 9, "\n\n", ""]
+    rows = [(k, "".join(pick.choices(parts, k=pick.randrange(6))), pick.choice(["", "x", "\ny"])) for k in range(300)]
+    for end in ("\n", "\r\n"):
+        quoted = ['{},"{}","{}"'.format(k, *[v.replace('"', '""') for v in rest]) for k, *rest in rows]
+        folder = tmp_path / f"end{len(end)}"
+        folder.mkdir()
+        (folder / "one.csv").write_text(end.join(["id,a,b", *quoted[:200]]) + end, newline="")
+        (folder / "two.csv").write_text(end.join(quoted[200:]), newline="")
+        schema = T.StructType.fromDDL("id long, a string, b string")
+        options = {"escape": '"', "emptyValue": ""}
+        parsed = read_csv_records(spark, str(folder), schema, "id,a,b", options)
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 20
+        assert sorted((r.id, r.a or "", r.b or "") for r in accepted(parsed).collect()) == rows
+        assert quarantine(parsed).collect() == []
+
+
+def test_a_quote_that_is_never_closed(spark, small_splits, tmp_path):
+    lines = ['1,"a"', '2,"b', *[f"{k},x" for k in range(3, 40)]]
+    (tmp_path / "t.csv").write_text("\n".join(lines))
+    parsed = read_csv_records(spark, str(tmp_path), T.StructType.fromDDL("id long, a string"), most_lines=5)
+    assert [r.id for r in accepted(parsed).collect()] == [1]
+    rejected = [r.raw for r in quarantine(parsed).collect()]
+    assert sorted(rejected) == sorted(["\n".join(lines[1:6]), *lines[6:]])
+
+
 # P3, P4, P5, P22
 
 
@@ -157,6 +211,9 @@ def test_flatten_json(spark):
     ]
     told = flatten_json(df, "props", T.StructType.fromDDL("k int, s string"), bad="broken")
     assert {row.id: row.broken for row in told.collect()} == {1: None, 2: '{"k": "bad"}', 3: "oops", 4: None}
+    odd = spark.createDataFrame([('{"k": 3} x', 1, 2, 3, 4), ("null", 1, 2, 3, 4)], "props string, _json int, row int, is_whole int, `a.b` int")
+    told = flatten_json(odd, "props", T.StructType.fromDDL("k int"), bad="broken")
+    assert sorted(map(tuple, told.collect()), key=str) == [(1, 2, 3, 4, None, "null"), (1, 2, 3, 4, None, '{"k": 3} x')]
 
 
 def test_profile(spark):
