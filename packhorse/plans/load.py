@@ -31,14 +31,14 @@ def p16_incremental(spark: SparkSession, folder: str) -> DataFrame:
     earlier = events.filter(F.col("ts") < F.lit(_TAKEN).cast("timestamp_ntz"))
     save_mark(spark, marks, highest_mark(earlier, "ts", "event_id"))
 
-    rows, _, mark = extract_after(events, "ts", "event_id", load_mark(spark, marks))
+    rows, _, mark, _ = extract_after(events, "ts", "event_id", load_mark(spark, marks))
     loaded = scratch_path(spark, "loaded")
     rows.write.parquet(loaded)
     save_mark(spark, marks, mark)
     return spark.read.schema(rows.schema).parquet(loaded).select(
         "event_id", "ts", "user_id", "value",
         mark.time().alias("mark_at"),
-        F.lit(mark.row_id).cast("bigint").alias("mark_id"),
+        mark.id().alias("mark_id"),
     )
 
 
@@ -75,6 +75,34 @@ def p16_incremental_late_rows(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(table)
 
 
+# Fixed damage: every 13th event has no id, and ids are text, whose order is not that of the numbers.
+_TEXT_IDS = """
+    SELECT CASE WHEN event_id % 13 <> 0 THEN 'e' || event_id END AS id, date_trunc('hour', ts)::TIMESTAMP{kind} AS hour,
+        user_id, value FROM {events}
+"""
+
+
+@query(
+    f"""
+    SELECT *, CASE WHEN hour <= TIMESTAMP '{_TAKEN}' THEN 'first' ELSE 'second' END
+        || CASE WHEN id IS NULL THEN ', unnamed' ELSE '' END AS run
+    FROM ({_TEXT_IDS.format(events="events", kind="")})
+    """
+)
+def p16_incremental_null_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs, with many events at the time of the mark; those without an id come apart, once each."""
+    events = spark.sql(_TEXT_IDS.format(events="{events}", kind="_NTZ"), events=read_table(spark, folder, "events"))
+    marks, table = scratch_path(spark, "marks"), scratch_path(spark, "loaded")
+    there = events.filter(F.col("hour") <= F.lit(_TAKEN).cast("timestamp_ntz"))
+    for run, source in (("first", there), ("second", events)):
+        found = extract_after(source, "hour", "id", load_mark(spark, marks))
+        rows = found.rows.withColumn("run", F.lit(run))
+        rows = rows.unionByName(found.unnamed.withColumn("run", F.lit(f"{run}, unnamed")))
+        rows.write.mode("append").parquet(table)
+        save_mark(spark, marks, found.mark)
+    return spark.read.parquet(table)
+
+
 # Finished orders are repriced, urgent ones twice; some orders are new
 
 _UPSERT_SQL = """

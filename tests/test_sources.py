@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from compare import spark_rows
@@ -266,11 +266,11 @@ def test_extracts_take_every_row_once(spark):
 
     path = scratch_path(spark, "marks")
     assert load_mark(spark, path) is None
-    first, _, mark = extract_after(rows(range(10)), "ts", "id", load_mark(spark, path))
+    first, _, mark, _ = extract_after(rows(range(10)), "ts", "id", load_mark(spark, path))
     save_mark(spark, path, mark)
-    second, _, mark = extract_after(rows(range(20)), "ts", "id", load_mark(spark, path))
+    second, _, mark, _ = extract_after(rows(range(20)), "ts", "id", load_mark(spark, path))
     save_mark(spark, path, mark)
-    third, _, unchanged = extract_after(rows(range(20)), "ts", "id", load_mark(spark, path))
+    third, _, unchanged, _ = extract_after(rows(range(20)), "ts", "id", load_mark(spark, path))
     taken = [sorted(row.id for row in df.collect()) for df in (first, second, third)]
     assert taken == [list(range(10)), list(range(10, 20)), []]
     assert unchanged == mark == highest_mark(rows(range(20)), "ts", "id")
@@ -297,6 +297,37 @@ def test_late_and_undated_rows(spark):
         extract_after(there, "ts", "id", first.mark, "5 HOURS")
 
 
+@pytest.mark.parametrize(("kind", "ids"), [
+    ("string", ["b", "a10", "a9", "é"]), ("binary", [b"\x00", b"\xff", b"a", b""]), ("double", [-1.5, 0.1, 1e300, 7.0]),
+    ("date", [date(2024, 1, k) for k in (3, 1, 2, 4)]), ("boolean", [True, False]), ("long", [2**53 + 1, 2**53, -5, 0]),
+])
+def test_ids_of_any_type_and_none(spark, kind, ids):
+    """A run for each row of one time, in the order of ids: every row is taken once, those without an id apart."""
+    schema = f"id {kind}, ts timestamp_ntz, n int"
+    later = [(i, T0 + timedelta(hours=1), 1) for i in ids]
+    there, taken, mark = [(None, T0, 0), (None, None, 3)], [], None
+    path = scratch_path(spark, "marks")
+    for row in [*sorted(later), (None, T0 + timedelta(hours=2), 2)]:
+        there.append(row)
+        found = extract_after(spark.createDataFrame(there, schema), "ts", "id", load_mark(spark, path))
+        taken += [tuple(r) for part in (found.rows, found.unnamed) for r in part.collect()]
+        assert [r.n for r in found.undated.collect()] == [3]
+        save_mark(spark, path, found.mark)
+        mark = found.mark
+    assert sorted(taken, key=str) == sorted([r for r in there if r[1]], key=str)
+    assert mark.row_id is None and load_mark(spark, path) == mark
+    # A row with an id at the time of a mark without one comes after it.
+    there.append((ids[0], T0 + timedelta(hours=2), 4))
+    found = extract_after(spark.createDataFrame(there, schema), "ts", "id", mark)
+    assert [r.n for r in found.rows.collect()] == [4] and found.unnamed.collect() == []
+
+
+def test_ids_without_an_order(spark):
+    df = spark.sql("SELECT map(1, 2) AS id, TIMESTAMP_NTZ'2024-01-01' AS ts")
+    with pytest.raises(TypeError, match="no place in an order"):
+        extract_after(df, "ts", "id", None)
+
+
 def test_mark_reaches_the_scan(spark):
     events = read_table(spark, SMALL, "events")
     mark = highest_mark(events.filter(F.col("event_id") < 500), "ts", "event_id")
