@@ -31,15 +31,6 @@ def failed_rules(rules: Mapping[str, Column]) -> Column:
     return F.array_compact(F.array(*marks))
 
 
-def differing(names: Sequence[str], left: str, right: str) -> Column:
-    """Names of the fields in which the structs `left` and `right` differ."""
-    marks = [
-        F.when(~F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}")), F.lit(name))
-        for name in names
-    ]
-    return F.array_compact(F.array(*marks))
-
-
 def all_of(conditions: Iterable[Column]) -> Column:
     return reduce(and_, conditions)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from packhorse.functions.columns import all_of, failed_rules, quoted, text, unused
+from packhorse.functions.digest import digest, is_plain
 from packhorse.functions.parsing import with_json
 
 FAILED = "failed_rules"
@@ -99,10 +100,12 @@ def profile(df: DataFrame) -> DataFrame:
     """Per column the rows, nulls, distinct values, least and greatest value.
 
     Rows, nulls and bounds take one pass without a shuffle of rows. Distinct
-    values are counted per column, in the map tasks first. Texts, binaries and
-    types without an order are counted by a digest of 16 bytes, so that no
-    long value is shuffled: exact but for equal digests of different values.
-    Least and greatest are given as text; types that are not plain have none.
+    values take a second one for all columns together: each row becomes a row per
+    column with the value's digest of 16 bytes, and equal ones are merged in the
+    map tasks first, so no long value is shuffled. Counts are exact but for equal
+    digests of different values. Maps with equal entries are equal, at any depth,
+    as are the two zeros. Least and greatest are given as text; types that are not
+    plain have none.
     """
     counts, lines = ["count(*) AS rows"], []
     for i, field in enumerate(df.schema.fields):
@@ -116,36 +119,20 @@ def profile(df: DataFrame) -> DataFrame:
     whole = df.selectExpr(*counts).selectExpr(
         f"stack({len(lines)}, {', '.join(lines)}) AS (number, column_name, n_rows, n_nulls, least, greatest)"
     )
-    distinct = [
-        f"""
-        SELECT {i} AS number, count(v) AS n_distinct
-        FROM (SELECT {_countable(field)} AS v FROM {{rows}} GROUP BY 1)
-        """
-        for i, field in enumerate(df.schema.fields)
-    ]
-    found = df.sparkSession.sql(" UNION ALL ".join(distinct), rows=df)
     # One row per column on both sides.
-    return whole.join(F.broadcast(found), "number").drop("number")
-
-
-def _countable(field: T.StructField) -> str:
-    """What is counted in place of a column's values."""
-    name, kind = quoted(field.name), field.dataType
-    if isinstance(kind, T.StringType | T.BinaryType):
-        return f"unhex(md5({name}))"
-    if _is_plain(kind):
-        return name
-    # Entries of a map have no order, so they are sorted first.
-    value = f"map_from_entries(array_sort(map_entries({name})))" if _is_sortable_map(kind) else name
-    return f"CASE WHEN {name} IS NOT NULL THEN unhex(md5(to_json(struct({value} AS v)))) END"
+    found = whole.join(F.broadcast(_distinct(df)), "number", "left")
+    return found.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0).cast("long"))).drop("number")
 
 
-def _is_plain(kind: T.DataType) -> bool:
-    return not isinstance(kind, T.ArrayType | T.MapType | T.StructType | T.VariantType)
-
-
-def _is_sortable_map(kind: T.DataType) -> bool:
-    return isinstance(kind, T.MapType) and _is_plain(kind.keyType) and _is_plain(kind.valueType)
+def _distinct(df: DataFrame) -> DataFrame:
+    """Columns, by `number`, that have values, and how many different ones."""
+    cells = []
+    for i, field in enumerate(df.schema.fields):
+        value = F.col(quoted(field.name))
+        first, second = digest([(value, field.dataType)])
+        cells.append(F.when(value.isNotNull(), F.struct(F.lit(i).alias("number"), first.alias("a"), second.alias("b"))))
+    values = df.select(F.inline(F.array(*cells))).filter("number IS NOT NULL").distinct()
+    return values.groupBy("number").agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
 def estimated_profile(df: DataFrame) -> DataFrame:
@@ -169,6 +156,6 @@ def estimated_profile(df: DataFrame) -> DataFrame:
 
 
 def _bound(end: str, field: T.StructField, value: str) -> str:
-    if not _is_plain(field.dataType):
+    if not is_plain(field.dataType):
         return "''"
     return f"coalesce(string({end}({value})), '')"

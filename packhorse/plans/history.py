@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packhorse.functions.skew import ROWS_PER_TASK
 from packhorse.operators.history import as_of, type2_history
-from packhorse.operators.keys import dedupe_latest, duplicated_keys, matched, orphans, snapshot_diff
+from packhorse.operators.keys import dedupe_latest, duplicated_keys, matched, orphans, snapshot_changes, snapshot_diff
 from packhorse.plans.registry import SMALL_CUT, query
 from packhorse.sources.contracts import read_table
 
@@ -83,8 +83,7 @@ _NEW_ORDERS = """
 """
 
 
-@query(
-    f"""
+_DIFF_SQL = f"""
     SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey,
         CASE WHEN o.o_orderkey IS NULL THEN 'insert' WHEN n.o_orderkey IS NULL THEN 'delete'
              WHEN o.o_totalprice IS NOT DISTINCT FROM n.o_totalprice
@@ -97,12 +96,17 @@ _NEW_ORDERS = """
         o.o_totalprice AS old_price, n.o_totalprice AS new_price,
         o.o_orderpriority AS old_priority, n.o_orderpriority AS new_priority
     FROM orders o FULL JOIN ({_NEW_ORDERS.format(orders="orders")}) n USING (o_orderkey)
-    """
-)
+"""
+
+
+@query(_DIFF_SQL)
 def p13_diff(spark: SparkSession, folder: str) -> DataFrame:
     old = read_table(spark, folder, "orders")
     new = spark.sql(_NEW_ORDERS, orders=old)
-    diff = snapshot_diff(old, new, ["o_orderkey"], ["o_totalprice", "o_orderpriority"])
+    return _told(snapshot_diff(old, new, ["o_orderkey"], ["o_totalprice", "o_orderpriority"]))
+
+
+def _told(diff: DataFrame) -> DataFrame:
     return diff.select(
         "o_orderkey", "change", F.array_join("changed", ",").alias("changed"),
         F.col("old.o_totalprice").alias("old_price"),
@@ -112,6 +116,37 @@ def p13_diff(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(f"SELECT * FROM ({_DIFF_SQL}) WHERE change <> 'same'")
+def p13_changes(spark: SparkSession, folder: str) -> DataFrame:
+    old = read_table(spark, folder, "orders")
+    new = spark.sql(_NEW_ORDERS, orders=old)
+    return _told(snapshot_changes(old, new, ["o_orderkey"], ["o_totalprice", "o_orderpriority"]))
+
+
+@query(
+    """
+    SELECT user_id, CASE WHEN bool_or(event_type = 'error' AND value > 50) THEN 'update' ELSE 'same' END AS change
+    FROM events GROUP BY user_id
+    """
+)
+def p13_diff_of_maps(spark: SparkSession, folder: str) -> DataFrame:
+    """Maps of each user's events, built in two orders; large errors are changed."""
+    events = read_table(spark, folder, "events").withColumn("name", F.concat_ws("-", "event_type", "event_id"))
+
+    def maps(value: Column, order: Column) -> DataFrame:
+        entry = F.struct(order.alias("o"), F.struct("name", value.alias("value")).alias("e"))
+        entries = F.transform(F.sort_array(F.collect_list(entry)), lambda item: item.e)
+        return events.groupBy("user_id").agg(F.map_from_entries(entries).alias("of"))
+
+    changed = F.when((F.col("event_type") == "error") & (F.col("value") > 50), F.col("value") + 1).otherwise(F.col("value"))
+    old, new = maps(F.col("value"), F.col("event_id")), maps(changed, -F.col("event_id"))
+    diff = snapshot_diff(old, new, ["user_id"], ["of"])
+    changes = snapshot_changes(old, new, ["user_id"], ["of"]).filter("change = 'update' AND changed[0] = 'of'")
+    # Both operators have to agree.
+    return diff.filter("change = 'same'").select("user_id", "change").unionByName(changes.select("user_id", "change"))
+
+
+
 # P14
 
 _SKEWED_ORDERS = "CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_custkey END"

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from packhorse.operators.quality import (
     FAILED,
     Field,
+    estimated_profile,
     flatten_json,
     profile,
     rejected_rows,
@@ -436,3 +437,42 @@ def p22_profile(spark: SparkSession, folder: str) -> DataFrame:
         for name in CONTRACTS
     ]
     return reduce(DataFrame.unionByName, profiles)
+
+
+@query(
+    """
+    SELECT 'nested' AS column_name, count(*) AS n_rows, count_if(event_id % 10 = 0)::BIGINT AS n_nulls,
+        count(DISTINCT CASE WHEN event_id % 10 <> 0 THEN event_type || '/' || user_id END) AS n_distinct FROM events
+    UNION ALL SELECT 'zeros', count(*), 0, 1 FROM events
+    UNION ALL SELECT 'placed', count(*), 0, count(DISTINCT event_id % 4) FROM events
+    """
+)
+def p22_profile_nested(spark: SparkSession, folder: str) -> DataFrame:
+    """Equal maps built in two orders, the two zeros, and arrays that differ only in where nulls stand."""
+    nested = spark.sql(
+        """
+        SELECT CASE WHEN event_id % 10 <> 0 THEN named_struct('of', array(CASE WHEN event_id % 2 = 0
+                THEN map('type', event_type, 'user', string(user_id)) ELSE map('user', string(user_id), 'type', event_type) END))
+            END AS nested,
+            array(named_struct('zero', CASE WHEN event_id % 2 = 0 THEN 0.0D ELSE -0.0D END)) AS zeros,
+            CASE event_id % 4 WHEN 0 THEN array(1, NULL) WHEN 1 THEN array(NULL, 1) WHEN 2 THEN array(1) ELSE array() END AS placed
+        FROM {events}
+        """,
+        events=read_table(spark, folder, "events"),
+    )
+    return profile(nested).select("column_name", "n_rows", "n_nulls", "n_distinct")
+
+
+@query(f"SELECT table_name, column_name, n_rows, n_nulls, least, greatest, true AS is_close FROM ({_profile_sql()})")
+def p22_estimated_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """The estimates, and whether each is within a tenth of the exact count."""
+    def compared(name: str) -> DataFrame:
+        table = read_table(spark, folder, name)
+        exact = profile(table).select("column_name", F.col("n_distinct").alias("exact"))
+        far = F.abs(F.col("n_distinct") - F.col("exact")) > F.greatest(F.lit(2), F.col("exact") / 10)
+        told = estimated_profile(table).join(F.broadcast(exact), "column_name")
+        return told.select(
+            F.lit(name).alias("table_name"), "column_name", "n_rows", "n_nulls", "least", "greatest", (~far).alias("is_close")
+        )
+
+    return reduce(DataFrame.unionByName, [compared(name) for name in CONTRACTS])

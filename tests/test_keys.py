@@ -9,6 +9,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from packhorse.functions.digest import digest
 from packhorse.operators.history import as_of, type2_history
 from packhorse.operators.keys import (
     dedupe_latest,
@@ -16,6 +17,7 @@ from packhorse.operators.keys import (
     enrich,
     matched,
     orphans,
+    snapshot_changes,
     snapshot_diff,
 )
 from packhorse.operators.marts import finest, pivot, subtotals, unpivot
@@ -106,6 +108,67 @@ def test_snapshot_diff(spark):
     }
 
 
+def test_snapshot_changes(spark):
+    schema = "k long, a int, b string"
+    old = [(1, 1, "x"), (2, None, "x"), (3, 3, None), (4, 4, "x"), (6, 1, "p"), (6, 2, "q"), (None, 0, "n"), (7, None, "y")]
+    new = [(1, 1, "x"), (2, None, "y"), (3, None, "z"), (5, 5, "x"), (6, 2, "q"), (None, 0, "m"), (7, None, "y")]
+    args = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema), ["k"], ["a", "b"]
+    got = {row.k: (row.change, row.changed, row.old, row.new) for row in snapshot_changes(*args).collect()}
+    assert got == {
+        2: ("update", ["b"], (None, "x"), (None, "y")), 3: ("update", ["a", "b"], (3, None), (None, "z")),
+        4: ("delete", [], (4, "x"), None), 5: ("insert", [], None, (5, "x")), 6: ("duplicate", [], None, None),
+        None: ("update", ["b"], (0, "n"), (0, "m")),
+    }
+    assert snapshot_changes(*args).schema == snapshot_diff(*args).schema
+    assert snapshot_changes(args[0], args[0].filter("k <> 6 OR a = 1"), ["k"], ["a", "b"]).filter("k = 6").collect()[0].change == "duplicate"
+
+
+def test_diffs_of_maps(spark):
+    def snapshot(*rows):
+        return spark.sql("SELECT * FROM VALUES " + ", ".join(rows) + " AS t(k, m, s)")
+
+    old = snapshot("(1, map('a', 0.0D, 'b', 2.0D), struct(map(1, 'x')))", "(2, map('a', 1.0D), struct(map(1, 'x')))", "(3, NULL, NULL)")
+    new = snapshot("(1, map('b', 2.0D, 'a', -0.0D), struct(map(1, 'x')))", "(2, map('a', 1.0D), struct(map(1, 'y')))",
+                   "(3, map('a', 1.0D), struct(map(1, 'x')))", "(3, map('z', 0.0D), struct(map(1, 'x')))")
+    for diff, want in (
+        (snapshot_diff, {1: ("same", []), 2: ("update", ["s"]), 3: ("duplicate", [])}),
+        (snapshot_changes, {2: ("update", ["s"]), 3: ("duplicate", [])}),
+    ):
+        assert {r.k: (r.change, r.changed) for r in diff(old, new, ["k"], ["m", "s"]).collect()} == want
+    greatest = {r.k: r.new for r in snapshot_diff(old, new, ["k"], ["m", "s"]).collect()}[3]
+    assert greatest.m == {"z": 0.0}
+
+
+def test_digests_tell_values_apart(spark):
+    """Values of one type, each different from all others, and pairs that are equal."""
+    different = {
+        "array<array<int>>": ["array(array(1), array(2))", "array(array(1, 2))", "array(array(1, 2), array())", "NULL", "array()",
+                              "array(array(1), NULL, array(2))", "array(NULL, array(1), array(2))"],
+        "struct<a: int, b: int>": ["struct(1 AS a, NULL AS b)", "struct(NULL AS a, 1 AS b)", "NULL", "struct(NULL AS a, NULL AS b)"],
+        "map<string, array<int>>": ["map('a', array(1))", "map('a', NULL)", "map()", "map('b', array(1))", "map('a', array(1), 'b', NULL)"],
+        "array<timestamp_ntz>": ["array(TIMESTAMP_NTZ'2024-01-01 00:00:00.000001')", "array(TIMESTAMP_NTZ'2024-01-01 00:00:00.000002')"],
+        "array<string>": ["array('a', 'b')", "array('ab')", "array('a,b')", "array('a\"', 'b')", "array('')", "array(NULL)"],
+        "double": ["0.0D", "double('NaN')", "1e-300D", "NULL"], "binary": ["X'00'", "X''", "X'0000'"],
+    }
+    for kind, values in different.items():
+        df = spark.sql(" UNION ALL ".join(f"SELECT CAST({v} AS {kind}) AS v" for v in [*values, *values]))
+        first, second = digest([(F.col("v"), df.schema["v"].dataType)])
+        got = df.select(first.alias("a"), second.alias("b"))
+        assert got.distinct().count() == len(values) == got.select("a").distinct().count() == got.select("b").distinct().count()
+    equal = [("map(1, 'a', 2, 'b')", "map(2, 'b', 1, 'a')"), ("array(0.0D)", "array(-0.0D)"), ("float(-0.0)", "float(0.0)"),
+             ("struct(map(map_entries(map('k', 1))[0].key, 1, 'l', 2) AS m)", "struct(map('l', 2, 'k', 1) AS m)"),
+             ("array(map('a', map('b', 1, 'c', 2)))", "array(map('a', map('c', 2, 'b', 1)))")]
+    for one, two in equal:
+        df = spark.sql(f"SELECT {one} AS v UNION ALL SELECT {two}")
+        first, second = digest([(F.col("v"), df.schema["v"].dataType)])
+        assert df.select(first, second).distinct().count() == 1
+
+
+def test_dedupe_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([("a", 1, 7, 8), ("a", 2, 7, 8)], "k string, v int, _rank int, rank int")
+    assert [tuple(r) for r in dedupe_latest(df, ["k"], [F.desc("v")]).collect()] == [("a", 2, 7, 8)]
+
+
 def sessions_by_hand(rows, gap):
     out, last = [], {}
     for user, at, value in sorted(rows, key=lambda r: (str(r[0]), r[1])):

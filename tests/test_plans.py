@@ -7,6 +7,7 @@ import re
 import pytest
 
 from packhorse.plans import QUERIES
+from packhorse.sources.contracts import CONTRACTS
 
 FOLDER = "/root/testdata/sf0.001"
 # Where the queries with one large key have more rows of it than `SMALL_CUT`.
@@ -95,3 +96,15 @@ def test_csv_is_parsed_once(plans, name):
 @pytest.mark.parametrize("name", ["p02_json_accepted", "p02_json_quarantine", "p02_json_required", "p05_flatten_torn"])
 def test_json_is_parsed_once(plans, name):
     assert plans(name).count("from_json(") == 1
+
+
+def test_distinct_values_of_all_columns_take_one_scan(plans):
+    """One for the bounds, one for the distinct values, and no sort."""
+    plan = plans("p22_profile")
+    assert plan.count("FileScan") == 2 * len(CONTRACTS)
+    assert len([line for line in plan.splitlines() if "Exchange hashpartitioning(number" in line]) == 2 * len(CONTRACTS)
+
+
+def test_changes_are_found_without_a_sort(plans):
+    plan = plans("p13_changes")
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2

@@ -238,6 +238,8 @@ def test_profile_of_maps_and_structs(spark):
     """)
     got = {r.column_name: (r.n_rows, r.n_nulls, r.least, r.greatest, r.n_distinct) for r in profile(df).collect()}
     assert got == {"m": (4, 1, "", "", 2), "s": (4, 1, "", "", 2), "v": (4, 1, "x", "y", 2)}
+    df = spark.sql("SELECT array(map('a', map(1, 2, 3, 4))) AS v, -0.0F AS z UNION ALL SELECT array(map('a', map(3, 4, 1, 2))), 0.0F")
+    assert {r.column_name: r.n_distinct for r in profile(df).collect()} == {"v": 1, "z": 1}
 
 
 def test_profile_shuffles_no_text(spark):
