@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -37,6 +37,13 @@ def by_small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 50) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows: where copies of a long text come one after the other, a batch is large."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def give_back() -> None:
     """For the end of a task's work in Python: hand freed memory back to the system.
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from packhorse.llm.common import by_small_batches, give_back, stored, table
+from packhorse.llm.common import by_small_batches, give_back, slices, stored, table
 from packhorse.session import delete_scratch, scratch_path
 
 # Words of a window (the contract's), and of an anchor.
@@ -150,7 +150,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows of phrases that are not met whole, and of those that offer theirs (with a null id), each once a task."""
     offered: set[tuple[int, int]] = set()
-    for batch in batches:
+    for batch in slices(batches):
         found = []
         for name, text, codes in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
             first, count, known = _unpacked(np.array(codes, np.int64))
@@ -212,7 +212,7 @@ def _told(text: bytes | None, codes: list[int] | None, starts: list[int] | None)
 
 def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The columns but for the last three (text, codes, starts), and what became of the text."""
-    for batch in batches:
+    for batch in slices(batches):
         *others, text, codes, starts = batch.columns
         told = [_told(*row) for row in zip(text.to_pylist(), codes.to_pylist(), starts.to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays(
