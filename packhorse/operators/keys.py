@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from packhorse.functions.columns import all_of, quoted, unused
 from packhorse.functions.digest import canonical, digest, holds_map
 from packhorse.functions.skew import ROWS_PER_TASK, filter_join
 from packhorse.operators.ordered import top_k
+from packhorse.session import stored
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], latest: Sequence[Column]) -> DataFrame:
@@ -66,7 +68,7 @@ def enrich(
 ) -> DataFrame:
     """Add dimension `columns` (found name to new name) to every fact row.
 
-    The dimension must hold one row per key. No hint is given: Spark broadcasts
+    The dimension must hold one row per key (see `guarded_enrich`). No hint is given: Spark broadcasts
     a dimension whose size is below `spark.sql.autoBroadcastJoinThreshold`, and
     shuffles a larger one, splitting partitions with a large fact key at run
     time.
@@ -79,6 +81,35 @@ def enrich(
     return facts.join(side, same, "left").drop(*[f"_dim_{d}" for d in on.values()])
 
 
+class Enriched(NamedTuple):
+    """Facts with their dimension columns, and facts whose key the dimension holds more than once, as they were."""
+
+    rows: DataFrame
+    ambiguous: DataFrame
+
+
+def guarded_enrich(
+    facts: DataFrame,
+    dimension: DataFrame,
+    on: Mapping[str, str],
+    columns: Mapping[str, str],
+    rows_per_task: int | None = ROWS_PER_TASK,
+) -> Enriched:
+    """`enrich` for a dimension that may repeat keys, which would multiply facts.
+
+    Every fact is in one of the two tables, once. Repeated keys are counted in the
+    map tasks first and written to the scratch folder, one short row each; facts
+    of a large key are not shuffled to meet them.
+    """
+    names = {d: f"_twice_{d}" for d in on.values()}
+    twice = stored(duplicated_keys(dimension, list(names)).drop("n_rows").withColumnsRenamed(names), "repeated-keys")
+    of_fact = all_of(F.col(f) == F.col(names[d]) for f, d in on.items())
+    of_dimension = all_of(F.col(d) == F.col(name) for d, name in names.items())
+    clear = filter_join(facts, twice, of_fact, "left_anti", list(on), rows_per_task)
+    ambiguous = filter_join(facts, twice, of_fact, "left_semi", list(on), rows_per_task)
+    return Enriched(enrich(clear, dimension.join(twice, of_dimension, "left_anti"), on, columns), ambiguous)
+
+
 def _changes(n: Column, in_old: Column, in_new: Column, same: Column) -> Column:
     return (
         F.when(n > 1, "duplicate").when(~in_old, "insert").when(~in_new, "delete")

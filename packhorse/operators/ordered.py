@@ -20,11 +20,9 @@ from pyspark.sql import types as T
 
 from packhorse.functions.columns import all_of
 from packhorse.functions.skew import ROWS_PER_TASK, large_keys, split
-from packhorse.session import delete_scratch, scratch_path
+from packhorse.session import delete_scratch, scratch_path, stored
 
 CHUNK = "_chunk"
-# Tasks that a key is dealt to where Spark does not limit its rows before the shuffle.
-_SHARES = 64
 
 
 @dataclass(frozen=True)
@@ -143,7 +141,7 @@ class LastKnown(Measure):
         return F.coalesce(within, carry)
 
 
-def _chunks(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
+def _chunks(df: DataFrame, columns: Sequence[str | Column], n: int) -> DataFrame:
     """Range-partition by `columns` and store each row's partition.
 
     The table is written because range bounds are sampled anew in every plan;
@@ -163,12 +161,6 @@ def _chunks(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    path = scratch_path(df.sparkSession, "carried")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @dataclass(frozen=True)
 class Parts:
     """The rows of small keys, and those of large keys, if any, with their chunk."""
@@ -189,7 +181,7 @@ class Parts:
 def cut(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str],
+    order: Sequence[str | Column],
     rows_per_task: int | None,
     prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> Parts:
@@ -231,7 +223,7 @@ def measure(
     )
     # One row per chunk and large key: no more than there are chunks and keys. A
     # row may be wide, so Spark decides by the stored size whether to broadcast.
-    carried = _stored(
+    carried = stored(
         parts.large.groupBy(*keys, CHUNK)
         .agg(*[m.summary(at).alias(f"_sum_{name}") for name, m in measures.items()])
         .select(
@@ -241,7 +233,8 @@ def measure(
                 m.carry(F.col(f"_sum_{name}"), across).alias(f"_out_{name}")
                 for name, m in measures.items()
             ],
-        )
+        ),
+        "carried",
     )
     same = all_of(
         [F.col(CHUNK) == F.col("_of_chunk")]
@@ -290,24 +283,53 @@ def running(
 
 
 def top_k(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    k: int,
+    rank: str = "rank",
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """The first `k` rows per key in `order`, which has to be unique per key.
 
     Spark keeps `k` rows per key in each map task before the shuffle, so a
     large key sends few rows. Beyond
     `spark.sql.optimizer.windowGroupLimitThreshold` (1000) rows it does not; then
-    the rows of a key are dealt to `_SHARES` tasks by a hash of the row first,
-    and `k` of each go on.
+    the rows of large keys are cut into chunks along `order`. One count per chunk
+    tells which chunks hold the first `k`, and only these are sorted. Columns may be
+    of any type.
     """
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if k > limit >= 0:
-        share = F.pmod(F.hash(*[F.col(f"`{c}`") for c in df.columns]), F.lit(_SHARES))
-        first = Window.partitionBy(*keys, "_share").orderBy(*order)
-        df = df.withColumn("_share", share).withColumn(rank, F.row_number().over(first))
-        df = df.filter(F.col(rank) <= k).drop("_share", rank)
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
+
+    def first(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
+
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if not k > limit >= 0:
+        return first(df)
+    parts = cut(df, keys, order, rows_per_task)
+    if parts.large is None:
+        return first(df)
+    return first(parts.small).unionByName(_first_chunks(parts.large, keys, order, k, rank))
+
+
+def _first_chunks(large: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str) -> DataFrame:
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per chunk and large key.
+    counted = large.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    starts = stored(
+        counted.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).filter(F.col("_start") < k)
+        .select(*[F.col(key).alias(f"_of_{key}") for key in keys], F.col(CHUNK).alias("_of_chunk"), "_start"),
+        "first-chunks",
+    )
+    same = all_of(
+        [F.col(CHUNK) == F.col("_of_chunk")]
+        + [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
+    )
+    within = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    place = (F.col("_start") + F.row_number().over(within)).cast("int")
+    kept = [F.col(f"`{c}`") for c in large.columns if c != CHUNK]
+    return large.join(starts, same).select(*kept, place.alias(rank)).filter(F.col(rank) <= k)
 
 
 def top_ranks(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from packhorse.functions.columns import money
 from packhorse.functions.skew import ROWS_PER_TASK
-from packhorse.operators.keys import enrich
+from packhorse.operators.keys import enrich, guarded_enrich
 from packhorse.operators.marts import (
     finest,
     pivot,
@@ -59,6 +59,31 @@ def p08_enrich(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Planted repeats: every third nation stands twice in the dimension, once with another name.
+_ORDERS_OF_NATIONS = """
+    SELECT o_orderkey, o_totalprice, c_nationkey FROM {orders} JOIN {customer} ON o_custkey = c_custkey
+"""
+
+
+@query(
+    f"""
+    SELECT f.*, CASE WHEN c_nationkey % 3 <> 0 THEN n_name END AS nation, c_nationkey % 3 = 0 AS is_ambiguous
+    FROM ({_ORDERS_OF_NATIONS.format(orders="orders", customer="customer")}) f JOIN nation ON c_nationkey = n_nationkey
+    """
+)
+def p08_guarded_enrich(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts of nations that are there twice come apart, and none is doubled."""
+    facts = spark.sql(
+        _ORDERS_OF_NATIONS, orders=read_table(spark, folder, "orders"), customer=read_table(spark, folder, "customer")
+    )
+    nation = read_table(spark, folder, "nation")
+    again = nation.filter("n_nationkey % 3 = 0").withColumn("n_name", F.lit("another name"))
+    found = guarded_enrich(facts, nation.unionByName(again), {"c_nationkey": "n_nationkey"}, {"n_name": "nation"})
+    return found.rows.withColumn("is_ambiguous", F.lit(False)).unionByName(
+        found.ambiguous.withColumns({"nation": F.lit(None).cast("string"), "is_ambiguous": F.lit(True)})
+    )
+
+
 @query(
     """
     SELECT n_name AS nation, strftime(o_orderdate, '%Y-%m') AS order_month,
@@ -174,6 +199,24 @@ def p11_top_orders(spark: SparkSession, folder: str) -> DataFrame:
     return best.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+@query(
+    """
+    SELECT kind, o_orderkey, o_totalprice, CAST(rank AS INTEGER) AS rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY kind ORDER BY o_totalprice DESC, o_orderkey) AS rank
+        FROM (SELECT *, CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE o_orderpriority END AS kind FROM orders))
+    WHERE rank <= 5000
+    """
+)
+def p11_top_5000_one_large_key(spark: SparkSession, folder: str) -> DataFrame:
+    """More rows per key than Spark limits before the shuffle, half of all rows in one key, and a map column."""
+    orders = read_table(spark, folder, "orders").select(
+        F.expr("CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE o_orderpriority END").alias("kind"),
+        "o_orderkey", "o_totalprice", F.create_map("o_orderstatus", "o_custkey").alias("more"),
+    )
+    order = [F.desc("o_totalprice"), F.asc("o_orderkey")]
+    return top_k(orders, ["kind"], order, 5000, rows_per_task=SMALL_CUT).drop("more")
+
+
 @query(
     """
     SELECT l_suppkey, l_orderkey, l_linenumber, l_quantity, l_extendedprice, rank FROM (

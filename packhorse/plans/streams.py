@@ -15,6 +15,7 @@ from packhorse.session import scratch_path
 from packhorse.sources.contracts import CONTRACTS, read_table
 from packhorse.streaming.events import (
     read_parquet_stream,
+    row_account,
     run_available,
     stream_dedupe,
     stream_sessions,
@@ -55,6 +56,49 @@ def p19_windows_stream(spark: SparkSession, folder: str) -> DataFrame:
     return result.withColumn("total_value", F.col("total_value").cast("double"))
 
 
+# Fixed damage: every 23rd event has no time, every 17th arrives two files of eight days late.
+_ARRIVING = """
+    SELECT * EXCEPT (ts), CASE WHEN event_id % 23 <> 0 THEN ts END AS ts,
+        CAST(least(3, floor((coalesce(CASE WHEN event_id % 23 <> 0 THEN day(ts) END, 1) - 1) / 8))
+            + CASE WHEN event_id % 17 = 0 THEN 2 ELSE 0 END AS INTEGER) AS file
+    FROM {events}
+"""
+
+
+@query(
+    f"""
+    WITH arriving AS ({_ARRIVING.replace("EXCEPT", "EXCLUDE").format(events="events")}),
+    ends AS (SELECT file, ts, time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE AS window_end FROM arriving),
+    marks AS (SELECT f.file, max(e.ts) - INTERVAL 10 MINUTE AS mark
+              FROM (SELECT DISTINCT file FROM ends) f LEFT JOIN ends e ON e.file <= f.file - 2 GROUP BY f.file),
+    told AS (
+        SELECT CASE WHEN ts IS NULL THEN 'undated' WHEN window_end <= mark THEN 'late'
+            WHEN window_end > (SELECT max(ts) - INTERVAL 10 MINUTE FROM ends) THEN 'open' ELSE 'kept' END AS kind
+        FROM ends JOIN marks USING (file))
+    SELECT count(*) AS n_read, count_if(kind = 'kept')::BIGINT AS n_kept, count_if(kind = 'undated')::BIGINT AS n_undated,
+        count_if(kind = 'open')::BIGINT AS n_open, count_if(kind = 'late')::BIGINT AS n_late
+    FROM told
+    """
+)
+def p19_row_account(spark: SparkSession, folder: str) -> DataFrame:
+    """What a stream of one file a batch keeps and loses.
+
+    A batch drops rows by the watermark of the batch before it, which is taken
+    from the batches before that.
+    """
+    events = spark.sql(_ARRIVING, events=read_table(spark, folder, "events"))
+    path = scratch_path(spark, "arriving")
+    first, last = events.agg(F.min("file"), F.max("file")).first()
+    for number in range(first, last + 1):
+        events.filter(F.col("file") == number).coalesce(1).write.parquet(f"{path}/in/file={number}")
+    stream = read_parquet_stream(streaming_session(spark), f"{path}/in/file=*", events.schema, files_per_batch=1)
+    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = tumbling_counts(stream, "ts", "10 minutes", ["event_type"], money("value"), "10 minutes")
+    watermark = run_available(counts, f"{path}/table", f"{path}/checkpoint")
+    windows = spark.read.schema(counts.schema).parquet(f"{path}/table")
+    return row_account(events, "ts", "10 minutes", windows, watermark)
+
+
 @query(
     """
     WITH marked AS (

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -75,6 +75,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """`df` written to a fresh scratch folder and read back, the same for all that read it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def delete_scratch(spark: SparkSession, path: str) -> None:
     """Delete one folder that `scratch_path` gave, when no plan reads it any more."""
     delete_folder(spark, path)

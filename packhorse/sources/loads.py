@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from packhorse.functions.columns import all_of
 from packhorse.functions.skew import ROWS_PER_TASK, filter_join
 from packhorse.operators.keys import dedupe_latest
-from packhorse.session import delete_by_uri, scratch_path
+from packhorse.session import delete_by_uri
+from packhorse.session import stored as stored_copy
 
 # The file of a stored row, as a URI.
 FILE = "_file"
@@ -94,14 +95,14 @@ def merge_plan(
     """
     types = {name: stored.schema[name].dataType for name in partitions}
     cast = changes.withColumns({name: _as_folder(F.col(name), t) for name, t in types.items()})
-    newest = _written(dedupe_latest(cast, keys, latest), "changes")
+    newest = stored_copy(dedupe_latest(cast, keys, latest), "changes")
     touched = newest.select(*partitions)
     if not keys_stay:
         changed = newest.select(*[F.col(key).alias(f"_new_{key}") for key in keys])
         same = all_of(F.col(key).eqNullSafe(F.col(f"_new_{key}")) for key in keys)
         holding = stored.select(*dict.fromkeys([*keys, *partitions])).join(changed, same, "left_semi")
         touched = touched.unionByName(holding.select(*partitions))
-    touched = _written(touched.groupBy(*partitions).agg(F.count(F.lit(1)).alias("_n")), "touched")
+    touched = stored_copy(touched.groupBy(*partitions).agg(F.count(F.lit(1)).alias("_n")), "touched")
     pruned = of_partitions(stored, touched, partitions)
     return touched, pruned, upsert(pruned.drop(FILE), newest, keys, latest)
 
@@ -112,12 +113,6 @@ def _as_folder(value: Column, kind: T.DataType) -> Column:
     return F.nullif(value, F.lit("")) if isinstance(kind, T.StringType) else value
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def of_partitions(stored: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """The stored rows of touched partitions (with `_n`); only their folders are read.
 

@@ -46,7 +46,8 @@ def tumbling_counts(
     """Events and total of `value` per tumbling window and `by`.
 
     The same for a batch and a stream. A stream needs `delay`: rows older than
-    the watermark are dropped, and a window is emitted once it has passed.
+    the watermark are dropped, and a window is emitted once it has passed. Rows
+    without a time are in no window. `row_account` counts what is lost.
     """
     if delay is not None:
         df = df.withWatermark(at, delay)
@@ -59,6 +60,28 @@ def tumbling_counts(
     )
 
 
+def row_account(read: DataFrame, at: str, width: str, windows: DataFrame, watermark: str | None = None) -> DataFrame:
+    """One row that says where the rows of `read` went: `n_read` is the sum of the others.
+
+    `read` is what the stream has read, as a table, and `windows` what it has emitted.
+    `n_kept` rows are in emitted windows, `n_undated` have no time, `n_open` are in
+    windows that end after `watermark`, which `run_available` returns, and wait for
+    more input; the rest came too late (`n_late`). Without a watermark, as for a
+    batch, no window is open.
+    """
+    end = F.window(F.col(at).cast("timestamp"), width).getField("end")
+    is_open = F.lit(False) if watermark is None else end > F.lit(watermark).cast("timestamp")
+    # The window of a null is no row, so undated rows are counted before.
+    undated = read.agg(F.count(F.lit(1)).alias("n_read"), F.count_if(F.col(at).isNull()).alias("n_undated"))
+    waiting = read.filter(F.col(at).isNotNull()).select(is_open.alias("is_open")).agg(F.count_if("is_open").alias("n_open"))
+    kept = windows.agg(F.coalesce(F.sum("n_events"), F.lit(0)).alias("n_kept"))
+    # One row on each side.
+    counts = undated.withColumn("_one", F.lit(1)).join(F.broadcast(waiting.withColumn("_one", F.lit(1))), "_one")
+    counts = counts.join(F.broadcast(kept.withColumn("_one", F.lit(1))), "_one")
+    late = F.col("n_read") - F.col("n_undated") - F.col("n_open") - F.col("n_kept")
+    return counts.select("n_read", "n_kept", "n_undated", "n_open", late.alias("n_late"))
+
+
 def stream_sessions(
     df: DataFrame, keys: Sequence[str], at: str, gap: str, value: Column, delay: str
 ) -> DataFrame:
@@ -84,11 +107,12 @@ def stream_dedupe(df: DataFrame, keys: Sequence[str], at: str, bound: str) -> Da
     return df.withWatermark(at, bound).dropDuplicatesWithinWatermark(list(keys))
 
 
-def run_available(df: DataFrame, path: str, checkpoint: str) -> None:
+def run_available(df: DataFrame, path: str, checkpoint: str) -> str | None:
     """Process what is there now, append it to the Parquet table `path`, and stop.
 
     Run again with the same checkpoint, it goes on where it stopped; the file
-    sink and the checkpoint together give each row once.
+    sink and the checkpoint together give each row once. Returns the watermark, up
+    to which windows were emitted, if there is one.
     """
     query = (
         df.writeStream.outputMode("append")
@@ -99,3 +123,5 @@ def run_available(df: DataFrame, path: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+    last = query.lastProgress
+    return None if last is None else last["eventTime"].get("watermark")

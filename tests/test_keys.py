@@ -15,6 +15,7 @@ from packhorse.operators.keys import (
     dedupe_latest,
     duplicated_keys,
     enrich,
+    guarded_enrich,
     matched,
     orphans,
     snapshot_changes,
@@ -92,6 +93,22 @@ def test_enrich_keeps_facts_without_dimension(spark):
     assert got == {(1, "x", "one"), (9, "y", None), (None, "z", None)}
 
 
+@pytest.mark.parametrize("rows_per_task", [None, 50])
+def test_guarded_enrich(spark, rows_per_task):
+    """Repeats of keys of many facts and of none, null keys on both sides, a key without a dimension row."""
+    facts = [(1, i) for i in range(200)] + [(2, i) for i in range(200)] + [(3, 0), (None, 0), (9, 0)]
+    dimension = [(1, "a"), (2, "b"), (2, "b"), (3, "c"), (None, "n"), (None, "n"), (7, "x"), (7, "y"), (7, "z")]
+    found = guarded_enrich(
+        spark.createDataFrame(facts, "k long, i int").repartition(3), spark.createDataFrame(dimension, "d long, name string"),
+        {"k": "d"}, {"name": "name"}, rows_per_task,
+    )
+    name = {1: "a", 3: "c"}
+    key = lambda r: str(r)
+    assert sorted(map(tuple, found.rows.collect()), key=key) == sorted([(k, i, name.get(k)) for k, i in facts if k != 2], key=key)
+    assert sorted(map(tuple, found.ambiguous.collect())) == [(2, i) for i in range(200)]
+    assert found.ambiguous.columns == ["k", "i"]
+
+
 def test_snapshot_diff(spark):
     schema = "k long, a int, b string"
     old = [(1, 1, "x"), (2, None, "x"), (3, 3, None), (4, 4, "x"), (6, 1, "p"), (6, 2, "q"), (None, 0, "n")]

@@ -158,12 +158,32 @@ def test_top_k_limits_before_the_shuffle(spark):
 
 def test_a_large_k_is_dealt_to_many_tasks(spark):
     df = spark.range(20_000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
-    best = top_k(df, ["k"], [F.desc("v")], 1500)
-    assert "_share" in best._jdf.queryExecution().executedPlan().toString()
+    best = top_k(df, ["k"], [F.desc("v")], 1500, rows_per_task=1000)
+    assert "_chunk" in best._jdf.queryExecution().executedPlan().toString()
     assert best.columns == ["k", "v", "rank"]
     assert sorted(row.v for row in best.collect()) == list(range(17_000, 20_000))
 
 
+@pytest.mark.parametrize("rows_per_task", [None, 100, 700])
+def test_large_k_by_hand(spark, rows_per_task):
+    """A large key, a null key and small ones; map columns, mixed directions, ties up to the last column."""
+    draw = random.Random(8)
+    rows = [(draw.choice(["h"] * 6 + [None, None, "a", "b"]), draw.choice([None, 1, 2, 3]), i, {"m": i}) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, v int, id long, m map<string, int>").repartition(4)
+    name = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark.conf.set(name, "50")
+    try:
+        best = top_k(df, ["k"], [F.desc_nulls_last("v"), F.asc("id")], 1300, rows_per_task=rows_per_task)
+        got = sorted(((r.k, r.v, r.id, r.m["m"], r.rank) for r in best.collect()), key=str)
+    finally:
+        spark.conf.unset(name)
+    want = []
+    for key in ("h", None, "a", "b"):
+        of_key = sorted((r for r in rows if r[0] == key), key=lambda r: (-(r[1] or 0), r[2]))
+        want += [(*r[:3], r[2], i + 1) for i, r in enumerate(of_key[:1300])]
+    assert got == sorted(want, key=str)
+
+
 def test_top_ranks_keeps_all_ties(spark):
     rows = [("a", 9), ("a", 9), ("a", 9), ("a", 7), ("a", 7), ("a", 5), ("a", None)]
     rows += [("b", 1), (None, 4), (None, 4), (None, 2)]

@@ -20,7 +20,7 @@ from packhorse.operators.quality import (
     standardise,
     valid_rows,
 )
-from packhorse.session import build_session, delete_by_uri, release_scratch, scratch_path
+from packhorse.session import build_session, delete_by_uri, release_scratch, scratch_path, stored
 from packhorse.sources import switched
 from packhorse.sources.contracts import (
     CONTRACTS,
@@ -30,7 +30,7 @@ from packhorse.sources.contracts import (
     read_table,
 )
 from packhorse.sources.incremental import extract_after, highest_mark, load_mark, save_mark
-from packhorse.sources.loads import _written, load_partitions, of_partitions, upsert, upsert_partitions
+from packhorse.sources.loads import load_partitions, of_partitions, upsert, upsert_partitions
 from packhorse.sources.switched import drop_unused, load_switched, read_switched, upsert_switched
 from packhorse.sources.text import accepted, quarantine, read_csv_lines, read_csv_records, read_json_lines
 
@@ -518,7 +518,7 @@ def test_touched_partitions_prune_the_scan(spark, tmp_path):
     path = str(tmp_path / "table")
     rows = spark.range(20).select(F.col("id").alias("k"), (F.col("id") % 5).alias("p"))
     load_partitions(rows, path, ["p"])
-    touched = _written(spark.createDataFrame([(1, 1)], "p int, _n long"), "touched")
+    touched = stored(spark.createDataFrame([(1, 1)], "p int, _n long"), "touched")
     pruned = of_partitions(spark.read.parquet(path), touched, ["p"])
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
