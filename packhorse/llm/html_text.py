@@ -56,23 +56,31 @@ STRANGE_WORDS = set(
 )
 # Names that begin with one of these say what a page has, not what an element is.
 ABOUT = set("has no with without is js".split())
+# Of these words, those that a section of an article may be about.
+TOPICS = set(
+    "more related legal disclaimer copyright notice notices alert announcement banner form forms search login signup share sharing "
+    "social tags menu header footer side promotion advertising advertisement cookie cookies consent gdpr newsletter subscription "
+    "discussion reply replies reactions recommended recommendations hidden dialog navigation".split()
+)
 MAIN_WORDS = set("article articlebody content maincontent post postbody entry story main storybody".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 
 # Bounds of an expression, so that no page makes it deep or its alignment long.
 MOST_LEVELS, MOST_TERMS = 48, 64
 
+# One attribute after the other: a value in quotes may hold any name and sign, one without may hold quotes.
+_ATTR = r"""[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+"""
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>""",
+    rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[\s/=]++|{_ATTR})*+)>""",
     re.S,
 )
-_ATTR = re.compile(r"""(class|id|role|itemprop|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.I)
+_ATTRS = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+))?+)?+""")
 _WORD = re.compile(r"[a-z]+")
 
 
 @dataclass(frozen=True)
 class Element:
-    """An open block: its key (tag and first words of class and id), whether it is aside, and its rank as main text."""
+    """An open block: its key (tag and first words of class and id), whether it is aside, its rank as main text, and the article it is in."""
 
     tag: str
     key: str
@@ -80,43 +88,61 @@ class Element:
     rank: int
     level: int
     in_header: bool
+    article: int
+
 
+def _names(attrs: str) -> Iterator[tuple[str, str]]:
+    """The names that tell what an element is, each with the attribute that has it."""
+    for kind, *values in _ATTRS.findall(attrs):
+        kind, value = kind.lower(), "".join(values).lower()
+        if kind == "hidden" or (kind == "aria-hidden" and value.strip() == "true"):
+            yield kind, "hidden"
+        elif kind in ("class", "id", "role", "itemprop"):
+            for name in value.split():
+                yield kind, name
 
-def _element(tag: str, attrs: str, parent: Element | None) -> Element:
+
+def _element(tag: str, attrs: str, parent: Element | None, articles: int) -> Element:
     words: list[str] = []
     layout = strange = main = False
+    in_main = parent is not None and parent.rank > 0
     if attrs and tag not in ("html", "body"):
-        for kind, *values in _ATTR.findall(attrs):
-            names = ["hidden"] if kind.lower() == "hidden" else "".join(values).lower().split()
-            for name in names:
-                parts = _WORD.findall(name)
-                words += parts
-                if not parts or parts[0] in ABOUT or "with" in parts:
+        for kind, name in _names(attrs):
+            parts = _WORD.findall(name)
+            words += parts
+            if not parts or parts[0] in ABOUT or "with" in parts:
+                continue
+            ends = {parts[0], parts[-1]}
+            if kind == "id" and (in_main or tag in ("article", "main")):
+                # Within the main part an id may name the topic of a heading, a section or an article.
+                whole = set(parts) <= LAYOUT_WORDS | STRANGE_WORDS
+                if tag in HEADINGS or not whole or (tag == "section" and ends <= TOPICS):
                     continue
-                ends = {parts[0], parts[-1]}
-                strange = strange or bool(ends & STRANGE_WORDS)
-                layout = layout or bool(ends & LAYOUT_WORDS)
-                main = main or (bool(MAIN_WORDS & set(parts)) and not ends & (LAYOUT_WORDS | STRANGE_WORDS))
-    in_main = parent is not None and parent.rank > 0
+            strange = strange or bool(ends & STRANGE_WORDS)
+            layout = layout or bool(ends & LAYOUT_WORDS)
+            main = main or (bool(MAIN_WORDS & set(parts)) and not ends & (LAYOUT_WORDS | STRANGE_WORDS))
     marked = tag in ("article", "main") or main
     aside = (parent is not None and parent.aside) or tag in ASIDE_TAGS or strange or (layout and not marked)
     aside = aside or (tag == "header" and not in_main)
-    rank = parent.rank if parent else 0
+    rank, article = (parent.rank, parent.article) if parent else (0, 0)
     if not aside:
-        rank = max(rank, 3 if tag == "article" or "articlebody" in words else 2 if tag == "main" else 1 if main else 0)
+        own = 3 if tag == "article" or "articlebody" in words else 2 if tag == "main" else 1 if main else 0
+        article = articles + 1 if own == 3 > rank else article
+        rank = max(rank, own)
     key, level = ".".join([tag, *words[:3]]), parent.level + 1 if parent else 1
-    return Element(tag, key, aside, rank, level, tag == "header" or (parent is not None and parent.in_header))
+    return Element(tag, key, aside, rank, level, tag == "header" or (parent is not None and parent.in_header), article)
 
 
 @dataclass
 class Block:
-    """A run of text between block borders: its rank as main text, and how much of it is in links."""
+    """A run of text between block borders: its rank as main text, how much of it is in links, and its article."""
 
     rank: int
     aside: bool
     heading: bool
     text: str = ""
     linked: int = 0
+    article: int = 0
 
 
 def blocks_of(page: str | None) -> tuple[list[Block], list]:
@@ -125,7 +151,7 @@ def blocks_of(page: str | None) -> tuple[list[Block], list]:
     stack: list[tuple[Element, list]] = []
     blocks: list[Block] = []
     runs: list[str] = []
-    links, linked, at, page = 0, 0, 0, page or ""
+    links, linked, at, articles, page = 0, 0, 0, 0, page or ""
 
     def flush() -> None:
         nonlocal linked
@@ -136,7 +162,7 @@ def blocks_of(page: str | None) -> tuple[list[Block], list]:
             (stack[-1][1] if stack else root)[1].append("#")
             heading = bool(top and top.tag in HEADINGS)
             aside = bool(top and (top.aside or (top.in_header and not heading)))
-            blocks.append(Block(top.rank if top else 0, aside, heading, text, min(linked, len(text))))
+            blocks.append(Block(top.rank if top else 0, aside, heading, text, min(linked, len(text)), top.article if top else 0))
         linked = 0
 
     def close(tags: set[str], limit: set[str]) -> None:
@@ -166,7 +192,8 @@ def blocks_of(page: str | None) -> tuple[list[Block], list]:
             continue
         if token["open"]:
             if tag in RAW:
-                if not token["attrs"].endswith("/"):
+                # Only elements of another language may end where they begin.
+                if tag not in ("svg", "math") or not token["attrs"].endswith("/"):
                     stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
                     at = stop.end() if stop else len(page)
                 continue
@@ -180,7 +207,8 @@ def blocks_of(page: str | None) -> tuple[list[Block], list]:
                 close(CLOSES[tag], HOLDS - CLOSES[tag])
             if tag in VOID:
                 continue
-            element = _element(tag, token["attrs"], stack[-1][0] if stack else None)
+            element = _element(tag, token["attrs"], stack[-1][0] if stack else None, articles)
+            articles = max(articles, element.article)
             node = [element.key, []]
             if element.level > MOST_LEVELS:
                 # What lies deeper is taken for a part of the last level.
@@ -468,11 +496,16 @@ def template_slots(use: DataFrame, settings: Settings) -> DataFrame:
 
 
 def main_text(page: str | None, slots: set[str] | None, wrapper: str | None = None, laid: Places | None = None) -> str:
-    """The page's main text: what is marked as article, else as main, else as content, else what is in none of the host's template `slots`."""
+    """The page's main text: what is marked as article, else as main, else as content, else what is in none of the host's template `slots`.
+
+    What a main part holds beside its one article, as a title, belongs to it.
+    """
     blocks = (laid or Places()).of(page, wrapper)
     best = max((block.rank for block, _, _ in blocks), default=0)
     if best:
-        chosen = [block for block, _, _ in blocks if block.rank == best]
+        one = len({block.article for block, _, _ in blocks if block.rank == best}) == 1
+        least = 2 if best == 3 and one else best
+        chosen = [block for block, _, _ in blocks if block.rank >= least]
     else:
         chosen = [block for block, slot, _ in blocks if not slots or slot not in slots] or [block for block, _, _ in blocks]
     return "\n\n".join(block.text for block in chosen)

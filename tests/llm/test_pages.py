@@ -48,6 +48,17 @@ PAGES = {
     "cut off": ("<article><p>one</p><p>two <i>and", ["one", "two and"]),
     "quotes": ("<article class=\"a>b\"><p title='x > y'>t</p><!-- <p>no</p> --></article><p>after", ["t"]),
     "upper case": ("<ARTICLE><P>One</P><SCRIPT>no</SCRIPT><P>Two</P></ARTICLE>", ["One", "Two"]),
+    "a word in a title": ('<article title="the hidden valley" data-x="ad"><p>a</p></article>', ["a"]),
+    "not hidden": ('<article aria-hidden="false"><p>a</p><p aria-hidden=true>b</p><p hidden>c</p></article>', ["a"]),
+    "a topic as id": ('<article id="comment-on-the-budget"><p>a</p></article>', ["a"]),
+    "sections of an article": (
+        "<article><section id=related-work><p>a</p></section><h2 id=more>b</h2><h3 id='discussion'>c</h3><section id=discussion><p>d</p></section>"
+        "<section id=comments><p>e</p></section><div id=respond>f</div><div class=related>g</div></article>", ["a", "b", "c", "d"],
+    ),
+    "a quote in a value": ("<article><p class=it's>a</p><p title=\"it's\" id='x\"y'>b</p><p class=\"open>c</p><a href=x/y?z='1'>d</a></article>", ["a", "b", "c", "d"]),
+    "a script that ends itself": ('<article><p>a</p><script src="a.js"/>var x=1;</script><p>b<svg/>c</p></article>', ["a", "bc"]),
+    "a main part with an article": ("<main><h1>Title</h1><p>intro</p><nav>n</nav><article><p>a</p></article><aside>x</aside></main><p>after</p>", ["Title", "intro", "a"]),
+    "a main part with articles": ("<main><h1>List</h1><article><p>a</p></article><article><p>b</p></article></main>", ["a", "b"]),
     "nothing": ("<nav>menu</nav>", []),
     "plain": ("just text &eacute;", ["just text \xe9"]),
     "empty": ("", []),
