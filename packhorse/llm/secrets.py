@@ -43,10 +43,12 @@ MORE = (
     Kind("slack", r"xox[abeprs]-[A-Za-z0-9-]{10,}", anchors=("xox",)),
     Kind("google", r"AIza[A-Za-z0-9_-]{35}", anchors=("AIza",)),
     Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", anchors=("eyJ",)),
-    Kind("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]+-----END [A-Z ]*PRIVATE KEY-----", anchors=("PRIVATE KEY-----",)),
+    Kind("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]+(?:-{1,4}[^-]+){0,64}-----END [A-Z ]*PRIVATE KEY-----", anchors=("PRIVATE KEY-----",)),
     Kind("url", r"://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/@]+@", anchors=("://",)),
 )
 KINDS = BASE + MORE
+# Kinds whose values people make up; elsewhere such a word may stand in the code by chance.
+WORDED = ("assign", "access", "hex", "url")
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your|xxxx|1234567|abcdef0"
 
 
@@ -54,12 +56,15 @@ PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your|xxxx|1234567|
 class Settings:
     """A value held by `copied_owners` owners or more is an example that is copied.
 
-    So is one in `copied_repositories` or more, whoever owns them, where that is
-    given. It is for tables whose owner is coarse, but also takes a credential that
+    So is one that more than one owner has, in `shared_repositories` or more. What a
+    single owner has may be live in any number of its repositories, unless
+    `copied_repositories` is given: that many make an example whoever owns them. It
+    is for tables whose owner is coarse, but also takes a credential that
     one owner has in that many repositories, or that copies of one text hold, for an example.
     """
 
     copied_owners: int = 3
+    shared_repositories: int = 20
     copied_repositories: int | None = None
     least_distinct: int = 8
 
@@ -99,9 +104,10 @@ def _long_enough() -> Column:
     return ok
 
 
-def looks_live(value: Column, settings: Settings) -> Column:
+def looks_live(value: Column, rank: Column, settings: Settings) -> Column:
     distinct = F.size(F.array_distinct(F.split(value, "")))
-    return value.rlike("[0-9]") & ~value.rlike(PLACEHOLDER) & (distinct >= settings.least_distinct)
+    worded = rank.isin([at for at, kind in enumerate(KINDS) if kind.name in WORDED])
+    return value.rlike("[0-9]") & ~(worded & value.rlike(PLACEHOLDER)) & (distinct >= settings.least_distinct)
 
 
 def ownership(spans: DataFrame, settings: Settings) -> DataFrame:
@@ -116,14 +122,16 @@ def ownership(spans: DataFrame, settings: Settings) -> DataFrame:
     counted = per_owner.groupBy("hash").agg(
         F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_repositories"), F.max("live").alias("live")
     )
-    copied = F.col("n_owners") >= settings.copied_owners
+    copied = (F.col("n_owners") >= settings.copied_owners) | (
+        (F.col("n_owners") > 1) & (F.col("n_repositories") >= settings.shared_repositories)
+    )
     if settings.copied_repositories is not None:
         copied = copied | (F.col("n_repositories") >= settings.copied_repositories)
     verdict = (
         F.when(copied, "copied")
         .when(F.col("live"), "live").otherwise("unclear")
     )
-    return counted.select("hash", "n_owners", "n_repositories", verdict.alias("verdict"))
+    return counted.select("hash", "n_owners", "n_repositories", verdict.alias("verdict"), F.col("live").alias("looks_live"))
 
 
 def find_secrets(
@@ -134,12 +142,14 @@ def find_secrets(
     out: str = "secrets",
     keep_text: bool = True,
     settings: Settings | None = None,
+    copied_too: bool = False,
 ) -> DataFrame:
     """`df` with an array `out` of spans, by start and kind.
 
     A span has kind, start and end (code points, end exclusive), base, the
     verdict (live, copied, unclear), n_owners and n_repositories. Base spans are always there;
-    others where their verdict is live. Null text counts as empty and has no
+    others where their verdict is live, or, with `copied_too`, where they look live
+    however many have them, as what is to be removed must be found. Null text counts as empty and has no
     spans; repeated rows get the same spans each; an empty table gives an empty
     one; a column that is already named `out` is replaced, and names that begin
     with `_scan` are reserved. The table is stored once in the scratch folder.
@@ -166,13 +176,13 @@ def find_secrets(
         .filter(_long_enough())
         .select(
             "_scan_row", "owner", "repository", "rank", "start", "end",
-            F.sha2("value", 256).alias("hash"), looks_live(F.col("value"), settings).alias("live"),
+            F.sha2("value", 256).alias("hash"), looks_live(F.col("value"), F.col("rank"), settings).alias("live"),
         )
     )
     spans = stored(placed, "secret-spans")
     names = F.array(*(F.lit(kind.name) for kind in KINDS))
     judged = spans.join(ownership(spans, settings), "hash").filter(
-        (F.col("rank") < len(BASE)) | (F.col("verdict") == "live")
+        (F.col("rank") < len(BASE)) | (F.col("looks_live") if copied_too else F.col("verdict") == "live")
     )
     one = F.struct(
         "start", "rank", "end", F.element_at(names, F.col("rank") + 1).alias("kind"),
@@ -190,7 +200,12 @@ def find_secrets(
 
 
 def redact(df: DataFrame, text: str = "text", spans: str = "secrets", mark: str = "[SECRET]") -> DataFrame:
-    """`df` with every span of `spans` in `text` replaced; spans that touch or overlap become one mark."""
+    """`df` with every span of `spans` in `text` replaced; spans that touch or overlap become one mark.
+
+    Rows without spans, a null text or null spans among them, stay as they are, as
+    do all other columns, whatever their names, and repeated rows. Long texts are
+    cut whole; an empty table gives an empty one.
+    """
     start = F.struct(F.lit(0).cast("long").alias("end"), F.array().cast("array<string>").alias("parts"))
 
     def cut(done: Column, span: Column) -> Column:
@@ -213,10 +228,7 @@ def _joined(spans: Column) -> Column:
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents have one column of provenance: `source` is the owner, a document the repository.
-
-    The verdict goes by owners, as in the SQL.
-    """
+    """Documents have one column of provenance: `source` is the owner, a document the repository."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     found = find_secrets(docs, keep_text=False)
     spans = F.col("secrets")
@@ -257,12 +269,13 @@ def _oracle(settings: Settings) -> str:
         found AS (SELECT * FROM ({every}) WHERE length(value) >= least),
         judged AS (
             SELECT value, count(DISTINCT coalesce(source, chr(1))) AS owners,
-                regexp_matches(value, '[0-9]') AND NOT regexp_matches(value, '{PLACEHOLDER}')
+                count(DISTINCT (coalesce(source, chr(1)), coalesce(doc_id, -1))) AS repositories,
+                regexp_matches(value, '[0-9]') AND bool_or(kind NOT IN {WORDED} OR NOT regexp_matches(value, '{PLACEHOLDER}'))
                 AND len(list_distinct(string_split(value, ''))) >= {settings.least_distinct} AS live
             FROM found GROUP BY value),
         spans AS (
             SELECT r, rank, kind, s, e,
-                CASE WHEN owners >= {settings.copied_owners} THEN 'copied' WHEN live THEN 'live' ELSE 'unclear' END AS verdict
+                CASE WHEN owners >= {settings.copied_owners} OR (owners > 1 AND repositories >= {settings.shared_repositories}) THEN 'copied' WHEN live THEN 'live' ELSE 'unclear' END AS verdict
             FROM found JOIN judged USING (value)),
         listed AS (
             SELECT r, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS k, count(*) FILTER (kind = 'hex') AS h,
