@@ -10,6 +10,7 @@ pass from window to window, and from partition to partition, as running sums.
 
 from __future__ import annotations
 
+import math
 import os
 import re
 import zlib
@@ -199,19 +200,24 @@ def _pieces(window: int):
 
 def pack(
     df: DataFrame, settings: Settings, text: str = "text", key: str = "doc_id", source: str = "source",
-    shares: dict[str, float] | None = None,
+    shares: dict[str, float] | None = None, temperature: float = 1.0,
 ) -> DataFrame:
-    """One row per piece of a document: `key`, `source`, its place in the document and in a sequence.
-
-    `shares` are the target proportions of tokens by source; without them, and
-    for sources not named, the share of a source is its number of tokens, so
-    that all queues end together. A queue that has run dry leaves its share to
-    the others. No token is dropped or repeated.
-
-    Null and empty texts are the closing id alone. A null source is a queue like
-    any other, as are repeated rows and keys: each row is packed. An empty table
-    gives no pieces. Other columns of `df` are left aside, whatever their names.
+    """One row per piece of a document: `key`, its place in the document and in a sequence, and `source`.
+
+    `shares` are the target proportions of tokens by source, as parts of the whole.
+    Sources that are not named share what the named ones leave, by their numbers of
+    tokens to the power of `temperature`: with 1 all queues of a table without named
+    sources end together, below 1 small sources are sent earlier. Named shares that
+    make more than the whole are scaled down. A source whose share is 0 is sent when
+    all others have run dry, several of them one after the other, and a queue that has run dry leaves its share to the
+    others. No token is dropped or repeated.
+
+    Null and empty texts are the closing id alone; long texts are cut freely. A null
+    source is a queue like any other, which can not be named; repeated rows and
+    keys are packed each. An empty table gives no pieces. Other columns of `df` are
+    left aside, whatever their names.
     """
+    named = _checked(shares)
     rows = by_small_batches(df).select(
         F.col(key).alias("key"), F.col(source).cast("string").alias("queue"),
         F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"),
@@ -219,11 +225,14 @@ def pack(
     tokens = stored(tokenised(rows, "text", settings).select("row", "key", "queue", "_tokens.*"), "tokens")
     lengths = running_start(tokens.select("queue", "key", "row", "n"), ["queue", "key", "row"], "n", "at", "queues")
     totals = stored(lengths.groupBy("queue").agg(F.sum("n").alias("total"), F.min("at").alias("first")), "queue-totals")
-    share = F.col("total").cast("double")
-    if shares:
-        named = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
-        whole = totals.agg(F.sum("total")).first()[0] or 0
-        share = F.coalesce(F.try_element_at(named, F.col("queue")) * F.lit(whole), share)
+    of_source = F.create_map(*(F.lit(x) for pair in named.items() for x in pair)) if named else F.create_map().cast("map<string, double>")
+    weight = F.pow(F.col("total").cast("double"), F.lit(temperature))
+    # The sources that are there; one row of sums.
+    told = totals.withColumn("named", F.try_element_at(of_source, F.col("queue"))).withColumn("weight", weight)
+    given, others = told.agg(F.sum("named"), F.sum(F.when(F.col("named").isNull(), F.col("weight")))).first()
+    whole = max(1.0, given or 0.0) if others else given or 1.0
+    share = F.coalesce(F.col("named"), F.lit(max(0.0, 1.0 - (given or 0.0)) / (others or 1.0)) * F.col("weight")) / F.lit(whole)
+    totals = told
     totals = bounded_broadcast(totals.select(F.col("queue").alias("q"), "total", "first", share.alias("share")))
     size = settings.quantum
     placed = stored(
@@ -237,7 +246,9 @@ def pack(
     quanta = (
         placed.filter(first <= last).select("queue", "total", "share", F.explode(F.sequence(first, last)).alias("k"))
         .select(
-            "queue", "k", ((F.col("k") + F.lit(0.5)) / F.col("share")).alias("due"),
+            "queue", "k",
+            # Never due before what has a share.
+            F.when(F.col("share") > 0, (F.col("k") + F.lit(0.5)) / F.col("share")).otherwise(F.lit(math.inf)).alias("due"),
             F.least(F.lit(size), F.col("total") - F.col("k") * size).cast("long").alias("size"),
         )
     )
@@ -261,10 +272,19 @@ def pack(
     schema = ", ".join(f"`{name}` {kind}" for name, kind in {**kinds, **dict.fromkeys(PIECE, "long")}.items())
     packed = met.mapInArrow(_pieces(settings.window), schema)
     return packed.select(
-        F.col("key").alias(key), F.col("queue").alias(source), *PIECE, F.col("n").alias("doc_tokens")
+        F.col("key").alias(key), "start", "length", "ids_crc32", F.col("n").alias("doc_tokens"), "sequence_id", "offset",
+        F.col("queue").alias(source),
     )
 
 
+def _checked(shares: dict[str, float] | None) -> dict[str, float]:
+    """The shares, which must be numbers from 0 on."""
+    shares = {name: float(share) for name, share in (shares or {}).items()}
+    if any(not 0 <= share < math.inf for share in shares.values()):
+        raise ValueError(f"shares must be numbers from 0 on: {shares}")
+    return shares
+
+
 def production() -> Settings:
     import public_tokenizers
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from packhorse.functions.columns import unused
 from packhorse.llm.common import table
 from packhorse.session import scratch_path
 
@@ -79,20 +80,26 @@ def place(df: DataFrame, lookup: Lookup, key: str = "doc_id", slot: str = "slot"
     """`df` with the `slot` of `key` and the name of its `shard`.
 
     Equal keys are placed together, nulls among them; texts are not looked at.
-    Columns that are already named `slot` or `shard` are replaced; an empty
-    table gives an empty one. The lookup table, of at most `MOST_SLOTS` short
+    Columns that are already named `slot` or `shard` are replaced, all others
+    stay, whatever their names; an empty table gives an empty one. The lookup table, of at most `MOST_SLOTS` short
     rows, is broadcast, so no row is moved.
     """
     spark, slots = df.sparkSession, len(lookup.owners)
-    rows = [(number, lookup.shards[owner]) for number, owner in enumerate(lookup.owners)]
-    owners = spark.createDataFrame(rows, "_slot long, _shard string")
-    kept = [name for name in df.columns if name not in (slot, shard)]
-    told = df.withColumn("_slot", slot_of(F.col(key), slots)).join(F.broadcast(owners), "_slot")
-    return told.select(*kept, F.col("_slot").alias(slot), F.col("_shard").alias(shard))
+    number, of_number, name = (unused(one, df.columns) for one in ("number", "of_number", "name"))
+    rows = [(at, lookup.shards[owner]) for at, owner in enumerate(lookup.owners)]
+    owners = spark.createDataFrame(rows, f"`{of_number}` long, `{name}` string")
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in (slot, shard)]
+    told = df.withColumn(number, slot_of(F.col(f"`{key}`"), slots))
+    told = told.join(F.broadcast(owners), F.col(number) == F.col(of_number))
+    return told.select(*kept, F.col(number).alias(slot), F.col(name).alias(shard))
 
 
 def write_shards(df: DataFrame, lookup: Lookup, path: str, key: str = "doc_id") -> None:
-    """`df` as Parquet with a folder per shard; large shards are written by several tasks."""
+    """`df` as Parquet with a folder per shard; large shards are written by several tasks.
+
+    Null and repeated keys, long texts and other columns are as in `place`; a column
+    named `shard` or `slot` is left out. An empty table gives a table without rows.
+    """
     placed = place(df, lookup, key)
     placed.drop("slot").hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
 

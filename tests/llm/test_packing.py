@@ -82,6 +82,43 @@ def test_target_proportions(spark, tokenizer):
     assert by_window[38] == {"b": 1000}
 
 
+def proportions(spark, tokenizer, counts, windows, **settings):
+    """The share of each source in the first windows, for sources of so many texts of a hundred tokens."""
+    rows = [(i, "word " * 99, source) for i, source in enumerate(s for s, n in counts.items() for _ in range(n))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    pieces = packing.pack(df, packing.Settings(packing.production().tokenizer, window=1000, quantum=50), **settings).collect()
+    check_pieces(pieces, {i: text for i, text, _ in rows}, tokenizer, 1000)
+    sent = Counter()
+    for row in pieces:
+        sent[row.source] += row.length if row.sequence_id < windows else 0
+    return {source: n / 1000 / windows for source, n in sent.items()}
+
+
+def test_shares_of_named_and_other_sources(spark, tokenizer):
+    counts = {"a": 100, "b": 300, "c": 100}
+    # What a leaves is shared by the others as their sizes are.
+    got = proportions(spark, tokenizer, counts, 10, shares={"a": 0.5, "gone": 0.3})
+    assert got == pytest.approx({"a": 0.5, "b": 0.375, "c": 0.125}, abs=0.01)
+    got = proportions(spark, tokenizer, counts, 10, shares={"a": 3, "b": 1})
+    assert got == pytest.approx({"a": 0.75, "b": 0.25, "c": 0}, abs=0.01)
+    got = proportions(spark, tokenizer, counts, 40, shares={"c": 0})
+    assert got == pytest.approx({"a": 0.25, "b": 0.75, "c": 0}, abs=0.01)
+    got = proportions(spark, tokenizer, {"a": 10, "b": 10}, 1, shares={"a": 0, "b": 0})
+    assert got == {"a": 1, "b": 0}
+    got = proportions(spark, tokenizer, {"a": 40, "b": 160}, 10, temperature=0.5)
+    assert got == pytest.approx({"a": 1 / 3, "b": 2 / 3}, abs=0.01)
+    got = proportions(spark, tokenizer, {"a": 40, None: 160}, 6, shares={"a": 0.5})
+    assert got == pytest.approx({"a": 0.5, None: 0.5}, abs=0.01)
+    for bad in ({"a": -0.1}, {"a": float("nan")}, {"a": float("inf")}):
+        with pytest.raises(ValueError, match="shares must be"):
+            packing.pack(spark.createDataFrame([], "doc_id long, text string, source string"), packing.production(), shares=bad)
+
+
+def test_columns_of_the_contract_come_first(spark):
+    columns = packing.op1_packing(spark, "/root/testdata/sf0.001").columns
+    assert columns[:7] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
 def test_odd_texts_are_packed(odd_texts, tokenizer):
     df = odd_texts.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     texts = {row.doc_id: row.text for row in df.collect()}
@@ -138,8 +175,10 @@ def test_lookup_table():
 
 def test_placement(spark, odd_texts, tmp_path):
     lookup = sharding.fill(["x", "y", "z"], 31)
+    odd_texts = odd_texts.selectExpr("*", "1 AS _slot", "2 AS _shard", "3 AS number", "4 AS name")
     placed = sharding.place(odd_texts.withColumn("shard", F.lit("clash")), lookup)
     rows = placed.collect()
+    assert {(r._slot, r._shard, r.number, r.name) for r in rows} == {(1, 2, 3, 4)}
     assert len(rows) == odd_texts.count() and placed.columns == [*odd_texts.columns, "slot", "shard"]
     for row in rows:
         key = "" if row.doc_id is None else str(row.doc_id)
@@ -148,6 +187,8 @@ def test_placement(spark, odd_texts, tmp_path):
     assert sharding.place(odd_texts.limit(0), lookup).count() == 0
     sharding.write_shards(odd_texts, lookup, str(tmp_path / "shards"))
     assert spark.read.parquet(str(tmp_path / "shards")).count() == len(rows)
+    sharding.write_shards(odd_texts.limit(0), lookup, str(tmp_path / "none"))
+    assert spark.read.schema(odd_texts.schema).parquet(str(tmp_path / "none")).count() == 0
 
 
 def test_documents_are_written_by_shard(spark):
