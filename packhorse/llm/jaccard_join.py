@@ -20,9 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from packhorse.functions.columns import unused
+from packhorse.functions.digest import digest
 from packhorse.llm.classes import smallest_reachable
 from packhorse.llm.common import bounded_broadcast, by_small_batches, give_back, stored, table
 from packhorse.llm.shingles import bucket_counts, bucket_of, described, scan, set_id, shingle_set
+from packhorse.operators.ordered import top_k
 
 # The similarity is 4/5. Entries of a list that is expected to be longer are dealt to blocks of this length.
 LIST = 4096
@@ -290,25 +293,38 @@ def jaccard_classes(df: DataFrame, text: str = "text", key: str = "doc_id") -> D
 def first_of_each(df: DataFrame, text: str = "text", key: str = "doc_id", few: int = FEW) -> DataFrame:
     """`df` with one row of each class: the one with the smallest key.
 
-    Rows without words stay. Of rows that repeat key and text, which one stays is
-    open. What goes, or repeats, is broadcast while it is no more than `few` rows.
+    Rows without words, null texts among them, all stay. Of rows of a class that
+    repeat its smallest key, the one with the smallest hash of its text stays, and of
+    rows that repeat both, the one whose values have the smallest digest. Long
+    texts are hashed whole. Columns of any name are kept; an empty table gives an
+    empty one. What goes, or repeats, is broadcast while it is no more than `few` rows.
     """
     rows = stored(
         jaccard_rows(df, text, key).filter(F.col("class").isNotNull())
-        .groupBy("class", "key", "text_hash").agg(F.count(F.lit(1)).alias("times")),
+        .groupBy("class", "component_id", "key", "text_hash").agg(F.count(F.lit(1)).alias("times")),
         "members",
     )
-    kept = rows.groupBy("class").agg(F.min(F.struct("key", "text_hash", "times")).alias("one"))
-    member = F.struct("key", "text_hash")
-    gone = rows.join(kept, "class").filter(member != F.struct("one.key", "one.text_hash"))
-    gone = bounded_broadcast(stored(gone.select(F.col("key").alias("_k"), F.col("text_hash").alias("_h")), "gone"), few)
-    twice = kept.filter("one.times > 1").select(F.col("one.key").alias("_k"), F.col("one.text_hash").alias("_h"))
-    twice = bounded_broadcast(stored(twice, "twice"), few)
-    same = F.col("_key").eqNullSafe(F.col("_k")) & F.col("_hash").eqNullSafe(F.col("_h"))
-    named = df.withColumns({"_key": F.col(key), "_hash": F.xxhash64(F.col(text))})
-    left = named.join(gone, same, "left_anti")
-    once = left.join(twice, same, "left_semi").dropDuplicates(["_key", "_hash"])
-    return left.join(twice, same, "left_anti").unionByName(once).select(*df.columns)
+    # Most members are told by their key alone; only those that repeat the smallest meet by class.
+    least = F.col("key").eqNullSafe(F.col("component_id"))
+    kept = rows.filter(least).groupBy("class").agg(F.min(F.struct("text_hash", "times")).alias("one"))
+    names = [unused(name, df.columns) for name in ("key_of", "hash_of", "gone_key", "gone_hash", "place")]
+    of_key, of_hash, gone_key, gone_hash, place = names
+
+    def named_as(found: DataFrame, label: str) -> DataFrame:
+        found = found.select(F.col("key").alias(gone_key), F.col("text_hash").alias(gone_hash))
+        return bounded_broadcast(stored(found, label), few)
+
+    others = rows.filter(least).join(kept, "class").filter(F.col("text_hash") != F.col("one.text_hash"))
+    gone = named_as(rows.filter(~least).select("key", "text_hash").unionByName(others.select("key", "text_hash")), "gone")
+    again = rows.filter(least & (F.col("times") > 1)).join(kept, "class").filter(F.col("text_hash") == F.col("one.text_hash"))
+    twice = named_as(again, "twice")
+    same = F.col(of_key).eqNullSafe(F.col(gone_key)) & F.col(of_hash).eqNullSafe(F.col(gone_hash))
+    told = df.withColumns({of_key: F.col(f"`{key}`"), of_hash: F.xxhash64(F.col(f"`{text}`"))})
+    left = told.join(gone, same, "left_anti")
+    values = digest([(F.col(f"`{field.name}`"), field.dataType) for field in df.schema.fields])
+    once = top_k(left.join(twice, same, "left_semi"), [of_key, of_hash], list(values), 1, place).drop(place)
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    return left.join(twice, same, "left_anti").unionByName(once).select(*columns)
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

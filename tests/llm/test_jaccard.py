@@ -128,6 +128,17 @@ def test_first_of_each(spark, odd_texts):
     assert jaccard_join.first_of_each(odd_texts.limit(0)).count() == 0
 
 
+def test_one_of_rows_that_repeat_their_key(spark):
+    """Names that look like the operator's own, keys with several texts, and rows that differ in other columns only."""
+    text, near = " ".join(f"w{k}" for k in range(100)), " ".join(f"w{k}" for k in range(98))
+    rows = [(1, text, "x", 1), (1, text, "y", 2), (1, near, "z", 3), (2, text, "u", 4), (None, near, "v", 5), (3, "alone", "x", 6), (3, "alone", "x", 6)]
+    schema = "doc_id long, text string, _key string, _hash int"
+    kept = [sorted(map(tuple, jaccard_join.first_of_each(spark.createDataFrame(rows[::step], schema).repartition(n)).collect()))
+            for step, n in ((1, 1), (-1, 3))]
+    assert kept[0] == kept[1] and len(kept[0]) == 2
+    assert kept[0][1] == (3, "alone", "x", 6) and kept[0][0] in rows[:3]
+
+
 def test_shingle_sets():
     assert len(shingles.shingle_set(None)) == len(shingles.shingle_set(" \n")) == 0
     assert (shingles.shingle_set("A b C") == shingles.shingle_set("a\tB  c")).all()
