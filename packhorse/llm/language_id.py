@@ -6,7 +6,6 @@ Text in a language compresses best with a dictionary of that language.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +18,8 @@ from pyspark.sql import types as T
 from packhorse.llm.common import bounded_broadcast, by_small_batches, give_back, held_out, in_training, stored, table
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+# Parts that the texts of a language are ranked in first.
+SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -56,15 +56,21 @@ RESULT = T.StructType(
 def fit(df: DataFrame, settings: Settings, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
     """Dictionaries from texts with a language; which texts is decided by a hash of the id.
 
-    First the hashes alone are ranked, limited in each map task, so that a
-    language with most rows sends few small rows; then the chosen texts are read,
-    once for as many languages as may be sent to the driver together.
+    First the hashes alone are ranked, limited in each map task, in `SALTS` parts of
+    a language and then in all, so that no task ranks more than `SALTS * docs` rows
+    a language however many tasks read the table; then the chosen texts are read,
+    once for as many languages as may be sent to the driver together. Rows without a
+    language or a text are left out, repeated rows count once, a null key is a key
+    like any other; other columns are left aside, whatever their names, and an
+    empty table gives no dictionary.
     """
     known = df.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).select(
         F.col(lang).alias("lang"), F.xxhash64(F.col(key), F.lit(17)).alias("h"), F.col(text).alias("text")
     )
-    order = Window.partitionBy("lang").orderBy("h")
-    ranked = known.select("lang", "h").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= settings.docs)
+    ranked = known.select("lang", "h").withColumn("salt", F.pmod(F.col("h"), F.lit(SALTS)))
+    for parts in (["lang", "salt"], ["lang"]):
+        order = Window.partitionBy(*parts).orderBy("h")
+        ranked = ranked.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= settings.docs)
     few = stored(ranked.groupBy("lang").agg(F.max("h").alias("most"), F.count(F.lit(1)).alias("n")), "languages")
     # The middle of a text, not its opening, which templates share.
     size = settings.slice_chars
@@ -72,7 +78,7 @@ def fit(df: DataFrame, settings: Settings, text: str = "text", lang: str = "lang
     chosen = known.join(bounded_broadcast(few), "lang").filter("h <= most").groupBy("lang", "h").agg(
         F.min(F.substring(F.col("text"), middle, F.lit(size))).alias("part")
     )
-    parts: dict[str, list[str]] = {}
+    learned: dict[str, list[str]] = {}
     together: list[list[str]] = []
     held = most = settings.languages * settings.docs
     for row in few.orderBy("lang").collect():
@@ -83,8 +89,8 @@ def fit(df: DataFrame, settings: Settings, text: str = "text", lang: str = "lang
         held += row["n"]
     for names in together:
         for row in chosen.filter(F.col("lang").between(names[0], names[-1])).orderBy("lang", "h").collect():
-            parts.setdefault(row["lang"], []).append(row["part"].lower())
-    return {name: " ".join(reversed(values)).encode() for name, values in parts.items()}
+            learned.setdefault(row["lang"], []).append(row["part"].lower())
+    return {name: " ".join(reversed(values)).encode() for name, values in learned.items()}
 
 
 def _winner(sizes: list[int]) -> tuple[int, float]:
@@ -139,7 +145,7 @@ class Encoders:
 
     def judge(self, texts: list[str | None]) -> list[tuple[str, float, float, bool]]:
         out = [(UNKNOWN, 0.0, 0.0, False)] * len(texts)
-        known = [at for at, text in enumerate(texts) if text and self.names and _LETTER.search(text)]
+        known = [at for at, text in enumerate(texts) if text and self.names and any(map(str.isalpha, text))]
         if len(self.names) == 1:
             for at in known:
                 out[at] = self.names[0], 1.0, 1.0, True
@@ -164,8 +170,8 @@ def language_id(
 
     Whole texts are compressed. A null or empty text, or one without a letter,
     is `und` and not accepted; so is every text when nothing was learned. Equal
-    sizes go to the language that sorts first, with margin 0. A column that is
-    already named `out` is replaced; an empty table gives an empty one.
+    sizes go to the language that sorts first, with margin 0. Numbers are no letters,
+    in any script. A column that is already named `out` is replaced; an empty table gives an empty one.
     """
 
     @F.pandas_udf(RESULT)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -53,6 +54,65 @@ def test_quality_rules_by_brute_force(spark, documents):
     assert all(row.kept for row in clean)
 
 
+def ratio(part):
+    return len(zstandard.ZstdCompressor(level=3).compress(part)) / len(part)
+
+
+def test_verdicts_by_brute_force(spark, documents):
+    """Kept if and only if the base rules, the whole text and enough chunks say so."""
+    texts = {row.doc_id: row.text for row in documents[1]}
+    wide, wider, tail = quality_rules.WIDE, quality_rules.WIDER, quality_rules.LEAST_TAIL
+    for row in QUERIES["op7_quality_rules"](spark, FOLDER).collect():
+        data = texts[row.doc_id].encode()
+        more = wider if len(data) >= wide * len(texts[row.doc_id]) else 0
+        parts = [data[at : at + 4096] for at in range(0, len(data), 4096)]
+        good = []
+        for part in parts if len(data) >= 4096 else []:
+            if len(part) == 4096:
+                good.append(0.20 <= ratio(part) <= 0.72 + more)
+            elif len(part) >= tail:
+                _, low, high = [one for one in quality_rules.WHOLE_BANDS if one[0] <= len(part)][-1]
+                good.append(low <= ratio(part) <= high + more)
+        _, low, high = [one for one in quality_rules.WHOLE_BANDS if one[0] <= len(data)][-1]
+        inside = not data or low <= ratio(data) <= high + more
+        assert (row.n_chunks, row.n_bad_chunks) == (len(good), good.count(False))
+        assert row.kept is (not row.base_failed and inside and 4 * good.count(False) <= len(good))
+
+
+def test_scripts_and_mixtures(spark):
+    """Clean prose of scripts with few and with thousands of signs stays; base64 in a third of a text does not."""
+    draw = np.random.default_rng(5)
+
+    def prose(signs, sizes, words, n):
+        # Zipf-like words of a script, as in prose, parted by spaces.
+        known = ["".join(draw.choice(list(signs), draw.choice(sizes))) for _ in range(words)]
+        weights = 1 / np.arange(2, words + 2)
+        return " ".join(draw.choice(known, n, p=weights / weights.sum()))
+
+    signs = {
+        "Cyrillic": map(chr, range(0x430, 0x450)), "Arabic": map(chr, range(0x627, 0x64B)), "Greek": map(chr, range(0x3B1, 0x3CA)),
+        "Devanagari": map(chr, range(0x905, 0x93A)),
+    }
+    rows = [(f"{name} {n}", prose(list(one), [1, 3, 5, 7], 4000, n)) for name, one in ((k, list(v)) for k, v in signs.items()) for n in (60, 300, 3000)]
+    han = [chr(c) for c in draw.permutation(np.arange(0x4E00, 0x9FA0))[:3500]]
+    weights = 1 / np.arange(20, 3520)
+    weights /= weights.sum()
+    for n in (400, 1500, 9000):
+        text = "".join(draw.choice(han, n, p=weights))
+        rows.append((f"Han {n}", " ".join(text[i : i + 12] for i in range(0, n, 12))))
+    got = {r.k: r.quality for r in quality_rules.quality_rules(spark.createDataFrame(rows, "k string, text string")).collect()}
+    assert [k for k, q in got.items() if not q.kept] == []
+    latin = prose("abcdefghijklmnopqrstuvwxyz", [2, 4, 6, 8], 4000, 3000)
+    mixed = []
+    for size in (12_000, 24_576, 50_000):
+        for share in (0.35, 0.6):
+            data = base64.b64encode(draw.bytes(int(size * share * 0.75))).decode()
+            data = " ".join(data[i : i + 60] for i in range(0, len(data), 60))
+            mixed.append((f"{size} {share}", (latin * 5)[: int(size * (1 - share))] + " " + data))
+    told = {r.k: r.quality.kept for r in quality_rules.quality_rules(spark.createDataFrame(mixed, "k string, text string")).collect()}
+    assert not any(told.values())
+
+
 def test_compression_bands(spark):
     prose = " ".join(WORD.findall(open(quality_rules.__file__).read()))[:3000]
     noise = "".join(chr(33 + b % 90) for b in np.random.default_rng(1).integers(0, 90, 6000))
@@ -120,6 +180,38 @@ def test_language_held_out(spark, documents):
     assert sum(row.lang_pred == langs[row.doc_id] for row in held) >= 0.95 * len(held)
 
 
+def test_sizes_and_choice_by_brute_force(spark, documents):
+    """Every size anew, one compressor a text and language, and the choice among them."""
+    settings = language_id.Settings()
+    dictionaries = language_id.fit_documents(documents[0], settings)
+    got = {row.doc_id: row for row in QUERIES["op10_language_id"](spark, FOLDER).collect()}
+
+    def size(text, name, level):
+        content = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        content.precompute_compress(level=level)
+        one = zstandard.ZstdCompressor(level=level, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False)
+        data = text.lower().encode()
+        return sum(len(one.compress(data[at : at + 2048])) for at in range(0, len(data), 2048))
+
+    names = sorted(dictionaries)
+    for row in documents[1][:120]:
+        sizes = {name: size(row.text, name, 6) for name in names}
+        first, second = sorted(sizes.values())[:2]
+        if 1 - first / second < settings.min_margin:
+            sizes = {name: sizes[name] + sum(size(row.text, name, level) for level in (1, 3, 4, 5)) for name in names}
+        first, second = sorted(sizes.values())[:2]
+        told = got[row.doc_id]
+        assert told.lang_pred == min(names, key=lambda name: (sizes[name], name))
+        assert told.margin == pytest.approx(1 - first / second) and told.accepted is (told.margin >= settings.min_margin)
+
+
+def test_numbers_are_no_letters(spark):
+    rows = [(0, "½ ²"), (1, "Ⅷ"), (2, "12 ٣ ४"), (3, "_ - ."), (4, "́"), (5, "x"), (6, "ª"), (7, "中"), (8, "１２")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    told = language_id.language_id(df, {"a": b"abc", "b": b"xyz"}, language_id.Settings()).collect()
+    assert {row.doc_id for row in told if row.language.lang_pred != "und"} == {5, 6, 7}
+
+
 def test_every_language_is_learned(spark):
     """More languages than are sent to the driver, or held by a task, at a time; the last in the alphabet count too."""
     def word(i, k):
