@@ -6,9 +6,10 @@ for the last returns the columns of `documents`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from packhorse.functions.columns import unused
 from packhorse.llm import language_id
 from packhorse.llm.common import stored, table
 from packhorse.llm.jaccard_join import first_of_each
@@ -18,18 +19,28 @@ from packhorse.llm.quality_rules import quality_rules
 from packhorse.llm.secrets import find_secrets, redact
 
 
+# Target shares of sources are their numbers of tokens to this power.
+MIXTURE = 0.7
+
+
+def _all(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{name}`") for name in docs.columns]
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the compression bands."""
-    judged = quality_rules(docs, out="_verdict")
-    return judged.filter(F.col("_verdict.kept")).select(*docs.columns)
+    verdict = unused("verdict", docs.columns)
+    judged = quality_rules(docs, out=verdict)
+    return judged.filter(F.col(verdict).kept).select(*_all(docs))
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told by a clear margin."""
     settings = language_id.Settings()
     dictionaries = language_id.fit_documents(docs, settings)
-    judged = language_id.language_id(docs, dictionaries, settings, out="_language")
-    return judged.filter(F.col("_language.accepted")).select(*docs.columns)
+    told = unused("language", docs.columns)
+    judged = language_id.language_id(docs, dictionaries, settings, out=told)
+    return judged.filter(F.col(told).accepted).select(*_all(docs))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,14 +49,15 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every reported secret in their texts replaced by a mark."""
-    clean = redact(find_secrets(docs, out="_secrets"), spans="_secrets").drop("_secrets")
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """All documents, with every secret in their texts replaced by a mark, also one that many have."""
+    spans = unused("secrets", docs.columns)
+    clean = redact(find_secrets(docs, out=spans, copied_too=True), spans=spans)
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*_all(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of sequences that hold the documents, in the proportions of their sources."""
-    return pack(docs, packing_settings())
+    """The pieces of sequences that hold the documents, smaller sources being sent sooner than their sizes say."""
+    return pack(docs, packing_settings(), temperature=MIXTURE)
 
 
 STAGES = [
