@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 
 import corpus_pipeline
 import pytest
 from test_jaccard import classes_of
 from test_packing import check_pieces, tokenizer  # noqa: F401
-from test_secrets import base_spans
+from test_secrets import KEY, LOCKED, WORDY, base_spans
 from test_text_models import base_counts
 
 from packhorse.llm.common import stored
@@ -60,6 +61,30 @@ def test_secrets_are_gone_and_nothing_else(stages):
     assert changed > 0
 
 
+def test_secrets_of_many_owners_are_gone(spark):
+    """A token in three sources, an encrypted key and a key that holds a word by chance; what is clean stays."""
+    rows = [(i, f"start {KEY} middle {LOCKED} and {WORDY} end", "en", f"s{i}", 0) for i in range(3)] + [(3, "nothing here", "en", "s", 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    after = {row.doc_id: row for row in corpus_pipeline.without_secrets(spark, docs, FOLDER).collect()}
+    for i in range(3):
+        assert after[i].text == "start [SECRET] middle [SECRET] and [SECRET] end" and after[i].n_chars == len(after[i].text)
+    assert tuple(after[3]) == rows[3]
+
+
+def test_small_sources_are_sent_sooner(stages):
+    """Of every source the pipeline's target share, within a quantum, until the first queue runs dry."""
+    total, by_window = Counter(), defaultdict(Counter)
+    for row in stages[5].collect():
+        total[row.source] += row.length
+        by_window[row.sequence_id][row.source] += row.length
+    weight = {s: n**corpus_pipeline.MIXTURE for s, n in total.items()}
+    share = {s: w / sum(weight.values()) for s, w in weight.items()}
+    sent, least = Counter(), min(total[s] / share[s] for s in total)
+    for n in range(int(least // 4096)):
+        sent.update(by_window[n])
+        assert all(abs(sent[s] - (n + 1) * 4096 * share[s]) <= 256 for s in total)
+
+
 def test_packed_at_the_end(stages, tokenizer):  # noqa: F811
     texts = {row.doc_id: row.text for row in stages[4].collect()}
     rows = stages[5].collect()
@@ -75,7 +100,7 @@ def test_run_gives_the_last_stage(spark, stages):
 def test_odd_documents(spark, odd_texts):
     """Nulls, repeated rows, clashing names and an empty table go through all stages."""
     for df in (odd_texts, odd_texts.limit(0)):
-        docs = df.withColumnRenamed("kept", "n_chars")
+        docs = df.withColumnRenamed("kept", "n_chars").selectExpr("*", "1 AS _verdict", "2 AS language", "3 AS _secrets", "4 AS key")
         for _, stage in corpus_pipeline.STAGES[:-1]:
             docs = stored(stage(spark, docs, FOLDER), "odd")
         packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -127,6 +128,42 @@ def test_compression_bands(spark):
     assert (got["mixed"].n_chunks, got["mixed"].n_bad_chunks) == (4, 1)
 
 
+def statistics_by_hand(text):
+    """The features one by one, from loops over words, lines and bytes."""
+    data = (text or "").encode()
+    words = re.findall(rb"[^ \t\n\x0b\x0c\r]+", data)
+    size, n, lines = max(1, len(data)), max(1, len(words)), data.split(b"\n")
+    times = Counter(words)
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    covered = {i + k for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for k in range(5)}
+    full = [line for line in lines if re.search(rb"[^ \t\n\x0b\x0c\r]", line)]
+
+    def share(chars):
+        return sum(data.count(c.encode()) for c in chars) / size
+
+    classes = [
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", " \t\n\x0b\x0c\r", "!?", "|<>{}[]\\", "#*$%&@~^_",
+        "+=/\"'()-`", ".,;:",
+    ]
+    return [
+        math.log(1 + len(data)), math.log(1 + len(words)), sum(map(len, words)) / n, sum(len(w) > 15 for w in words) / n,
+        len(times) / n, max(times.values(), default=0) / n, sum(a == b for a, b in zip(words, words[1:], strict=False)) / n,
+        len(covered) / n, math.log(1 + len(lines)), len(words) / len(lines), (len(full) - len(set(full))) / len(lines),
+        *map(share, classes), sum(b > 127 for b in data) / size,
+        -sum(k / size * math.log2(k / size) for k in Counter(data).values()), ratio(data) if data else 1.0,
+        sum(w[:1].isupper() for w in words) / n,
+    ]
+
+
+def test_statistics_by_brute_force(documents, odd_texts):
+    squeeze = zstandard.ZstdCompressor(level=3)
+    texts = [row.text for row in documents[1][:200]] + [row.text for row in odd_texts.collect()]
+    for text in texts:
+        got = quality_model.statistics(text, squeeze)
+        assert len(got) == len(quality_model.FEATURES)
+        assert got == pytest.approx(statistics_by_hand(text), rel=1e-9, abs=1e-12)
+
+
 def test_quality_model_held_out(spark):
     rows = QUERIES["op6_quality_model"](spark, FOLDER).collect()
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
