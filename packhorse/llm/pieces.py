@@ -8,19 +8,33 @@ segment, and a higher-order aggregate folds them into the segment's pieces.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import regex
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from packhorse.llm.common import by_small_batches, stored, table
+from packhorse.functions.columns import unused
+from packhorse.functions.digest import is_plain
+from packhorse.llm.common import by_small_batches, give_back, stored, table
 
 SPACE = "▁"
 # Keys of edges: start * SPAN + length.
 SPAN = 64
-SEGMENTS = 20_000
+# Characters of a segment from which on its merges are not folded.
+LONGEST = 60
+# Characters of texts that one task puts together, and whose segments one task encodes.
+BUCKET_CHARS = 20_000_000
+PART_CHARS = 4_000_000
+# Characters of the sample that frequent segments are taken from.
+SAMPLE_CHARS = 20_000_000
 
 
 @dataclass(frozen=True)
@@ -48,6 +62,12 @@ class Pieces:
             raise ValueError("needs a model with byte fallback and pieces of less than 64 characters")
         return cls(rows, tuple(of_byte[f"<0x{b:02X}>"] for b in range(256)), longest, _segment(rows))
 
+    def scores(self) -> dict[str, float]:
+        return {text: score for text, _, score in self.rows}
+
+    def names(self) -> dict[str, int]:
+        return {text: i for text, i, _ in self.rows}
+
 
 def _segment(rows: tuple[tuple[str, int, float], ...]) -> str:
     """A pattern that cuts text only where no piece can lie across.
@@ -69,20 +89,20 @@ def segments_of(text: Column, pieces: Pieces) -> Column:
     return F.when(F.length(text) > 0, found).otherwise(F.array().cast("array<string>"))
 
 
-def lattice(segments: DataFrame, pieces: Pieces) -> DataFrame:
+def lattice(segments: DataFrame, pieces: Pieces, longest: int = SPAN - 1) -> DataFrame:
     """Per `segment` its edges: a map from start and length of a substring that is a piece to score and id.
 
-    A segment becomes some forty rows, so a task takes few enough segments
-    (`SEGMENTS`) to group them in memory.
+    Segments of more than `longest` characters have none. Others become some forty rows. Where segments are dealt by their text
+    before, their edges need no shuffle; deal them to enough tasks.
     """
     spark = segments.sparkSession
     # As many rows as the vocabulary has, hence the hint.
     known = F.broadcast(spark.createDataFrame(list(pieces.rows), "piece string, id int, score double"))
     size = F.length("segment")
-    # Dealt by segment before anything is exploded, so that its edges need no shuffle.
-    parts = -(-segments.count() // SEGMENTS) or 1
-    starts = segments.repartition(parts, "segment").withColumn("start", F.explode(F.sequence(F.lit(0), size - 1)))
-    spans = starts.withColumn("length", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), size - F.col("start")))))
+    whole = F.when(size <= longest, F.sequence(F.lit(0), size - 1)).otherwise(F.array(size))
+    starts = segments.withColumn("start", F.explode(whole))
+    lengths = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(pieces.longest), size - F.col("start"))))
+    spans = starts.withColumn("length", F.explode(lengths))
     found = spans.withColumn("piece", F.col("segment").substr(F.col("start") + 1, F.col("length")))
     edge = F.struct((F.col("start") * SPAN + F.col("length")).alias("key"), F.struct("score", "id").alias("value"))
     edges = found.join(known, "piece", "left").select("segment", F.when(F.col("id").isNotNull(), edge).alias("edge"))
@@ -197,23 +217,27 @@ def merge_long(segment: str, scores: dict[str, float]) -> list[str]:
     return [part for part in parts if part is not None]
 
 
-def encode_segments(segments: DataFrame, pieces: Pieces, longest: int = 60) -> DataFrame:
-    """Per distinct `segment` its piece `ids`.
+def long_ids(segment: str, pieces: Pieces, scores: dict[str, float], names: dict[str, int]) -> list[int]:
+    parts = merge_long(segment, scores)
+    return [i for part in parts for i in ([names[part]] if part in names else [pieces.bytes[b] for b in part.encode()])]
+
+
+def short_ids(segments: DataFrame, pieces: Pieces, longest: int = LONGEST) -> DataFrame:
+    """Per distinct `segment` its piece `ids`, null for those of more than `longest` characters.
 
     One pass over a segment's edges in the order of their scores does for nearly
-    all; the few that it marks are merged pair by pair. Segments of more than
-    `longest` characters, which are rare, take the same merges from a heap, as
-    their folds would take the square of their length.
+    all; the few that it marks are merged pair by pair.
     """
-    short = segments.filter(F.length("segment") <= longest).select("segment")
     size = F.length("segment")
-    quick = lattice(short, pieces).withColumn("pass", merged_in_order(F.col("edges"), size))
+    quick = lattice(segments.select("segment"), pieces, longest).withColumn(
+        "pass", merged_in_order(F.col("edges"), F.least(size, F.lit(longest)))
+    )
     borders = F.filter(
         F.sequence(F.lit(0), size),
         lambda at: F.call_function("shiftright", F.col("pass.cuts"), at).bitwiseAND(F.lit(1)) != 0,
     )
     cuts = F.when(F.col("pass.odd"), merged(F.col("edges"), size)).otherwise(borders)
-    folded = quick.withColumn("cuts", cuts)
+    folded = quick.withColumn("cuts", F.when(size <= longest, cuts))
     of_byte = F.array(*(F.lit(i) for i in pieces.bytes))
 
     def ids(i: Column) -> Column:
@@ -226,77 +250,155 @@ def encode_segments(segments: DataFrame, pieces: Pieces, longest: int = 60) -> D
         one = _edge(F.col("edges"), start, stop)["id"]
         return F.when(one.isNotNull(), F.array(one)).otherwise(raw)
 
-    few = folded.select("segment", F.flatten(F.transform(F.sequence(F.lit(1), F.size("cuts") - 1), ids)).alias("ids"))
-    scores = {text: score for text, _, score in pieces.rows}
-    names = {text: i for text, i, _ in pieces.rows}
+    of_cuts = F.flatten(F.transform(F.sequence(F.lit(1), F.size("cuts") - 1), ids))
+    return folded.select("segment", F.when(size <= longest, of_cuts).alias("ids"))
+
+
+def encode_segments(segments: DataFrame, pieces: Pieces, longest: int = LONGEST) -> DataFrame:
+    """Per distinct `segment` its piece `ids`.
+
+    Segments of more than `longest` characters, which are rare, take the same
+    merges from a heap, as their folds would take the square of their length.
+    """
+    scores, names = pieces.scores(), pieces.names()
 
     @F.pandas_udf("array<int>")
     def of_long(texts: pd.Series) -> pd.Series:
-        def ids(text: str) -> list[int]:
-            return [i for part in merge_long(text, scores) for i in ([names[part]] if part in names else [pieces.bytes[b] for b in part.encode()])]
+        return pd.Series([text and long_ids(text, pieces, scores, names) for text in texts], dtype=object)
+
+    long = of_long(F.when(F.length("segment") > longest, F.col("segment")))
+    return short_ids(segments, pieces, longest).withColumn("ids", F.coalesce("ids", long))
+
+
+class Cutter:
+    """Cuts texts into units, which end before a space, and units into the segments of `segments_of`."""
+
+    def __init__(self, pieces: Pieces):
+        self.units = re.compile(rb" *[^ ]+| +").findall
+        self.segments = regex.compile(pieces.segment).findall
+        self.mark = SPACE.encode()
 
-        return pd.Series([ids(text) for text in texts])
+    def units_of(self, text: bytes) -> list[bytes]:
+        return self.units(b" " + text.replace(self.mark, b" ")) if text else []
 
-    long = segments.filter(F.length("segment") > longest).select("segment", of_long("segment").alias("ids"))
-    return few.unionByName(long)
+    def segments_of(self, unit: bytes) -> list[str]:
+        return self.segments(unit.decode().replace(" ", SPACE))
 
+    def rare(self, units: set[bytes], often: dict[str, bytes]) -> list[str]:
+        """The distinct segments of some units that are not in `often`, in order."""
+        return sorted({segment for unit in units for segment in self.segments_of(unit)} - often.keys())
 
-def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids", frequent: int = 100_000) -> DataFrame:
-    """`df` with `out`, the piece ids of each whole text.
 
-    The most frequent segments, at most `frequent`, are broadcast; the others are
-    joined by a shuffle and handed back to the texts that hold them. Null and
-    empty texts have no ids; copies of a text are looked up once; a column that is
-    already named `out` is replaced, names that begin with `_piece` are reserved,
-    and an empty table gives an empty one.
+def _squeezed(small: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The last column, of texts, compressed."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = pa.array([text and squeeze(text) for text in batch.columns[-1].to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=[*batch.schema.names[:-1], small])
+        give_back()
+
+    return work
+
+
+def _frequent(df: DataFrame, whole: Column, pieces: Pieces, chars: int, most: int) -> dict[str, bytes]:
+    """The ids of the segments that most texts of a bounded sample hold; which they are changes no result."""
+    if not most or not chars:
+        return {}
+    share = min(1.0, SAMPLE_CHARS / chars)
+    chosen = df.filter(F.pmod(F.xxhash64(whole, F.lit(7)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    held = chosen.select(F.explode(F.array_distinct(segments_of(whole, pieces))).alias("segment"))
+    counted = held.groupBy("segment").agg(F.count(F.lit(1)).alias("texts"))
+    first = stored(counted.orderBy(F.desc("texts"), "segment").limit(most).select("segment"), "frequent")
+    return {row["segment"]: _as_bytes(row["ids"]) for row in encode_segments(first, pieces).collect()}
+
+
+def _as_bytes(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
+
+
+def encode(
+    df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids", frequent: int = 100_000, keep_text: bool = True
+) -> DataFrame:
+    """`df` with `out`, the piece ids of each whole text; without the text if it need not be kept.
+
+    Texts are dealt, compressed, to buckets of about `BUCKET_CHARS` characters. What
+    segments a bucket holds is listed there, every segment of the corpus is encoded
+    once, and its ids go back to the buckets that listed it, where texts are put
+    together. At most `frequent` segments, which a sample shows to be frequent, are
+    broadcast and not listed. Null and empty texts have no ids; copies of a text
+    are spread over buckets by their other columns and their place; a column that is
+    already named `out` is replaced, all others stay, whatever their names, and an
+    empty table gives an empty one.
     """
     spark = by_small_batches(df).sparkSession
-    whole = F.coalesce(F.col(text), F.lit(""))
-    keys = [F.xxhash64(whole, F.lit(seed)).alias(name) for seed, name in ((3, "_piece_h"), (5, "_piece_g"))]
-    held = df.select(F.explode(F.array_distinct(segments_of(whole, pieces))).alias("segment"))
-    counted = stored(held.groupBy("segment").agg(F.count(F.lit(1)).alias("texts")), "segments")
-    encoded = stored(encode_segments(counted.select("segment"), pieces).join(counted, "segment"), "encoded")
-
-    # The least count that leaves no more than `frequent` segments, from a table of few counts.
-    steps = encoded.groupBy(F.floor(F.log2(F.col("texts").cast("double")) * 8).alias("step")).count().collect()
-    room, least = frequent, None
-    for row in sorted(steps, key=lambda row: -row["step"]):
-        room -= row["count"]
-        if room < 0:
-            break
-        least = row["step"]
-    often = F.floor(F.log2(F.col("texts").cast("double")) * 8) >= (least if least is not None else 1 << 30)
-    known = {row["segment"]: row["ids"] for row in encoded.filter(often).select("segment", "ids").collect()}
-    shared = spark.sparkContext.broadcast(known)
-
-    rare = encoded.filter(~often).select("segment", "ids")
-    # The bound above holds for these too.
-    common = F.broadcast(encoded.filter(often).select("segment"))
-    wanted = df.select(*keys, F.explode(F.array_distinct(segments_of(whole, pieces))).alias("segment")).join(
-        common, "segment", "left_anti"
-    )
-    # What copies of a text ask for is merged in the map tasks.
-    back = wanted.join(rare, "segment").groupBy("_piece_h", "_piece_g").agg(
-        F.collect_set(F.struct("segment", "ids")).alias("_piece_found")
-    ).select(
-        "_piece_h", "_piece_g", F.col("_piece_found.segment").alias("_piece_names"), F.col("_piece_found.ids").alias("_piece_ids")
-    )
-
-    @F.pandas_udf("array<int>")
-    def look_up(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        often = shared.value
-        for segments, names, ids in batches:
-            out = []
-            for parts, some, of in zip(segments, names, ids, strict=True):
-                own = {} if some is None else dict(zip(some, of, strict=True))
-                out.append([i for part in parts for i in (often[part] if part in often else own[part])])
-            yield pd.Series(out)
-
-    hashed = df.withColumns({"_piece_h": keys[0], "_piece_g": keys[1]})
-    joined = hashed.join(back, ["_piece_h", "_piece_g"], "left").withColumn(
-        out, look_up(segments_of(whole, pieces), F.col("_piece_names"), F.col("_piece_ids"))
-    )
-    return joined.select(*df.columns, *([] if out in df.columns else [out]))
+    bucket, small = (unused(name, [*df.columns, out]) for name in ("bucket", "small"))
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    chars = df.agg(F.sum(F.length(whole))).first()[0] or 0
+    often = spark.sparkContext.broadcast(_frequent(df, whole, pieces, chars, frequent))
+
+    buckets, parts = 1 + chars // BUCKET_CHARS, 1 + chars // PART_CHARS
+    kept = [field for field in df.schema.fields if field.name not in (out, text)]
+    plain = [F.col(f"`{field.name}`") for field in kept if is_plain(field.dataType)]
+    # The place keeps equal rows of different parts of the table apart.
+    place = F.pmod(F.xxhash64(*plain, whole, F.spark_partition_id()), F.lit(buckets)).alias(bucket)
+    columns = [F.col(f"`{field.name}`") for field in kept]
+    rows = df.select(*columns, place, F.col(f"`{text}`").cast("binary").alias(small))
+    ddl = T.StructType([*kept, T.StructField(bucket, T.LongType()), T.StructField(small, T.BinaryType())])
+    dealt = rows.mapInArrow(_squeezed(small), ddl).repartition(int(buckets), bucket)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter, expand = Cutter(pieces), zstandard.ZstdDecompressor().decompress
+        scores, ids_of = pieces.scores(), pieces.names()
+        found: dict[int, set[bytes]] = {}
+        for batch in batches:
+            *_, of, texts = batch.columns
+            for number, body in zip(of.to_pylist(), texts.to_pylist(), strict=True):
+                found.setdefault(number, set()).update(cutter.units_of(expand(body) if body else b""))
+        for number, units in found.items():
+            names = cutter.rare(units, often.value)
+            columns = [pa.array(np.full(len(names), number)), pa.array(np.arange(len(names))), pa.array(names, pa.string())]
+            long = [long_ids(name, pieces, scores, ids_of) if len(name) > LONGEST else None for name in names]
+            columns.append(pa.array(long, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "place", "segment", "long"])
+        found.clear()
+        give_back()
+
+    # One exchange, by segment, for the distinct segments and for the way back: Spark
+    # reads it twice as long as both want all columns.
+    asked = dealt.mapInArrow(listed, "bucket long, place long, segment string, long array<int>").repartition(int(parts), "segment")
+    once = asked.groupBy("segment").agg(F.max("bucket").alias("last"), F.max("place").alias("late"), F.count("long").alias("longs"))
+    encoded = short_ids(once.filter("last >= 0 AND late >= 0 AND longs >= 0"), pieces)
+    back = asked.join(encoded, "segment").select("bucket", "place", F.coalesce("ids", "long").alias("ids"))
+
+    back_again = keep_text and text != out
+    again = [T.StructField(text, T.StringType())] if back_again else []
+    made = T.StructType([*kept, *again, T.StructField(out, T.ArrayType(T.IntegerType()))])
+
+    def put_together(texts: pa.Table, found: pa.Table) -> pa.Table:
+        cutter, expand = Cutter(pieces), zstandard.ZstdDecompressor().decompress
+        bodies = [body and expand(body) for body in texts.column(small).to_pylist()]
+        units: set[bytes] = set()
+        for body in bodies:
+            units.update(cutter.units_of(body or b""))
+        names = cutter.rare(units, often.value)
+        if len(names) != found.num_rows:
+            raise RuntimeError(f"{len(names)} segments of a bucket, {found.num_rows} encoded")
+        known = {names[place]: _as_bytes(ids) for place, ids in zip(found.column("place").to_pylist(), found.column("ids").to_pylist(), strict=True)}
+        known |= often.value
+        of_unit = {unit: b"".join([known[segment] for segment in cutter.segments_of(unit)]) for unit in units}
+        ids = [b"".join([of_unit[unit] for unit in cutter.units_of(body or b"")]) for body in bodies]
+        ends = np.cumsum([0, *(len(one) // 4 for one in ids)])
+        values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        again = [pa.array(bodies, pa.binary()).cast(pa.string())] if back_again else []
+        return pa.table([*(texts.column(field.name) for field in kept), *again, lists], names=made.names)
+
+    met = dealt.groupBy(bucket).cogroup(back.groupBy("bucket")).applyInArrow(put_together, made)
+    names = [name for name in df.columns if keep_text or name != text or name == out]
+    names += [] if out in names else [out]
+    return met.select(*[F.col(f"`{name}`") for name in names])
 
 
 def decode(df: DataFrame, pieces: Pieces, ids: str = "ids", out: str = "text") -> DataFrame:
@@ -328,7 +430,7 @@ def production() -> Pieces:
 
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), production())
+    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), production(), keep_text=False)
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids")
 
 

@@ -52,6 +52,33 @@ def test_odd_texts(spark, odd_texts, model, library):
     assert pieces.decode(encoded.limit(0), model, "row").count() == 0
 
 
+def test_buckets_do_not_show(spark, model, library, monkeypatch):
+    """Small buckets and parts, one row in a third of the table, columns with names of the operator's own, the text left out."""
+    monkeypatch.setattr(pieces, "BUCKET_CHARS", 300)
+    monkeypatch.setattr(pieces, "PART_CHARS", 200)
+    monkeypatch.setattr(pieces, "LONGEST", 12)
+    rows = [(k, f"text number {k} has a word{k} of its own, unforgettableandlong{k}", 1, 2) for k in range(60)]
+    rows += [(99, "the same row again and again", 1, 2)] * 30 + [(100, None, 1, 2), (101, "", 1, 2), (None, "x", 1, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, bucket int, small int").repartition(6)
+    for frequent in (0, 20):
+        got = pieces.encode(df, model, frequent=frequent)
+        assert got.columns == [*df.columns, "ids"]
+        told = sorted(((r.doc_id, r.text, r.bucket, r.small, list(r.ids)) for r in got.collect()), key=str)
+        assert told == sorted(((*row, library.encode(row[1] or "")) for row in rows), key=str)
+    bare = pieces.encode(df, model, keep_text=False)
+    assert bare.columns == ["doc_id", "bucket", "small", "ids"] and bare.count() == len(rows)
+
+
+def test_texts_and_segments_are_shuffled_once(spark, model):
+    """Of the exchanges of texts and of segments both readers read one."""
+    df = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    encoded = pieces.encode(df, model, frequent=0)
+    encoded.collect()
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")]
+    assert final.count("ReusedExchange") == 2
+
+
 def table_of(scores):
     rows = tuple((text, i, score) for i, (text, score) in enumerate(scores.items()))
     return pieces.Pieces(rows, tuple(range(1000, 1256)), max(map(len, scores)), pieces._segment(rows))
