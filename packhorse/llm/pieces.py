@@ -17,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 import regex
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,8 +34,9 @@ LONGEST = 60
 # Characters of texts that one task puts together, and whose segments one task encodes.
 BUCKET_CHARS = 20_000_000
 PART_CHARS = 4_000_000
-# Characters of the sample that frequent segments are taken from.
+# Characters of the sample that frequent segments are taken from, and bytes of it that help to compress texts.
 SAMPLE_CHARS = 20_000_000
+DICTIONARY = 100_000
 
 
 @dataclass(frozen=True)
@@ -105,7 +107,10 @@ def lattice(segments: DataFrame, pieces: Pieces, longest: int = SPAN - 1) -> Dat
     spans = starts.withColumn("length", F.explode(lengths))
     found = spans.withColumn("piece", F.col("segment").substr(F.col("start") + 1, F.col("length")))
     edge = F.struct((F.col("start") * SPAN + F.col("length")).alias("key"), F.struct("score", "id").alias("value"))
-    edges = found.join(known, "piece", "left").select("segment", F.when(F.col("id").isNotNull(), edge).alias("edge"))
+    # One row of each segment goes on in any case; of the others, those that are pieces.
+    first = (F.col("length") == 1) & ((F.col("start") == 0) | (F.col("start") == size))
+    met = found.join(known, "piece", "left").filter(F.col("id").isNotNull() | first)
+    edges = met.select("segment", F.when(F.col("id").isNotNull(), edge).alias("edge"))
     return edges.groupBy("segment").agg(F.map_from_entries(F.collect_list("edge")).alias("edges"))
 
 
@@ -271,29 +276,46 @@ def encode_segments(segments: DataFrame, pieces: Pieces, longest: int = LONGEST)
 
 
 class Cutter:
-    """Cuts texts into units, which end before a space, and units into the segments of `segments_of`."""
+    """Cuts texts into units, which end before a space, and units into the segments of `segments_of`.
 
-    def __init__(self, pieces: Pieces):
+    `often` holds ids of frequent segments; the others of a bucket are its rare ones.
+    """
+
+    def __init__(self, pieces: Pieces, often: dict[str, bytes]):
         self.units = re.compile(rb" *[^ ]+| +").findall
         self.segments = regex.compile(pieces.segment).findall
-        self.mark = SPACE.encode()
+        self.mark, self.often = SPACE.encode(), often
 
-    def units_of(self, text: bytes) -> list[bytes]:
+    def units_of(self, text: bytes | None) -> list[bytes]:
         return self.units(b" " + text.replace(self.mark, b" ")) if text else []
 
     def segments_of(self, unit: bytes) -> list[str]:
-        return self.segments(unit.decode().replace(" ", SPACE))
+        text = unit.decode()
+        marked = text.replace(" ", SPACE)
+        # A space and letters are one segment, as is what is known as one.
+        whole = (text[0] == " " and text[1:].isalpha()) or marked in self.often
+        return [marked] if whole else self.segments(marked)
+
+    def cut(self, units: set[bytes]) -> tuple[dict[bytes, list[str]], list[str]]:
+        """The segments of each unit, and the distinct rare ones of all, in order."""
+        parts = {unit: self.segments_of(unit) for unit in units}
+        return parts, sorted({segment for found in parts.values() for segment in found if segment not in self.often})
+
 
-    def rare(self, units: set[bytes], often: dict[str, bytes]) -> list[str]:
-        """The distinct segments of some units that are not in `often`, in order."""
-        return sorted({segment for unit in units for segment in self.segments_of(unit)} - often.keys())
+class Squeezer:
+    """Compresses short texts with a sample of the others as dictionary."""
 
+    def __init__(self, sample: bytes):
+        content = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if sample else None
+        self.small = zstandard.ZstdCompressor(level=3, dict_data=content).compress
+        self.large = zstandard.ZstdDecompressor(dict_data=content).decompress
 
-def _squeezed(small: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+
+def _squeezed(small: str, sample: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The last column, of texts, compressed."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3).compress
+        squeeze = Squeezer(sample.value).small
         for batch in batches:
             texts = pa.array([text and squeeze(text) for text in batch.columns[-1].to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=[*batch.schema.names[:-1], small])
@@ -302,13 +324,17 @@ def _squeezed(small: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return work
 
 
-def _frequent(df: DataFrame, whole: Column, pieces: Pieces, chars: int, most: int) -> dict[str, bytes]:
-    """The ids of the segments that most texts of a bounded sample hold; which they are changes no result."""
-    if not most or not chars:
+def _sample(df: DataFrame, whole: Column, chars: int) -> DataFrame:
+    """Rows with about `SAMPLE_CHARS` characters; which they are changes no result."""
+    share = min(1.0, SAMPLE_CHARS / max(1, chars))
+    return df.filter(F.pmod(F.xxhash64(whole, F.lit(7)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+
+
+def _frequent(sample: DataFrame, whole: Column, pieces: Pieces, most: int) -> dict[str, bytes]:
+    """The ids of the segments that most texts of the sample hold."""
+    if not most:
         return {}
-    share = min(1.0, SAMPLE_CHARS / chars)
-    chosen = df.filter(F.pmod(F.xxhash64(whole, F.lit(7)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
-    held = chosen.select(F.explode(F.array_distinct(segments_of(whole, pieces))).alias("segment"))
+    held = sample.select(F.explode(F.array_distinct(segments_of(whole, pieces))).alias("segment"))
     counted = held.groupBy("segment").agg(F.count(F.lit(1)).alias("texts"))
     first = stored(counted.orderBy(F.desc("texts"), "segment").limit(most).select("segment"), "frequent")
     return {row["segment"]: _as_bytes(row["ids"]) for row in encode_segments(first, pieces).collect()}
@@ -319,7 +345,7 @@ def _as_bytes(ids: list[int]) -> bytes:
 
 
 def encode(
-    df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids", frequent: int = 100_000, keep_text: bool = True
+    df: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids", frequent: int = 200_000, keep_text: bool = True
 ) -> DataFrame:
     """`df` with `out`, the piece ids of each whole text; without the text if it need not be kept.
 
@@ -336,7 +362,10 @@ def encode(
     bucket, small = (unused(name, [*df.columns, out]) for name in ("bucket", "small"))
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     chars = df.agg(F.sum(F.length(whole))).first()[0] or 0
-    often = spark.sparkContext.broadcast(_frequent(df, whole, pieces, chars, frequent))
+    sample = _sample(df, whole, chars)
+    often = spark.sparkContext.broadcast(_frequent(sample, whole, pieces, frequent))
+    some = [row[0] or "" for row in sample.select(F.substring(whole, 1, DICTIONARY)).limit(50).collect()]
+    dictionary = spark.sparkContext.broadcast("".join(some).encode()[:DICTIONARY])
 
     buckets, parts = 1 + chars // BUCKET_CHARS, 1 + chars // PART_CHARS
     kept = [field for field in df.schema.fields if field.name not in (out, text)]
@@ -346,23 +375,22 @@ def encode(
     columns = [F.col(f"`{field.name}`") for field in kept]
     rows = df.select(*columns, place, F.col(f"`{text}`").cast("binary").alias(small))
     ddl = T.StructType([*kept, T.StructField(bucket, T.LongType()), T.StructField(small, T.BinaryType())])
-    dealt = rows.mapInArrow(_squeezed(small), ddl).repartition(int(buckets), bucket)
+    dealt = rows.mapInArrow(_squeezed(small, dictionary), ddl).repartition(int(buckets), bucket)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, expand = Cutter(pieces), zstandard.ZstdDecompressor().decompress
+        cutter, expand = Cutter(pieces, often.value), Squeezer(dictionary.value).large
         scores, ids_of = pieces.scores(), pieces.names()
         found: dict[int, set[bytes]] = {}
         for batch in batches:
             *_, of, texts = batch.columns
             for number, body in zip(of.to_pylist(), texts.to_pylist(), strict=True):
-                found.setdefault(number, set()).update(cutter.units_of(expand(body) if body else b""))
-        for number, units in found.items():
-            names = cutter.rare(units, often.value)
+                found.setdefault(number, set()).update(cutter.units_of(body and expand(body)))
+        for number in list(found):
+            _, names = cutter.cut(found.pop(number))
             columns = [pa.array(np.full(len(names), number)), pa.array(np.arange(len(names))), pa.array(names, pa.string())]
             long = [long_ids(name, pieces, scores, ids_of) if len(name) > LONGEST else None for name in names]
             columns.append(pa.array(long, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "place", "segment", "long"])
-        found.clear()
         give_back()
 
     # One exchange, by segment, for the distinct segments and for the way back: Spark
@@ -377,22 +405,27 @@ def encode(
     made = T.StructType([*kept, *again, T.StructField(out, T.ArrayType(T.IntegerType()))])
 
     def put_together(texts: pa.Table, found: pa.Table) -> pa.Table:
-        cutter, expand = Cutter(pieces), zstandard.ZstdDecompressor().decompress
-        bodies = [body and expand(body) for body in texts.column(small).to_pylist()]
+        cutter, expand = Cutter(pieces, often.value), Squeezer(dictionary.value).large
+        bodies = texts.column(small).to_pylist()
         units: set[bytes] = set()
         for body in bodies:
-            units.update(cutter.units_of(body or b""))
-        names = cutter.rare(units, often.value)
+            units.update(cutter.units_of(body and expand(body)))
+        parts, names = cutter.cut(units)
         if len(names) != found.num_rows:
             raise RuntimeError(f"{len(names)} segments of a bucket, {found.num_rows} encoded")
-        known = {names[place]: _as_bytes(ids) for place, ids in zip(found.column("place").to_pylist(), found.column("ids").to_pylist(), strict=True)}
-        known |= often.value
-        of_unit = {unit: b"".join([known[segment] for segment in cutter.segments_of(unit)]) for unit in units}
-        ids = [b"".join([of_unit[unit] for unit in cutter.units_of(body or b"")]) for body in bodies]
+        known: dict[str, bytes] = {}
+        for batch in found.to_batches():
+            ends, ids = batch.column("ids").offsets.to_pylist(), batch.column("ids").values.to_numpy().astype("<i4").tobytes()
+            for place, start, end in zip(batch.column("place").to_pylist(), ends[:-1], ends[1:], strict=True):
+                known[names[place]] = ids[4 * start : 4 * end]
+        of_unit = {unit: b"".join([known[x] if x in known else often.value[x] for x in segments]) for unit, segments in parts.items()}
+        del parts, names, known, units
+        ids = [b"".join(map(of_unit.__getitem__, cutter.units_of(body and expand(body)))) for body in bodies]
+        del of_unit
         ends = np.cumsum([0, *(len(one) // 4 for one in ids)])
         values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-        again = [pa.array(bodies, pa.binary()).cast(pa.string())] if back_again else []
+        again = [pa.array([body and expand(body) for body in bodies], pa.binary()).cast(pa.string())] if back_again else []
         return pa.table([*(texts.column(field.name) for field in kept), *again, lists], names=made.names)
 
     met = dealt.groupBy(bucket).cogroup(back.groupBy("bucket")).applyInArrow(put_together, made)
