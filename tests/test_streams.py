@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from packhorse.streaming.events import (
     read_parquet_stream,
+    row_account,
     run_available,
     stream_dedupe,
     stream_sessions,
@@ -125,3 +126,32 @@ def test_stream_sessions(feed):
     assert sorted((r.id, minutes(r.session_start), minutes(r.session_end), r.n_events) for r in got) == [
         (1, 0, 9, 2), (1, 30, 35, 2), (2, 0, 0, 1), (2, 50, 50, 1)
     ]
+
+
+def test_account_of_a_batch(spark):
+    """Without a watermark nothing is open or late; rows without a time are in no window, and a null read is no read."""
+    rows = [(i, None if i % 5 == 0 else T0 + timedelta(minutes=i)) for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    windows = tumbling_counts(df, "ts", "10 minutes", [], F.lit(1))
+    assert tuple(row_account(df, "ts", "10 minutes", windows).first()) == (40, 32, 8, 0, 0)
+    none = df.limit(0)
+    assert tuple(row_account(none, "ts", "10 minutes", tumbling_counts(none, "ts", "10 minutes", [], F.lit(1))).first()) == (0, 0, 0, 0, 0)
+
+
+def test_account_of_a_stream(spark, tmp_path):
+    """Kept, open, late and undated rows add up after every run, by the watermark that the run returns."""
+    side, path = streaming_session(spark), str(tmp_path / "in")
+    runs = [[(1, 0), (2, 5), (3, 61)], [(4, 62), (5, None), (6, 130)], [(7, 1), (8, 131), (9, 200)], [(10, 2), (11, 64), (12, 260)]]
+    read, told = [], []
+    for n, run in enumerate(runs):
+        rows = [(i, None if m is None else T0 + timedelta(minutes=m)) for i, m in run]
+        read += rows
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{path}/batch={n}")
+        stream = read_parquet_stream(side, f"{path}/batch=*", SCHEMA, files_per_batch=1).withColumn("ts", F.col("ts").cast("timestamp"))
+        counts = tumbling_counts(stream, "ts", "10 minutes", [], F.lit(1), "5 minutes")
+        mark = run_available(counts, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+        windows = spark.read.schema(counts.schema).parquet(str(tmp_path / "out"))
+        account = row_account(spark.createDataFrame(read, SCHEMA), "ts", "10 minutes", windows, mark).first()
+        assert account.n_read == account.n_kept + account.n_undated + account.n_open + account.n_late == len(read)
+        told.append((account.n_kept, account.n_undated, account.n_open, account.n_late))
+    assert told[-1][1] == 1 and told[-1][3] == 3 and told[0][3] == 0
