@@ -92,3 +92,39 @@ def test_far_pairs_are_pruned():
     for i, j in {(i, j) for i in range(6) for j in range(6)} - pairs:
         reach = products[i, j] + 0.5 * (np.linalg.norm(tree.centres[i]) + np.linalg.norm(tree.centres[j])) + 0.25
         assert reach < worst[i]
+
+
+def kept_share(points, leaves, every=50, k=5):
+    """The share of pairs of a query and a row that the traversal keeps, with every query's exact worst score."""
+    tree = cover_tree.fit(points, leaves)
+    size = len(tree.centres)
+    square = (points**2).sum(axis=1)[:, None] + (tree.centres**2).sum(axis=1)[None] - 2 * points @ tree.centres.T
+    leaf, asks = square.argmin(axis=1), np.arange(0, len(points), every)
+    scores = points[asks] @ points.T
+    scores[np.arange(len(asks)), asks] = -np.inf
+    worst = np.sort(scores, axis=1)[:, -k]
+    far = np.linalg.norm(points - tree.centres[leaf], axis=1)
+
+    def per_leaf(values, rows, how, missing):
+        out = np.full(size, missing)
+        how.at(out, leaf[rows], values)
+        return out
+
+    rows = np.arange(len(points))
+    pairs = cover_tree.surviving(
+        tree, per_leaf(far[asks], asks, np.maximum, -np.inf), per_leaf(worst, asks, np.minimum, np.inf), per_leaf(far, rows, np.maximum, -np.inf)
+    )
+    queries, candidates = np.bincount(leaf[asks], minlength=size), np.bincount(leaf, minlength=size)
+    return sum(queries[a] * candidates[b] for a, b in pairs) / (len(asks) * len(points))
+
+
+def test_what_the_traversal_prunes(spark):
+    """Most pairs where vectors lie in clusters; next to none of the given ones, which are spread evenly over a sphere."""
+    draw = np.random.default_rng(9)
+    centres = draw.normal(size=(40, 16))
+    clusters = np.floor(256 * (centres / np.linalg.norm(centres, axis=1)[:, None])[draw.integers(0, 40, 2000)] + 2 * draw.normal(size=(2000, 16)))
+    assert kept_share(clusters, 64) < 0.25
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    given = np.floor(256 * np.array([row.embedding for row in rows], float))
+    shares = {leaves: kept_share(given, leaves) for leaves in (64, 256, 1000)}
+    assert shares[64] > 0.99 and shares[256] > 0.99 and 0.5 < shares[1000] <= 1
