@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import Broadcast
@@ -282,24 +283,48 @@ class Cutter:
     """
 
     def __init__(self, pieces: Pieces, often: dict[str, bytes]):
-        self.units = re.compile(rb" *[^ ]+| +").findall
+        self.units = re.compile(" *[^ ]+| +").findall
         self.segments = regex.compile(pieces.segment).findall
+        self.by_letters = "L" in pieces.segment
         self.mark, self.often = SPACE.encode(), often
 
-    def units_of(self, text: bytes | None) -> list[bytes]:
-        return self.units(b" " + text.replace(self.mark, b" ")) if text else []
-
-    def segments_of(self, unit: bytes) -> list[str]:
-        text = unit.decode()
-        marked = text.replace(" ", SPACE)
+    def units_of(self, texts: list[bytes | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct units of some texts, the numbers of all units in order, and how many each text has.
+
+        Arrow splits and numbers what stands between single spaces. Texts with other
+        spaces are cut one by one.
+        """
+        texts = [text and text.replace(self.mark, b" ") for text in texts]
+        odd = [i for i, text in enumerate(texts) if text and (text[:1] == b" " or text[-1:] == b" " or b"  " in text)]
+        even = list(texts)
+        for i in odd:
+            even[i] = None
+        words = pc.split_pattern(pa.array([text or None for text in even], pa.binary()).cast(pa.string()), " ")
+        numbered = words.flatten().dictionary_encode()
+        units = [f" {word}" for word in numbered.dictionary.to_pylist()]
+        numbers, counts = numbered.indices.to_numpy(), pc.fill_null(pc.list_value_length(words), 0).to_numpy().astype(np.int64)
+        if odd:
+            known, ends, parts, at = {unit: n for n, unit in enumerate(units)}, np.cumsum(counts), [], 0
+            for i in odd:
+                own = [known.setdefault(unit, len(known)) for unit in self.units(f" {texts[i].decode()}")]
+                parts += [numbers[at : ends[i]], np.array(own, np.int32)]
+                at, counts[i] = ends[i], len(own)
+            units, numbers = list(known), np.concatenate([*parts, numbers[at:]])
+        return units, numbers, counts
+
+    def segments_of(self, unit: str) -> list[str]:
+        marked = unit.replace(" ", SPACE)
         # A space and letters are one segment, as is what is known as one.
-        whole = (text[0] == " " and text[1:].isalpha()) or marked in self.often
-        return [marked] if whole else self.segments(marked)
+        if (unit[0] == " " and unit[1:].isalpha()) or marked in self.often:
+            return [marked]
+        if self.by_letters and unit[0] == " " and unit[1:-1].isalpha() and unit[-1] != " ":
+            return [marked[:-1], marked[-1]]
+        return self.segments(marked)
 
-    def cut(self, units: set[bytes]) -> tuple[dict[bytes, list[str]], list[str]]:
+    def cut(self, units: Iterable[str]) -> tuple[list[list[str]], list[str]]:
         """The segments of each unit, and the distinct rare ones of all, in order."""
-        parts = {unit: self.segments_of(unit) for unit in units}
-        return parts, sorted({segment for found in parts.values() for segment in found if segment not in self.often})
+        parts = [self.segments_of(unit) for unit in units]
+        return parts, sorted({segment for found in parts for segment in found} - self.often.keys())
 
 
 class Squeezer:
@@ -380,11 +405,13 @@ def encode(
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, expand = Cutter(pieces, often.value), Squeezer(dictionary.value).large
         scores, ids_of = pieces.scores(), pieces.names()
-        found: dict[int, set[bytes]] = {}
+        found: dict[int, set[str]] = {}
         for batch in batches:
-            *_, of, texts = batch.columns
-            for number, body in zip(of.to_pylist(), texts.to_pylist(), strict=True):
-                found.setdefault(number, set()).update(cutter.units_of(body and expand(body)))
+            bodies: dict[int, list[bytes | None]] = {}
+            for number, body in zip(batch.columns[-2].to_pylist(), batch.columns[-1].to_pylist(), strict=True):
+                bodies.setdefault(number, []).append(body and expand(body))
+            for number, texts in bodies.items():
+                found.setdefault(number, set()).update(cutter.units_of(texts)[0])
         for number in list(found):
             _, names = cutter.cut(found.pop(number))
             columns = [pa.array(np.full(len(names), number)), pa.array(np.arange(len(names))), pa.array(names, pa.string())]
@@ -407,9 +434,7 @@ def encode(
     def put_together(texts: pa.Table, found: pa.Table) -> pa.Table:
         cutter, expand = Cutter(pieces, often.value), Squeezer(dictionary.value).large
         bodies = texts.column(small).to_pylist()
-        units: set[bytes] = set()
-        for body in bodies:
-            units.update(cutter.units_of(body and expand(body)))
+        units, numbers, counts = cutter.units_of([body and expand(body) for body in bodies])
         parts, names = cutter.cut(units)
         if len(names) != found.num_rows:
             raise RuntimeError(f"{len(names)} segments of a bucket, {found.num_rows} encoded")
@@ -418,12 +443,17 @@ def encode(
             ends, ids = batch.column("ids").offsets.to_pylist(), batch.column("ids").values.to_numpy().astype("<i4").tobytes()
             for place, start, end in zip(batch.column("place").to_pylist(), ends[:-1], ends[1:], strict=True):
                 known[names[place]] = ids[4 * start : 4 * end]
-        of_unit = {unit: b"".join([known[x] if x in known else often.value[x] for x in segments]) for unit, segments in parts.items()}
+        of_unit = [b"".join([known[x] if x in known else often.value[x] for x in segments]) for segments in parts]
         del parts, names, known, units
-        ids = [b"".join(map(of_unit.__getitem__, cutter.units_of(body and expand(body)))) for body in bodies]
+        # The ids of all units in order, from those of the distinct ones laid end to end.
+        flat = np.frombuffer(b"".join(of_unit), "<i4")
+        lengths = np.fromiter((len(one) // 4 for one in of_unit), np.int32, len(of_unit))
         del of_unit
-        ends = np.cumsum([0, *(len(one) // 4 for one in ids)])
-        values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+        each = lengths[numbers]
+        before = np.concatenate([[0], np.cumsum(each, dtype=np.int64)])
+        shift = ((np.cumsum(lengths) - lengths)[numbers] - before[:-1]).astype(np.int64)
+        values = pa.array(flat[np.repeat(shift, each) + np.arange(before[-1])])
+        ends = before[np.concatenate([[0], np.cumsum(counts)])]
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
         again = [pa.array([body and expand(body) for body in bodies], pa.binary()).cast(pa.string())] if back_again else []
         return pa.table([*(texts.column(field.name) for field in kept), *again, lists], names=made.names)
