@@ -72,7 +72,10 @@ def upsert_partitions(
     keys never move. The old files stay until the new ones are complete; Spark
     then swaps folders one by one, so readers should wait for the job to end.
     """
-    stored = spark.read.parquet(path).withColumn(FILE, F.col("_metadata.file_path"))
+    # Folder names are read as the changes' type: what looks like a number may be text.
+    found = spark.read.parquet(path).schema
+    kinds = [T.StructField(f.name, (changes.schema if f.name in partitions else found)[f.name].dataType) for f in found.fields]
+    stored = spark.read.schema(T.StructType(kinds)).parquet(path).withColumn(FILE, F.col("_metadata.file_path"))
     touched, pruned, merged = merge_plan(stored, changes, keys, partitions, latest, keys_stay)
     emptied = _emptied(pruned, merged, partitions)
     load_partitions(merged, path, partitions)

@@ -418,6 +418,21 @@ def test_keys_move_out_of_partitions_with_odd_names(spark, tmp_path):
     assert sorted(f.name for f in tmp_path.glob("table/p=*")) == ["p=__HIVE_DEFAULT_PARTITION__", "p=other"]
 
 
+def test_partitions_named_like_numbers(spark, tmp_path):
+    """Text codes with zeros in front, dates and numbers stay what they are."""
+    path, schema = str(tmp_path / "table"), "k long, code string, day date, n int, v int"
+    rows = [(1, "007", date(2024, 1, 2), 7, 0), (2, "010", date(2024, 1, 2), 7, 0), (3, "1e3", date(2024, 1, 3), 8, 0)]
+    load_partitions(spark.createDataFrame(rows, schema), path, ["code", "day", "n"])
+    changes = [(1, "010", date(2024, 1, 2), 7, 1, 1), (3, "1e3", date(2024, 1, 3), 8, 1, 1), (4, "007", date(2024, 1, 2), 7, 1, 1)]
+    changes = spark.createDataFrame(changes, schema + ", version int")
+    upsert_partitions(spark, path, changes, ["k"], ["code", "day", "n"], [F.desc("version")])
+    got = spark.read.schema(T.StructType.fromDDL(schema)).parquet(path).select("k", "code", "day", "n", "v").collect()
+    assert sorted(map(tuple, got)) == [
+        (1, "010", date(2024, 1, 2), 7, 1), (2, "010", date(2024, 1, 2), 7, 0), (3, "1e3", date(2024, 1, 3), 8, 1),
+        (4, "007", date(2024, 1, 2), 7, 1),
+    ]
+
+
 def test_deleting_what_is_not_there_is_noticed(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="nothing to delete"):
         delete_by_uri(spark, f"file:{tmp_path}/p=a%20b")
