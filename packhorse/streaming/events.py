@@ -71,15 +71,20 @@ def row_account(read: DataFrame, at: str, width: str, windows: DataFrame, waterm
     """
     end = F.window(F.col(at).cast("timestamp"), width).getField("end")
     is_open = F.lit(False) if watermark is None else end > F.lit(watermark).cast("timestamp")
-    # The window of a null is no row, so undated rows are counted before.
-    undated = read.agg(F.count(F.lit(1)).alias("n_read"), F.count_if(F.col(at).isNull()).alias("n_undated"))
-    waiting = read.filter(F.col(at).isNotNull()).select(is_open.alias("is_open")).agg(F.count_if("is_open").alias("n_open"))
-    kept = windows.agg(F.coalesce(F.sum("n_events"), F.lit(0)).alias("n_kept"))
-    # One row on each side.
-    counts = undated.withColumn("_one", F.lit(1)).join(F.broadcast(waiting.withColumn("_one", F.lit(1))), "_one")
-    counts = counts.join(F.broadcast(kept.withColumn("_one", F.lit(1))), "_one")
+    names = ("n_read", "n_undated", "n_open", "n_kept")
+
+    def counted(df: DataFrame, **counts: Column) -> DataFrame:
+        return df.agg(*[F.coalesce(counts.get(name, F.lit(0)), F.lit(0)).cast("long").alias(name) for name in names])
+
+    # The window of a null is no row, so undated rows are counted apart. One row each.
+    parts = counted(read, n_read=F.count(F.lit(1)), n_undated=F.count_if(F.col(at).isNull()))
+    dated = read.filter(F.col(at).isNotNull()).select(is_open.alias("is_open"))
+    parts = parts.unionByName(counted(dated, n_open=F.count_if("is_open")))
+    parts = parts.unionByName(counted(windows, n_kept=F.sum("n_events")))
     late = F.col("n_read") - F.col("n_undated") - F.col("n_open") - F.col("n_kept")
-    return counts.select("n_read", "n_kept", "n_undated", "n_open", late.alias("n_late"))
+    return parts.agg(*[F.sum(name).alias(name) for name in names]).select(
+        "n_read", "n_kept", "n_undated", "n_open", late.alias("n_late")
+    )
 
 
 def stream_sessions(
