@@ -33,7 +33,7 @@ SPAN = 64
 # Characters of a segment from which on its merges are not folded.
 LONGEST = 60
 # Characters of texts that one task puts together, and whose segments one task encodes.
-BUCKET_CHARS = 20_000_000
+BUCKET_CHARS = 12_000_000
 PART_CHARS = 4_000_000
 # Characters of the sample that frequent segments are taken from, and bytes of it that help to compress texts.
 SAMPLE_CHARS = 20_000_000
@@ -451,9 +451,12 @@ def encode(
         del of_unit
         each = lengths[numbers]
         before = np.concatenate([[0], np.cumsum(each, dtype=np.int64)])
-        shift = ((np.cumsum(lengths) - lengths)[numbers] - before[:-1]).astype(np.int64)
-        values = pa.array(flat[np.repeat(shift, each) + np.arange(before[-1])])
         ends = before[np.concatenate([[0], np.cumsum(counts)])]
+        place = np.arange(before[-1], dtype=np.int32 if before[-1] < 2**31 else np.int64)
+        place += np.repeat(((np.cumsum(lengths, dtype=np.int64) - lengths)[numbers] - before[:-1]).astype(place.dtype), each)
+        del numbers, each, before
+        values = pa.array(flat[place])
+        del place
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
         again = [pa.array([body and expand(body) for body in bodies], pa.binary()).cast(pa.string())] if back_again else []
         return pa.table([*(texts.column(field.name) for field in kept), *again, lists], names=made.names)
