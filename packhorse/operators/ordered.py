@@ -23,6 +23,8 @@ from packhorse.functions.skew import ROWS_PER_TASK, large_keys, split
 from packhorse.session import delete_scratch, scratch_path, stored
 
 CHUNK = "_chunk"
+# Tasks that chunks are written in: one each, until there are more chunks than this.
+CHUNK_TASKS = 200
 
 
 @dataclass(frozen=True)
@@ -141,8 +143,17 @@ class LastKnown(Measure):
         return F.coalesce(within, carry)
 
 
-def _chunks(df: DataFrame, columns: Sequence[str | Column], n: int) -> DataFrame:
-    """Range-partition by `columns` and store each row's partition.
+def _chunk_tasks(n: int, rows_per_task: int) -> int:
+    """How many tasks write `n` chunks: few, unless one would take more than `ROWS_PER_TASK` rows."""
+    return min(n, max(CHUNK_TASKS, n * rows_per_task // ROWS_PER_TASK))
+
+
+def _chunks(df: DataFrame, columns: Sequence[str | Column], n: int, rows_per_task: int) -> DataFrame:
+    """Range-partition by `columns` and store each row's chunk: its partition, or a part of it.
+
+    Every partition sends samples for the bounds and a result to the driver, so
+    small chunks are not one partition each: beyond `CHUNK_TASKS`, partitions are
+    sorted and cut every `rows_per_task` rows.
 
     The table is written because range bounds are sampled anew in every plan;
     read back, both uses below and all task retries see the same chunks. The rows
@@ -152,11 +163,13 @@ def _chunks(df: DataFrame, columns: Sequence[str | Column], n: int) -> DataFrame
     spark = df.sparkSession
     rows, path = scratch_path(spark, "large"), scratch_path(spark, "chunks")
     df.write.parquet(rows)
-    (
-        spark.read.schema(df.schema).parquet(rows).repartitionByRange(n, *columns)
-        .withColumn(CHUNK, F.spark_partition_id())
-        .write.parquet(path)
-    )
+    tasks = _chunk_tasks(n, rows_per_task)
+    dealt, chunk = spark.read.schema(df.schema).parquet(rows).repartitionByRange(tasks, *columns), F.spark_partition_id()
+    if tasks < n:
+        # The partition is above the lower 33 bits, the row's place in it in them.
+        dealt, number = dealt.sortWithinPartitions(*columns), F.monotonically_increasing_id()
+        chunk = number - number.bitwiseAND(F.lit((1 << 33) - 1)) % rows_per_task
+    dealt.withColumn(CHUNK, chunk).write.parquet(path)
     delete_scratch(spark, rows)
     return spark.read.parquet(path)
 
@@ -197,7 +210,7 @@ def cut(
     if large is None:
         return Parts(prepare(df), None)
     rest, hot = split(df, large, keys)
-    return Parts(prepare(rest), _chunks(prepare(hot), [*keys, *order], large.tasks))
+    return Parts(prepare(rest), _chunks(prepare(hot), [*keys, *order], large.tasks, rows_per_task))
 
 
 def measure(

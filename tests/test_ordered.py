@@ -17,6 +17,7 @@ from packhorse.operators.ordered import (
     Position,
     Previous,
     RunningTotal,
+    _chunk_tasks,
     cut,
     running,
     scan,
@@ -129,6 +130,31 @@ def test_chunks_leave_no_copy_behind(spark):
     assert all(name.startswith(("chunks-", "large-keys-")) for name in new)
 
 
+@pytest.mark.parametrize("seed", [11, 12])
+def test_many_chunks_are_written_in_few_tasks(spark, monkeypatch, seed):
+    """Several chunks of a task are in order and of the size asked for, and change no result."""
+    monkeypatch.setattr("packhorse.operators.ordered.CHUNK_TASKS", 3)
+    rows = make_rows(seed, 3000, None)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    large = cut(df, ["k", "part"], ["at", "id"], 40).large
+    assert len(large.inputFiles()) <= 3
+    sizes = [row["count"] for row in large.groupBy("_chunk").count().collect()]
+    assert len(sizes) > 10 and max(sizes) <= 40
+    got = sorted(map(tuple, measured(df, 40).collect()), key=lambda r: r[3])
+    assert got == sorted(expected(rows), key=lambda r: r[3])
+    plain = spark.range(20_000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    best = top_k(plain, ["k"], [F.desc("v")], 1500, rows_per_task=100)
+    assert sorted((r.v, r.rank) for r in best.collect()) == [(v, (20_001 - v) // 2) for v in range(17_000, 20_000)]
+
+
+def test_tasks_of_chunks_are_bounded():
+    """At any number of small chunks; large chunks have a task each."""
+    assert _chunk_tasks(150, 1000) == 150
+    assert _chunk_tasks(9_000, 1000) == _chunk_tasks(54_000, 1000) == 200
+    assert _chunk_tasks(1_000_000, 1000) == 500
+    assert _chunk_tasks(5_000, 2_000_000) == 5_000
+
+
 def test_no_large_key_is_the_plain_window(spark):
     df = spark.range(5000).select((F.col("id") / 4).cast("long").alias("k"), "id")
     assert large_keys(df, ["k"], 1000) is None
