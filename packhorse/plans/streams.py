@@ -6,12 +6,12 @@ than the watermark, which is the last event's time less the delay.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packhorse.functions.columns import money
 from packhorse.plans.registry import query
-from packhorse.session import scratch_path
+from packhorse.session import delete_scratch, scratch_path
 from packhorse.sources.contracts import CONTRACTS, read_table
 from packhorse.streaming.events import (
     read_parquet_stream,
@@ -130,6 +130,31 @@ def p21_dedupe_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _result(spark, once, "deduplicated")
 
 
+# Rows of a file that is one batch of the stream, and that one task writes.
+ROWS_PER_FILE = 4_000_000
+
+
+def _write_spans(df: DataFrame, span: Column, path: str) -> None:
+    """The rows of each span as files of its own, of about `ROWS_PER_FILE` rows, written in the order of the spans.
+
+    Rows without a span are left out. All tasks sort out the rows of the spans in one
+    pass; what one task then writes to a file is a part of one span.
+    """
+    spark = df.sparkSession
+    sorted_out = scratch_path(spark, "spans")
+    dated = df.withColumn("span", span).filter("span IS NOT NULL")
+    dated.write.partitionBy("span").parquet(sorted_out)
+    rows = spark.read.schema(dated.schema).parquet(sorted_out)
+    # As many rows as there are spans.
+    counts = {row["span"]: row["count"] for row in rows.groupBy("span").count().collect()}
+    for number in range(min(counts), max(counts) + 1):
+        files = 1 + counts.get(number, 0) // ROWS_PER_FILE
+        part = rows.filter(F.col("span") == number).drop("span")
+        part = part.coalesce(1) if files == 1 else part.repartition(files)
+        part.write.parquet(f"{path}/span={number:04d}")
+    delete_scratch(spark, sorted_out)
+
+
 @query(
     """
     SELECT event_id, user_id, event_type, value FROM events
@@ -140,16 +165,15 @@ def p21_dedupe_chains(spark: SparkSession, folder: str) -> DataFrame:
     """Every event arrives three times: as it is, 5 and 25 days later, read in spans of 5 days.
 
     The second copy is within the bound of the first and is dropped; the third
-    is beyond it, and must not be held back by the second.
+    is beyond it, and must not be held back by the second. A span may come in several
+    files, which are a batch each: none of its rows is late, as spans are shorter than the bound.
     """
     events = read_table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "value")
     copies = [events.withColumn("ts", F.expr(f"ts + INTERVAL {days} DAYS")) for days in (0, 5, 25)]
     every = copies[0].unionByName(copies[1]).unionByName(copies[2])
     span = F.floor(F.datediff("ts", F.lit("2024-01-01")) / 5)
     path = scratch_path(spark, "chains")
-    first, last = every.agg(F.min(span), F.max(span)).first()
-    for number in range(first, last + 1):
-        every.filter(span == number).coalesce(1).write.parquet(f"{path}/span={number:04d}")
+    _write_spans(every, span, path)
     stream = read_parquet_stream(streaming_session(spark), f"{path}/span=*", every.schema, files_per_batch=1)
     stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     return _result(spark, stream_dedupe(stream, ["event_id"], "ts", "6 days").drop("ts"), "chains")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from datetime import datetime, timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from packhorse import session
+from packhorse.plans import streams
 from packhorse.streaming.events import (
     read_parquet_stream,
     row_account,
@@ -155,3 +159,26 @@ def test_account_of_a_stream(spark, tmp_path):
         assert account.n_read == account.n_kept + account.n_undated + account.n_open + account.n_late == len(read)
         told.append((account.n_kept, account.n_undated, account.n_open, account.n_late))
     assert told[-1][1] == 1 and told[-1][3] == 3 and told[0][3] == 0
+
+
+def test_spans_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A span with many rows comes in several files and batches; an empty span and events without a time change nothing."""
+    monkeypatch.setattr(streams, "ROWS_PER_FILE", 50)
+    rows = [
+        (i, None if i == 7 else T0 + timedelta(days=i % 40 if i % 40 < 8 else 1 + i % 40, minutes=i), i % 9, "view", float(i), None)
+        for i in range(800)
+    ]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    before, partitions = set(session._scratch), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        got = streams.p21_dedupe_chains(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert Counter(map(tuple, got)) == Counter({(r[0], r[2], r[3], r[4]): 2 for r in rows if r[1] is not None})
+    new = [path for path in set(session._scratch) - before if "/chains-" in path]
+    spans = [path for path in new if list(Path(path).glob("span=*"))]
+    files = [len(list(folder.glob("*.parquet"))) for folder in Path(spans[0]).glob("span=*")]
+    assert max(files) > 3
+    assert not any("/spans-" in path for path in session._scratch)
