@@ -2,7 +2,8 @@
 
 Every distinct segment of the corpus is taken apart once: its substrings are
 exploded and equi-joined to the piece table, the edges found are grouped by
-segment, and a higher-order aggregate folds them into the segment's pieces.
+segment, and one pass over them, best score first, folds them into the segment's
+pieces: in numpy, for all segments of an Arrow batch side by side.
 """
 
 from __future__ import annotations
@@ -11,9 +12,9 @@ import heapq
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -35,6 +36,8 @@ LONGEST = 60
 # Characters of texts that one task puts together, and whose segments one task encodes.
 BUCKET_CHARS = 12_000_000
 PART_CHARS = 4_000_000
+# Rows that a task puts together to bundles at a time.
+BUNDLE_ROWS = 500_000
 # Characters of the sample that frequent segments are taken from, and bytes of it that help to compress texts.
 SAMPLE_CHARS = 20_000_000
 DICTIONARY = 100_000
@@ -65,6 +68,19 @@ class Pieces:
             raise ValueError("needs a model with byte fallback and pieces of less than 64 characters")
         return cls(rows, tuple(of_byte[f"<0x{b:02X}>"] for b in range(256)), longest, _segment(rows))
 
+    @cached_property
+    def code(self) -> str:
+        """The type that ids have where they are packed into bytes."""
+        return "<u2" if max(*self.bytes, *(i for _, i, _ in self.rows)) < 2**16 else "<i4"
+
+    @cached_property
+    def by_text(self) -> tuple[dict[str, float], dict[str, int]]:
+        return self.scores(), self.names()
+
+    @property
+    def width(self) -> int:
+        return np.dtype(self.code).itemsize
+
     def scores(self) -> dict[str, float]:
         return {text: score for text, _, score in self.rows}
 
@@ -138,41 +154,73 @@ def merged(edges: Column, size: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), size), F.sequence(F.lit(0), size), step)
 
 
-def merged_in_order(edges: Column, size: Column) -> Column:
+def _bit(at: np.ndarray) -> np.ndarray:
+    return np.left_shift(np.int64(1), at.astype(np.int64))
+
+
+def _edges_of(edges: pa.MapArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all edges of a batch, by row, start and length: row, start, stop, score and id."""
+    offsets = edges.offsets.to_numpy() if len(edges) else np.zeros(1, np.int32)
+    rows, first, last = np.repeat(np.arange(len(edges)), np.diff(offsets)), offsets[0], offsets[-1]
+    keys = edges.keys.slice(first, last - first).to_numpy().astype(np.int64)
+    score, number = (one.to_numpy(zero_copy_only=False) for one in edges.items.slice(first, last - first).flatten())
+    order = np.argsort(rows * SPAN * SPAN + keys)
+    rows, keys = rows[order], keys[order]
+    return rows, keys // SPAN, keys // SPAN + keys % SPAN, score[order], number[order]
+
+
+def _in_order(edges: pa.MapArray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`merged_in_order` for the segments of a batch: of each, the edge next in order, all at a time."""
+    cuts, odd = _bit(size + 1) - 1, np.zeros(len(size), bool)
+    rows, start, stop, score, _ = _edges_of(edges)
+    keys = (rows * SPAN + start) * SPAN + stop
+
+    def better(row: np.ndarray, left: np.ndarray, right: np.ndarray, than: np.ndarray, there: np.ndarray) -> np.ndarray:
+        wanted = (row * SPAN + left) * SPAN + right
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return there & (keys[at] == wanted) & (score[at] > than)
+
+    wide = np.flatnonzero(stop - start > 1)
+    wide = wide[np.lexsort((start[wide], -score[wide], rows[wide]))]
+    own = rows[wide]
+    turn = np.arange(len(wide)) - np.searchsorted(own, own)
+    by_turn = np.argsort(turn, kind="stable")
+    for now in np.split(wide[by_turn], np.cumsum(np.bincount(turn))[:-1]) if len(wide) else ():
+        row, a, b = rows[now], start[now], stop[now]
+        was, ends = cuts[row], _bit(a) | _bit(b)
+        inner = was & (_bit(b) - _bit(a + 1))
+        # Both ends are borders and one border lies between.
+        fits = ((was & ends) == ends) & (inner != 0) & ((inner & (inner - 1)) == 0)
+        row, a, b, than = row[fits], a[fits], b[fits], score[now[fits]]
+        after = cuts[row] = was[fits] - inner[fits]
+        below, above = after & (_bit(a) - 1), after & -_bit(b + 1)
+        # The highest border below and the lowest above; doubles hold 32 bits, and powers of two, exactly.
+        high = np.where(below >= 2**32, np.frexp((below >> 32).astype(float))[1] + 32, np.frexp(below.astype(float))[1]) - 1
+        low = np.frexp((above & -above).astype(float))[1] - 1
+        odd[row] |= better(row, high, b, than, below != 0) | better(row, a, low, than, above != 0)
+    return cuts, odd
+
+
+def merged_in_order(
+    edges: Column, size: Column, segment: Column | None = None, pieces: Pieces | None = None, longest: int = LONGEST
+) -> Column:
     """Borders as the bits of a long, from one pass over the edges, best score first; and whether it was enough.
 
     An edge merges if it then spans two neighbours. That misses a union that only a
-    worse merge makes possible; a pass in which one came up is marked `odd`.
+    worse merge makes possible; a pass in which one came up is marked `odd`. With
+    `segment` and `pieces` also the packed ids between these borders, `code`, for
+    segments of more than `longest` characters from the merges of a heap.
     """
-    one = F.lit(1).cast("long")
+    coded = pieces is not None
 
-    def bit(at: Column) -> Column:
-        return F.call_function("shiftleft", one, at)
+    @F.arrow_udf("struct<cuts: bigint, odd: boolean" + coded * ", code: binary" + ">")
+    def passed(edges: pa.Array, size: pa.Array, *segment: pa.Array) -> pa.Array:
+        cuts, odd = _in_order(edges, size.to_numpy(zero_copy_only=False))
+        told = [pa.array(cuts, pa.int64()), pa.array(odd, pa.bool_())]
+        told += [_packed(segment[0], edges, cuts, pieces, longest)] if coded else []
+        return pa.StructArray.from_arrays(told, ["cuts", "odd", "code"][: len(told)])
 
-    def step(state: Column, edge: Column) -> Column:
-        start, stop, cuts = edge["start"], edge["stop"], state["cuts"]
-        inner = cuts.bitwiseAND(bit(stop) - bit(start + 1))
-        # Both ends are borders and one border lies between.
-        ends = bit(start).bitwiseOR(bit(stop))
-        fits = (cuts.bitwiseAND(ends) == ends) & (inner != 0) & (inner.bitwiseAND(inner - 1) == 0)
-        after = cuts - inner
-        below, above = after.bitwiseAND(bit(start) - 1), F.call_function("shiftrightunsigned", after, stop + 1)
-        left = F.length(F.bin(below)) - 1
-        right = stop + F.length(F.bin(above.bitwiseAND(-above)))
-        better = ((below != 0) & (_edge(edges, left, stop)["score"] > edge["score"])) | (
-            (above != 0) & (_edge(edges, start, right)["score"] > edge["score"])
-        )
-        return F.when(fits, F.struct(after.alias("cuts"), (state["odd"] | F.coalesce(better, F.lit(False))).alias("odd"))).otherwise(state)
-
-    listed = F.transform(
-        F.filter(F.map_entries(edges), lambda e: e["key"] % SPAN > 1),
-        lambda e: F.struct(
-            (-e["value"]["score"]).alias("cost"), F.floor(e["key"] / SPAN).cast("int").alias("start"),
-            (F.floor(e["key"] / SPAN) + e["key"] % SPAN).cast("int").alias("stop"), e["value"]["score"].alias("score"),
-        ),
-    )
-    start = F.struct((bit(size + 1) - 1).alias("cuts"), F.lit(False).alias("odd"))
-    return F.aggregate(F.array_sort(listed), start, step)
+    return passed(edges, size, *([segment] if coded else []))
 
 
 def viterbi(edges: Column, size: Column, longest: int, unknown: float = -1e6) -> Column:
@@ -228,22 +276,58 @@ def long_ids(segment: str, pieces: Pieces, scores: dict[str, float], names: dict
     return [i for part in parts for i in ([names[part]] if part in names else [pieces.bytes[b] for b in part.encode()])]
 
 
-def short_ids(segments: DataFrame, pieces: Pieces, longest: int = LONGEST) -> DataFrame:
-    """Per distinct `segment` its piece `ids`, null for those of more than `longest` characters.
+def _long_code(segment: str, pieces: Pieces) -> bytes:
+    return np.array(long_ids(segment, pieces, *pieces.by_text), pieces.code).tobytes()
+
+
+def _packed(segments: pa.Array, edges: pa.MapArray, cuts: np.ndarray, pieces: Pieces, longest: int) -> pa.Array:
+    """The packed ids of the pieces between borders; those of the bytes of a character that is no piece.
+
+    Segments of more than `longest` characters have no edges and are merged from a heap.
+    """
+    rows, start, stop, _, number = _edges_of(edges)
+    mine = cuts[rows]
+    fits = ((mine >> start) & (mine >> stop) & 1 == 1) & (mine & (_bit(stop) - _bit(start + 1)) == 0)
+    rows, covered, found = rows[fits], (stop - start)[fits], number[fits].astype(pieces.code)
+    counts = np.bincount(rows, minlength=len(cuts))
+    ends = np.concatenate([[0], np.cumsum(counts)]) * found.itemsize
+    codes = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(found.tobytes())])
+    sizes = pc.utf8_length(segments).to_numpy(zero_copy_only=False)
+    short = np.flatnonzero(np.bincount(rows, covered, len(cuts)) < sizes)
+    if not len(short):
+        return codes
+    # Some characters of these are no pieces, or all are still to be merged.
+    starts = start[fits]
+    bounds, out = np.concatenate([[0], np.cumsum(counts)]), codes.to_pylist()
+    for row in short.tolist():
+        segment, here = segments[row].as_py(), slice(bounds[row], bounds[row + 1])
+        if len(segment) > longest:
+            out[row] = _long_code(segment, pieces)
+            continue
+        known = {at: (one, upto) for at, one, upto in zip(starts[here].tolist(), found[here].tolist(), covered[here].tolist(), strict=True)}
+        ids, at = [], 0
+        while at < len(segment):
+            one, upto = known.get(at, (None, 1))
+            ids += [pieces.bytes[b] for b in segment[at].encode()] if one is None else [one]
+            at += upto
+        out[row] = np.array(ids, pieces.code).tobytes()
+    return pa.array(out, pa.binary())
+
+
+def codes_of(segments: DataFrame, pieces: Pieces, longest: int = LONGEST, also_long: bool = True) -> DataFrame:
+    """Per distinct `segment` its packed piece ids, `code`; null for those of more than `longest` characters if not `also_long`.
 
     One pass over a segment's edges in the order of their scores does for nearly
-    all; the few that it marks are merged pair by pair.
+    all; the few that it marks are merged pair by pair. Long segments, which are
+    rare, take the same merges from a heap, as their folds would take the square of
+    their length.
     """
     size = F.length("segment")
+    text = F.col("segment") if also_long else F.when(size <= longest, F.col("segment")).otherwise(F.lit(""))
     quick = lattice(segments.select("segment"), pieces, longest).withColumn(
-        "pass", merged_in_order(F.col("edges"), F.least(size, F.lit(longest)))
+        "pass", merged_in_order(F.col("edges"), F.least(size, F.lit(longest)), text, pieces, longest)
     )
-    borders = F.filter(
-        F.sequence(F.lit(0), size),
-        lambda at: F.call_function("shiftright", F.col("pass.cuts"), at).bitwiseAND(F.lit(1)) != 0,
-    )
-    cuts = F.when(F.col("pass.odd"), merged(F.col("edges"), size)).otherwise(borders)
-    folded = quick.withColumn("cuts", F.when(size <= longest, cuts))
+    folded = quick.withColumn("cuts", F.when(F.col("pass.odd"), merged(F.col("edges"), size)))
     of_byte = F.array(*(F.lit(i) for i in pieces.bytes))
 
     def ids(i: Column) -> Column:
@@ -256,40 +340,45 @@ def short_ids(segments: DataFrame, pieces: Pieces, longest: int = LONGEST) -> Da
         one = _edge(F.col("edges"), start, stop)["id"]
         return F.when(one.isNotNull(), F.array(one)).otherwise(raw)
 
+    def code(i: Column) -> Column:
+        of_bytes = (F.lpad(F.hex(F.call_function("shiftright", i, F.lit(8 * k)).bitwiseAND(F.lit(255))), 2, "0") for k in range(pieces.width))
+        return F.concat(*of_bytes)
+
     of_cuts = F.flatten(F.transform(F.sequence(F.lit(1), F.size("cuts") - 1), ids))
-    return folded.select("segment", F.when(size <= longest, of_cuts).alias("ids"))
+    pairwise = F.unhex(F.array_join(F.transform(of_cuts, code), ""))
+    codes = F.when(F.col("pass.odd"), pairwise).otherwise(F.col("pass.code"))
+    return folded.select("segment", (codes if also_long else F.when(size <= longest, codes)).alias("code"))
 
 
 def encode_segments(segments: DataFrame, pieces: Pieces, longest: int = LONGEST) -> DataFrame:
-    """Per distinct `segment` its piece `ids`.
+    """Per distinct `segment` its piece `ids`."""
+    code, width = F.hex("code"), pieces.width
 
-    Segments of more than `longest` characters, which are rare, take the same
-    merges from a heap, as their folds would take the square of their length.
-    """
-    scores, names = pieces.scores(), pieces.names()
-
-    @F.pandas_udf("array<int>")
-    def of_long(texts: pd.Series) -> pd.Series:
-        return pd.Series([text and long_ids(text, pieces, scores, names) for text in texts], dtype=object)
+    def one(at: Column) -> Column:
+        of_bytes = (F.substr(code, at + F.lit(2 * k), F.lit(2)) for k in reversed(range(width)))
+        return F.conv(F.concat(*of_bytes), 16, 10).cast("int")
 
-    long = of_long(F.when(F.length("segment") > longest, F.col("segment")))
-    return short_ids(segments, pieces, longest).withColumn("ids", F.coalesce("ids", long))
+    unpacked = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2 * width)), one)
+    return codes_of(segments, pieces, longest).select("segment", unpacked.alias("ids"))
 
 
 class Cutter:
     """Cuts texts into units, which end before a space, and units into the segments of `segments_of`.
 
-    `often` holds ids of frequent segments; the others of a bucket are its rare ones.
+    `often` holds frequent segments; the others of a bucket are its rare ones.
     """
 
-    def __init__(self, pieces: Pieces, often: dict[str, bytes]):
+    def __init__(self, pieces: Pieces, often: pa.Array):
         self.units = re.compile(" *[^ ]+| +").findall
         self.segments = regex.compile(pieces.segment).findall
         self.by_letters = "L" in pieces.segment
         self.mark, self.often = SPACE.encode(), often
+        # Arrow may know another edition of Unicode; what matters is that it tells the letters in pieces.
+        held = sorted({char for text, _, _ in pieces.rows for char in text})
+        self.letters = pc.utf8_is_alpha(pa.array(held, pa.string())).to_pylist() == [char.isalpha() for char in held]
 
-    def units_of(self, texts: list[bytes | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """The distinct units of some texts, the numbers of all units in order, and how many each text has.
+    def units_of(self, texts: list[bytes | None]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The distinct units of some texts, marks for spaces, the numbers of all units in order, and how many each text has.
 
         Arrow splits and numbers what stands between single spaces. Texts with other
         spaces are cut one by one.
@@ -301,30 +390,116 @@ class Cutter:
             even[i] = None
         words = pc.split_pattern(pa.array([text or None for text in even], pa.binary()).cast(pa.string()), " ")
         numbered = words.flatten().dictionary_encode()
-        units = [f" {word}" for word in numbered.dictionary.to_pylist()]
+        units = pc.binary_join_element_wise(SPACE, numbered.dictionary, "")
         numbers, counts = numbered.indices.to_numpy(), pc.fill_null(pc.list_value_length(words), 0).to_numpy().astype(np.int64)
         if odd:
-            known, ends, parts, at = {unit: n for n, unit in enumerate(units)}, np.cumsum(counts), [], 0
+            known, ends, parts, at = {unit: n for n, unit in enumerate(units.to_pylist())}, np.cumsum(counts), [], 0
             for i in odd:
-                own = [known.setdefault(unit, len(known)) for unit in self.units(f" {texts[i].decode()}")]
+                found = self.units(f" {texts[i].decode()}")
+                own = [known.setdefault(unit.replace(" ", SPACE), len(known)) for unit in found]
                 parts += [numbers[at : ends[i]], np.array(own, np.int32)]
                 at, counts[i] = ends[i], len(own)
-            units, numbers = list(known), np.concatenate([*parts, numbers[at:]])
+            units, numbers = pa.array(known, pa.string()), np.concatenate([*parts, numbers[at:]])
         return units, numbers, counts
 
-    def segments_of(self, unit: str) -> list[str]:
-        marked = unit.replace(" ", SPACE)
+    def _ways(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Which units are one segment, and which are one and a last character."""
+        word = pc.utf8_slice_codeunits(units, 1)
+        one = pc.is_in(units, self.often)
+        if not self.letters:
+            return one.to_numpy(zero_copy_only=False), np.zeros(len(units), bool)
         # A space and letters are one segment, as is what is known as one.
-        if (unit[0] == " " and unit[1:].isalpha()) or marked in self.often:
-            return [marked]
-        if self.by_letters and unit[0] == " " and unit[1:-1].isalpha() and unit[-1] != " ":
-            return [marked[:-1], marked[-1]]
-        return self.segments(marked)
+        one = pc.or_(one, pc.utf8_is_alpha(word)).to_numpy(zero_copy_only=False)
+        if not self.by_letters:
+            return one, np.zeros(len(units), bool)
+        two = pc.and_not(pc.utf8_is_alpha(pc.utf8_slice_codeunits(word, 0, -1)), pc.ends_with(word, SPACE))
+        return one, two.to_numpy(zero_copy_only=False) & ~one
+
+    def cut(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """How many segments each unit has, the numbers of all in order, and the distinct segments."""
+        one, two = self._ways(units)
+        rest = [self.segments(unit) for unit in units.filter(pa.array(~one & ~two)).to_pylist()]
+        counts = np.where(one, 1, 2)
+        counts[~one & ~two] = [len(found) for found in rest]
+        first = np.cumsum(counts) - counts
+        at = [first[one], first[two], first[two] + 1, _runs(first[~one & ~two], counts[~one & ~two])]
+        ends = units.filter(pa.array(two))
+        found = [units.filter(pa.array(one)), pc.utf8_slice_codeunits(ends, 0, -1), pc.utf8_slice_codeunits(ends, -1)]
+        found.append(pa.array([segment for segments in rest for segment in segments], pa.string()))
+        met = pa.concat_arrays(found).dictionary_encode()
+        numbers = np.empty(len(met), np.int32)
+        numbers[np.concatenate(at)] = met.indices.to_numpy()
+        return counts, numbers, met.dictionary
+
+    def rare(self, segments: pa.Array) -> np.ndarray:
+        """The numbers of the rare ones of distinct segments, in the order of their texts."""
+        rare = np.flatnonzero(~pc.is_in(segments, self.often).to_numpy(zero_copy_only=False))
+        return rare[pc.array_sort_indices(segments.take(pa.array(rare))).to_numpy()]
+
+
+def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length, laid end to end."""
+    before = np.cumsum(lengths, dtype=np.int64) - lengths
+    total = int(before[-1] + lengths[-1]) if len(lengths) else 0
+    kind = np.int32 if max(total, int(starts.max(initial=0)) + int(lengths.max(initial=0))) < 2**31 else np.int64
+    runs = np.arange(total, dtype=kind)
+    runs += np.repeat((starts - before).astype(kind), lengths)
+    return runs
+
+
+def _bundled(kind: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of bucket, place and code as one row for each bucket: their places, numbers of ids and ids, compressed."""
+
+    def bundles(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        ids, starts, lengths = _ids_in(pa.concat_arrays([pa.array([], pa.binary()), *rows.column("code").chunks]), kind)
+        buckets, places = rows.column("bucket").to_numpy(), rows.column("place").to_numpy()
+        order = np.lexsort((places, buckets))
+        ids, lengths = ids[_runs(starts[order].astype(np.int64), lengths[order])], lengths[order]
+        numbers, first = np.unique(buckets[order], return_index=True)
+        borders, ends = [*first.tolist(), len(order)], np.concatenate([[0], np.cumsum(lengths)])
+        # Places differ little from one row to the next.
+        steps, squeeze = np.diff(places[order], prepend=0), zstandard.ZstdCompressor(level=3).compress
+        steps[first] = places[order][first]
+        steps, lengths = steps.astype("<u4"), lengths.astype("<u4")
+        made = [
+            squeeze(np.uint32(b - a).tobytes() + steps[a:b].tobytes() + lengths[a:b].tobytes() + ids[ends[a] : ends[b]].tobytes())
+            for a, b in zip(borders[:-1], borders[1:], strict=True)
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(made, pa.binary())], names=["bucket", "found"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held, rows = [*held, batch] if batch.num_rows else held, rows + batch.num_rows
+            if rows >= BUNDLE_ROWS:
+                yield from bundles(held)
+                held, rows = [], 0
+        if held:
+            yield from bundles(held)
+        give_back()
+
+    return work
 
-    def cut(self, units: Iterable[str]) -> tuple[list[list[str]], list[str]]:
-        """The segments of each unit, and the distinct rare ones of all, in order."""
-        parts = [self.segments_of(unit) for unit in units]
-        return parts, sorted({segment for found in parts for segment in found} - self.often.keys())
+
+def _unbundled(found: Iterable[bytes], kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all rows in bundles: the places, the numbers of ids, and the ids end to end."""
+    expand, parts = zstandard.ZstdDecompressor().decompress, [(np.zeros(0, "<u4"), np.zeros(0, "<u4"), np.zeros(0, kind))]
+    for body in map(expand, found):
+        rows = int(np.frombuffer(body, "<u4", 1)[0])
+        counts = np.frombuffer(body, "<u4", 2 * rows, 4)
+        parts.append((np.cumsum(counts[:rows], dtype=np.int64), counts[rows:], np.frombuffer(body, kind, offset=4 + 8 * rows)))
+    places, lengths, ids = (np.concatenate(one) for one in zip(*parts, strict=True))
+    return places.astype(np.int64), lengths.astype(np.int64), ids
+
+
+def _ids_in(codes: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids in all of some packed ones, and where each begins in there and how many it has."""
+    if not len(codes):
+        return np.zeros(0, kind), np.zeros(0, np.int32), np.zeros(0, np.int32)
+    _, ends, body = codes.buffers()
+    offsets = np.frombuffer(ends, np.int32, len(codes) + 1, 4 * codes.offset) // np.dtype(kind).itemsize
+    return np.frombuffer(body, kind, int(offsets[-1])), offsets[:-1], np.diff(offsets)
 
 
 class Squeezer:
@@ -332,7 +507,7 @@ class Squeezer:
 
     def __init__(self, sample: bytes):
         content = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if sample else None
-        self.small = zstandard.ZstdCompressor(level=3, dict_data=content).compress
+        self.small = zstandard.ZstdCompressor(level=5, dict_data=content).compress
         self.large = zstandard.ZstdDecompressor(dict_data=content).decompress
 
 
@@ -355,18 +530,16 @@ def _sample(df: DataFrame, whole: Column, chars: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(whole, F.lit(7)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
 
 
-def _frequent(sample: DataFrame, whole: Column, pieces: Pieces, most: int) -> dict[str, bytes]:
-    """The ids of the segments that most texts of the sample hold."""
-    if not most:
-        return {}
-    held = sample.select(F.explode(F.array_distinct(segments_of(whole, pieces))).alias("segment"))
-    counted = held.groupBy("segment").agg(F.count(F.lit(1)).alias("texts"))
-    first = stored(counted.orderBy(F.desc("texts"), "segment").limit(most).select("segment"), "frequent")
-    return {row["segment"]: _as_bytes(row["ids"]) for row in encode_segments(first, pieces).collect()}
-
-
-def _as_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<i4").tobytes()
+def _frequent(sample: DataFrame, whole: Column, pieces: Pieces, most: int) -> tuple[pa.Array, pa.Array]:
+    """The segments that most texts of the sample hold, and their packed ids."""
+    rows = []
+    if most:
+        held = sample.select(F.explode(F.array_distinct(segments_of(whole, pieces))).alias("segment"))
+        counted = held.groupBy("segment").agg(F.count(F.lit(1)).alias("texts"))
+        first = stored(counted.orderBy(F.desc("texts"), "segment").limit(most).select("segment"), "frequent")
+        rows = encode_segments(first, pieces).collect()
+    codes = [np.array(row["ids"], pieces.code).tobytes() for row in rows]
+    return pa.array([row["segment"] for row in rows], pa.string()), pa.array(codes, pa.binary())
 
 
 def encode(
@@ -403,60 +576,67 @@ def encode(
     dealt = rows.mapInArrow(_squeezed(small, dictionary), ddl).repartition(int(buckets), bucket)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, expand = Cutter(pieces, often.value), Squeezer(dictionary.value).large
-        scores, ids_of = pieces.scores(), pieces.names()
-        found: dict[int, set[str]] = {}
+        cutter, expand = Cutter(pieces, often.value[0]), Squeezer(dictionary.value).large
+        # Compressed until their turn, as several buckets may meet in a task.
+        bodies: dict[int, list[bytes | None]] = {}
         for batch in batches:
-            bodies: dict[int, list[bytes | None]] = {}
             for number, body in zip(batch.columns[-2].to_pylist(), batch.columns[-1].to_pylist(), strict=True):
-                bodies.setdefault(number, []).append(body and expand(body))
-            for number, texts in bodies.items():
-                found.setdefault(number, set()).update(cutter.units_of(texts)[0])
-        for number in list(found):
-            _, names = cutter.cut(found.pop(number))
-            columns = [pa.array(np.full(len(names), number)), pa.array(np.arange(len(names))), pa.array(names, pa.string())]
-            long = [long_ids(name, pieces, scores, ids_of) if len(name) > LONGEST else None for name in names]
-            columns.append(pa.array(long, pa.list_(pa.int32())))
+                bodies.setdefault(number, []).append(body)
+        for number in list(bodies):
+            units, _, _ = cutter.units_of([body and expand(body) for body in bodies.pop(number)])
+            _, _, segments = cutter.cut(units)
+            names = segments.take(pa.array(cutter.rare(segments)))
+            columns = [pa.array(np.full(len(names), number)), pa.array(np.arange(len(names))), names]
+            far = pc.greater(pc.utf8_length(names), LONGEST).to_pylist()
+            long = [_long_code(names[i].as_py(), pieces) if is_far else None for i, is_far in enumerate(far)]
+            columns.append(pa.array(long, pa.binary()))
+            del units, segments
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "place", "segment", "long"])
-        give_back()
+            del names, columns, long
+            give_back()
 
     # One exchange, by segment, for the distinct segments and for the way back: Spark
     # reads it twice as long as both want all columns.
-    asked = dealt.mapInArrow(listed, "bucket long, place long, segment string, long array<int>").repartition(int(parts), "segment")
+    asked = dealt.mapInArrow(listed, "bucket long, place long, segment string, long binary").repartition(int(parts), "segment")
     once = asked.groupBy("segment").agg(F.max("bucket").alias("last"), F.max("place").alias("late"), F.count("long").alias("longs"))
-    encoded = short_ids(once.filter("last >= 0 AND late >= 0 AND longs >= 0"), pieces)
-    back = asked.join(encoded, "segment").select("bucket", "place", F.coalesce("ids", "long").alias("ids"))
+    encoded = codes_of(once.filter("last >= 0 AND late >= 0 AND longs >= 0"), pieces, also_long=False)
+    # A part's segments are few enough to be hashed, so its rows need no sort.
+    told = asked.join(encoded.hint("shuffle_hash"), "segment").select("bucket", "place", F.coalesce("code", "long").alias("code"))
+    back = told.mapInArrow(_bundled(pieces.code), "bucket long, found binary")
 
     back_again = keep_text and text != out
     again = [T.StructField(text, T.StringType())] if back_again else []
     made = T.StructType([*kept, *again, T.StructField(out, T.ArrayType(T.IntegerType()))])
 
     def put_together(texts: pa.Table, found: pa.Table) -> pa.Table:
-        cutter, expand = Cutter(pieces, often.value), Squeezer(dictionary.value).large
+        cutter, expand = Cutter(pieces, often.value[0]), Squeezer(dictionary.value).large
         bodies = texts.column(small).to_pylist()
         units, numbers, counts = cutter.units_of([body and expand(body) for body in bodies])
-        parts, names = cutter.cut(units)
-        if len(names) != found.num_rows:
-            raise RuntimeError(f"{len(names)} segments of a bucket, {found.num_rows} encoded")
-        known: dict[str, bytes] = {}
-        for batch in found.to_batches():
-            ends, ids = batch.column("ids").offsets.to_pylist(), batch.column("ids").values.to_numpy().astype("<i4").tobytes()
-            for place, start, end in zip(batch.column("place").to_pylist(), ends[:-1], ends[1:], strict=True):
-                known[names[place]] = ids[4 * start : 4 * end]
-        of_unit = [b"".join([known[x] if x in known else often.value[x] for x in segments]) for segments in parts]
-        del parts, names, known, units
-        # The ids of all units in order, from those of the distinct ones laid end to end.
-        flat = np.frombuffer(b"".join(of_unit), "<i4")
-        lengths = np.fromiter((len(one) // 4 for one in of_unit), np.int32, len(of_unit))
-        del of_unit
+        parts, inside, segments = cutter.cut(units)
+        del units
+        rare = cutter.rare(segments)
+        places, own_lengths, more = _unbundled(found.column("found").to_pylist(), pieces.code)
+        if len(rare) != len(places):
+            raise RuntimeError(f"{len(rare)} segments of a bucket, {len(places)} encoded")
+        # Where the ids of each distinct segment are, first those of the frequent ones.
+        ids, starts, lengths = _ids_in(often.value[1], pieces.code)
+        at = pc.index_in(segments, cutter.often).fill_null(0).to_numpy()
+        begin, size = (one[at].astype(np.int64) if len(one) else np.zeros(len(at), np.int64) for one in (starts, lengths))
+        own = rare[places]
+        begin[own], size[own] = np.cumsum(own_lengths) - own_lengths + len(ids), own_lengths
+        ids = np.concatenate([ids, more])
+        del segments, rare, at, own, more, starts, lengths, places, own_lengths
+        # The ids of distinct units laid end to end, and from them those of all units in order.
+        each = size[inside]
+        of_units = ids[_runs(begin[inside], each)].astype(np.int32)
+        ends = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(parts)])]
+        del ids, each, inside, begin, size
+        starts, lengths = ends[:-1], np.diff(ends)
         each = lengths[numbers]
-        before = np.concatenate([[0], np.cumsum(each, dtype=np.int64)])
-        ends = before[np.concatenate([[0], np.cumsum(counts)])]
-        place = np.arange(before[-1], dtype=np.int32 if before[-1] < 2**31 else np.int64)
-        place += np.repeat(((np.cumsum(lengths, dtype=np.int64) - lengths)[numbers] - before[:-1]).astype(place.dtype), each)
-        del numbers, each, before
-        values = pa.array(flat[place])
-        del place
+        ends = np.concatenate([[0], np.cumsum(each, dtype=np.int64)])[np.concatenate([[0], np.cumsum(counts)])]
+        values = pa.array(of_units[_runs(starts[numbers], each)])
+        del numbers, each, of_units
+        give_back()
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
         again = [pa.array([body and expand(body) for body in bodies], pa.binary()).cast(pa.string())] if back_again else []
         return pa.table([*(texts.column(field.name) for field in kept), *again, lists], names=made.names)

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import itertools
+import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
+import regex
 import sentencepiece
 from pyspark.sql import functions as F
 
@@ -128,3 +132,66 @@ def test_folds_by_brute_force(spark):
     for word in words:
         ids = [i for part in by_merges(word, scores) for i in ([names.index(part)] if part in scores else [1000 + x for x in part.encode()])]
         assert encoded[word] == ids
+
+
+def test_cutting_and_merging_side_by_side(model, library):
+    """Segments as the pattern cuts them, and merges of a batch of segments as those of a heap, in two-byte and four-byte ids."""
+    texts = [" lead", "two  spaces, x9y.", "end. ", "line.\nNext ▁ mark", "été·日本語 ٣٤ áb Ⅻ", "plain words only", "", None, "   ", "\U0001f600ok", "¡x!!"]
+    for often in ([], ["▁words", "▁plain", "."]):
+        cutter = pieces.Cutter(model, pa.array(often, pa.string()))
+        units, numbers, counts = cutter.units_of([text and text.encode() for text in texts])
+        parts, inside, segments = cutter.cut(units)
+        ends, known = np.cumsum(parts), segments.to_pylist()
+        of_unit = [[known[k] for k in inside[end - n : end]] for end, n in zip(ends, parts, strict=True)]
+        upto = np.cumsum(counts)
+        for text, end, n in zip(texts, upto, counts, strict=True):
+            got = [segment for number in numbers[end - n : end] for segment in of_unit[number]]
+            marked = "▁" + (text or "").replace(" ", "▁")
+            assert got == (regex.findall(model.segment, marked) if text else [])
+        assert [known[i] for i in cutter.rare(segments)] == sorted(set(known) - set(often))
+    scores, rng = model.scores(), random.Random(3)
+    words = ["▁" + "".join(rng.choice("eeettaaoinshrdlu日é€") for _ in range(rng.randint(0, 58))) for _ in range(300)] + ["a" * 60, "b" * 70]
+    for plus in (0, 100_000):
+        wide = pieces.Pieces(tuple((t, i + plus, s) for t, i, s in model.rows), model.bytes, model.longest, model.segment)
+        found = [[((a * pieces.SPAN + n), {"score": scores[w[a : a + n]], "id": wide.by_text[1][w[a : a + n]]})
+                  for a in range(len(w)) for n in range(1, 17) if a + n <= len(w) <= 60 and w[a : a + n] in scores] for w in words]
+        edges = pa.array([rng.sample(one, len(one)) for one in found], pa.map_(pa.int32(), pa.struct([("score", pa.float64()), ("id", pa.int32())])))
+        cuts, odd = pieces._in_order(edges, np.minimum([len(w) for w in words], 60).astype(np.int32))
+        codes = pieces._packed(pa.array(words), edges, cuts, wide, 60).to_pylist()
+        assert wide.width == (4 if plus else 2) and not odd.all()
+        for word, code, is_odd in zip(words, codes, odd, strict=True):
+            assert is_odd or np.frombuffer(code, wide.code).tolist() == pieces.long_ids(word, wide, *wide.by_text)
+        # Parts of batches are told like whole ones.
+        again, _ = pieces._in_order(edges.slice(7, 90), np.array([len(w) for w in words[7:97]], np.int32))
+        assert again.tolist() == cuts[7:97].tolist()
+
+
+def test_four_byte_ids(spark, model):
+    """Encoding, with frequent segments and without, where ids do not fit in two bytes."""
+    wide = pieces.Pieces(tuple((t, i + 100_000, s) for t, i, s in model.rows), model.bytes, model.longest, model.segment)
+    df = spark.createDataFrame([(k, f"some words, number {k}… and 日本 \U0001f600 {'x' * 70}") for k in range(5)], "doc_id long, text string")
+    want = {k: [i if i in model.bytes else i + 100_000 for i in ids] for k, ids in pieces.encode(df, model).select("doc_id", "ids").collect()}
+    for frequent in (0, 20):
+        assert {row.doc_id: list(row.ids) for row in pieces.encode(df, wide, frequent=frequent).collect()} == want
+
+
+def test_ids_go_back_in_bundles(spark, model, monkeypatch):
+    """A task sends one row for each bucket, not one for each segment; of more rows than it holds at a time, some."""
+    df = spark.createDataFrame([(k, f"word{k} and other{k} things{k}") for k in range(200)], "doc_id long, text string")
+
+    def rows():
+        return {row.doc_id: list(row.ids) for row in pieces.encode(df, model, frequent=0).collect()}
+
+    whole = rows()
+    monkeypatch.setattr(pieces, "BUNDLE_ROWS", 3)
+    assert rows() == whole and len(whole) == 200
+    made = [
+        pa.RecordBatch.from_pydict({"bucket": [5, 2, 5], "place": [4, 0, 70_000], "code": [b"\x01\x00", b"", b"\x02\x00\x03\x00"]}),
+        pa.RecordBatch.from_pydict({"bucket": [5], "place": [1], "code": [b"\x09\x00"]}),
+    ]
+    monkeypatch.setattr(pieces, "BUNDLE_ROWS", 500_000)
+    (bundles,) = pieces._bundled("<u2")(iter(made))
+    assert bundles.column("bucket").to_pylist() == [2, 5]
+    places, lengths, ids = pieces._unbundled(bundles.column("found").to_pylist(), "<u2")
+    assert [x.tolist() for x in (places, lengths, ids)] == [[0, 1, 4, 70_000], [0, 1, 1, 2], [9, 1, 2, 3]]
+    assert [len(x) for x in pieces._unbundled([], "<u2")] == [0, 0, 0]
